@@ -110,7 +110,7 @@ def filter_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = SITE_RULES + GENE
             .select("_tier", "_verdict", "_label", "_regex", F.col("_rarest._t").alias("_t"))
         )
         whole = F.concat(F.lit("."), F.col("_host"), F.col("_path"))
-        fits = F.when(whole.rlike(F.col("_regex")), F.struct(F.col("_tier").alias("tier"), F.length("_label").alias("len"), F.col("_label").alias("label"), F.col("_verdict").alias("verdict")))
+        fits = F.when(F.rlike(whole, F.col("_regex")), F.struct(F.col("_tier").alias("tier"), F.length("_label").alias("len"), F.col("_label").alias("label"), F.col("_verdict").alias("verdict")))
         hits = found.select(*ks, "_host", "_path", "_n", F.explode("_tokens").alias("_t")).join(F.broadcast(index), "_t", "left").withColumn("_fit", fits)
         best = hits if best is None else best.unionByName(hits)
     # longest first, then the smallest label: min over (-tier, -length, label)
