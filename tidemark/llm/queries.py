@@ -3,9 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, secrets, url_filter
-from .base import table
+from . import compression, decontaminate, line_dedup, mixing, quality_rules, secrets, toxicity, url_filter
+from .base import held_out, table
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = compression.fit(docs, table(spark, sf_dir, "labels"))
+    return compression.score(docs, model).select("_row.doc_id", held_out(F.col("_row.doc_id"), 4, 2).alias("held_out"), "score", "predicted")
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, trees).select("_row.doc_id", *quality_rules.BASE, "base_failed", "kept", "score")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, chain).select("_row.doc_id", *[f"p_{c}" for c in toxicity.CATEGORIES], "toxic")
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.digest(decontaminate.find_overlaps(docs, table(spark, sf_dir, "benchmark")))
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,7 +50,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op6_line_dedup, op7_url_filters, op8_mixing, op9_secret_scan)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_quality_rules, op3_toxicity, op4_decontamination, op6_line_dedup, op7_url_filters, op8_mixing, op9_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
