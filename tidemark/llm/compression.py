@@ -2,7 +2,7 @@
 
 Two dictionaries are built from labelled texts, one a class. A text is compressed in pieces with
 either; the difference of the compressed sizes per byte says which class it resembles, and a
-logistic curve fitted on labelled texts outside the dictionaries turns that into a probability. Pieces
+logistic curve, fitted on labelled texts outside the dictionaries, turns that into a probability. Pieces
 keep the difference in proportion to the text: within one long stream the text itself
 would soon replace the dictionary.
 
@@ -29,6 +29,7 @@ TRAIN_ROWS = 3000
 PIECE, PIECES = 1024, 8
 DICT_BYTES = 400_000
 LEVEL = 3
+FOLDS = 4
 THRESHOLD = 0.7
 
 _SHAPE = bytearray(range(256))
@@ -117,6 +118,12 @@ def _dictionary(texts: list[bytes]) -> bytes:
     return b"\n".join(t[:each] for t in texts)[-DICT_BYTES:] or b" \n.,"
 
 
+def _dictionaries(rows: list[tuple[int, bytes]]) -> list[bytes]:
+    """Of good and bad texts, then of their shapes."""
+    by = {q: [t for q_, t in rows if q_ == q] for q in (1, 0)}
+    return [_dictionary(by[1]), _dictionary(by[0]), _dictionary([t.translate(_SHAPE) for t in by[1]]), _dictionary([t.translate(_SHAPE) for t in by[0]])]
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> list:
     """At most ``rows`` labelled (q, text pieces) of each class outside the held-out part, by id hash.
 
@@ -139,26 +146,28 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Dictionaries from half of the sample, the calibration from the other half.
+    """Dictionaries from the sample; the calibration from texts outside the dictionaries, by folds.
 
     With a class missing, every text scores the share of good labels (0.5 without labels).
     """
     small_batches(docs.sparkSession)
     got, total = training_sample(docs, labels, rows)
-    side: dict[tuple[int, int], list[bytes]] = {(q, half): [] for q in (0, 1) for half in (0, 1)}
-    for i, r in enumerate(got):
-        side[r["q"], i & 1].append(r["t"].encode())
-    model = Model([_dictionary(side[1, 0]), _dictionary(side[0, 0]), _dictionary([t.translate(_SHAPE) for t in side[1, 0]]), _dictionary([t.translate(_SHAPE) for t in side[0, 0]])])
-    y = np.array([1.0] * len(side[1, 1]) + [0.0] * len(side[0, 1]))
+    rows_ = [(r["q"], r["t"].encode()) for r in got]
+    model = Model(_dictionaries(rows_))
+    y = np.array([float(q) for q, _ in rows_])
     if len(set(y)) < 2:
         good, all_ = total.get(1, 0), sum(total.values())
         p = (good + 0.5) / (all_ + 1)
         model.weights = np.array([np.log(p / (1 - p)), 0, 0, 0, 0, 0])
         return model
-    x = np.array([model.features(t) for t in side[1, 1] + side[0, 1]])
+    x = np.zeros((len(rows_), 3))
+    for k in range(FOLDS):
+        part = Model(_dictionaries([r for i, r in enumerate(rows_) if i % FOLDS != k]))
+        for i in range(k, len(rows_), FOLDS):
+            x[i] = part.features(rows_[i][1])
     # each class counts as in all labels, so that the probability is right for them
-    counts = {q: len(side[q, 1]) for q in (0, 1)}
-    weight = np.array([total.get(int(q), 1) / counts[int(q)] for q in y])
+    counts = {q: (y == q).sum() for q in (0.0, 1.0)}
+    weight = np.array([total.get(int(q), 1) / counts[q] for q in y])
     weight *= len(y) / weight.sum()
     model.weights = _fit_logistic(x, y, weight)
     return model

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, decontaminate, line_dedup, mixing, quality_rules, secrets, toxicity, url_filter
+from . import compression, decontaminate, line_dedup, maxent_lm, mixing, quality_rules, secrets, toxicity, url_filter
 from .base import held_out, table
 
 
@@ -49,8 +49,12 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_quality_rules, op3_toxicity, op4_decontamination, op6_line_dedup, op7_url_filters, op8_mixing, op9_secret_scan)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_quality_rules, op3_toxicity, op4_decontamination, op6_line_dedup, op7_url_filters, op8_mixing, op9_secret_scan, op10_lm_scoring)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,7 +8,7 @@ Categories: ``toxic`` (the label), ``severe`` (toxic, and at least SEVERE of the
 (toxic in more than one line). The last two are derived from labelled texts: words that occur
 in toxic texts far more often than in others are the strongly toxic ones.
 
-Features of a text are the distinct words, word beginnings and word pairs it holds, hashed. Beginnings
+Features of a text are the distinct words and word beginnings it holds, hashed. Beginnings
 catch words in inflected forms that the sample never held. The sample is bounded by TRAIN_ROWS rows.
 """
 
@@ -27,7 +27,7 @@ from .base import ALNUM, Words, blocks, mix, packed, small_batches, sums_by_doc
 #: Labelled rows of each class that are fitted on, those with the smallest id hashes.
 TRAIN_ROWS = 4000
 BUCKETS = 1 << 20
-STEMS = (3, 4, 5)
+STEMS = (3, 4, 5, 6)
 FOLDS = 4
 SEVERE = 0.02
 THRESHOLD = 0.5
@@ -153,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Chain:
             row, bucket, n = features(b.column("_text"))
             at = np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32)
             held = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(bucket.astype(np.int32), pa.int32()))
-            lines = pa.array([[x for x in (t or "").split("\n") if x][:64] for t in b.column("_text").to_pylist()], pa.list_(pa.string()))
+            lines = pa.array([[x for x in (t or "").split("\n") if x] for t in b.column("_text").to_pylist()], pa.list_(pa.string()))
             flat = lines.flatten()
             lr, lb, _ = features(flat)
             lat = np.searchsorted(lr, np.arange(len(flat) + 1)).astype(np.int32)
