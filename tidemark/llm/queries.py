@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, decontaminate, line_dedup, maxent_lm, mixing, quality_rules, secrets, toxicity, url_filter
+from . import compression, decontaminate, line_dedup, maxent_lm, mixing, ngram_join, quality_rules, secrets, toxicity, url_filter
 from .base import held_out, table
 
 
@@ -32,6 +32,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.find_overlaps(docs, table(spark, sf_dir, "benchmark")))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("_row.doc_id", "n_lines", "n_dropped", "kept_sha256")
@@ -54,7 +58,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_quality_rules, op3_toxicity, op4_decontamination, op6_line_dedup, op7_url_filters, op8_mixing, op9_secret_scan, op10_lm_scoring)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_quality_rules, op3_toxicity, op4_decontamination, op5_ngram_join, op6_line_dedup, op7_url_filters, op8_mixing, op9_secret_scan, op10_lm_scoring)}
 
 
 def oracle_sql() -> dict[str, str]:
