@@ -6,7 +6,7 @@ chooses who is in: its flight phase moves the vector of probabilities along dire
 that leave the totals of documents and of words unchanged until all but two entries
 are 0 or 1. Flights run side by side over buckets of a source; what each leaves undecided
 flies again in buckets of the next level, until one bucket a source remains, where the
-landing rounds the last two or so to the nearest word total. The largest documents
+landing rounds the last two or so, with the smallest units beside them, to the nearest word total. The largest documents
 fly first, so that those left for the landing are the smallest.
 """
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,8 @@ WEIGHTS = (1, 2, 3)
 MOST = 3
 #: Units in one flight. Buckets of a source: its units / this, so groups stay bounded.
 BUCKET = 1000
+#: Units that the landing decides on.
+LANDING = 12
 #: One row for each source comes to the driver; more sources than this are refused.
 MAX_SOURCES = 1_000_000
 
@@ -80,14 +83,25 @@ def flight(pi: list[float], docs: list[float], words: list[float], rng: random.R
     return pi
 
 
-def landing(pi: list[float], words: list[float]) -> list[float]:
-    """Round the few entries between 0 and 1 so that the word total moves least."""
+def landing(pi: list[float], words: list[float], open_: list[bool] | None = None) -> list[float]:
+    """Round the few entries between 0 and 1 so that the word total moves least.
+
+    The smallest few of the units that were open before the flight may change sides too, where that
+    brings the total nearer; of equal totals the one with the fewest changes is taken.
+    """
     rest = [i for i, p in enumerate(pi) if 0.0 < p < 1.0]
-    want = sum(words[i] * pi[i] for i in rest)
-    best = min(range(1 << len(rest)), key=lambda m: (abs(sum(words[i] for k, i in enumerate(rest) if m >> k & 1) - want), m))
+    spare = sorted((i for i, o in enumerate(open_ or []) if o and i not in rest and words[i] > 0), key=lambda i: (words[i], i))
+    free = rest + spare[: max(0, LANDING - len(rest))]
+    if not free:
+        return list(pi)
+    choice = np.arange(1 << len(free))[:, None] >> np.arange(len(free)) & 1
+    w, now = np.array([words[i] for i in free]), np.array([pi[i] for i in free])
+    away = np.abs(choice @ w - (w * now).sum())
+    flips = np.abs(choice - now)[:, len(rest) :].sum(axis=1)
+    best = choice[np.lexsort((flips, np.round(away, 6)))[0]]
     pi = list(pi)
-    for k, i in enumerate(rest):
-        pi[i] = float(best >> k & 1)
+    for i, c in zip(free, best, strict=True):
+        pi[i] = float(c)
     return pi
 
 
@@ -127,8 +141,9 @@ def mix(docs: DataFrame, share: float = 1.0, weights: tuple[float, ...] = WEIGHT
             order = sorted(range(len(pi)), key=lambda i: (-words[i], tie[i]))
             rng = random.Random(f"{len(pi)} {tie[order[0]]}")
             w = [words[i] for i in order]
-            moved = flight([pi[i] for i in order], [float(n[i]) for i in order], w, rng)
-            moved = landing(moved, w) if last else moved
+            given = [pi[i] for i in order]
+            moved = flight(given, [float(n[i]) for i in order], w, rng)
+            moved = landing(moved, w, [0.0 < p < 1.0 for p in given]) if last else moved
             for i, p in zip(order, moved, strict=True):
                 pi[i] = p
             return t.set_column(t.schema.get_field_index("pi"), "pi", pa.array(pi, pa.float64()))
