@@ -22,8 +22,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def kept(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return the table: its lineage ends here."""
-    path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    """Write ``df`` to the shared folder and return the table: its lineage ends here.
+
+    The tables of an application stand in one folder, which may go when the application has ended.
+    """
+    path = f"{shared_dir(df.sparkSession)}/tidemark-{df.sparkSession.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
