@@ -51,10 +51,11 @@ def shared_dir(spark: SparkSession) -> str:
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and return the written table.
 
-    Cuts the lineage: what reads it needs no recomputation after an executor is lost.
+    Cuts the lineage: what reads it needs no recomputation after an executor is lost. The tables of an
+    application stand in one folder, which may go when the application has ended.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tidemark-{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
