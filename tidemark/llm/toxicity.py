@@ -27,7 +27,7 @@ from .base import ALNUM, Words, blocks, mix, packed, small_batches, sums_by_doc
 #: Labelled rows of each class that are fitted on, those with the smallest id hashes.
 TRAIN_ROWS = 4000
 BUCKETS = 1 << 20
-STEMS = (3, 4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
 FOLDS = 4
 SEVERE = 0.02
 THRESHOLD = 0.5
@@ -50,7 +50,7 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             code = np.zeros(int(long_.sum()), dtype=np.uint64)
             for j in range(k):
                 code = (code << np.uint64(8)) | w._b[w.start[long_] + j].astype(np.uint64)
-            parts.append((w.doc[long_], mix(code + np.uint64(k << 56))))
+            parts.append((w.doc[long_], mix(code ^ mix(np.full(1, k, dtype=np.uint64)))))
         row = np.concatenate([p[0] for p in parts])
         bucket = np.concatenate([p[1] for p in parts]) % np.uint64(BUCKETS)
         pair = np.unique(row.astype(np.uint64) * np.uint64(BUCKETS) + bucket)
@@ -66,15 +66,15 @@ class Linear:
     """A sparse linear model: evidence of each bucket summed and scaled, earlier probabilities, bias."""
 
     evidence: np.ndarray  # float32, one a bucket
-    weights: np.ndarray  # bias, top evidence, total evidence, earlier categories
+    weights: np.ndarray  # bias, top evidence, sums of clear and of strong evidence, earlier categories
 
     def inputs(self, row: np.ndarray, bucket: np.ndarray, n: int, earlier: np.ndarray) -> np.ndarray:
-        """The strongest evidence and the sum of what is clearly above chance, for each row."""
+        """The strongest evidence and the sums of what is clearly and far above chance, for each row."""
         e = self.evidence[bucket]
         top = np.zeros(n)
         np.maximum.at(top, row, e)
-        total = np.log1p(np.bincount(row, weights=np.maximum(e - 1.5, 0), minlength=n))
-        return np.concatenate([np.stack([np.ones(n), top, total], axis=1), earlier], axis=1)
+        above = lambda least: np.log1p(np.bincount(row, weights=np.maximum(e - least, 0), minlength=n))
+        return np.concatenate([np.stack([np.ones(n), top, above(1.5), above(4.0)], axis=1), earlier], axis=1)
 
     def probability(self, row: np.ndarray, bucket: np.ndarray, n: int, earlier: np.ndarray) -> np.ndarray:
         z = self.inputs(row, bucket, n, earlier) @ self.weights
@@ -112,7 +112,7 @@ def _pick(row: np.ndarray, bucket: np.ndarray, keep: np.ndarray) -> tuple[np.nda
 def fit_link(row: np.ndarray, bucket: np.ndarray, y: np.ndarray, earlier: np.ndarray, weight: np.ndarray, fold: np.ndarray) -> tuple[Linear, np.ndarray]:
     """One model of the chain and its out-of-fold probabilities."""
     n = len(y)
-    x = np.zeros((n, 3 + earlier.shape[1]))
+    x = np.zeros((n, 4 + earlier.shape[1]))
     for f in range(FOLDS):
         inside = fold != f
         part = Linear(_evidence(*_pick(row, bucket, inside), y[inside]), np.zeros(0))
@@ -169,7 +169,7 @@ def _fit_chain(got: pa.Table, total: dict[int, int]) -> Chain:
     n = len(y)
     if not n or y.min() == y.max():
         blank = np.zeros(BUCKETS, np.float32)
-        return Chain([Linear(blank, np.array([-6.0 if not n or y.max() == 0 else 6.0] + [0.0] * (2 + i))) for i in range(len(CATEGORIES))])
+        return Chain([Linear(blank, np.array([-6.0 if not n or y.max() == 0 else 6.0] + [0.0] * (3 + i))) for i in range(len(CATEGORIES))])
     x = got.column("x").combine_chunks()
     row = np.repeat(np.arange(n), np.diff(x.offsets.to_numpy()))
     bucket = x.flatten().to_numpy().astype(np.int64)
