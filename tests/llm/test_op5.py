@@ -1,17 +1,20 @@
 import random
 
+import pytest
+
 from tests.llm.helpers import ODD, WORD, docs, lower
 from tidemark.llm import ngram_join
 from tidemark.llm.base import table
 
 
-def shingle_set(text):
+def shingle_set(text, k=3):
     w = WORD.findall(lower(text))
-    return frozenset(tuple(w[i : i + 3]) for i in range(len(w) - 2)) if len(w) >= 3 else frozenset([tuple(w)] if w else [])
+    return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
 
 
-def brute_components(rows):
-    sets = {d: shingle_set(t) for d, t in rows}
+def brute_components(rows, k=3, threshold=9):
+    """Threshold in tenths."""
+    sets = {d: shingle_set(t, k) for d, t in rows}
     parent = {d: d for d in sets}
 
     def root(x):
@@ -23,20 +26,22 @@ def brute_components(rows):
     for i, a in enumerate(ids):
         for b in ids[i + 1 :]:
             s, t = sets[a], sets[b]
-            if s and t and 10 * min(len(s), len(t)) >= 9 * max(len(s), len(t)) and 100 * len(s & t) >= 90 * len(s | t):
+            if s and t and 10 * min(len(s), len(t)) >= threshold * max(len(s), len(t)) and 10 * len(s & t) >= threshold * len(s | t):
                 x, y = root(a), root(b)
                 parent[max(x, y)] = min(x, y)
     return {d: (len(sets[d]), root(d)) for d in sets}
 
 
-def check(spark, texts):
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(docs(spark, texts)).collect()}
-    assert got == brute_components(list(enumerate(texts)))
-    kept = sorted(r["doc_id"] for r in ngram_join.keep_one(docs(spark, texts)).collect())
+def check(spark, texts, k, threshold):
+    options = {"k": k, "threshold": (threshold, 10)}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(docs(spark, texts), **options).collect()}
+    assert got == brute_components(list(enumerate(texts)), k, threshold)
+    kept = sorted(r["doc_id"] for r in ngram_join.keep_one(docs(spark, texts), **options).collect())
     assert kept == sorted(d for d, (_, c) in got.items() if c == d)
 
 
-def test_against_brute_force(spark):
+@pytest.mark.parametrize(("k", "threshold"), [(3, 9), (5, 8), (2, 5)])
+def test_against_brute_force(spark, k, threshold):
     rng = random.Random(5)
     text = lambda n, v=4000: [f"w{rng.randrange(v)}" for _ in range(n)]
     passage = text(60)
@@ -56,26 +61,28 @@ def test_against_brute_force(spark):
     for n in (9, 10, 11, 12, 20, 21):  # at the threshold
         w = text(n)
         texts += [" ".join(w), " ".join(w[:-1]), " ".join([*w[:-1], "zz"]), " ".join([*w, "yy"])]
+    for r in range(24):  # mostly one passage
+        texts.append(" ".join(text(r % 12) + passage))
     rng.shuffle(texts)
-    check(spark, texts)
+    check(spark, texts, k, threshold)
 
 
 def test_lists_of_every_length(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "LONG_LIST", 3)
     monkeypatch.setattr(ngram_join, "FREQUENT", 6)
-    test_against_brute_force(spark)
+    test_against_brute_force(spark, 3, 9)
 
 
 def test_on_the_table(spark, sf_dir):
     rows = [(r["doc_id"], r["text"]) for r in table(spark, sf_dir, "documents").collect()]
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(table(spark, sf_dir, "documents")).collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(table(spark, sf_dir, "documents"), k=3, threshold=(9, 10)).collect()}
     assert got == brute_components(rows)
 
 
 def test_null_ids_repeated_rows_and_empty(spark):
     d = docs(spark, ["a b c d", "x y z"])
     d = d.union(d).union(d.selectExpr("CAST(NULL AS LONG)", "text", "lang", "source", "n_chars")).selectExpr("*", "1 AS n", "2 AS node")
-    got = sorted(tuple(r) for r in ngram_join.near_duplicates(d).na.fill(-1).collect())
+    got = sorted(tuple(r) for r in ngram_join.near_duplicates(d, k=3).na.fill(-1).collect())
     assert got == [(-1, 1, 1), (-1, 2, 0), (0, 2, 0), (0, 2, 0), (1, 1, 1), (1, 1, 1)]
     assert ngram_join.keep_one(d).columns == d.columns
     assert ngram_join.near_duplicates(d.limit(0)).count() == 0

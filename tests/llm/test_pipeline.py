@@ -29,7 +29,7 @@ def test_stages_against_brute_force(spark):
     assert {r["doc_id"]: r["text"] for r in got} == {d: t for d, (_, _, t) in want.items()}
     assert all(r["n_chars"] == len(r["text"]) for r in got)
     before, got = after["ngram_join"]
-    want = brute_components([(r["doc_id"], r["text"]) for r in before])
+    want = brute_components([(r["doc_id"], r["text"]) for r in before], 5, 8)
     assert sorted(r["doc_id"] for r in got) == sorted(d for d, (_, c) in want.items() if c == d)
     before, got = after["decontamination"]
     items = [(r["item_id"], r["text"]) for r in table(spark, SF, "benchmark").collect()]

@@ -4,7 +4,7 @@ Two texts link when their sets of word shingles have a Jaccard similarity of at
 THRESHOLD. Shingles stand in one global order; sets that similar share COMMON shingles or more
 within short prefixes in that order, so only prefixes are joined:
 
-1. Counting. Frequent shingles go last in the order (counted exactly for one shingle in ELIGIBLE and for
+1. Counting. Frequent shingles go last in the order (counted exactly for one shingle in ``eligible_of`` and for
    those that repeat within a batch); the first ones of a set are among the counted rare ones.
 2. Collapsing. Texts with equal sets are one node; nodes with the same prefix and size are one group.
 3. Joining. Groups that share rare prefix shingles are paired and the pairs are kept whose number of shared
@@ -28,13 +28,11 @@ from pyspark.sql import functions as F
 
 from .base import SPACED, Words, blocks, lists, mix, shingles, small_batches, stored
 
-NGRAM = 3
+NGRAM = 5
 #: The threshold as a fraction of whole numbers, so that the test is exact.
-THRESHOLD = (9, 10)
-#: Shingles that linked sets share within their prefixes.
+THRESHOLD = (8, 10)
+#: Shingles that linked sets share within their prefixes (fewer where linked sets can be smaller).
 COMMON = 4
-#: One shingle in so many is counted wherever it stands.
-ELIGIBLE = 8
 #: Shingles counted this often go last in the order; at most MAX_FREQUENT of them are broadcast (16 bytes each).
 FREQUENT, MAX_FREQUENT = 32, 1_000_000
 #: Longer lists of groups for one shingle are joined through hubs.
@@ -68,17 +66,27 @@ def text_sets(data: np.ndarray, at: np.ndarray, k: int = NGRAM) -> tuple[np.ndar
     return (np.concatenate(parts) if parts else np.empty(0, np.uint64)), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def least_common(n: np.ndarray, m: np.ndarray | int | None = None, threshold: tuple[int, int] = THRESHOLD) -> np.ndarray:
-    """The overlap that sets of sizes n and m must have to link."""
+def smallest_unequal(threshold: tuple[int, int]) -> int:
+    """Sets of fewer shingles link with equal sets only."""
     a, b = threshold
-    total = n + m
-    return -(-a * total // (a + b))
+    return -(-a // (b - a))
+
+
+def common_of(threshold: tuple[int, int]) -> int:
+    a, b = threshold
+    return max(1, min(COMMON, -(-a * smallest_unequal(threshold) // b)))
+
+
+def eligible_of(threshold: tuple[int, int]) -> int:
+    """One shingle in so many is counted wherever it stands: somewhat more than a prefix holds."""
+    a, b = threshold
+    return max(1, 8 * b // (10 * (b - a)))
 
 
 def prefix_size(n: int, threshold: tuple[int, int] = THRESHOLD) -> int:
-    """Of a set of n: linked sets share COMMON or more shingles within prefixes of this length."""
+    """Of a set of n: linked sets share ``common_of`` or more shingles within prefixes of this length."""
     a, b = threshold
-    return min(n, n - -(-a * n // b) + COMMON)
+    return min(n, n - -(-a * n // b) + common_of(threshold))
 
 
 def fingerprint(s: np.ndarray) -> int:
@@ -91,14 +99,14 @@ def fingerprint(s: np.ndarray) -> int:
 # ---------------------------------------------------------------- counting and prefixes
 
 
-def frequent_shingles(docs: DataFrame, k: int = NGRAM) -> DataFrame:
+def frequent_shingles(docs: DataFrame, k: int, eligible: int) -> DataFrame:
     """``t, c``: shingles counted FREQUENT times or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [text_sets(data, at, k)[0] for _, _, data, at in blocks(b.column("text"))]
             t, n = np.unique(np.concatenate([*sets, np.empty(0, np.uint64)]), return_counts=True)
-            keep = (n > 1) | (t % np.uint64(ELIGIBLE) == 0)
+            keep = (n > 1) | (t % np.uint64(eligible) == 0)
             yield pa.RecordBatch.from_arrays([pa.array(t[keep].view(np.int64)), pa.array(n[keep], pa.int64())], names=["t", "c"])
 
     counted = docs.select("text").mapInArrow(run, "t long, c long").groupBy("t").agg(F.sum("c").alias("c"))
@@ -120,11 +128,11 @@ def _order_table(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return t[order].copy(), c[order].copy()
 
 
-def _in_order(s: np.ndarray, t: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _in_order(s: np.ndarray, t: np.ndarray, c: np.ndarray, eligible: int) -> tuple[np.ndarray, np.ndarray]:
     """The set in the global order, and which of it are frequent."""
     at = np.minimum(np.searchsorted(t, s), max(len(t) - 1, 0))
     often = (t[at] == s) if len(t) else np.zeros(len(s), bool)
-    rank = np.where(often, c[at] if len(t) else 0, np.where(s % np.uint64(ELIGIBLE) == 0, -2, -1))
+    rank = np.where(often, c[at] if len(t) else 0, np.where(s % np.uint64(eligible) == 0, -2, -1))
     order = np.lexsort((s, rank))
     return s[order], often[order]
 
@@ -135,9 +143,8 @@ def set_table(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFrame:
     Sets too small to link with a different one have no prefix.
     """
     spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(_order_table(stored(frequent_shingles(docs, k), "jaccard-frequent")))
-    a, b_ = threshold
-    smallest = -(-a // (b_ - a))  # sets below it link with equal sets only
+    held = spark.sparkContext.broadcast(_order_table(stored(frequent_shingles(docs, k, eligible_of(threshold)), "jaccard-frequent")))
+    smallest, eligible = smallest_unequal(threshold), eligible_of(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, c = held.value
@@ -154,7 +161,7 @@ def set_table(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFrame:
                         grp.append(0)
                         size.append(0)
                         continue
-                    s, o = _in_order(s, t, c)
+                    s, o = _in_order(s, t, c, eligible)
                     p = prefix_size(n, threshold)
                     flat.append(s[:p])
                     often.append(o[:p])
@@ -182,100 +189,144 @@ def _may_link(n: Column, i: Column, m: Column, j: Column, threshold: tuple[int,
 
 
 def postings(groups: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(short, long): stored ``t, g, n, i`` of the shingles that two groups or more hold in their prefixes."""
+    """(short, long): ``t, g, n, i`` of the shingles that two groups or more hold in their prefixes; long with ``often``."""
     flat = groups.select("g", "n", F.posexplode(F.arrays_zip("prefix", "often")).alias("i", "x")).select(F.col("x.prefix").alias("t"), "g", "n", F.col("i").cast("long").alias("i"), F.col("x.often").alias("often"))
     # those not known as frequent have bounded lists, but for what the counting left out
     rare = flat.where(~F.col("often")).drop("often").withColumn("c", F.count("*").over(Window.partitionBy("t"))).where("c > 1")
     rare = stored(rare, "jaccard-rare")
-    often = stored(flat.where("often").drop("often").unionByName(rare.where(F.col("c") > LONG_LIST).drop("c")), "jaccard-often")
+    often = stored(flat.where("often").unionByName(rare.where(F.col("c") > LONG_LIST).drop("c").withColumn("often", F.lit(False))), "jaccard-often")
     size = often.groupBy("t").agg(F.count("*").alias("c")).where("c > 1")
     long_ = stored(often.join(stored(size, "jaccard-lengths"), "t").where(F.col("c") > 1).drop("c"), "jaccard-long")
     return rare.where(F.col("c") <= LONG_LIST).drop("c"), long_
 
 
-def short_pairs(short: DataFrame, long_: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """``a, b, k``: groups that share k shingles with short lists, where that can be enough."""
+def group_info(groups: DataFrame, long_: DataFrame) -> DataFrame:
+    """``g, n, l, s, o``: long lists a group stands in, shingles of its prefix that are neither frequent nor of
+    long lists, whether it holds a frequent one.
+
+    A group with a frequent shingle in its prefix has all its others there.
+    """
+    l = long_.groupBy("g").agg(F.count("*").alias("l"), F.count_if(~F.col("often")).alias("r"))
+    rows = groups.join(l, "g", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in "lr"})
+    rare = F.size(F.filter("often", lambda x: ~x)) - F.col("r")
+    return rows.select("g", "n", "l", rare.alias("s"), F.exists("often", lambda x: x).alias("o"))
+
+
+def _room(x: str, y: str, k: Column | int, threshold: tuple[int, int]) -> Column:
+    """Whether two groups that share k shingles of short lists can have enough in common.
+
+    The other short ones of x are not in y if y's prefix holds all of y's, and the other way round.
+    """
+    a, b = threshold
+    c = lambda s, name: F.col(f"{s}{name}")
+    fits = lambda s: (c(s, "n") - c(s, "s") + k) * (a + b) >= a * (c(x, "n") + c(y, "n"))
+    return (~c(y, "o") | fits(x)) & (~c(x, "o") | fits(y))
+
+
+def short_pairs(short: DataFrame, long_: DataFrame, info: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """``a, b, k``: groups that share k shingles with short lists and, with those in long lists, enough."""
+    common = common_of(threshold)
     x, y = short.alias("x"), short.alias("y")
     hit = x.join(y, (F.col("x.t") == F.col("y.t")) & (F.col("x.g") < F.col("y.g"))).where(_may_link(F.col("x.n"), F.col("x.i"), F.col("y.n"), F.col("y.i"), threshold))
     pairs = hit.groupBy(F.col("x.g").alias("a"), F.col("y.g").alias("b")).agg(F.count("*").alias("k"))
-    # what they may share besides: no more than either has in long lists
-    more = long_.groupBy("g").agg(F.count("*").alias("l"))
     for s in ("a", "b"):
-        pairs = pairs.join(more.select(F.col("g").alias(s), F.col("l").alias(f"l{s}")), s, "left")
-    enough = F.col("k") + F.least(F.coalesce("la", F.lit(0)), F.coalesce("lb", F.lit(0))) >= COMMON
-    return pairs.where(enough).select("a", "b", "k")
+        pairs = pairs.join(info.select(F.col("g").alias(s), *[F.col(c).alias(f"{s}{c}") for c in "nlso"]), s)
+    pairs = stored(pairs.where((F.col("k") + F.least("al", "bl") >= common) & _room("a", "b", F.col("k"), threshold)).select("a", "b", "k"), "jaccard-short")
+    sure, open_ = pairs.where(F.col("k") >= common), pairs.where(F.col("k") < common)
+    # the others need shingles in long lists that both hold
+    more = open_.join(long_.select(F.col("g").alias("a"), "t"), "a").join(long_.select(F.col("g").alias("b"), "t"), ["b", "t"])
+    more = more.groupBy("a", "b", "k").agg(F.count("*").alias("l")).where(F.col("k") + F.col("l") >= common)
+    return sure.unionByName(more.select("a", "b", "k"))
 
 
-def hub_pairs(long_: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """``a, b``: each group with the hub of its size class in each long list, and hubs of neighbouring classes."""
+def hub_pairs(long_: DataFrame, info: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """``a, b``: each group with the hub of its size class in each long list, and hubs of neighbouring classes.
+
+    Pairs that can only link by short lists too are left to ``short_pairs``.
+    """
     a, b = threshold
     sized = long_.withColumn("w", F.floor(F.log(F.col("n").cast("double")) / float(np.log(b / a))).cast("int"))
     hubs = stored(sized.groupBy("t", "w").agg(F.min("g").alias("hub")), "jaccard-hubs")
     own = sized.join(hubs, ["t", "w"]).select(F.col("g").alias("a"), F.col("hub").alias("b"))
     next_ = hubs.alias("x").join(hubs.alias("y"), (F.col("x.t") == F.col("y.t")) & (F.col("x.w") + 1 == F.col("y.w"))).select(F.col("x.hub").alias("a"), F.col("y.hub").alias("b"))
     both = own.unionByName(next_).where("a <> b")
-    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    both = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    for s in ("a", "b"):
+        both = both.join(info.select(F.col("g").alias(s), *[F.col(c).alias(f"{s}{c}") for c in "nso"]), s)
+    return both.where(_room("a", "b", 0, threshold)).select("a", "b")
 
 
-def unlike(entries: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """``a, b``: members of one list (key, id, n, i, lo, hi) that are not known to be in one component.
+def unlike(entries: DataFrame, threshold: tuple[int, int], least: int) -> DataFrame:
+    """``a, b``: members that stand together in ``least`` lists or more and are not known to be in one component.
 
-    lo and hi bound the component labels of a member. Every such pair has a side outside the list's most
-    common component, so a list that one component covers costs nothing.
+    Entries: key, id, n, i, lo, hi, s, o; lo and hi bound the component labels of a member. Every such pair has a
+    side outside the list's most common component, so a list that one component covers costs nothing.
     """
-    label = F.when(F.col("lo") == F.col("hi"), F.col("lo"))
-    entries = entries.withColumn("label", label)
+    entries = entries.withColumn("label", F.when(F.col("lo") == F.col("hi"), F.col("lo")))
     common = entries.groupBy("key", "label").agg(F.count("*").alias("m")).groupBy("key").agg(F.max(F.struct(F.col("label").isNotNull(), "m", "label")).alias("top"), F.count("*").alias("labels"))
     common = stored(common.where((F.col("labels") > 1) | F.col("top.label").isNull()).select("key", F.col("top.label").alias("top")), "jaccard-common")
-    kept = stored(entries.join(common, "key"), "jaccard-unlike")
-    x, y = kept.where(~F.col("label").eqNullSafe(F.col("top")) | F.col("label").isNull()).alias("x"), kept.alias("y")
-    differ = F.coalesce(F.col("x.label") != F.col("y.label"), F.lit(True)) & (F.col("x.id") != F.col("y.id"))
-    hit = x.join(y, F.col("x.key") == F.col("y.key")).where(differ & _may_link(F.col("x.n"), F.col("x.i"), F.col("y.n"), F.col("y.i"), threshold))
-    return hit.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    kept = entries.join(common, "key").withColumn("other", F.col("label").isNull() | ~F.col("label").eqNullSafe(F.col("top"))).drop("top")
+    kept = stored(kept, "jaccard-unlike")
+    names = {s: kept.select(*[F.col(c).alias(f"{s}{c}") for c in kept.columns]) for s in ("x", "y")}
+    # of two sides outside, the smaller id stands left, so that a pair is met once a list
+    once = ~F.col("yother") | (F.col("xid") < F.col("yid"))
+    differ = F.coalesce(F.col("xlabel") != F.col("ylabel"), F.lit(True)) & (F.col("xid") != F.col("yid"))
+    may = _may_link(F.col("xn"), F.col("xi"), F.col("yn"), F.col("yi"), threshold) & _room("x", "y", 0, threshold)
+    hit = names["x"].where("xother").join(names["y"], (F.col("xkey") == F.col("ykey")) & once & differ & may)
+    pairs = hit.groupBy(F.least("xid", "yid").alias("a"), F.greatest("xid", "yid").alias("b")).agg(F.count("*").alias("lists"))
+    return pairs.where(F.col("lists") >= least).select("a", "b")
 
 
 # ---------------------------------------------------------------- verifying
 
 
-def set_bodies(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """``node, n, body``: the sets of the wanted nodes (columns node, doc), read from one text each."""
-    if wanted.count() <= MAX_IDS:
-        wanted = F.broadcast(wanted)  # 16 bytes each
+def _picked(ids: DataFrame) -> DataFrame:
+    """With a broadcast hint while there are few (16 bytes each)."""
+    return F.broadcast(ids) if ids.count() <= MAX_IDS else ids
+
+
+def node_texts(docs: DataFrame, wanted: DataFrame, k: int, repeated: bool) -> DataFrame:
+    """``node, n, text``: one text for each wanted node (columns node, doc). ``repeated``: ids may occur twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             want = b.column("node").to_numpy()
-            row, node, n, body = 0, [], [], []
-            for _, _, data, at in blocks(b.column("text")):
+            keep, n = np.zeros(b.num_rows, dtype=bool), np.zeros(b.num_rows, dtype=np.int64)
+            for row, end, data, at in blocks(b.column("text")):
                 s_all, first = text_sets(data, at, k)
-                for d in range(len(at) - 1):
-                    s = s_all[first[d] : first[d + 1]]
-                    if len(s) and fingerprint(s) == want[row]:
-                        node.append(want[row])
-                        n.append(len(s))
-                        body.append(s.tobytes())
-                    row += 1
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(body, pa.binary())], names=["node", "n", "body"])
+                n[row:end] = np.diff(first)
+                for d in range(end - row):
+                    keep[row + d] = n[row + d] > 0 and fingerprint(s_all[first[d] : first[d + 1]]) == want[row + d]
+            out = pa.RecordBatch.from_arrays([b.column("node"), pa.array(n), b.column("text")], names=["node", "n", "text"])
+            yield out.filter(pa.array(keep))
 
-    picked = docs.join(wanted, "doc").select("node", "text")
-    return stored(picked.mapInArrow(run, "node long, n long, body binary").dropDuplicates(["node"]), "jaccard-bodies")
+    found = docs.join(_picked(wanted), "doc").select("node", "text").mapInArrow(run, "node long, n long, text string")
+    return stored(found.dropDuplicates(["node"]) if repeated else found, "jaccard-texts")
 
 
-def verified(pairs: DataFrame, bodies: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """The pairs of nodes (a, b) whose sets link."""
+def verified(pairs: DataFrame, texts: DataFrame, k: int, threshold: tuple[int, int]) -> DataFrame:
+    """The pairs of nodes (a, b) whose sets link. Texts travel, which are smaller than their sets."""
     a_, b_ = threshold
 
+    def sets(column: pa.Array) -> list[np.ndarray]:
+        out = []
+        for _, _, data, at in blocks(column):
+            s_all, first = text_sets(data, at, k)
+            out += np.split(s_all, first[1:-1])
+        return out
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                s, t = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+            for s, t in zip(sets(batch.column("x")), sets(batch.column("y")), strict=True):
                 both = np.sort(np.concatenate([s, t]), kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
                 keep.append(b_ * common >= a_ * (len(s) + len(t) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    side = lambda s, v: bodies.select(F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("body").alias(v))
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    texts = texts.join(_picked(ends), "node", "left_semi")
+    side = lambda s, v: texts.select(F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("text").alias(v))
     fit = (F.least("na", "nb") * b_) >= (F.greatest("na", "nb") * a_)
     rows = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").where(fit).select("a", "b", "x", "y")
     return rows.mapInArrow(run, "a long, b long")
@@ -320,13 +371,19 @@ def near_duplicates(docs: DataFrame, k: int = NGRAM, threshold: tuple[int, int]
     grouped = nodes.where("grp <> 0")
     groups = stored(sets.where("grp <> 0").groupBy(F.col("grp").alias("g"), "n").agg(F.any_value("prefix").alias("prefix"), F.any_value("often").alias("often")), "jaccard-groups")
     short, long_ = postings(groups)
-    cand = stored(short_pairs(short, long_, threshold), "jaccard-pairs")
-    hubs = stored(hub_pairs(long_, threshold), "jaccard-stars")
+    info = stored(group_info(groups, long_), "jaccard-info")
+    cand = stored(short_pairs(short, long_, info, threshold), "jaccard-pairs")
+    # a pair that shares a short list is in cand; one that does not stands in ``common`` long lists or more
+    common = common_of(threshold)
+    deep = stored(long_.join(info.where(F.col("l") >= common).select("g", "s", "o"), "g"), "jaccard-deep")
+    hubs = stored(hub_pairs(deep, info, threshold), "jaccard-stars")
     heads = stored(grouped.groupBy(F.col("grp").alias("g")).agg(F.min("node").alias("head"), F.count("*").alias("members")), "jaccard-heads")
 
-    # sets of every node that can be compared
-    in_play = cand.select(F.col("a").alias("g")).union(cand.select("b")).union(long_.select("g")).union(heads.where("members > 1").select("g")).distinct()
-    bodies = set_bodies(own, stored(grouped.join(in_play, grouped["grp"] == in_play["g"], "left_semi").select("node", F.col("rep").alias("doc")), "jaccard-wanted"), k)
+    # a text of every node that can be compared
+    in_play = cand.select(F.col("a").alias("g")).union(cand.select("b")).union(deep.select("g")).union(heads.where("members > 1").select("g")).distinct()
+    wanted = stored(grouped.join(in_play, grouped["grp"] == in_play["g"], "left_semi").select("node", F.col("rep").alias("doc")), "jaccard-wanted")
+    repeated = sets.groupBy("doc").agg(F.count("*").alias("c")).where("c > 1").limit(1).count() > 0
+    texts = node_texts(own, wanted, k, repeated)
 
     # first round: best partners, hubs, and members with the head of their group
     best = cand.groupBy("a").agg(F.max(F.struct("k", "b")).alias("m")).select("a", F.col("m.b").alias("b")).unionByName(cand.groupBy("b").agg(F.max(F.struct("k", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"))
@@ -335,7 +392,7 @@ def near_duplicates(docs: DataFrame, k: int = NGRAM, threshold: tuple[int, int]
         first = first.join(heads.select(F.col("g").alias(s), F.col("head").alias(f"h{s}")), s)
     first = first.select(F.col("ha").alias("a"), F.col("hb").alias("b"))
     inner = grouped.join(heads.where("members > 1"), grouped["grp"] == heads["g"]).where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
-    links = stored(verified(stored(first.unionByName(inner), "jaccard-first"), bodies, threshold), "jaccard-links1")
+    links = stored(verified(stored(first.unionByName(inner), "jaccard-first"), texts, k, threshold), "jaccard-links1")
     labels = components(links, nodes)
 
     # second round: whatever may link across components
@@ -345,14 +402,14 @@ def near_duplicates(docs: DataFrame, k: int = NGRAM, threshold: tuple[int, int]
     for s in ("a", "b"):
         apart = apart.join(spans.select(F.col("g").alias(s), F.col("lo").alias(f"lo{s}"), F.col("hi").alias(f"hi{s}")), s)
     apart = apart.where(~((F.col("loa") == F.col("hia")) & (F.col("lob") == F.col("hib")) & (F.col("loa") == F.col("lob")))).select("a", "b")
-    listed = long_.join(spans, "g").select(F.col("t").alias("key"), F.col("g").alias("id"), "n", "i", "lo", "hi")
-    apart = apart.unionByName(unlike(listed, threshold)).distinct()
+    listed = deep.join(spans, "g").select(F.col("t").alias("key"), F.col("g").alias("id"), "n", "i", "lo", "hi", "s", "o")
+    apart = apart.unionByName(unlike(listed, threshold, common)).distinct()
     for s in ("a", "b"):
         apart = apart.join(marked.select(F.col("grp").alias(s), F.col("node").alias(f"n{s}"), F.col("label").alias(f"l{s}")), s)
     apart = apart.where("la <> lb").select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
-    members = marked.join(heads.where("members > 1"), marked["grp"] == heads["g"], "left_semi").select(F.col("grp").alias("key"), F.col("node").alias("id"), "n", F.lit(0).cast("long").alias("i"), F.col("label").alias("lo"), F.col("label").alias("hi"))
-    second = stored(apart.unionByName(unlike(members, threshold)).distinct(), "jaccard-second")
-    more = stored(verified(second, bodies, threshold), "jaccard-links2")
+    members = marked.join(heads.where("members > 1"), marked["grp"] == heads["g"], "left_semi").select(F.col("grp").alias("key"), F.col("node").alias("id"), "n", F.lit(0).cast("long").alias("i"), F.col("label").alias("lo"), F.col("label").alias("hi"), F.lit(0).alias("s"), F.lit(False).alias("o"))
+    second = stored(apart.unionByName(unlike(members, threshold, 1)).distinct(), "jaccard-second")
+    more = stored(verified(second, texts, k, threshold), "jaccard-links2")
     if more.limit(1).count():
         labels = components(links.unionByName(more), nodes)
 

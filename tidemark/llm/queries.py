@@ -33,7 +33,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), k=3, threshold=(9, 10))
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
