@@ -4,8 +4,8 @@ Two texts link when their sets of word shingles have a Jaccard similarity of at
 THRESHOLD. Shingles stand in one global order; sets that similar share COMMON shingles or more
 within short prefixes in that order, so only prefixes are joined:
 
-1. Counting. Frequent shingles go last in the order (counted exactly for one shingle in ``eligible_of`` and for
-   those that repeat within a batch); the first ones of a set are among the counted rare ones.
+1. Counting. Shingles with long words come first in the order, as these are rare. The shingles in and just
+   behind the prefixes are counted, and those found FREQUENT times or more go last instead.
 2. Collapsing. Texts with equal sets are one node; nodes with the same prefix and size are one group.
 3. Joining. Groups that share rare prefix shingles are paired and the pairs are kept whose number of shared
    ones is enough. A shingle with a long list of groups pairs them with a hub of their size only.
@@ -34,7 +34,7 @@ THRESHOLD = (8, 10)
 #: Shingles that linked sets share within their prefixes (fewer where linked sets can be smaller).
 COMMON = 4
 #: Shingles counted this often go last in the order; at most MAX_FREQUENT of them are broadcast (16 bytes each).
-FREQUENT, MAX_FREQUENT = 32, 1_000_000
+FREQUENT, MAX_FREQUENT = 12, 1_000_000
 #: Longer lists of groups for one shingle are joined through hubs.
 LONG_LIST = 16
 #: Ids that are broadcast to pick texts; beyond it they are joined.
@@ -42,14 +42,23 @@ MAX_IDS = 2_000_000
 _LAST = (1 << 63) - 1
 
 
+def _tokens(h: np.ndarray, size: np.ndarray, k: int) -> np.ndarray:
+    """Shingles of ``k`` words as numbers that sort by their longest word, longest first: 8 bits for it, 56 of hash."""
+    s = shingles(h, k)
+    longest = size[: len(s)]
+    for j in range(1, k):
+        longest = np.maximum(longest, size[j : j + len(s)])
+    return (s >> np.uint64(8)) | ((255 - np.minimum(longest, 255)).astype(np.uint64) << np.uint64(56))
+
+
 def text_sets(data: np.ndarray, at: np.ndarray, k: int = NGRAM) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of each text of a block, sorted, and where each text's begin.
+    """Distinct shingles of each text of a block, in order, and where each text's begin.
 
     A text of fewer words than ``k`` has one shingle, its whole sequence; one without words has none.
     """
     w = Words(data, at, SPACED)
-    h, first = w.hashes(), w.first
-    every = shingles(h, k)
+    h, size, first = w.hashes(), w.end - w.start, w.first
+    every = _tokens(h, size, k)
     parts, sizes = [], np.zeros(len(at) - 1, dtype=np.int64)
     for d in range(len(at) - 1):
         a, b = first[d], first[d + 1]
@@ -58,7 +67,7 @@ def text_sets(data: np.ndarray, at: np.ndarray, k: int = NGRAM) -> tuple[np.ndar
             if len(s) > 1:
                 s = s[np.concatenate([[True], s[1:] != s[:-1]])]
         elif b > a:
-            s = shingles(h[a:b], b - a)
+            s = _tokens(h[a:b], size[a:b], b - a)
         else:
             continue
         parts.append(s)
@@ -77,12 +86,6 @@ def common_of(threshold: tuple[int, int]) -> int:
     return max(1, min(COMMON, -(-a * smallest_unequal(threshold) // b)))
 
 
-def eligible_of(threshold: tuple[int, int]) -> int:
-    """One shingle in so many is counted wherever it stands: somewhat more than a prefix holds."""
-    a, b = threshold
-    return max(1, 8 * b // (10 * (b - a)))
-
-
 def prefix_size(n: int, threshold: tuple[int, int] = THRESHOLD) -> int:
     """Of a set of n: linked sets share ``common_of`` or more shingles within prefixes of this length."""
     a, b = threshold
@@ -99,15 +102,20 @@ def fingerprint(s: np.ndarray) -> int:
 # ---------------------------------------------------------------- counting and prefixes
 
 
-def frequent_shingles(docs: DataFrame, k: int, eligible: int) -> DataFrame:
-    """``t, c``: shingles counted FREQUENT times or more."""
+def frequent_shingles(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFrame:
+    """``t, c``: shingles found FREQUENT times or more in the first part of sets, half as long again as a prefix."""
+    smallest = smallest_unequal(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [text_sets(data, at, k)[0] for _, _, data, at in blocks(b.column("text"))]
-            t, n = np.unique(np.concatenate([*sets, np.empty(0, np.uint64)]), return_counts=True)
-            keep = (n > 1) | (t % np.uint64(eligible) == 0)
-            yield pa.RecordBatch.from_arrays([pa.array(t[keep].view(np.int64)), pa.array(n[keep], pa.int64())], names=["t", "c"])
+            parts = [np.empty(0, np.uint64)]
+            for _, _, data, at in blocks(b.column("text")):
+                s, first = text_sets(data, at, k)
+                for d in range(len(at) - 1):
+                    if (n := first[d + 1] - first[d]) >= smallest:
+                        parts.append(s[first[d] : first[d] + min(n, prefix_size(n, threshold) * 3 // 2)])
+            t, n = np.unique(np.concatenate(parts), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(n, pa.int64())], names=["t", "c"])
 
     counted = docs.select("text").mapInArrow(run, "t long, c long").groupBy("t").agg(F.sum("c").alias("c"))
     return counted.where(F.col("c") >= FREQUENT)
@@ -128,12 +136,12 @@ def _order_table(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return t[order].copy(), c[order].copy()
 
 
-def _in_order(s: np.ndarray, t: np.ndarray, c: np.ndarray, eligible: int) -> tuple[np.ndarray, np.ndarray]:
+def _in_order(s: np.ndarray, t: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The set in the global order, and which of it are frequent."""
     at = np.minimum(np.searchsorted(t, s), max(len(t) - 1, 0))
     often = (t[at] == s) if len(t) else np.zeros(len(s), bool)
-    rank = np.where(often, c[at] if len(t) else 0, np.where(s % np.uint64(eligible) == 0, -2, -1))
-    order = np.lexsort((s, rank))
+    rank = np.where(often, c[at] if len(t) else 0, 0)
+    order = np.argsort(rank, kind="stable")
     return s[order], often[order]
 
 
@@ -143,8 +151,8 @@ def set_table(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFrame:
     Sets too small to link with a different one have no prefix.
     """
     spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(_order_table(stored(frequent_shingles(docs, k, eligible_of(threshold)), "jaccard-frequent")))
-    smallest, eligible = smallest_unequal(threshold), eligible_of(threshold)
+    held = spark.sparkContext.broadcast(_order_table(stored(frequent_shingles(docs, k, threshold), "jaccard-frequent")))
+    smallest = smallest_unequal(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, c = held.value
@@ -161,7 +169,7 @@ def set_table(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFrame:
                         grp.append(0)
                         size.append(0)
                         continue
-                    s, o = _in_order(s, t, c, eligible)
+                    s, o = _in_order(s, t, c)
                     p = prefix_size(n, threshold)
                     flat.append(s[:p])
                     often.append(o[:p])
@@ -362,7 +370,7 @@ def near_duplicates(docs: DataFrame, k: int = NGRAM, threshold: tuple[int, int]
     Null, empty and blank texts have an empty set, link with nothing and are their own component. Rows with
     equal sets are linked. A null doc_id stands after all others: its component_id is null unless it
     is linked with a document that has an id. Rows that repeat a doc_id are nodes by their own text. Empty input
-    gives an empty result. Sets are compared by 64-bit shingle hashes.
+    gives an empty result. Sets are compared by 56-bit shingle hashes and lengths.
     """
     small_batches(docs.sparkSession)
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), "text")
