@@ -8,7 +8,8 @@ within short prefixes in that order, so only prefixes are joined:
    behind the prefixes are counted, and those found FREQUENT times or more go last instead.
 2. Collapsing. Texts with equal sets are one node; nodes with the same prefix and size are one group.
 3. Joining. Groups that share rare prefix shingles are paired and the pairs are kept whose number of shared
-   ones is enough. A shingle with a long list of groups pairs them with a hub of their size only.
+   ones is enough. A shingle with a long list of groups pairs them with a few hubs of their size only. All pairs
+   are filtered by parity bits of whole sets: sets that differ in d bits differ in d shingles or more.
 4. Verifying, in two rounds. Each group is compared with its best partner and hubs; the links give
    components. Then every candidate pair whose members are in different components is expanded to members and
    compared, those of the long lists too. Pairs within one component need no comparison: the
@@ -35,11 +36,16 @@ THRESHOLD = (8, 10)
 COMMON = 4
 #: Shingles counted this often go last in the order; at most MAX_FREQUENT of them are broadcast (16 bytes each).
 FREQUENT, MAX_FREQUENT = 12, 1_000_000
+#: Numbers of 64 parity bits for each set, and hubs for each size class of a long list.
+PARITIES, HUBS = 4, 4
 #: Longer lists of groups for one shingle are joined through hubs.
 LONG_LIST = 16
 #: Ids that are broadcast to pick texts; beyond it they are joined.
 MAX_IDS = 2_000_000
 _LAST = (1 << 63) - 1
+#: Parity bits as columns: of a set (or of any set of a group), and those in which the sets of a group differ.
+_VALUES, _DIFFERING = [f"v{i}" for i in range(PARITIES)], [f"d{i}" for i in range(PARITIES)]
+_BITS = [*_VALUES, *_DIFFERING]
 
 
 def _tokens(h: np.ndarray, size: np.ndarray, k: int) -> np.ndarray:
@@ -99,6 +105,12 @@ def fingerprint(s: np.ndarray) -> int:
         return int(mix(np.array([np.add.reduce(x), np.bitwise_xor.reduce(x)], dtype=np.uint64) * np.array([1, 3], np.uint64)).sum().astype(np.int64))
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    """Each shingle of a set turns one of 64 * PARITIES bits over."""
+    odd = np.bincount((s % np.uint64(64 * PARITIES)).astype(np.int64), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 # ---------------------------------------------------------------- counting and prefixes
 
 
@@ -146,7 +158,7 @@ def _in_order(s: np.ndarray, t: np.ndarray, c: np.ndarray) -> tuple[np.ndarray,
 
 
 def set_table(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFrame:
-    """A stored row for each row of ``docs``: doc, n, node, grp, prefix, often (flags of prefix shingles).
+    """A stored row for each row of ``docs``: doc, n, node, grp, prefix, often (flags of prefix shingles), parity bits.
 
     Sets too small to link with a different one have no prefix.
     """
@@ -157,7 +169,7 @@ def set_table(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, c = held.value
         for batch in batches:
-            n_all, node, grp, flat, often, size = [], [], [], [], [], []
+            n_all, node, grp, flat, often, size, bits = [], [], [], [], [], [], []
             for _, _, data, at in blocks(batch.column("text")):
                 s_all, first = text_sets(data, at, k)
                 for d in range(len(at) - 1):
@@ -165,6 +177,7 @@ def set_table(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFrame:
                     n = len(s)
                     n_all.append(n)
                     node.append(fingerprint(s) if n else 0)
+                    bits.append(parity(s))
                     if n < smallest:
                         grp.append(0)
                         size.append(0)
@@ -176,13 +189,15 @@ def set_table(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFrame:
                     size.append(p)
                     grp.append(fingerprint(np.append(s[:p], np.uint64(n))))
             join = lambda x, kind: np.concatenate(x) if x else np.empty(0, kind)
+            odd = np.array(bits, np.int64).reshape(-1, PARITIES)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc"), pa.array(n_all, pa.int64()), pa.array(node, pa.int64()), pa.array(grp, pa.int64()),
-                 lists(join(flat, np.uint64).view(np.int64), size, pa.int64()), lists(join(often, bool), size, pa.bool_())],
-                names=["doc", "n", "node", "grp", "prefix", "often"],
+                 lists(join(flat, np.uint64).view(np.int64), size, pa.int64()), lists(join(often, bool), size, pa.bool_()), *[pa.array(odd[:, i]) for i in range(PARITIES)]],
+                names=["doc", "n", "node", "grp", "prefix", "often", *_VALUES],
             )
 
-    return stored(docs.mapInArrow(run, "doc long, n long, node long, grp long, prefix array<long>, often array<boolean>"), "jaccard-sets")
+    kinds = "doc long, n long, node long, grp long, prefix array<long>, often array<boolean>, " + ", ".join(f"{c} long" for c in _VALUES)
+    return stored(docs.mapInArrow(run, kinds), "jaccard-sets")
 
 
 # ---------------------------------------------------------------- candidates
@@ -209,7 +224,7 @@ def postings(groups: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def group_info(groups: DataFrame, long_: DataFrame) -> DataFrame:
-    """``g, n, l, s, o``: long lists a group stands in, shingles of its prefix that are neither frequent nor of
+    """``g, n, l, s, o`` and parity bits: long lists a group stands in, shingles of its prefix that are neither frequent nor of
     long lists, whether it holds a frequent one.
 
     A group with a frequent shingle in its prefix has all its others there.
@@ -217,7 +232,7 @@ def group_info(groups: DataFrame, long_: DataFrame) -> DataFrame:
     l = long_.groupBy("g").agg(F.count("*").alias("l"), F.count_if(~F.col("often")).alias("r"))
     rows = groups.join(l, "g", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in "lr"})
     rare = F.size(F.filter("often", lambda x: ~x)) - F.col("r")
-    return rows.select("g", "n", "l", rare.alias("s"), F.exists("often", lambda x: x).alias("o"))
+    return rows.select("g", "n", "l", rare.alias("s"), F.exists("often", lambda x: x).alias("o"), *_BITS)
 
 
 def _room(x: str, y: str, k: Column | int, threshold: tuple[int, int]) -> Column:
@@ -231,6 +246,21 @@ def _room(x: str, y: str, k: Column | int, threshold: tuple[int, int]) -> Column
     return (~c(y, "o") | fits(x)) & (~c(x, "o") | fits(y))
 
 
+def _near(x: str, y: str, threshold: tuple[int, int]) -> Column:
+    """Whether the parity bits of two sets, or those that all sets of two groups agree in, allow a link."""
+    a, b = threshold
+    c = lambda s, name: F.col(f"{s}{name}")
+    apart = F.lit(0)
+    for v, d in zip(_VALUES, _DIFFERING, strict=True):
+        apart += F.bit_count(c(x, v).bitwiseXOR(c(y, v)).bitwiseAND(F.bitwise_not(c(x, d).bitwiseOR(c(y, d)))))
+    return apart * (a + b) <= (c(x, "n") + c(y, "n")) * (b - a)
+
+
+def _named(table: DataFrame, side: str, key: str, *columns: str) -> DataFrame:
+    """The columns with the side's letter in front; the key as the side itself."""
+    return table.select(F.col(key).alias(side), *[F.col(c).alias(f"{side}{c}") for c in columns])
+
+
 def short_pairs(short: DataFrame, long_: DataFrame, info: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """``a, b, k``: groups that share k shingles with short lists and, with those in long lists, enough."""
     common = common_of(threshold)
@@ -238,8 +268,8 @@ def short_pairs(short: DataFrame, long_: DataFrame, info: DataFrame, threshold:
     hit = x.join(y, (F.col("x.t") == F.col("y.t")) & (F.col("x.g") < F.col("y.g"))).where(_may_link(F.col("x.n"), F.col("x.i"), F.col("y.n"), F.col("y.i"), threshold))
     pairs = hit.groupBy(F.col("x.g").alias("a"), F.col("y.g").alias("b")).agg(F.count("*").alias("k"))
     for s in ("a", "b"):
-        pairs = pairs.join(info.select(F.col("g").alias(s), *[F.col(c).alias(f"{s}{c}") for c in "nlso"]), s)
-    pairs = stored(pairs.where((F.col("k") + F.least("al", "bl") >= common) & _room("a", "b", F.col("k"), threshold)).select("a", "b", "k"), "jaccard-short")
+        pairs = pairs.join(_named(info, s, "g", *"nlso", *_BITS), s)
+    pairs = stored(pairs.where((F.col("k") + F.least("al", "bl") >= common) & _room("a", "b", F.col("k"), threshold) & _near("a", "b", threshold)).select("a", "b", "k"), "jaccard-short")
     sure, open_ = pairs.where(F.col("k") >= common), pairs.where(F.col("k") < common)
     # the others need shingles in long lists that both hold
     more = open_.join(long_.select(F.col("g").alias("a"), "t"), "a").join(long_.select(F.col("g").alias("b"), "t"), ["b", "t"])
@@ -248,38 +278,40 @@ def short_pairs(short: DataFrame, long_: DataFrame, info: DataFrame, threshold:
 
 
 def hub_pairs(long_: DataFrame, info: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """``a, b``: each group with the hub of its size class in each long list, and hubs of neighbouring classes.
+    """``a, b``: each group with the hubs of its size class in each long list, and hubs of neighbouring classes.
 
-    Pairs that can only link by short lists too are left to ``short_pairs``.
+    Hubs have the fewest rare shingles. Pairs that can only link by short lists too are left to ``short_pairs``.
     """
     a, b = threshold
     sized = long_.withColumn("w", F.floor(F.log(F.col("n").cast("double")) / float(np.log(b / a))).cast("int"))
-    hubs = stored(sized.groupBy("t", "w").agg(F.min("g").alias("hub")), "jaccard-hubs")
-    own = sized.join(hubs, ["t", "w"]).select(F.col("g").alias("a"), F.col("hub").alias("b"))
+    least = [F.min(F.struct("s", F.xxhash64("g", F.lit(j)).alias("h"), "g"))["g"] for j in range(HUBS)]
+    hubs = stored(sized.groupBy("t", "w").agg(F.array_distinct(F.array(*least)).alias("hubs")).withColumn("hub", F.col("hubs")[0]), "jaccard-hubs")
+    own = sized.join(hubs, ["t", "w"]).select(F.col("g").alias("a"), F.explode("hubs").alias("b"))
     next_ = hubs.alias("x").join(hubs.alias("y"), (F.col("x.t") == F.col("y.t")) & (F.col("x.w") + 1 == F.col("y.w"))).select(F.col("x.hub").alias("a"), F.col("y.hub").alias("b"))
     both = own.unionByName(next_).where("a <> b")
     both = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     for s in ("a", "b"):
-        both = both.join(info.select(F.col("g").alias(s), *[F.col(c).alias(f"{s}{c}") for c in "nso"]), s)
-    return both.where(_room("a", "b", 0, threshold)).select("a", "b")
+        both = both.join(_named(info, s, "g", *"nso", *_BITS), s)
+    return both.where(_room("a", "b", 0, threshold) & _near("a", "b", threshold)).select("a", "b")
 
 
-def unlike(entries: DataFrame, threshold: tuple[int, int], least: int) -> DataFrame:
+def unlike(entries: DataFrame, bits: DataFrame, threshold: tuple[int, int], least: int) -> DataFrame:
     """``a, b``: members that stand together in ``least`` lists or more and are not known to be in one component.
 
-    Entries: key, id, n, i, lo, hi, s, o; lo and hi bound the component labels of a member. Every such pair has a
+    Entries: key, id, n, i, lo, hi, s, o; lo and hi bound the component labels of a member. ``bits`` has id and
+    parity bits. Every such pair has a
     side outside the list's most common component, so a list that one component covers costs nothing.
     """
     entries = entries.withColumn("label", F.when(F.col("lo") == F.col("hi"), F.col("lo")))
     common = entries.groupBy("key", "label").agg(F.count("*").alias("m")).groupBy("key").agg(F.max(F.struct(F.col("label").isNotNull(), "m", "label")).alias("top"), F.count("*").alias("labels"))
     common = stored(common.where((F.col("labels") > 1) | F.col("top.label").isNull()).select("key", F.col("top.label").alias("top")), "jaccard-common")
     kept = entries.join(common, "key").withColumn("other", F.col("label").isNull() | ~F.col("label").eqNullSafe(F.col("top"))).drop("top")
-    kept = stored(kept, "jaccard-unlike")
+    kept = stored(kept.join(bits, "id"), "jaccard-unlike")
     names = {s: kept.select(*[F.col(c).alias(f"{s}{c}") for c in kept.columns]) for s in ("x", "y")}
     # of two sides outside, the smaller id stands left, so that a pair is met once a list
     once = ~F.col("yother") | (F.col("xid") < F.col("yid"))
     differ = F.coalesce(F.col("xlabel") != F.col("ylabel"), F.lit(True)) & (F.col("xid") != F.col("yid"))
-    may = _may_link(F.col("xn"), F.col("xi"), F.col("yn"), F.col("yi"), threshold) & _room("x", "y", 0, threshold)
+    may = _may_link(F.col("xn"), F.col("xi"), F.col("yn"), F.col("yi"), threshold) & _room("x", "y", 0, threshold) & _near("x", "y", threshold)
     hit = names["x"].where("xother").join(names["y"], (F.col("xkey") == F.col("ykey")) & once & differ & may)
     pairs = hit.groupBy(F.least("xid", "yid").alias("a"), F.greatest("xid", "yid").alias("b")).agg(F.count("*").alias("lists"))
     return pairs.where(F.col("lists") >= least).select("a", "b")
@@ -375,9 +407,9 @@ def near_duplicates(docs: DataFrame, k: int = NGRAM, threshold: tuple[int, int]
     small_batches(docs.sparkSession)
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), "text")
     sets = set_table(own, k, threshold)
-    nodes = stored(sets.where("n > 0").groupBy("node", "grp", "n").agg(F.min("doc").alias("rep")), "jaccard-nodes")
+    nodes = stored(sets.where("n > 0").groupBy("node", "grp", "n").agg(F.min("doc").alias("rep"), *[F.any_value(c).alias(c) for c in _VALUES]), "jaccard-nodes")
     grouped = nodes.where("grp <> 0")
-    groups = stored(sets.where("grp <> 0").groupBy(F.col("grp").alias("g"), "n").agg(F.any_value("prefix").alias("prefix"), F.any_value("often").alias("often")), "jaccard-groups")
+    groups = stored(sets.where("grp <> 0").groupBy(F.col("grp").alias("g"), "n").agg(F.any_value("prefix").alias("prefix"), F.any_value("often").alias("often"), *[F.bit_or(c).alias(c) for c in _VALUES], *[F.bit_or(v).bitwiseXOR(F.bit_and(v)).alias(d) for v, d in zip(_VALUES, _DIFFERING, strict=True)]), "jaccard-groups")
     short, long_ = postings(groups)
     info = stored(group_info(groups, long_), "jaccard-info")
     cand = stored(short_pairs(short, long_, info, threshold), "jaccard-pairs")
@@ -404,19 +436,19 @@ def near_duplicates(docs: DataFrame, k: int = NGRAM, threshold: tuple[int, int]
     labels = components(links, nodes)
 
     # second round: whatever may link across components
-    marked = stored(grouped.join(labels.select("node", "root"), "node", "left").select("node", "grp", "n", F.coalesce("root", "node").alias("label")), "jaccard-marked")
+    marked = stored(grouped.join(labels.select("node", "root"), "node", "left").select("node", "grp", "n", F.coalesce("root", "node").alias("label"), *_VALUES, *[F.lit(0).cast("long").alias(d) for d in _DIFFERING]), "jaccard-marked")
     spans = stored(marked.groupBy(F.col("grp").alias("g")).agg(F.min("label").alias("lo"), F.max("label").alias("hi")), "jaccard-spans")
     apart = cand
     for s in ("a", "b"):
         apart = apart.join(spans.select(F.col("g").alias(s), F.col("lo").alias(f"lo{s}"), F.col("hi").alias(f"hi{s}")), s)
     apart = apart.where(~((F.col("loa") == F.col("hia")) & (F.col("lob") == F.col("hib")) & (F.col("loa") == F.col("lob")))).select("a", "b")
     listed = deep.join(spans, "g").select(F.col("t").alias("key"), F.col("g").alias("id"), "n", "i", "lo", "hi", "s", "o")
-    apart = apart.unionByName(unlike(listed, threshold, common)).distinct()
+    apart = apart.unionByName(unlike(listed, info.select(F.col("g").alias("id"), *_BITS), threshold, common)).distinct()
     for s in ("a", "b"):
-        apart = apart.join(marked.select(F.col("grp").alias(s), F.col("node").alias(f"n{s}"), F.col("label").alias(f"l{s}")), s)
-    apart = apart.where("la <> lb").select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
+        apart = apart.join(_named(marked, s, "grp", "node", "label", "n", *_BITS), s)
+    apart = apart.where((F.col("alabel") != F.col("blabel")) & _near("a", "b", threshold)).select(F.least("anode", "bnode").alias("a"), F.greatest("anode", "bnode").alias("b"))
     members = marked.join(heads.where("members > 1"), marked["grp"] == heads["g"], "left_semi").select(F.col("grp").alias("key"), F.col("node").alias("id"), "n", F.lit(0).cast("long").alias("i"), F.col("label").alias("lo"), F.col("label").alias("hi"), F.lit(0).alias("s"), F.lit(False).alias("o"))
-    second = stored(apart.unionByName(unlike(members, threshold, 1)).distinct(), "jaccard-second")
+    second = stored(apart.unionByName(unlike(members, marked.select(F.col("node").alias("id"), *_BITS), threshold, 1)).distinct(), "jaccard-second")
     more = stored(verified(second, texts, k, threshold), "jaccard-links2")
     if more.limit(1).count():
         labels = components(links.unionByName(more), nodes)
