@@ -38,6 +38,8 @@ COMMON = 4
 FREQUENT, MAX_FREQUENT = 12, 1_000_000
 #: Numbers of 64 parity bits for each set, and hubs for each size class of a long list.
 PARITIES, HUBS = 4, 4
+#: Lists before one in which a pair is looked for, so that it is not met in both.
+EARLIER = 16
 #: Longer lists of groups for one shingle are joined through hubs.
 LONG_LIST = 16
 #: Ids that are broadcast to pick texts; beyond it they are joined.
@@ -280,11 +282,13 @@ def short_pairs(short: DataFrame, long_: DataFrame, info: DataFrame, threshold:
 def hub_pairs(long_: DataFrame, info: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """``a, b``: each group with the hubs of its size class in each long list, and hubs of neighbouring classes.
 
-    Hubs have the fewest rare shingles. Pairs that can only link by short lists too are left to ``short_pairs``.
+    Every other hub is one of those with the fewest rare shingles. Pairs that can only link by short lists too are left to ``short_pairs``.
     """
     a, b = threshold
     sized = long_.withColumn("w", F.floor(F.log(F.col("n").cast("double")) / float(np.log(b / a))).cast("int"))
-    least = [F.min(F.struct("s", F.xxhash64("g", F.lit(j)).alias("h"), "g"))["g"] for j in range(HUBS)]
+    # other hubs in each list, so that a group that stands in many meets many
+    draw = lambda j: [F.xxhash64("g", "t", F.lit(j)).alias("h"), F.col("g")]
+    least = [F.min(F.struct(*(["s"] if j % 2 == 0 else []), *draw(j)))["g"] for j in range(HUBS)]
     hubs = stored(sized.groupBy("t", "w").agg(F.array_distinct(F.array(*least)).alias("hubs")).withColumn("hub", F.col("hubs")[0]), "jaccard-hubs")
     own = sized.join(hubs, ["t", "w"]).select(F.col("g").alias("a"), F.explode("hubs").alias("b"))
     next_ = hubs.alias("x").join(hubs.alias("y"), (F.col("x.t") == F.col("y.t")) & (F.col("x.w") + 1 == F.col("y.w"))).select(F.col("x.hub").alias("a"), F.col("y.hub").alias("b"))
@@ -295,26 +299,27 @@ def hub_pairs(long_: DataFrame, info: DataFrame, threshold: tuple[int, int]) ->
     return both.where(_room("a", "b", 0, threshold) & _near("a", "b", threshold)).select("a", "b")
 
 
-def unlike(entries: DataFrame, bits: DataFrame, threshold: tuple[int, int], least: int) -> DataFrame:
-    """``a, b``: members that stand together in ``least`` lists or more and are not known to be in one component.
+def unlike(entries: DataFrame, bits: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """``a, b``: members that stand together in a list and are not known to be in one component.
 
     Entries: key, id, n, i, lo, hi, s, o; lo and hi bound the component labels of a member. ``bits`` has id and
     parity bits. Every such pair has a
-    side outside the list's most common component, so a list that one component covers costs nothing.
+    side outside the list's most common component, so a list that one component covers costs nothing. A pair is met in the first list that
+    it shares; where that lies more than EARLIER lists back, it may be met again.
     """
     entries = entries.withColumn("label", F.when(F.col("lo") == F.col("hi"), F.col("lo")))
     common = entries.groupBy("key", "label").agg(F.count("*").alias("m")).groupBy("key").agg(F.max(F.struct(F.col("label").isNotNull(), "m", "label")).alias("top"), F.count("*").alias("labels"))
     common = stored(common.where((F.col("labels") > 1) | F.col("top.label").isNull()).select("key", F.col("top.label").alias("top")), "jaccard-common")
     kept = entries.join(common, "key").withColumn("other", F.col("label").isNull() | ~F.col("label").eqNullSafe(F.col("top"))).drop("top")
-    kept = stored(kept.join(bits, "id"), "jaccard-unlike")
+    before = Window.partitionBy("id").orderBy("key").rowsBetween(-EARLIER, -1)
+    kept = stored(kept.join(bits, "id").withColumn("earlier", F.collect_list("key").over(before)), "jaccard-unlike")
     names = {s: kept.select(*[F.col(c).alias(f"{s}{c}") for c in kept.columns]) for s in ("x", "y")}
     # of two sides outside, the smaller id stands left, so that a pair is met once a list
     once = ~F.col("yother") | (F.col("xid") < F.col("yid"))
     differ = F.coalesce(F.col("xlabel") != F.col("ylabel"), F.lit(True)) & (F.col("xid") != F.col("yid"))
-    may = _may_link(F.col("xn"), F.col("xi"), F.col("yn"), F.col("yi"), threshold) & _room("x", "y", 0, threshold) & _near("x", "y", threshold)
+    may = _may_link(F.col("xn"), F.col("xi"), F.col("yn"), F.col("yi"), threshold) & _room("x", "y", 0, threshold) & _near("x", "y", threshold) & ~F.arrays_overlap("xearlier", "yearlier")
     hit = names["x"].where("xother").join(names["y"], (F.col("xkey") == F.col("ykey")) & once & differ & may)
-    pairs = hit.groupBy(F.least("xid", "yid").alias("a"), F.greatest("xid", "yid").alias("b")).agg(F.count("*").alias("lists"))
-    return pairs.where(F.col("lists") >= least).select("a", "b")
+    return hit.select(F.least("xid", "yid").alias("a"), F.greatest("xid", "yid").alias("b")).distinct()
 
 
 # ---------------------------------------------------------------- verifying
@@ -443,12 +448,12 @@ def near_duplicates(docs: DataFrame, k: int = NGRAM, threshold: tuple[int, int]
         apart = apart.join(spans.select(F.col("g").alias(s), F.col("lo").alias(f"lo{s}"), F.col("hi").alias(f"hi{s}")), s)
     apart = apart.where(~((F.col("loa") == F.col("hia")) & (F.col("lob") == F.col("hib")) & (F.col("loa") == F.col("lob")))).select("a", "b")
     listed = deep.join(spans, "g").select(F.col("t").alias("key"), F.col("g").alias("id"), "n", "i", "lo", "hi", "s", "o")
-    apart = apart.unionByName(unlike(listed, info.select(F.col("g").alias("id"), *_BITS), threshold, common)).distinct()
+    apart = apart.unionByName(unlike(listed, info.select(F.col("g").alias("id"), *_BITS), threshold)).distinct()
     for s in ("a", "b"):
         apart = apart.join(_named(marked, s, "grp", "node", "label", "n", *_BITS), s)
     apart = apart.where((F.col("alabel") != F.col("blabel")) & _near("a", "b", threshold)).select(F.least("anode", "bnode").alias("a"), F.greatest("anode", "bnode").alias("b"))
     members = marked.join(heads.where("members > 1"), marked["grp"] == heads["g"], "left_semi").select(F.col("grp").alias("key"), F.col("node").alias("id"), "n", F.lit(0).cast("long").alias("i"), F.col("label").alias("lo"), F.col("label").alias("hi"), F.lit(0).alias("s"), F.lit(False).alias("o"))
-    second = stored(apart.unionByName(unlike(members, marked.select(F.col("node").alias("id"), *_BITS), threshold, 1)).distinct(), "jaccard-second")
+    second = stored(apart.unionByName(unlike(members, marked.select(F.col("node").alias("id"), *_BITS), threshold)).distinct(), "jaccard-second")
     more = stored(verified(second, texts, k, threshold), "jaccard-links2")
     if more.limit(1).count():
         labels = components(links.unionByName(more), nodes)
