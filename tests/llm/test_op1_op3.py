@@ -27,6 +27,21 @@ def test_quality_odd_texts(spark):
     assert compression.score(d.limit(0), none).count() == 0
 
 
+def test_dictionaries_hold_what_stands_behind_the_opening():
+    opening, junk = b"A usual first line. " * 20, [b"<<%05d$$>>" % (i * 7919 % 100000) * 40 for i in range(3000)]
+    got = compression._dictionaries([(0, i, opening + j) for i, j in enumerate(junk)] + [(1, 9999, b"short")])
+    assert got[0] == b"short" and compression.DICT_BYTES * 0.98 < len(got[1]) <= compression.DICT_BYTES
+    assert sum(j[2:7] in got[1] for j in junk) > 1000
+    assert b"usual first line" in got[1] and got[3] == got[1].translate(compression._SHAPE)
+
+
+def test_pieces_come_from_all_over_long_texts(spark):
+    d = docs(spark, ["".join(f"{i:06d} " for i in range(20000))] * 60)
+    got, _ = compression.training_sample(d, d.selectExpr("doc_id", "1 AS quality"))
+    places = {int(w) for r in got for w in r["t"].split() if len(w) == 6}
+    assert len(places) > 10000 and min(places) < 2000 and max(places) > 18000
+
+
 def test_toxicity_on_rows_not_fitted_on(spark):
     d, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     seen = F.pmod(F.xxhash64("doc_id"), F.lit(3)) != 0

@@ -8,11 +8,13 @@ would soon replace the dictionary.
 
 Besides the text as it stands, its shape is compressed too (letters become ``a``, ``A`` or ``w``, digits ``0``),
 with a pair of dictionaries built from shapes: it shows layout junk in any language.
-The labelled sample is bounded by TRAIN_ROWS rows of at most PIECES pieces each; whole texts are scored.
+The labelled sample is bounded by TRAIN_ROWS rows of at most PIECES pieces each, a dictionary by DICT_BYTES that are
+filled with slices from all over these pieces; whole texts are scored.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +29,8 @@ from .base import held_out, packed, small_batches, utf8
 TRAIN_ROWS = 3000
 #: Bytes compressed at a time, and pieces of a training text, spread over its whole length.
 PIECE, PIECES = 1024, 8
-DICT_BYTES = 400_000
+#: Bytes of a dictionary, and of one slice of a training text in it.
+DICT_BYTES, SLICE = 400_000, 128
 LEVEL = 3
 FOLDS = 4
 THRESHOLD = 0.7
@@ -110,18 +113,42 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
     return w
 
 
-def _dictionary(texts: list[bytes]) -> bytes:
-    """DICT_BYTES of the texts, a part of each; what is likeliest to be used stands last, nearest the data."""
-    if not texts:
-        return b" \n.,"
-    each = max(64, DICT_BYTES // len(texts))
-    return b"\n".join(t[:each] for t in texts)[-DICT_BYTES:] or b" \n.,"
+def _shares(sizes: list[int], most: int) -> list[int]:
+    """How many bytes of each text fit into ``most``: all of the short ones, equal shares of the others."""
+    out, left = [0] * len(sizes), most
+    for k, i in enumerate(sorted(range(len(sizes)), key=lambda i: sizes[i])):
+        out[i] = min(sizes[i], left // (len(sizes) - k))
+        left -= out[i]
+    return out
 
 
-def _dictionaries(rows: list[tuple[int, bytes]]) -> list[bytes]:
-    """Of good and bad texts, then of their shapes."""
-    by = {q: [t for q_, t in rows if q_ == q] for q in (1, 0)}
-    return [_dictionary(by[1]), _dictionary(by[0]), _dictionary([t.translate(_SHAPE) for t in by[1]]), _dictionary([t.translate(_SHAPE) for t in by[0]])]
+def _slices(key: int, text: bytes, size: int) -> list[bytes]:
+    """``size`` bytes of a text in slices of about SLICE, one at a drawn place of each of as many equal parts of the text.
+
+    The place is drawn by a hash of ``key``, so that over many texts no part of a text is left out.
+    """
+    if size >= len(text):
+        return [text]
+    n = max(1, size // SLICE)
+    out = []
+    for i in range(n):
+        a, b = len(text) * i // n, len(text) * (i + 1) // n
+        take = min(size * (i + 1) // n - size * i // n, b - a)
+        at = a + zlib.crc32(f"{key} {i}".encode()) % (b - a - take + 1)
+        out.append(text[at : at + take])
+    return out
+
+
+def _dictionary(texts: list[tuple[int, bytes]]) -> bytes:
+    """At most DICT_BYTES of the texts (id, text), of each a share from all over it."""
+    shares = _shares([len(t) + 1 for _, t in texts], DICT_BYTES)
+    return b"\n".join(x for (key, t), size in zip(texts, shares, strict=True) for x in _slices(key, t, size - 1) if size > 1) or b" \n.,"
+
+
+def _dictionaries(rows: list[tuple[int, int, bytes]]) -> list[bytes]:
+    """Of good and bad texts, then of their shapes; rows are (q, id, text)."""
+    text = [_dictionary([(key, t) for q_, key, t in rows if q_ == q]) for q in (1, 0)]
+    return [*text, *[d.translate(_SHAPE) for d in text]]
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> list:
@@ -137,7 +164,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
         part = known.where(F.col("q") == q).orderBy(*order).limit(rows)
         chosen = part if chosen is None else chosen.unionByName(part)
     n = F.length("text")
-    piece = lambda i: F.substring(F.col("text"), (F.lit(1) + F.floor(i * F.greatest(n - PIECE, F.lit(0)) / F.lit(PIECES - 1))).cast("int"), F.lit(PIECE))
+    # one piece at a drawn place of each of PIECES equal parts
+    part = lambda i: F.floor(i * (n - PIECE) / F.lit(PIECES))
+    place = lambda i: part(i) + F.pmod(F.xxhash64("doc_id", i), part(i + 1) - part(i) + 1)
+    piece = lambda i: F.substring(F.col("text"), (F.lit(1) + place(i)).cast("int"), F.lit(PIECE))
     pieces = F.when(n > PIECE * PIECES, F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), piece)).otherwise(F.array("text"))
     # the chosen ids are at most 2 x rows
     found = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
@@ -152,9 +182,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     """
     small_batches(docs.sparkSession)
     got, total = training_sample(docs, labels, rows)
-    rows_ = [(r["q"], r["t"].encode()) for r in got]
+    rows_ = [(r["q"], r["doc_id"], r["t"].encode()) for r in got]
     model = Model(_dictionaries(rows_))
-    y = np.array([float(q) for q, _ in rows_])
+    y = np.array([float(q) for q, _, _ in rows_])
     if len(set(y)) < 2:
         good, all_ = total.get(1, 0), sum(total.values())
         p = (good + 0.5) / (all_ + 1)
@@ -164,7 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     for k in range(FOLDS):
         part = Model(_dictionaries([r for i, r in enumerate(rows_) if i % FOLDS != k]))
         for i in range(k, len(rows_), FOLDS):
-            x[i] = part.features(rows_[i][1])
+            x[i] = part.features(rows_[i][2])
     # each class counts as in all labels, so that the probability is right for them
     counts = {q: (y == q).sum() for q in (0.0, 1.0)}
     weight = np.array([total.get(int(q), 1) / counts[q] for q in y])
