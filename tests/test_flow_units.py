@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import math
 import os
 
 import numpy as np
@@ -142,6 +143,30 @@ def test_optimal_bins_least_cost():
         assert got <= want + 1e-9
 
 
+def test_optimal_bins_of_counted_values():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        x = np.sort(rng.integers(0, 12, int(rng.integers(8, 40))) ** 2)
+        v, c = np.unique(x, return_counts=True)
+        most, least = int(rng.integers(1, 5)), int(rng.integers(2, 7))
+        # every cut between rows, without weights
+        cost = lambda a, b: ((x[a:b] - x[a:b].mean()) ** 2).sum() if b - a >= least else np.inf
+        best = [0.0] + [np.inf] * len(x)
+        want = np.inf
+        for _ in range(most):
+            best = [np.inf] + [min(best[j] + cost(j, i) for j in range(i)) for i in range(1, len(x) + 1)]
+            want = min(want, best[-1])
+        got = binning.optimal_bins(v, most, least, c)
+        assert math.isclose(sum(b[3] for b in got), want, rel_tol=1e-9, abs_tol=1e-6)
+        assert sum(b[2] for b in got) == len(x) and min(b[2] for b in got) >= least
+
+
+def test_optimal_binning_by_one_rule_at_every_size(spark):
+    df = spark.range(2001 + 5001).selectExpr("id < 2001 AS small", "IF(id IN (0, 7001), 443, 80) AS v")
+    got = {(r["small"], r["bin"]): (r["low"], r["high"], r["frequency"]) for r in binning.optimal_binning(df, ["small"], "v", 3, 2).collect()}
+    assert got == {(True, 0): (80, 80, 1999), (True, 1): (80, 443, 2), (False, 0): (80, 80, 4999), (False, 1): (80, 443, 2)}
+
+
 def test_predict_and_edges(spark):
     bins = spark.createDataFrame([("g", 0, 1.0, 3.0), ("g", 1, 10.0, 12.0)], "g string, bin int, low double, high double")
     df = spark.createDataFrame([("g", v) for v in (2.0, 11.0, 0.0, 6.0, 7.0, 6.5, 99.0)], "g string, v double")

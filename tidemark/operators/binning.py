@@ -9,9 +9,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Groups of more rows than this are binned between their distinct values only.
-EXACT_ROWS = 3000
-
 
 def _ranks(df: DataFrame, group: list[str], column: str) -> DataFrame:
     """Distinct values with the first and last index they take in sorted order, and the value after."""
@@ -54,10 +51,29 @@ def bin_counts(df: DataFrame, boundaries: DataFrame, group: list[str], column: s
 # ---------------------------------------------------------------- optimal bins
 
 
+def _positions(x: np.ndarray, w: np.ndarray, min_size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted values and weights with each run of equal values split where a best cut may stand in it.
+
+    A bin that ends within a run takes no more of it than ``min_size`` asks for, as each further one costs more;
+    it has another value too, so less than ``min_size``. The same holds for one that begins within a run.
+    """
+    first = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+    x, w = x[first], np.add.reduceat(w, first)
+    end = np.minimum(min_size - 1, w // 2).astype(int)
+    left = w - 2 * end
+    # singles, what is left, singles
+    parts = 2 * end + (left > 0)
+    out = np.ones(int(parts.sum()))
+    begin = np.cumsum(parts) - parts
+    out[(begin + end)[left > 0]] = left[left > 0]
+    return np.repeat(x, parts), out
+
+
 def optimal_bins(values: Iterable, max_bins: int, min_size: int, weights: Iterable | None = None) -> list[tuple]:
     """(low, high, size, cost) of the bins of sorted values with the least sum of squared deviations.
 
     At most ``max_bins``, each of ``min_size`` or more; of equal costs the fewest bins. ``weights``: how often each value occurs.
+    Equal values may fall into several bins, as far as ``min_size`` asks for it.
     """
     x = np.asarray(list(values))
     if not len(x):
@@ -67,7 +83,6 @@ def optimal_bins(values: Iterable, max_bins: int, min_size: int, weights: Iterab
     w = np.ones(len(x)) if weights is None else np.asarray(list(weights), dtype=float)
     order = np.argsort(x, kind="stable")
     x, w = x[order], w[order]
-    n = len(x)
     if w.sum() < min_size:
         raise ValueError("fewer values than a bin must have")
     if x[0] == x[-1]:
@@ -75,32 +90,59 @@ def optimal_bins(values: Iterable, max_bins: int, min_size: int, weights: Iterab
     most = min(max_bins, int(w.sum() // min_size))
     if most < 1:
         raise ValueError("no valid bins")
+    x, w = _positions(x, w, min_size)
+    n = len(x)
     centred = x.astype(float) - float(np.average(x.astype(float), weights=w))
     cw, cx, cxx = (np.concatenate([[0.0], np.cumsum(v)]) for v in (w, w * centred, w * centred**2))
 
-    def costs(i: int) -> np.ndarray:
-        """Of a last bin that holds values j to i, for every j."""
-        size = cw[i] - cw[:i]
-        c = np.maximum(cxx[i] - cxx[:i] - (cx[i] - cx[:i]) ** 2 / size, 0.0)
-        c = np.where(x[:i] == x[i - 1], 0.0, c)  # equal values, without rounding
+    def costs(j: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """Of bins that hold values j to i."""
+        size = cw[i] - cw[j]
+        c = np.maximum(cxx[i] - cxx[j] - (cx[i] - cx[j]) ** 2 / np.maximum(size, 1), 0.0)
+        c = np.where(x[np.minimum(j, n - 1)] == x[i - 1], 0.0, c)  # equal values, without rounding
         return np.where(size >= min_size, c, np.inf)
 
-    best = np.full((most + 1, n + 1), np.inf)
-    cut = np.zeros((most + 1, n + 1), dtype=int)
-    best[0, 0] = 0.0
-    for i in range(1, n + 1):
-        c = costs(i)
-        for k in range(1, most + 1):
-            total = best[k - 1, :i] + c
-            j = int(total.argmin())
-            best[k, i], cut[k, i] = total[j], j
-    k = min(range(1, most + 1), key=lambda k: (best[k, n], k))
-    if not np.isfinite(best[k, n]):
+    def level(before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """With one bin more, the least cost up to each i and where its last bin begins.
+
+        That place never moves back as i grows: the middle of a range of i bounds it for both halves,
+        and the ranges of one depth have about n places together.
+        """
+        best, cut = np.full(n + 1, np.inf), np.zeros(n + 1, dtype=int)
+        lo, hi = np.array([1]), np.array([n])  # ranges of i, and of the place in them
+        start, stop = np.array([0]), np.array([n])
+        while len(lo):
+            mid = (lo + hi) // 2
+            many = np.minimum(stop, mid - 1) - start + 1
+            at = np.cumsum(many) - many
+            j = np.arange(int(many.sum())) + np.repeat(start - at, many)
+            total = before[j] + costs(j, np.repeat(mid, many))
+            least = np.minimum.reduceat(total, at)
+            hit = np.flatnonzero(total == np.repeat(least, many))
+            first = hit[np.searchsorted(hit, at)]
+            best[mid], cut[mid] = least, j[first]
+            # without a bin that is large enough, nothing is known of the place
+            known = np.isfinite(least)
+            to, since = np.where(known, j[first], stop), np.where(known, j[first], start)
+            lo, hi = np.concatenate([lo, mid + 1]), np.concatenate([mid - 1, hi])
+            start, stop = np.concatenate([start, since]), np.concatenate([to, stop])
+            some = lo <= hi
+            lo, hi, start, stop = lo[some], hi[some], start[some], stop[some]
+        return best, cut
+
+    best = [np.where(np.arange(n + 1) == 0, 0.0, np.inf)]
+    cuts = [np.zeros(n + 1, dtype=int)]
+    for _ in range(most):
+        b, c = level(best[-1])
+        best.append(b)
+        cuts.append(c)
+    k = min(range(1, most + 1), key=lambda k: (best[k][n], k))
+    if not np.isfinite(best[k][n]):
         raise ValueError("no valid bins")
     out, end = [], n
     while k:
-        j = cut[k, end]
-        out.append((x[j], x[end - 1], int(cw[end] - cw[j]), float(costs(end)[j])))
+        j = int(cuts[k][end])
+        out.append((x[j], x[end - 1], int(cw[end] - cw[j]), float(costs(np.array([j]), np.array([end]))[0])))
         end, k = j, k - 1
     return out[::-1]
 
@@ -108,17 +150,13 @@ def optimal_bins(values: Iterable, max_bins: int, min_size: int, weights: Iterab
 def optimal_binning(df: DataFrame, group: list[str], column: str, max_bins: int, min_size: int) -> DataFrame:
     """group columns, bin, low, high, frequency, cost: the optimal bins of each group, groups side by side.
 
-    A group's distinct values and counts meet in one task; of groups of more than EXACT_ROWS rows equal values stay together.
+    One rule at every size. A group's distinct values and counts meet in one task.
     """
     counted = df.groupBy(*group, F.col(column).cast("double").alias("v")).agg(F.count("*").alias("c"))
     schema = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in df.select(*group).schema], "bin int, low double, high double, frequency long, cost double"])
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("v")
-        if pdf["c"].sum() <= EXACT_ROWS:
-            bins = optimal_bins(np.repeat(pdf["v"].to_numpy(), pdf["c"].to_numpy()), max_bins, min_size)
-        else:
-            bins = optimal_bins(pdf["v"].to_numpy(), max_bins, min_size, pdf["c"].to_numpy())
+        bins = optimal_bins(pdf["v"].to_numpy(), max_bins, min_size, pdf["c"].to_numpy())
         return pd.DataFrame([(*key, i, *b) for i, b in enumerate(bins)], columns=[*group, "bin", "low", "high", "frequency", "cost"])
 
     return counted.groupBy(*group).applyInPandas(run, schema)
