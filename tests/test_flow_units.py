@@ -214,6 +214,26 @@ def test_without_a_model_for_the_group(flows):
     assert got.where("observe = 'napa' AND hbos_score > 0").count() > 0
 
 
+def test_percentiles_are_exact_at_every_size(spark):
+    big = spark.range(5_000_001).selectExpr("'a' AS observe", "0 AS dvlan", "'tcp' AS proto", "CAST(id DIV 5000 AS DOUBLE) AS hbos_score")
+    few = spark.createDataFrame([("b", 0, "udp", x) for x in (1.0, 2.0, 4.0, 4.0, 4.0, 9.0)] + [("c", 0, "udp", 3.0)], "observe string, dvlan int, proto string, hbos_score double")
+    got = {r["observe"]: (r["median"], r["quantile"], r["mad"]) for r in model.score_summary(big.unionByName(few).withColumn("_modelled", F.lit(True))).collect()}
+    near = lambda x, y: all(math.isclose(a, b, rel_tol=1e-12) for a, b in zip(x, y, strict=True))
+    assert near(got["a"], (500, 999, 250))
+    assert near(got["b"], (4, 4 + 5 * (5 * 0.99999 - 4), 1)) and near(got["c"], (3, 3, 0))
+
+
+def test_percentiles_of_odd_counts(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(f"g{i}", float(v)) for i in range(12) for v in rng.integers(0, 8, int(rng.integers(1, 60))) / 7]
+    monkeypatch.setattr(model, "RANGE_ROWS", 7)
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = model._percentiles(df.groupBy("g", "v").agg(F.count("*").alias("c")), ["g"], {"a": 0.5, "b": 0.99999, "c": 0.0, "d": 1.0}).collect()
+    assert len(got) == 12
+    for r in got:
+        assert np.allclose(r[1:], np.quantile([v for g, v in rows if g == r["g"]], [0.5, 0.99999, 0.0, 1.0]), rtol=1e-12)
+
+
 # ---------------------------------------------------------------- samples
 
 

@@ -5,17 +5,17 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import nice_step
 from tidemark.operators import score
 from tidemark.operators.histogram import DEFAULT_FEATURES, FEATURES, NUMERICAL, checked_features, histograms, model_rows, ranges
-from tidemark.shared import kept
+from tidemark.shared import kept, small
 
 MINIMUM_DAYS = 1
-#: Groups of more rows get approximate quantiles; exact ones hold a group's distinct scores in one task.
-EXACT_ROWS = 5_000_000
+#: Distinct values in a range that percentiles are counted through in, about.
+RANGE_ROWS = 100_000
 
 
 @dataclass
@@ -75,24 +75,49 @@ def build(flows: DataFrame, features: tuple[str, ...] = DEFAULT_FEATURES) -> Mod
     return model
 
 
-def _quantile(x: str, q: float, exact: bool) -> Column:
-    return F.percentile(x, q) if exact else F.percentile_approx(x, q, 100_000)
+def _percentiles(counted: DataFrame, g: list[str], shares: dict[str, float]) -> DataFrame:
+    """g and a column for each share: exact interpolated percentiles of ``v``, counted ``c`` times in each group.
+
+    ``counted`` has one row for each group and value. The rows are dealt by range of (group, value); the rows that
+    a group has in each range say in which ranges its ranks lie, and only these are counted through, each by itself.
+    """
+    rows = counted.count()
+    counted = counted.repartitionByRange(max(1, -(-rows // RANGE_ROWS)), *g, "v")
+    counted = kept(counted.withColumn("_range", F.spark_partition_id()), "percentile-ranges")
+    held = counted.groupBy(*g, "_range").agg(F.sum("c").alias("c"))
+    before = F.sum("c").over(Window.partitionBy(*g).orderBy("_range")) - F.col("c")
+    held = kept(held.withColumns({"_before": before, "_n": F.sum("c").over(Window.partitionBy(*g))}), "percentile-counts")
+    at = {name: (F.col("_n") - 1) * F.lit(q) for name, q in shares.items()}
+    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(p), F.ceil(p)) for p in at.values()])))
+    mine = F.filter(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("c")))
+    wanted = held.select(*g, "_range", "_before", "_n", mine.alias("_ranks")).where(F.size("_ranks") > 0)
+    # at most two ranges for a group and share
+    upto = F.col("_before") + F.sum("c").over(Window.partitionBy(*g, "_range").orderBy("v"))
+    found = counted.join(wanted, [*g, "_range"]).withColumn("_to", upto)
+    hit = F.filter("_ranks", lambda r: (r < F.col("_to")) & (r >= F.col("_to") - F.col("c")))
+    found = found.select(*g, "_n", "v", F.explode(hit).alias("_rank"))
+
+    def value(name: str) -> Column:
+        p = at[name]
+        low, high = (F.max(F.when(F.col("_rank") == edge, F.col("v"))) for edge in (F.floor(p), F.ceil(p)))
+        p = F.max(p)
+        return F.when(low == high, low).otherwise((F.ceil(p) - p) * low + (p - F.floor(p)) * high).alias(name)
+
+    return found.groupBy(*g).agg(*[value(name) for name in shares])
 
 
 def score_summary(scored: DataFrame) -> DataFrame:
     """Statistics and severity thresholds of ``hbos_score`` for each group that has a model."""
     s = kept(scored.where("_modelled").select("observe", F.col("dvlan").alias("vlan"), "proto", F.col("hbos_score").alias("s")), "model-scores")
     g = ["observe", "vlan", "proto"]
-    largest = s.groupBy(*g).count().agg(F.max("count")).first()[0] or 0
-    exact = largest <= EXACT_ROWS
     n = F.count("*")
     unbiased = F.when(n > 2, F.skewness("s") * F.sqrt(n * (n - 1)) / (n - 2))
-    stats = s.groupBy(*g).agg(
-        F.min("s").alias("min"), F.max("s").alias("max"), unbiased.alias("skewness"), F.avg("s").alias("avg"), F.stddev_pop("s").alias("stddev"),
-        _quantile("s", 0.5, exact).alias("median"), _quantile("s", 0.99999, exact).alias("quantile"),
-    )
-    spread = s.join(F.broadcast(stats.select(*g, "median")), g).groupBy(*g).agg(_quantile(F.abs(F.col("s") - F.col("median")), 0.5, exact).alias("mad"))
-    return stats.join(spread, g).withColumns(thresholds(F.col("min"), F.col("max")))
+    stats = s.groupBy(*g).agg(F.min("s").alias("min"), F.max("s").alias("max"), unbiased.alias("skewness"), F.avg("s").alias("avg"), F.stddev_pop("s").alias("stddev"))
+    counted = kept(s.where("s IS NOT NULL").groupBy(*g, F.col("s").alias("v")).agg(F.count("*").alias("c")), "score-counts")
+    middle = kept(_percentiles(counted, g, {"median": 0.5, "quantile": 0.99999}), "score-percentiles")
+    away = counted.join(small(middle.select(*g, "median")), g).groupBy(*g, F.abs(F.col("v") - F.col("median")).alias("v")).agg(F.sum("c").alias("c"))
+    spread = _percentiles(kept(away, "score-deviations"), g, {"mad": 0.5})
+    return stats.join(middle, g, "left").join(spread, g, "left").withColumns(thresholds(F.col("min"), F.col("max")))
 
 
 def thresholds(low: Column, high: Column) -> dict[str, Column]:
