@@ -86,3 +86,16 @@ def test_null_ids_repeated_rows_and_empty(spark):
     assert got == [(-1, 1, 1), (-1, 2, 0), (0, 2, 0), (0, 2, 0), (1, 1, 1), (1, 1, 1)]
     assert ngram_join.keep_one(d).columns == d.columns
     assert ngram_join.near_duplicates(d.limit(0)).count() == 0
+
+
+def test_keep_one_decides_by_row(spark):
+    word = lambda c, n=40: " ".join(f"{c}{i}" for i in range(n))
+    rows = [
+        (1, word("a")), (None, word("a") + " x"), (7, word("a") + " y"), (7, word("b")),  # near copies of 1, by a null id and by one that repeats
+        (None, word("c")), (None, word("d")), (None, word("d")), (None, ""), (None, None),
+        (5, word("e")), (5, word("e")), (6, word("f")), (6, word("g")),
+        (8, word("h") + " z"), (8, word("h") + " y"), (9, ""), (9, ""), (9, word("i")),
+    ]
+    d = spark.createDataFrame([(i, t, 10 + j) for j, (i, t) in enumerate(rows)], "doc_id long, text string, n long")
+    got = sorted(r["n"] - 10 for r in ngram_join.keep_one(d, k=3, threshold=(8, 10)).collect())
+    assert got == [0, 3, 4, 5, 7, 8, 9, 11, 12, 14, 15, 16, 17]

@@ -162,11 +162,12 @@ def _in_order(s: np.ndarray, t: np.ndarray, c: np.ndarray) -> tuple[np.ndarray,
 def set_table(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFrame:
     """A stored row for each row of ``docs``: doc, n, node, grp, prefix, often (flags of prefix shingles), parity bits.
 
-    Sets too small to link with a different one have no prefix.
+    A column ``h`` of ``docs`` stays. Sets too small to link with a different one have no prefix.
     """
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(_order_table(stored(frequent_shingles(docs, k, threshold), "jaccard-frequent")))
     smallest = smallest_unequal(threshold)
+    own = [c for c in ("doc", "h") if c in docs.columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, c = held.value
@@ -193,12 +194,12 @@ def set_table(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFrame:
             join = lambda x, kind: np.concatenate(x) if x else np.empty(0, kind)
             odd = np.array(bits, np.int64).reshape(-1, PARITIES)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(n_all, pa.int64()), pa.array(node, pa.int64()), pa.array(grp, pa.int64()),
+                [*[batch.column(x) for x in own], pa.array(n_all, pa.int64()), pa.array(node, pa.int64()), pa.array(grp, pa.int64()),
                  lists(join(flat, np.uint64).view(np.int64), size, pa.int64()), lists(join(often, bool), size, pa.bool_()), *[pa.array(odd[:, i]) for i in range(PARITIES)]],
-                names=["doc", "n", "node", "grp", "prefix", "often", *_VALUES],
+                names=[*own, "n", "node", "grp", "prefix", "often", *_VALUES],
             )
 
-    kinds = "doc long, n long, node long, grp long, prefix array<long>, often array<boolean>, " + ", ".join(f"{c} long" for c in _VALUES)
+    kinds = ", ".join(f"{x} long" for x in own) + ", n long, node long, grp long, prefix array<long>, often array<boolean>, " + ", ".join(f"{c} long" for c in _VALUES)
     return stored(docs.mapInArrow(run, kinds), "jaccard-sets")
 
 
@@ -401,6 +402,10 @@ def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- the operator
 
 
+def _doc() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
+
+
 def near_duplicates(docs: DataFrame, k: int = NGRAM, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of ``docs``.
 
@@ -409,8 +414,14 @@ def near_duplicates(docs: DataFrame, k: int = NGRAM, threshold: tuple[int, int]
     is linked with a document that has an id. Rows that repeat a doc_id are nodes by their own text. Empty input
     gives an empty result. Sets are compared by 56-bit shingle hashes and lengths.
     """
-    small_batches(docs.sparkSession)
-    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), "text")
+    out = _assigned(docs.select(_doc().alias("doc"), "text"), k, threshold)
+    null_last = lambda c: F.when(c != _LAST, c)
+    return out.select(null_last(F.col("doc")).alias("doc_id"), F.col("n").alias("n_shingles"), null_last(F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("doc"))).alias("component_id"))
+
+
+def _assigned(own: DataFrame, k: int = NGRAM, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
+    """doc, h (if given), n and, for rows with shingles, root and low (a component and its smallest doc) for each row of ``own``."""
+    small_batches(own.sparkSession)
     sets = set_table(own, k, threshold)
     nodes = stored(sets.where("n > 0").groupBy("node", "grp", "n").agg(F.min("doc").alias("rep"), *[F.any_value(c).alias(c) for c in _VALUES]), "jaccard-nodes")
     grouped = nodes.where("grp <> 0")
@@ -459,18 +470,35 @@ def near_duplicates(docs: DataFrame, k: int = NGRAM, threshold: tuple[int, int]
         labels = components(links.unionByName(more), nodes)
 
     lows = nodes.groupBy("node").agg(F.min("rep").alias("rep"))
-    final = stored(lows.join(labels.select("node", "low"), "node", "left").select("node", F.coalesce("low", "rep").alias("low")), "jaccard-final")
-    out = sets.select("doc", "n", "node").join(final, "node", "left")
-    null_last = lambda c: F.when(c != _LAST, c)
-    return out.select(null_last(F.col("doc")).alias("doc_id"), F.col("n").alias("n_shingles"), null_last(F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("doc"))).alias("component_id"))
+    final = stored(lows.join(labels.select("node", "low", "root"), "node", "left").select("node", F.coalesce("low", "rep").alias("low"), F.coalesce("root", "node").alias("root")), "jaccard-final")
+    return sets.select(*[c for c in ("doc", "h", "n", "node") if c in sets.columns]).join(final, "node", "left")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """One document of each component, the one with the smallest id, with its columns; repeated rows of it stay once.
+    """One row of each component, with its columns: of those with the smallest id (null last) the one whose text is
+    smallest in byte order. Rows without shingles all stay.
 
-    Of rows that repeat the smallest id, one whose text is smallest in byte order stays.
+    Rows are told apart by id and text hash, so those that share an id are decided on by their own texts.
+    Of rows alike in both, the one whose other columns come first as JSON stays.
     """
-    found = near_duplicates(docs, **options)
-    # texts without words are their own components and all stay
-    keep = found.where((F.col("component_id") == F.col("doc_id")) | (F.col("n_shingles") == 0)).select(F.coalesce("doc_id", F.lit(_LAST)).alias("_id")).distinct()
-    return docs.join(keep, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)) == keep["_id"]).drop("_id")
+    own = docs.select(_doc().alias("doc"), F.xxhash64("text").alias("h"), "text")
+    found = stored(_assigned(own, **options), "jaccard-rows")
+    texts = found.where("n > 0").groupBy("root", "doc", "h").agg(F.count("*").alias("c"))
+    first = texts.groupBy("root").agg(F.min("doc").alias("doc"))
+    first = stored(texts.join(first, ["root", "doc"]), "jaccard-first-texts")
+    low = stored(first.groupBy("root").agg(F.min("doc").alias("doc"), F.min("h").alias("h"), F.count("*").alias("texts"), F.sum("c").alias("c")), "jaccard-low")
+    once = low.where("texts = 1 AND c = 1").select("doc", "h").unionByName(found.where("n = 0").select("doc", "h").distinct())
+    often = low.where("texts = 1 AND c > 1").select("doc", "h")
+    if low.where("texts > 1").limit(1).count():
+        several = first.join(low.where("texts > 1").select("root"), "root").select("root", "doc", "h")
+        least = own.join(several, ["doc", "h"]).groupBy("root", "doc").agg(F.min("text").alias("text"))
+        often = often.unionByName(least.select("doc", F.xxhash64("text").alias("h")))
+    named = lambda keep: keep.select(F.col("doc").alias("_id"), F.col("h").alias("_h"))
+    keyed = lambda keep: docs.join(named(keep), (_doc() == F.col("_id")) & (F.xxhash64("text") == F.col("_h")))
+    out = keyed(once).drop("_id", "_h")
+    often = stored(often, "jaccard-often-rows")
+    if often.limit(1).count():
+        others = F.to_json(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]))
+        rows = keyed(often).select("_id", "_h", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), others.alias("_by"))
+        out = out.unionByName(rows.groupBy("_id", "_h").agg(F.min_by("_row", "_by").alias("_row")).select("_row.*"))
+    return out
