@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from tests.llm.helpers import ALNUM, ODD, WORD, docs, lower
 from tidemark.llm import decontaminate, quality_rules
@@ -124,3 +125,13 @@ def test_clashing_columns_and_empty_tables(spark):
     trees = quality_rules.fit(d, spark.createDataFrame([], "doc_id long, quality int"))
     assert quality_rules.judge(d, trees).count() == 2
     assert quality_rules.judge(d.limit(0), trees).count() == 0
+
+
+def test_shards_of_long_texts_are_bounded(monkeypatch):
+    shards = []
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", 1000)
+    monkeypatch.setattr(decontaminate, "_shard", lambda tests, parts: iter([shards.append(sum(p.num_rows for p in parts))]))
+    held = type("Held", (), {"value": (["a"], pa.array(["some words of an item"]))})
+    batch = pa.RecordBatch.from_arrays([pa.array(["w" * 599 + " "] * 1000)], names=["_text"])
+    list(decontaminate._pass(held, 10)(iter([batch])))
+    assert sum(shards) == 1000 and max(shards) <= 20

@@ -246,7 +246,7 @@ def _pass(held, window: int):
             step = max(1, int(b.num_rows * SHARD_WORDS * 6 / max(1, b.column("_text").nbytes)))
             for at in range(0, b.num_rows, step):
                 kept.append(part := b.slice(at, step))
-                weight += part.column("_text").nbytes * part.num_rows // max(1, b.num_rows) if part.num_rows < b.num_rows else part.column("_text").nbytes
+                weight += part.column("_text").nbytes  # of the slice only
                 if weight >= SHARD_WORDS * 6:
                     yield from _shard(tests, kept)
                     kept, weight = [], 0
