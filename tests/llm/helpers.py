@@ -21,4 +21,4 @@ def docs(spark, texts, **kw):
 
 
 #: Null, empty, blank, one word, odd spaces, NUL, non-ASCII, repeats, a long text.
-ODD = [None, "", "   \n\t ", "word", "a\x0bb\x0cc\rd\x1ce\x85f g", "nul\x00inside A B", "Ünïcödé ÄÖ straße 漢字 かな", "same line\nsame line\n\nsame line", "long " * 30000, "x" * 70000]
+ODD = [None, "", "   \n\t ", "word", "a\x0bb\x0cc\rd\x1ce\x85f g", "nul\x00inside A B", "a\x00b c d a\x01b c d x", "Ünïcödé ÄÖ straße 漢字 かな", "same line\nsame line\n\nsame line", "long " * 30000, "x" * 70000]

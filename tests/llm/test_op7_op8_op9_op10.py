@@ -179,6 +179,31 @@ def test_scores_of_odd_rows(spark):
     assert maxent_lm.score_documents(d.where("doc_id = 0"), modulus=1).first()["train_tokens"] == 0
 
 
+def test_steps_follow_the_gradient_of_single_tokens():
+    """One minibatch with the softmax of equal contexts computed once, against a walk over the tokens."""
+    rng = np.random.default_rng(4)
+    m = maxent_lm.Model.start(np.arange(1, 600, dtype=np.uint64)[: maxent_lm.HEAD_WORDS - 5], np.ones(maxent_lm.TAIL_CLASSES))
+    m.prepare()
+    m.w1[:], m.w2[:] = rng.normal(size=m.w1.shape), rng.normal(size=m.w2.shape)
+    n, last = 60, maxent_lm.HEAD_CLASSES - 1
+    f1, f2, cls = rng.integers(0, 4, (3, n)), rng.integers(0, 4, (2, n)), rng.choice([0, 3, last], n)
+    inner = rng.integers(0, 20, n)
+    for w, closed, rows, target in ((m.w1, m._shut, np.concatenate([f1, np.full((1, n), maxent_lm.ROWS)]), cls), (m.w2, m._closed, np.concatenate([f2, (maxent_lm.ROWS + cls)[None]]), inner)):
+        grad = np.zeros(w.shape)
+        for i in range(n):
+            z = w[rows[:, i]].astype(float).sum(axis=0) + (closed if closed.ndim == 1 else closed[cls[i]])
+            p = np.exp(z - z.max())
+            p /= p.sum()
+            p[target[i]] -= 1
+            for r in rows[:, i]:
+                grad[r] += p
+        trainer = maxent_lm.Trainer(m, 0.3)
+        mine, s, uses = w.copy(), np.full_like(w, 0.1), np.zeros(len(w), np.float32)
+        trainer._step(mine, s, uses, rows, target, closed)
+        assert np.allclose(s, 0.1 + grad**2, atol=1e-3) and np.allclose(mine, w - 0.3 * grad / np.sqrt(0.1 + grad**2), atol=1e-4)
+        assert (uses == np.bincount(rows.ravel(), minlength=len(w))).all()
+
+
 def test_model_is_a_distribution():
     """The probabilities of all words after some context add up to 1, one unseen word a tail class included."""
     import pyarrow as pa

@@ -7,6 +7,7 @@ numpy; a block holds a bounded number of bytes (one text at least).
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -40,9 +41,11 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set."""
+    """The folder that driver and executors share; where none is set, a temporary one for a local master, else an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -110,9 +113,9 @@ def byte_table(separators: bytes | None = None, word_bytes: bytes | None = None)
     return np.array([(c + 32 if 65 <= c <= 90 else c) if c in keep and c else 0 for c in range(256)], dtype=np.uint8)
 
 
-#: Words ``[^\x20\x09-\x0D]+``; NUL is an ordinary word byte there and gets a code of its own.
+#: Words ``[^\x20\x09-\x0D]+``; NUL is an ordinary word byte there and gets the code 0xFF, which UTF-8 never holds.
 SPACED = byte_table(SPACES)
-SPACED[0] = 1
+SPACED[0] = 0xFF
 #: Words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after lower-casing: digits, letters and all non-ASCII.
 ALNUM = byte_table(word_bytes=b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ" + bytes(range(128, 256)))
 
