@@ -33,10 +33,25 @@ def test_against_brute_force(spark, sf_dir):
         assert r["kept_sha256"] == hashlib.sha256(r["kept"].encode()).hexdigest()
 
 
-def test_filters_too_large_to_broadcast(spark, monkeypatch):
+def test_filters_too_large_to_broadcast(spark, sf_dir, monkeypatch):
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    key = lambda: sorted((r["_row"]["doc_id"], r["n_dropped"], r["kept_sha256"]) for r in line_dedup.dedup_lines(d).collect())
+    want = key()
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 100)  # many shards
+    assert key() == want
     monkeypatch.setattr(line_dedup, "FILTER_BYTES", 0)
-    d = docs(spark, ["one long line here\nb", "one long line here\nc"])
-    assert [r["kept"] for r in line_dedup.dedup_lines(d).orderBy("_row.doc_id").collect()] == ["one long line here\nb", "c"]
+    assert key() == want
+    monkeypatch.setattr(line_dedup, "heaviest", lambda repeated: tuple(np.empty(0, np.int64) for _ in range(3)))
+    assert key() == want
+
+
+def test_filters_by_shard_hold_back_what_is_not_repeated(spark):
+    d = docs(spark, [f"line number {i} of its own\nthe line of all" for i in range(300)])
+    repeated = stored(line_dedup.counts(line_dedup.references(d)), "t")
+    none = spark.sparkContext.broadcast(tuple(np.empty(0, np.int64) for _ in range(3)))
+    refs = line_dedup.references(d, heavy=none)
+    for probe in (line_dedup.by_broadcast, line_dedup.by_shard):
+        assert 300 <= probe(refs, stored(line_dedup.filters(repeated, 7), "t"), 7).count() < 310
 
 
 def test_null_ids_repeats_clashes_and_empty(spark):

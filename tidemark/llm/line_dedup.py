@@ -3,8 +3,10 @@
 The reference table has one row for each (line key, document); counting it gives the exact
 number of documents that hold a key and the one that keeps it (the smallest doc_id). Keys
 held by two documents or more are put into cuckoo filters, one a shard of the key space. A
-filter answers, within a bounded broadcast, whether a line may be repeated; what passes is
-decided by the exact table, so false positives cost a lookup and never a line. As the table
+filter answers whether a line may be repeated; what passes is
+decided by the exact table, so false positives cost a lookup and never a line. While the filters are small they
+are broadcast; larger ones travel to the references of their shard. The keys that most documents hold are
+broadcast with their keepers, so that no key brings its documents together in one task. As the table
 is exact and cuckoo filters can delete, adding and removing documents is reversible:
 ``with_documents`` and ``without_documents`` update the references, ``update_filters`` the filters.
 """
@@ -26,8 +28,10 @@ from .base import SPACES, mix, small_batches, stored
 MIN_CHARS = 10
 #: Keys in one filter shard, on average.
 SHARD_KEYS = 200_000
-#: Broadcast filters at most this large; beyond it lines go to the exact table unfiltered.
+#: Broadcast filters at most this large; beyond it each shard's references are dealt to its filter.
 FILTER_BYTES = 64 << 20
+#: Keys held most often, whose keepers are broadcast (24 bytes each).
+HEAVY_KEYS = 4096
 SLOTS = 4
 _LOWER = bytes((c + 32 if 65 <= c <= 90 else c) for c in range(256))
 _LAST = (1 << 63) - 1
@@ -127,22 +131,36 @@ def _doc(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(_LAST))
 
 
-def references(docs: DataFrame, least: int = MIN_CHARS) -> DataFrame:
-    """``h1, h2, doc``: a row for each distinct long key of each row of ``docs``."""
+def references(docs: DataFrame, least: int = MIN_CHARS, heavy=None) -> DataFrame:
+    """``h1, h2, doc``: a row for each distinct long key of each row of ``docs``.
+
+    With ``heavy``, a broadcast (h1, h2, keeper) of keys in order, also ``row`` (a hash of the text) and the keeper of those keys.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             h1, h2, at = [], [], []
-            ids = b.column("doc").to_pylist()
-            for i, t in zip(ids, b.column("text").to_pylist(), strict=True):
+            for i, t in enumerate(b.column("text").to_pylist()):
                 for k in {k for k in line_keys(t) if _long_enough(k, least)}:
                     x, y = _halves(k)
                     h1.append(x)
                     h2.append(y)
                     at.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(at, pa.int64())], names=["h1", "h2", "doc"])
+            at = pa.array(at, pa.int64())
+            out = {"h1": pa.array(h1, pa.int64()), "h2": pa.array(h2, pa.int64()), "doc": b.column("doc").take(at)}
+            if heavy is not None:
+                out |= {"row": b.column("row").take(at), "keeper": _keepers(np.array(h1, np.int64), np.array(h2, np.int64), *heavy.value)}
+            yield pa.RecordBatch.from_pydict(out)
+
+    own = [_doc(F.col("doc_id")).alias("doc"), F.col("text")] + ([F.xxhash64("text").alias("row")] if heavy is not None else [])
+    return docs.select(*own).mapInArrow(emit, "h1 long, h2 long, doc long" + (", row long, keeper long" if heavy is not None else ""))
+
 
-    return docs.select(_doc(F.col("doc_id")).alias("doc"), F.col("text")).mapInArrow(emit, "h1 long, h2 long, doc long")
+def _keepers(h1: np.ndarray, h2: np.ndarray, k1: np.ndarray, k2: np.ndarray, keeper: np.ndarray) -> pa.Array:
+    """The keeper of each key that is one of (k1, k2), which stand in order of k1 without repeats; else null."""
+    at = np.minimum(np.searchsorted(k1, h1), max(len(k1) - 1, 0))
+    known = (k1[at] == h1) & (k2[at] == h2) if len(k1) else np.zeros(len(h1), bool)
+    return pa.array(keeper[at] if len(k1) else np.zeros(len(h1), np.int64), pa.int64(), mask=~known)
 
 
 def with_documents(refs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -156,9 +174,9 @@ def without_documents(refs: DataFrame, doc_ids: DataFrame) -> DataFrame:
 
 
 def counts(refs: DataFrame) -> DataFrame:
-    """``h1, h2, keeper`` of the keys that two documents or more hold."""
-    held = refs.groupBy("h1", "h2").agg(F.min("doc").alias("keeper"), F.max("doc").alias("_last"))
-    return held.where(F.col("keeper") < F.col("_last")).select("h1", "h2", "keeper")
+    """``h1, h2, keeper, rows`` of the keys that two documents or more hold."""
+    held = refs.groupBy("h1", "h2").agg(F.min("doc").alias("keeper"), F.max("doc").alias("_last"), F.count("*").alias("rows"))
+    return held.where(F.col("keeper") < F.col("_last")).select("h1", "h2", "keeper", "rows")
 
 
 def filters(repeated: DataFrame, shards: int) -> DataFrame:
@@ -191,34 +209,82 @@ def update_filters(cells: DataFrame, before: DataFrame, after: DataFrame, shards
 # ---------------------------------------------------------------- the operator
 
 
+def heaviest(repeated: DataFrame, most: int = HEAVY_KEYS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """h1, h2 and keeper of the keys held most often, in order of h1."""
+    top = repeated.orderBy(F.desc("rows"), "h1", "h2").limit(most).toArrow()
+    h1, h2, keeper = (top.column(c).to_numpy() for c in ("h1", "h2", "keeper"))
+    _, at = np.unique(h1, return_index=True)
+    return h1[at], h2[at], keeper[at]
+
+
+def _kept(b: pa.RecordBatch, known: dict[int, CuckooFilter], shards: int) -> pa.RecordBatch:
+    """Of the references those with a known keeper, and those that the filter of their shard may hold."""
+    h1, h2 = (b.column(c).to_numpy(zero_copy_only=False) for c in ("h1", "h2"))
+    keep = b.column("keeper").is_valid().to_numpy(zero_copy_only=False).copy()
+    shard = np.mod(h2, shards)
+    for s in np.unique(shard[~keep]):
+        if f := known.get(int(s)):
+            at = np.flatnonzero((shard == s) & ~keep)
+            keep[at] = f.may_hold(h1[at])
+    return b.select(["h1", "h2", "doc", "row", "keeper"]).filter(pa.array(keep))
+
+
+_REFERENCE = "h1 long, h2 long, doc long, row long, keeper long"
+
+
+def by_broadcast(refs: DataFrame, cells: DataFrame, shards: int) -> DataFrame:
+    """The references that may be repeated; all filters go to every task."""
+    held = refs.sparkSession.sparkContext.broadcast({r["shard"]: bytes(r["cells"]) for r in cells.collect()})
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = {s: CuckooFilter.from_bytes(c) for s, c in held.value.items()}
+        for b in batches:
+            yield _kept(b, known, shards)
+
+    return refs.mapInArrow(probe, _REFERENCE)
+
+
+def by_shard(refs: DataFrame, cells: DataFrame, shards: int) -> DataFrame:
+    """The same for filters of any number: references are dealt to the task of their shard, where its filter comes first.
+
+    References with a known keeper need no filter and are spread by document. A task holds one filter at a time.
+    """
+    mine = F.when(F.col("keeper").isNull(), F.pmod(F.col("h2"), F.lit(shards))).otherwise(-1 - F.pmod(F.xxhash64("doc", "row"), F.lit(shards)))
+    dealt = refs.select("*", mine.cast("int").alias("shard"), F.lit(None).cast("binary").alias("cells"))
+    zero = [F.lit(0).cast("long").alias(c) for c in ("h1", "h2", "doc", "row", "keeper")]
+    both = dealt.unionByName(cells.select(*zero, "shard", "cells")).repartition("shard").sortWithinPartitions("shard", F.col("cells").isNull())
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, CuckooFilter] = {}
+        for b in batches:
+            raw, shard = b.column("cells"), b.column("shard").to_numpy()
+            first = np.flatnonzero(raw.is_valid().to_numpy(zero_copy_only=False))
+            ends = [*first[1:], b.num_rows] if len(first) else []
+            yield _kept(b.slice(0, first[0] if len(first) else b.num_rows), known, shards)
+            for a, e in zip(first, ends, strict=True):
+                known = {int(shard[a]): CuckooFilter.from_bytes(raw[int(a)].as_py())}
+                yield _kept(b.slice(a + 1, e - a - 1), known, shards)
+
+    return both.mapInArrow(probe, _REFERENCE)
+
+
 def drops(docs: DataFrame, least: int = MIN_CHARS) -> DataFrame:
-    """``doc, keys``: for each document the 16-byte keys whose lines it loses."""
+    """``doc, row, keys``: for each document and text hash the 16-byte keys whose lines it loses."""
     spark = docs.sparkSession
     small_batches(spark)
     repeated = stored(counts(references(docs, least)), "line-counts")
     shards = max(1, -(-repeated.count() // SHARD_KEYS))
-    table = stored(filters(repeated, shards), "line-filters")
-    size = table.agg(F.sum(F.octet_length("cells"))).first()[0] or 0
-    rows = table.collect() if size <= FILTER_BYTES else None
-    held = spark.sparkContext.broadcast(None if rows is None else {r["shard"]: bytes(r["cells"]) for r in rows})
-
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = None if held.value is None else {s: CuckooFilter.from_bytes(c) for s, c in held.value.items()}
-        for b in batches:
-            h1, h2, doc = (b.column(c).to_numpy(zero_copy_only=False) for c in ("h1", "h2", "doc"))
-            keep = np.ones(len(h1), dtype=bool)
-            if known is not None:
-                shard = np.mod(h2, shards)
-                keep[:] = False
-                for s in np.unique(shard):
-                    if f := known.get(int(s)):
-                        keep[shard == s] = f.may_hold(h1[shard == s])
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep], pa.int64()) for x in (h1, h2, doc)], names=["h1", "h2", "doc"])
-
-    likely = references(docs, least).mapInArrow(probe, "h1 long, h2 long, doc long")
-    lost = likely.join(repeated, ["h1", "h2"]).where(F.col("doc") != F.col("keeper"))
+    cells = stored(filters(repeated, shards), "line-filters")
+    size = cells.agg(F.sum(F.octet_length("cells"))).first()[0] or 0
+    refs = references(docs, least, spark.sparkContext.broadcast(heaviest(repeated)))
+    likely = (by_broadcast if size <= FILTER_BYTES else by_shard)(refs, cells, shards)
+    # references whose keeper is known are spread by document instead of meeting at their key
+    spread = F.when(F.col("keeper").isNull(), F.col("h1")).otherwise(F.xxhash64("doc", "row"))
+    exact = repeated.select(F.col("h1").alias("_at"), F.col("h2").alias("_h2"), F.col("keeper").alias("_keeper"))
+    found = likely.withColumn("_h1", spread).join(exact, F.col("keeper").isNull() & (F.col("_h1") == F.col("_at")) & (F.col("h2") == F.col("_h2")), "left")
+    lost = found.where(F.coalesce("keeper", "_keeper") != F.col("doc"))
     key = F.concat(*[F.unhex(F.lpad(F.hex(c), 16, "0")) for c in ("h1", "h2")])
-    return lost.groupBy("doc").agg(F.collect_set(key).alias("keys"))
+    return lost.groupBy("doc", "row").agg(F.collect_set(key).alias("keys"))
 
 
 def dedup_lines(docs: DataFrame, least: int = MIN_CHARS) -> DataFrame:
@@ -227,11 +293,12 @@ def dedup_lines(docs: DataFrame, least: int = MIN_CHARS) -> DataFrame:
     Lines split at \\n; a null or empty text is one empty line, is kept and loses nothing
     (its ``kept`` is empty). A repeated key stays in every line of the document with the
     smallest id and goes from all others. Rows with the same doc_id count as one
-    document; null ids count as one document after all others.
+    document; null ids count as one document after all others (as 2^63 - 1 would). Long texts are cut whole. An empty
+    table gives an empty result. The input's columns stand in ``_row``, so their names cannot clash.
     """
     small_batches(docs.sparkSession)
     lost = drops(docs.select("doc_id", "text"), least)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), _doc(F.col("doc_id")).alias("doc")).join(lost, "doc", "left")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), _doc(F.col("doc_id")).alias("doc"), F.xxhash64("text").alias("row")).join(lost, ["doc", "row"], "left")
     rows = rows.select("_row", F.col("_row.text").alias("_text"), "keys")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
