@@ -59,11 +59,28 @@ def test_rules_are_filed_and_split_in_blocks(spark, monkeypatch):
 # ---------------------------------------------------------------- mixing
 
 
-def test_targets():
-    assert mixing.targets([("b", 100), ("a", 100), (None, 100)]) == pytest.approx({"a": 50, "b": 100, None: 150})
-    got = mixing.targets([("a", 1000), ("b", 10), ("c", 0)])
-    assert got == pytest.approx({"a": 980, "b": 30, "c": 0}) and sum(got.values()) == pytest.approx(1010)
-    assert mixing.targets([]) == {}
+def plain_targets(sizes, weights=mixing.WEIGHTS, most=mixing.MOST):
+    order = sorted(sizes, key=lambda x: (x[0] is None, (x[0] or "").encode()))
+    open_ = {s: (n, weights[i % len(weights)]) for i, (s, n) in enumerate(order)}
+    left, out = sum(n for _, n in order), {}
+    while open_:
+        level = left / sum(w for _, w in open_.values())
+        over = {s: float(most * n) for s, (n, w) in open_.items() if level * w > most * n}
+        if not over:
+            return out | {s: level * w for s, (_, w) in open_.items()}
+        out |= over
+        left -= sum(over.values())
+        open_ = {s: x for s, x in open_.items() if s not in over}
+    return out
+
+
+def test_targets(spark):
+    rng = random.Random(7)
+    cases = [[("b", 100), ("a", 100), (None, 100)], [("a", 1000), ("b", 10), ("c", 0)], [], [("a", 0)], [(f"s{i} é"[: rng.randrange(2, 9)] + str(i), int(10 ** (rng.random() * 6))) for i in range(300)] + [(None, 5)]]
+    for sizes in cases:
+        got = mixing.targets(spark.createDataFrame(sizes, "source string, n long").repartition(3)).collect()
+        assert {r["source"]: r["target"] for r in got} == pytest.approx(plain_targets(sizes), rel=1e-12)
+    assert plain_targets([("a", 1000), ("b", 10), ("c", 0)]) == {"a": 980, "b": 30, "c": 0}
 
 
 def test_flight_keeps_totals():
@@ -87,7 +104,7 @@ def check_mix(spark, d, tolerance):
     size = Counter()
     for r in rows:
         size[r["source"]] += len(WORD.findall(r["text"] or ""))
-    goal = mixing.targets(list(size.items()))
+    goal = plain_targets(list(size.items()))
     taken = mixing.mix(d).collect()
     for r in taken:
         assert r["target"] == pytest.approx(goal[r["source"]]) and r["source_size"] == size[r["source"]]
@@ -95,12 +112,18 @@ def check_mix(spark, d, tolerance):
         by[r["source"]] = by.get(r["source"], 0) + r["taken"] * r["rows"]
     for s, t in goal.items():
         assert abs(by[s] - t) <= tolerance(s), (s, by[s], t)
+        # both totals are balanced: documents come out within what the landing may change
+        units = [r for r in taken if r["source"] == s and r["size"]]
+        mean = sum(r["rows"] for r in units) * t / size[s] if size[s] else 0
+        assert abs(sum(r["taken"] // r["size"] * r["rows"] for r in units) - mean) <= (mixing.LANDING + 2) * max((r["rows"] for r in units), default=0)
 
 
 def test_mix(spark, monkeypatch):
     rng = random.Random(1)
     d = spark.createDataFrame([(i, "w " * rng.randrange(1, 60), "en", rng.choice(["a", "a", "a", "b", "ü", None]), None) for i in range(400)], "doc_id long, text string, lang string, source string, n_chars long")
     check_mix(spark, d, lambda s: 30)
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 1)
+    check_mix(spark, d, lambda s: 30)
     monkeypatch.setattr(mixing, "BUCKET", 20)  # several levels
     check_mix(spark, d, lambda s: 60)
 
@@ -109,7 +132,10 @@ def test_mix_on_the_table_and_odd_rows(spark):
     check_mix(spark, table(spark, SF, "documents"), lambda s: 200)
     d = docs(spark, ODD + ["a b", "a b"])
     d = d.union(d).union(d.selectExpr("CAST(NULL AS LONG)", "text", "lang", "CAST(NULL AS STRING)", "n_chars")).selectExpr("*", "1 AS size", "2 AS pi")
-    check_mix(spark, d, lambda s: 60_000)
+    most = {}
+    for r in mixing.mix(d).collect():
+        most[r["source"]] = max(most.get(r["source"], 0), r["size"] * r["rows"])
+    check_mix(spark, d, lambda s: most[s] / 2 + 10)  # what rounding the largest unit costs
     out = mixing.taken_documents(d)
     assert set(out.columns) == {*d.columns, "source_size", "target", "taken"} and out.where("taken <= 0").count() == 0
     assert mixing.mixed_rows(d.limit(0)).count() == 0

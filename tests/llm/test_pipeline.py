@@ -1,11 +1,14 @@
 import math
 
+import pytest
+
 import corpus_pipeline
 from tests.llm.helpers import DOCS, ODD
 from tests.llm.test_op2_op4 import overlaps
 from tests.llm.test_op5 import brute_components
 from tests.llm.test_op6 import brute_lines
-from tidemark.llm import compression, mixing
+from tests.llm.test_op7_op8_op9_op10 import plain_targets
+from tidemark.llm import compression
 from tidemark.llm.base import stored, table
 
 SF = "/root/testdata/sf0.001"
@@ -39,7 +42,8 @@ def test_stages_against_brute_force(spark):
     sizes = {}
     for r in got:
         sizes.setdefault(r["source"], []).append(r)
-    goal = mixing.targets([(s, v[0]["source_size"]) for s, v in sizes.items()])
+    goal = plain_targets([(s, v[0]["source_size"]) for s, v in sizes.items()])
+    assert all(v[0]["target"] == pytest.approx(goal[s]) for s, v in sizes.items())
     assert math.isclose(sum(goal.values()), sum(v[0]["source_size"] for v in sizes.values()), rel_tol=1e-9)
 
 

@@ -12,12 +12,11 @@ fly first, so that those left for the landing are the smallest.
 
 from __future__ import annotations
 
-import math
 import random
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import WORD, stored
@@ -29,36 +28,52 @@ MOST = 3
 BUCKET = 1000
 #: Units that the landing decides on.
 LANDING = 12
-#: One row for each source comes to the driver; more sources than this are refused.
-MAX_SOURCES = 1_000_000
+#: Sources whose plan is broadcast (some 60 bytes each); the plan of more is joined.
+BROADCAST_SOURCES = 100_000
+#: Probabilities this near to 0 or 1 count as certain.
+EPS = 1e-9
 
 
-def targets(sizes: list[tuple[str | None, int]], share: float = 1.0, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> dict[str | None, float]:
-    """Target words of each source: ``share`` of all words by weight, at most ``most`` times its size.
+def level_of(counted: DataFrame, share: float, weights: tuple[float, ...], most: float) -> float:
+    """The level at which min(limit, level x weight) adds up to the share of all words.
+
+    ``counted``: n (words of a source) and k (which weight it takes). Each turn sums whole numbers for each weight on
+    Spark, so that the order of rows does not matter; the level only rises, and the turns end when no further source is at its limit.
+    """
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    weight = F.array(*[F.lit(float(w)) for w in weights])[F.col("k")]
+    level, closed = 0.0, -1
+    while True:
+        full = most * F.col("n") < F.lit(level) * weight
+        got = counted.groupBy("k").agg(F.count_if(full).alias("closed"), F.sum(F.when(full, F.col("n")).otherwise(0)).alias("n"), F.count_if(~full).alias("open")).collect()
+        got = sorted(got, key=lambda r: r["k"])
+        rest = sum(weights[r["k"]] * r["open"] for r in got)
+        if not rest or sum(r["closed"] for r in got) == closed:
+            return level
+        closed = sum(r["closed"] for r in got)
+        level = (share * total - most * sum(r["n"] for r in got)) / rest
+
+
+def targets(sizes: DataFrame, share: float = 1.0, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
+    """The rows of ``sizes`` (source, n and others) with ``target``: ``share`` of all words by weight, at most ``most`` times n.
 
     Sources go by code point, null last, and take the weights in turn. The excess over a
     source's limit is shared again by weight until none is above: target = min(limit, level x weight).
     """
-    order = sorted(sizes, key=lambda x: (x[0] is None, (x[0] or "").encode()))
-    open_ = [(s, most * n, weights[i % len(weights)]) for i, (s, n) in enumerate(order)]
-    left, out = share * sum(n for _, n in order), {}
-    while open_:
-        level = left / sum(w for _, _, w in open_)
-        over = [(s, cap) for s, cap, w in open_ if level * w > cap]
-        if not over:
-            out |= {s: level * w for s, _, w in open_}
-            break
-        for s, cap in over:
-            out[s] = float(cap)
-            left -= cap
-        gone = {s for s, _ in over}
-        open_ = [x for x in open_ if x[0] not in gone]
-    return out
+    order = [F.col("source").isNull(), F.col("source")]
+    dealt = stored(sizes.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "mix-sources")
+    parts = dealt.groupBy("_part").agg(F.count("*").alias("_c"))
+    before = parts.select("_part", (F.sum("_c").over(Window.orderBy("_part")) - F.col("_c")).alias("_before"))  # a row for each task
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1 + F.col("_before")
+    counted = stored(dealt.join(F.broadcast(before), "_part").withColumn("k", F.pmod(place, F.lit(len(weights))).cast("int")).drop("_part", "_before"), "mix-ranks")
+    level = level_of(counted, share, weights, most)
+    weight = F.array(*[F.lit(float(w)) for w in weights])[F.col("k")]
+    return counted.withColumn("target", F.least(F.lit(float(most)) * F.col("n"), F.lit(level) * weight)).drop("k")
 
 
 def flight(pi: list[float], docs: list[float], words: list[float], rng: random.Random) -> list[float]:
     """Move ``pi`` to the corners of the cube with both totals kept; at most two entries stay between."""
-    eps = 1e-9
+    eps = EPS
     pi = list(pi)
     act: list[int] = []
     waiting = iter(i for i in range(len(pi)) if eps < pi[i] < 1 - eps)
@@ -112,27 +127,23 @@ def mix(docs: DataFrame, share: float = 1.0, weights: tuple[float, ...] = WEIGHT
     target, taken (words the mix takes of one such row). Rows alike in id, source and text are
     one unit, so that reruns agree whatever the order of rows. A null text has size 0; units of
     size 0 are taken with their source and add nothing. A null source is a source of its own,
-    last in order. Empty input gives an empty result.
+    last in order. Texts of any length are counted whole. Other columns of ``docs`` are not read. Empty input gives an empty result.
     """
     spark = docs.sparkSession
     sized = docs.select("doc_id", "source", F.xxhash64("text").alias("_text"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
     units = stored(sized.groupBy("doc_id", "source", "_text", "size").agg(F.count("*").alias("rows")), "mix-units")
     totals = units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("n"), F.count("*").alias("units"))
-    found = totals.limit(MAX_SOURCES + 1).collect()
-    if len(found) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    goal = targets([(r["source"], r["n"]) for r in found], share, weights, most)
-    plan = []
-    for r in found:
-        times = goal[r["source"]] / r["n"] if r["n"] else 0.0
-        whole = min(math.floor(times), int(most))
-        plan.append((r["source"], r["n"], float(goal[r["source"]]), whole, times - whole if whole < most else 0.0, -(-r["units"] // BUCKET)))
-    by_source = spark.createDataFrame(plan, "_s string, source_size long, target double, whole int, pi double, buckets long")
-    # at most MAX_SOURCES rows of about 50 bytes
-    level = units.join(F.broadcast(by_source), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    times = F.when(F.col("n") > 0, F.col("target") / F.col("n")).otherwise(0.0)
+    whole = F.least(F.floor(times + EPS), F.lit(int(most))).cast("int")
+    pi = F.when(F.col("whole") >= int(most), 0.0).when(times - F.col("whole") < EPS, 0.0).otherwise(times - F.col("whole"))
+    by_source = targets(totals, share, weights, most).withColumn("whole", whole).select(F.col("source").alias("_s"), F.col("n").alias("source_size"), "target", "whole", pi.alias("pi"), F.ceil(F.col("units") / BUCKET).cast("long").alias("buckets"))
+    by_source = stored(by_source, "mix-plan")
+    n_sources, most_buckets = by_source.agg(F.count("*"), F.max("buckets")).first()
+    most_buckets = most_buckets or 0
+    plan = F.broadcast(by_source) if n_sources <= BROADCAST_SOURCES else by_source
+    level = units.join(plan, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     level = level.withColumn("_h", F.xxhash64("doc_id", "_text", "size"))
     schema = level.schema
-    most_buckets = max([p[-1] for p in plan], default=0)
 
     def run(state: DataFrame, last: bool) -> DataFrame:
         def fly(t: pa.Table) -> pa.Table:
