@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -63,7 +64,7 @@ def test_quality_rules_query(spark, sf_dir):
 
 def overlaps(text, items, window=10):
     words = ALNUM.findall(lower(text))
-    hit, found = set(), set()
+    hit, found, best = set(), set(), (0, -1, "", -1)
     for item_id, item in items:
         w = ALNUM.findall(lower(item))
         k = min(window, len(w))
@@ -72,7 +73,11 @@ def overlaps(text, items, window=10):
                 if words[b : b + k] == w[a : a + k]:
                     hit |= set(range(b, b + k))
                     found.add(str(item_id))
-    return len(words), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)
+                    n = k
+                    while a + n < len(w) and b + n < len(words) and w[a + n] == words[b + n]:
+                        n += 1
+                    best = min(best, (n, b, str(item_id), a), key=lambda x: (-x[0], x[1:]) if x[0] else (0,))
+    return len(words), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit), *best
 
 
 def check_overlaps(spark, texts, items):
@@ -81,7 +86,7 @@ def check_overlaps(spark, texts, items):
     got = decontaminate.digest(decontaminate.find_overlaps(d, bench)).collect()
     assert len(got) == len(texts)
     for r in got:
-        assert tuple(r)[1:6] == overlaps(texts[r["doc_id"]], items), (r, texts[r["doc_id"]])
+        assert tuple(r)[1:] == overlaps(texts[r["doc_id"]], items), (r, texts[r["doc_id"]])
     assert sorted(r["doc_id"] for r in decontaminate.decontaminate(d, bench).collect()) == sorted(r["doc_id"] for r in got if not r["contaminated"])
 
 
@@ -127,6 +132,17 @@ def test_clashing_columns_and_empty_tables(spark):
     assert quality_rules.judge(d.limit(0), trees).count() == 0
 
 
+def test_equal_windows_and_repetitive_texts_stay_cheap():
+    began = time.time()
+    tests = decontaminate.TestSet([str(i) for i in range(200)], pa.array(["the"] * 200))
+    n, spans, items, best = decontaminate._search(tests, pa.array(["the " * 100_000, "of the"]))
+    assert n.tolist() == [100_000, 2] and spans == [[(0, 100_000)], [(1, 2)]] and len(items[0]) == len(items[1]) == 200 and best == [(1, 0, "0", 0), (1, 1, "0", 0)]
+    tests = decontaminate.TestSet(["a", "b"], pa.array(["x " * 4000, "x " * 3000 + "y"]))
+    _, spans, items, best = decontaminate._search(tests, pa.array(["x " * 16_000, "z " + "x " * 3500 + "y"]))
+    assert spans == [[(0, 16_000)], [(1, 3502)]] and best == [(4000, 0, "a", 0), (3500, 1, "a", 0)]
+    assert time.time() - began < 10
+
+
 def test_shards_of_long_texts_are_bounded(monkeypatch):
     shards = []
     monkeypatch.setattr(decontaminate, "SHARD_WORDS", 1000)

@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows in an Arrow batch sent to Python; bounds a worker's memory for long texts.
-BATCH_ROWS = 1000
+#: Rows and bytes in an Arrow batch sent to Python, one row at least; they bound a worker's memory for long texts.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 #: Text bytes that one numpy pass handles.
 BLOCK_BYTES = 2 << 20
 #: ``[\x20\x09-\x0D]`` as bytes.
@@ -34,10 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Lower the rows in an Arrow batch to BATCH_ROWS when they are more."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Lower the rows and bytes in an Arrow batch to BATCH_ROWS and BATCH_BYTES when they are more."""
+    if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -107,6 +107,11 @@ def _power(name: str, base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base of rolling hashes, and of its inverse."""
+    return _power("p", _BASE, n), _power("i", _INV, n)
+
+
 def byte_table(separators: bytes | None = None, word_bytes: bytes | None = None) -> np.ndarray:
     """A 256-entry map that lower-cases A-Z and sends separators to 0."""
     keep = set(range(256)) - set(separators) if separators is not None else set(word_bytes)

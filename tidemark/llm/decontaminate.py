@@ -1,17 +1,20 @@
 """Benchmark decontamination with suffix arrays over the training documents.
 
 Documents are read in shards of a bounded number of words. Each shard gets a suffix array over its
-words; every suffix of every benchmark item is binary-searched in it, which gives its longest verbatim
-match in the shard and where that is. A window of an item (WINDOW words, or the whole item if
+words, sorted by prefix doubling; every suffix of every benchmark item is binary-searched in it, which gives its
+longest verbatim match in the shard. A window of an item (WINDOW words, or the whole item if
 shorter) occurs where the suffix array has suffixes that start with it, which is one range of
-the array. Nothing is shuffled: the benchmark goes to the documents, in blocks of bounded size.
+the array; equal windows are looked up once. The places found are searched in the suffix array of the benchmark in turn,
+which tells the longest match of each document and where it stands in both. Nothing is shuffled: the benchmark goes to the documents, in
+blocks of bounded size.
 
 Words that no benchmark item holds end every match, so suffixes start only at words of the benchmark
-and are sorted no deeper than the longest item.
+and are sorted about as deep as the longest item.
 """
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import ALNUM, Words, blocks, packed, small_batches, utf8
+from .base import ALNUM, Words, blocks, mix, packed, powers, small_batches, stored, utf8
 
 WINDOW = 10
 #: Words of documents in one suffix array, one document at least.
@@ -28,137 +31,155 @@ SHARD_WORDS = 1_000_000
 BENCH_BYTES = 16 << 20
 
 
-class TestSet:
-    """A block of benchmark items as word numbers (1 and up), each item followed by 0."""
+class Sequence:
+    """Word numbers (1 and up) with a 0 after each text, and hashes of all their prefixes.
 
-    __test__ = False
+    ``left`` holds for each place the words up to the next 0. Runs of words are equal when their 64-bit hashes are.
+    """
 
-    def __init__(self, ids: list[str], texts: pa.Array, window: int = WINDOW):
-        data, at = utf8(texts)
-        w = Words(data, at, ALNUM)
-        h, n = w.hashes(), w.count
-        self.ids = ids
-        self.vocabulary, word = np.unique(h, return_inverse=True)
-        item = w.doc
-        place = np.arange(len(h)) + item  # one 0 after each item
-        self.word = np.zeros(len(h) + len(n) + 1, dtype=np.int64)
-        self.word[place] = word + 1
-        self.suffix, self.item = place, item
-        self.left = (w.first[1:][item] - np.arange(len(h))).astype(np.int64) if len(h) else np.empty(0, np.int64)
-        self.longest = int(n.max()) if len(n) else 0
-        # suffixes that start a window: WINDOW words, or a whole item of fewer
-        short = n < window
-        self.window = np.where(short[item], n[item], window)
-        self.is_window = self.left >= self.window if len(h) else np.empty(0, bool)
-        self.bits = max(1, int(len(self.vocabulary)).bit_length())
-        self.per = max(1, 62 // self.bits)
-
-    def keys(self, words: np.ndarray, at: np.ndarray, level: int) -> np.ndarray:
-        """``per`` words from word ``level * per`` on in one integer; nothing counts after a 0."""
+    def __init__(self, words: np.ndarray):
+        n = len(words)
+        self.words = words
+        zero = np.flatnonzero(words == 0)
+        self.left = zero[np.searchsorted(zero, np.arange(n))] - np.arange(n)
+        self._sums = np.zeros(n + 1, dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            np.cumsum(mix(words.astype(np.uint64)) * powers(n + 1)[0][:n], out=self._sums[1:])
+        self._back = powers(n + 1)[1]
+
+    def hash(self, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (self._sums[at + size] - self._sums[at]) * self._back[at]
+
+    def common(self, at: np.ndarray, other: Sequence, place: np.ndarray, most: np.ndarray | None = None) -> np.ndarray:
+        """Words that the texts share from these places on, at most ``most``: found by halving, not word by word."""
+        room = np.minimum(self.left[at], other.left[place])
+        room = room if most is None else np.minimum(room, most)
         out = np.zeros(len(at), dtype=np.int64)
-        alive = np.ones(len(at), dtype=bool)
-        last = len(words) - 1
-        for j in range(self.per):
-            w = words[np.minimum(at + (level * self.per + j), last)]
-            alive &= w != 0
-            out = (out << self.bits) | np.where(alive, w, 0)
+        step = 1 << int(room.max(initial=0)).bit_length()
+        while step := step >> 1:
+            todo = np.flatnonzero(out + step <= room)
+            more = out[todo] + step
+            out[todo[self.hash(at[todo], more) == other.hash(place[todo], more)]] += step
         return out
 
 
-class SuffixArray:
-    """Suffixes of a shard's words in order, compared over ``tests.longest`` words."""
-
-    def __init__(self, tests: TestSet, words: np.ndarray):
-        self.tests, self.words = tests, words
-        at = np.flatnonzero(words)
-        self.levels = -(-max(tests.longest, 1) // tests.per)
-        key = tests.keys(words, at, 0)
-        order = np.argsort(key, kind="stable")
-        self.at, self.key = at[order], key[order]
-        self._refine()
+class SuffixArray(Sequence):
+    """The suffixes of texts in order; deeper than ``depth`` words they may stand in any."""
 
-    def _refine(self) -> None:
-        t = self.tests
-        full = lambda k: (k & ((1 << t.bits) - 1)) != 0  # noqa: E731  the last word of the key is there
+    def __init__(self, words: np.ndarray, depth: int):
+        super().__init__(words)
+        self.at = np.flatnonzero(words)
+        rank = np.zeros(len(words) + 1, dtype=np.int64)
+        rank[: len(words)] = words
+        order = np.argsort(rank[self.at], kind="stable")
+        self.at, size = self.at[order], 1
         new = np.ones(len(self.at), dtype=bool)
-        new[1:] = self.key[1:] != self.key[:-1]
-        open_ = full(self.key)
-        for level in range(1, self.levels):
-            tied = open_ & ~(new & np.append(new[1:], True))
-            rows = np.flatnonzero(tied)
+        new[1:] = words[self.at[1:]] != words[self.at[:-1]]
+        # each turn orders by twice as many words, by the ranks of both halves
+        while size < depth:
+            rows = np.flatnonzero(~(new & np.append(new[1:], True)) & (self.left[self.at] >= size))
             if not len(rows):
-                return
-            group = np.cumsum(new)[rows]
-            key = t.keys(self.words, self.at[rows], level)
-            order = np.lexsort((key, group))
-            self.at[rows] = self.at[rows][order]
-            key = key[order]
-            change = np.ones(len(rows), dtype=bool)
-            change[1:] = (group[1:] != group[:-1]) | (key[1:] != key[:-1])
-            new[rows] = change
-            open_[:] = False
-            open_[rows] = full(key)
-
-    def _compare(self, rank: np.ndarray, query: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """-1, 0, 1: the suffixes of these ranks against the first ``length`` words of the queries."""
-        t = self.tests
-        out = np.zeros(len(rank), dtype=np.int8)
-        todo = np.arange(len(rank))
-        for level in range(self.levels):
-            left = length[todo] - level * t.per
-            todo, left = todo[left > 0], left[left > 0]
-            if not len(todo):
                 break
-            mine = self.key[rank[todo]] if level == 0 else t.keys(self.words, self.at[rank[todo]], level)
-            shift = t.bits * (t.per - np.minimum(left, t.per))
-            a, b = mine >> shift, t.keys(t.word, query[todo], level) >> shift
-            out[todo] = np.sign(a - b)
-            todo = todo[a == b]
-        return out
-
-    def bound(self, query: np.ndarray, length: np.ndarray, upper: bool) -> np.ndarray:
-        """The first rank whose suffix is not before (upper: is after) the query's first words."""
-        lo, hi = np.zeros(len(query), dtype=np.int64), np.full(len(query), len(self.at), dtype=np.int64)
+            at, group = self.at[rows], np.cumsum(new)[rows]
+            second = rank[at + size]
+            order = np.lexsort((second, group))
+            self.at[rows], second = at[order], second[order]
+            new[rows] = np.append(True, (group[1:] != group[:-1]) | (second[1:] != second[:-1]))
+            # suffixes that ended before are first in their group and equal to one another
+            rank[self.at] = np.cumsum(new)
+            size *= 2
+        self.first = words[self.at]
+
+    def bound(self, other: Sequence, place: np.ndarray, length: np.ndarray, upper: bool) -> np.ndarray:
+        """The first rank whose suffix is not before (upper: is after) the first words of the other's suffixes, by binary search."""
+        # the ranks that share the first word
+        word = other.words[place]
+        lo, hi = np.searchsorted(self.first, word, side="left"), np.searchsorted(self.first, word, side="right")
         while True:
             open_ = np.flatnonzero(lo < hi)
             if not len(open_):
                 return lo
             mid = (lo[open_] + hi[open_]) >> 1
-            c = self._compare(mid, query[open_], length[open_])
-            right = (c <= 0) if upper else (c < 0)
+            mine, p, n = self.at[mid], place[open_], length[open_]
+            k = self.common(mine, other, p, n)
+            # the first words that differ; the end of a text is before any word
+            a, b = self.words[mine + k], np.where(k < n, other.words[p + np.minimum(k, n - 1)], 0)
+            right = np.where(k >= n, upper, a < b)
             lo[open_[right]] = mid[right] + 1
             hi[open_[~right]] = mid[~right]
 
-    def common(self, at: np.ndarray, query: np.ndarray) -> np.ndarray:
-        """Words that suffixes at these places share with the queries from the start on."""
-        out = np.zeros(len(at), dtype=np.int64)
-        todo, j = np.arange(len(at)), 0
-        a, b = self.words, self.tests.word
-        while len(todo):
-            x, y = a[np.minimum(at[todo] + j, len(a) - 1)], b[np.minimum(query[todo] + j, len(b) - 1)]
-            todo = todo[(x == y) & (x != 0)]
-            out[todo] += 1
-            j += 1
-        return out
-
-    def longest(self) -> tuple[np.ndarray, np.ndarray]:
-        """For every test suffix the length of its longest verbatim match here, and its place."""
-        t = self.tests
-        if not len(self.at) or not len(t.suffix):
-            return np.zeros(len(t.suffix), np.int64), np.zeros(len(t.suffix), np.int64)
-        rank = self.bound(t.suffix, t.left, upper=False)
+    def longest(self, other: Sequence, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each of the other's suffixes the length of its longest match here, and the place of one such match."""
+        if not len(self.at) or not len(place):
+            return np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+        rank = self.bound(other, place, other.left[place], upper=False)
         near = [self.at[np.clip(rank + d, 0, len(self.at) - 1)] for d in (-1, 0)]
-        size = [self.common(p, t.suffix) for p in near]
+        size = [self.common(p, other, place) for p in near]
         return np.maximum(*size), np.where(size[1] >= size[0], near[1], near[0])
 
 
+    def only(self, keep: np.ndarray) -> SuffixArray:
+        """The array of a part of the suffixes."""
+        out = copy.copy(self)
+        out.at, out.first = self.at[keep], self.first[keep]
+        return out
+
+
+class TestSet:
+    """A block of benchmark items as word numbers, and their distinct windows."""
+
+    __test__ = False
+
+    def __init__(self, ids: list[str], texts: pa.Array, window: int = WINDOW):
+        data, at = utf8(texts)
+        w = Words(data, at, ALNUM)
+        h, n = w.hashes(), w.count
+        order = sorted(range(len(ids)), key=lambda i: ids[i])
+        self.ids = [ids[i] for i in order]
+        #: Of each item, where its id stands in order.
+        self.rank = np.empty(len(ids), np.int64)
+        self.rank[order] = np.arange(len(ids))
+        self.vocabulary, word = np.unique(h, return_inverse=True)
+        item = w.doc
+        place = np.arange(len(h)) + item
+        words = np.zeros(len(h) + len(n) + 1, dtype=np.int64)
+        words[place] = word + 1
+        longest = int(n.max()) if len(n) else 0
+        self.suffixes = SuffixArray(words, longest)
+        self.whole = window
+        self.long = self.suffixes.only(self.suffixes.left[self.suffixes.at] >= window)
+        self.item = np.zeros(len(words), dtype=np.int64)
+        self.item[place] = item
+        self.begin = np.concatenate([[0], np.cumsum(n + 1)])[:-1]
+        # suffixes that start a window: ``window`` words, or a whole item of fewer; equal windows are one class
+        size = np.minimum(n, window)[self.item[self.suffixes.at]] if len(n) else np.empty(0, np.int64)
+        keep = self.suffixes.left[self.suffixes.at] >= size
+        starts, size = self.suffixes.at[keep], size[keep]
+        if len(starts):
+            key = self.suffixes.hash(starts, size)
+            _, self.window, of = np.unique(np.stack([key, size.astype(np.uint64)]), axis=1, return_index=True, return_inverse=True)
+            self.size, self.window = size[self.window], starts[self.window]
+        else:
+            self.window, self.size, of = starts, size, np.empty(0, np.int64)
+        #: (class, rank of an item's id), distinct, by class.
+        self.members = np.unique(np.stack([of.reshape(-1), self.rank[self.item[starts]]], axis=1), axis=0)
+
+
 def _spans(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def _search(tests: TestSet, text: pa.Array) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[set[str]], np.ndarray]:
-    """For each text of a shard: number of words, hit spans of words, items found, longest match."""
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges, and which range each is of."""
+    many = hi - lo
+    which = np.repeat(np.arange(len(lo)), many)
+    return np.repeat(lo - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(int(many.sum())), which
+
+
+def _search(tests: TestSet, text: pa.Array) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[set[str]], list[tuple]]:
+    """For each text of a shard: number of words, hit spans of words, items found, longest match (words, place, item, place in it)."""
     pieces, counts = [], []
     for _, _, data, at in blocks(text):
         w = Words(data, at, ALNUM)
@@ -175,31 +196,80 @@ def _search(tests: TestSet, text: pa.Array) -> tuple[np.ndarray, list[list[tuple
     begin = np.concatenate([[0], np.cumsum(n + 1)])
     spans: list[list[tuple[int, int]]] = [[] for _ in n]
     items: list[set[str]] = [set() for _ in n]
-    best = np.zeros(len(n), dtype=np.int64)
-    array = SuffixArray(tests, words)
-    size, _ = array.longest()
-    pick = np.flatnonzero(tests.is_window & (size >= tests.window)) if len(size) else np.empty(0, np.int64)
+    best: list[tuple] = [NONE for _ in n]
+    array = SuffixArray(words, int(tests.suffixes.left.max(initial=0)))
+    # every test suffix: how long it occurs in this shard; only windows that do are looked up
+    size, _ = array.longest(tests.suffixes, tests.suffixes.at)
+    longest = np.zeros(len(tests.suffixes.words), dtype=np.int64)
+    longest[tests.suffixes.at] = size
+    pick = np.flatnonzero(longest[tests.window] >= tests.size)
     if len(pick):
-        q, length = tests.suffix[pick], tests.window[pick]
-        lo, hi = array.bound(q, length, upper=False), array.bound(q, length, upper=True)
-        many = hi - lo
-        which = np.repeat(np.arange(len(pick)), many)
-        rank = np.repeat(lo - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(int(many.sum()))
+        q, length = tests.window[pick], tests.size[pick]
+        rank, which = _ranges(array.bound(tests.suffixes, q, length, upper=False), array.bound(tests.suffixes, q, length, upper=True))
         place = array.at[rank]
         change = np.zeros(len(words) + 1, dtype=np.int64)
         np.add.at(change, place, 1)
         np.add.at(change, place + length[which], -1)
         doc = np.searchsorted(begin, place, side="right") - 1
-        np.maximum.at(best, doc, array.common(place, q[which]))
         for start, end in zip(*_spans(np.cumsum(change[:-1]) > 0), strict=True):
             d = int(np.searchsorted(begin, start, side="right") - 1)
             spans[d].append((int(start - begin[d]), int(end - begin[d])))
-        pairs = np.unique(np.stack([doc, tests.item[pick][which]], 1), axis=0)
-        for d, i in pairs.tolist():
+        found = np.unique(np.stack([doc, pick[which]], 1), axis=0)
+        member, row = _ranges(np.searchsorted(tests.members[:, 0], found[:, 1]), np.searchsorted(tests.members[:, 0], found[:, 1], side="right"))
+        for d, i in zip(found[row, 0].tolist(), tests.members[member, 1].tolist(), strict=True):
             items[d].add(tests.ids[i])
+        for d, x in _longest(tests, array, begin, place, pick[which]):
+            best[d] = x
     return n, spans, items, best
 
 
+#: Without a match: (words, place, item, place in it).
+NONE = (0, -1, "", -1)
+
+
+def _longest(tests: TestSet, array: SuffixArray, begin: np.ndarray, place: np.ndarray, window: np.ndarray) -> Iterator[tuple[int, tuple]]:
+    """For each document with occurrences (place, class of the window) its longest match that starts with one.
+
+    Of equally long ones the first in the document, then the smallest item id, then the first place in that item.
+    """
+    order = np.lexsort((-tests.size[window], place))
+    first = order[np.append(True, place[order][1:] != place[order][:-1])]
+    place, window = place[first], window[first]
+    # an item shorter than a window matches as a whole; others may go on behind it
+    size = tests.size[window]
+    at = np.flatnonzero(size >= tests.whole)
+    size[at] = tests.long.longest(array, place[at])[0]
+    doc = np.searchsorted(begin, place, side="right") - 1
+    order = np.lexsort((place, -size, doc))
+    first = order[np.append(True, doc[order][1:] != doc[order][:-1])]
+    place, size, doc, window = place[first], size[first], doc[first], window[first]
+    for k in np.flatnonzero(size < tests.whole).tolist():
+        member = int(np.searchsorted(tests.members[:, 0], window[k]))
+        yield int(doc[k]), (int(size[k]), int(place[k] - begin[doc[k]]), tests.ids[int(tests.members[member, 1])], 0)
+    at = np.flatnonzero(size >= tests.whole)
+    place, size, doc = place[at], size[at], doc[at]
+    rank, which = _ranges(tests.long.bound(array, place, size, upper=False), tests.long.bound(array, place, size, upper=True))
+    there = tests.long.at[rank]
+    order = np.lexsort((there - tests.begin[tests.item[there]], tests.rank[tests.item[there]], which))
+    first = order[np.append(True, which[order][1:] != which[order][:-1])] if len(order) else order
+    for k, t in zip(which[first].tolist(), there[first].tolist(), strict=True):
+        d, i = int(doc[k]), int(tests.item[t])
+        yield d, (int(size[k]), int(place[k] - begin[d]), tests.ids[int(tests.rank[i])], int(t - tests.begin[i]))
+
+
+_LONGEST = ("longest", "longest_at", "longest_item", "longest_item_at")
+
+
+class _Last(str):
+    """Text in reverse order, so that the greatest is the smallest."""
+
+    def __lt__(self, other: str) -> bool:
+        return str.__gt__(self, other)
+
+    def __gt__(self, other: str) -> bool:
+        return str.__lt__(self, other)
+
+
 def _merged(a: list, b: list) -> list:
     out: list = []
     for s, e in sorted([*a, *b]):
@@ -210,7 +280,7 @@ def _merged(a: list, b: list) -> list:
     return out
 
 
-_FOUND = "n_words long, spans array<struct<start:bigint,stop:bigint>>, items array<string>, longest long"
+_FOUND = (("n_words", "long"), ("spans", "array<struct<start:bigint,stop:bigint>>"), ("items", "array<string>"), ("longest", "long"), ("longest_at", "long"), ("longest_item", "string"), ("longest_item_at", "long"))
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -218,13 +288,19 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
     n_words; spans (word ranges inside occurrences of windows, merged, end exclusive); items (ids of
     items with an occurring window, sorted); longest (words of the longest verbatim match that starts with
-    a window). Null and empty texts have no words and share nothing; items without words have no window; a
-    null item_id is listed as ``null``. Repeated rows are searched each. An empty benchmark shares nothing.
+    a window), longest_at (its first word in the document), longest_item and longest_item_at (where it stands in the
+    benchmark): of equally long matches the first in the document, of its sources the smallest id, then the first place (0, -1, '' and -1 without a match).
+    Null and empty texts have no words and share nothing; items without words have no window; a
+    null item_id is listed as ``null``. Repeated rows are searched each, long texts whole. Items that share an id are
+    listed once. An empty benchmark shares nothing, an empty table gives an empty result. The input's columns stand in ``_row``,
+    so their names cannot clash.
+
+    A benchmark of more than BENCH_BYTES takes several passes over the documents, each written to the shared folder.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    rows = packed(docs, "text").select("_row", F.col("text").alias("_text"), *[F.lit(None).cast(t).alias(c) for c, t in (("n_words", "long"), ("spans", "array<struct<start:bigint,stop:bigint>>"), ("items", "array<string>"), ("longest", "long"))])
-    schema = f"_row {rows.schema['_row'].dataType.simpleString()}, _text string, {_FOUND}"
+    rows = packed(docs, "text").select("_row", F.col("text").alias("_text"), *[F.lit(None).cast(t).alias(c) for c, t in _FOUND])
+    schema = f"_row {rows.schema['_row'].dataType.simpleString()}, _text string, " + ", ".join(f"{c} {t}" for c, t in _FOUND)
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     size = items.agg(F.sum(F.octet_length("text") + F.lit(16))).first()[0] or 0
     n_blocks = max(1, -(-size // BENCH_BYTES))
@@ -233,6 +309,9 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         block = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)) == k).toArrow()
         held = spark.sparkContext.broadcast((block.column("id").to_pylist(), block.column("text").combine_chunks()))
         rows = rows.mapInArrow(_pass(held, window), schema)
+        if k < n_blocks - 1:
+            rows = stored(rows, "overlaps")
+            held.unpersist()
     return rows.drop("_text")
 
 
@@ -260,19 +339,19 @@ def _shard(tests: TestSet, parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBat
     table = pa.Table.from_batches(parts)
     text = pa.concat_arrays(table.column("_text").chunks) if table.column("_text").num_chunks else pa.array([], pa.string())
     n, spans, items, best = _search(tests, text)
-    before = table.select(["spans", "items", "longest"]).to_pylist() if table.column("n_words").null_count < table.num_rows else None
+    before = table.select(["spans", "items", *_LONGEST]).to_pylist() if table.column("n_words").null_count < table.num_rows else None
     if before:
         for i, x in enumerate(before):
             spans[i] = _merged(spans[i], [(s["start"], s["stop"]) for s in x["spans"] or []])
             items[i] |= set(x["items"] or [])
-            best[i] = max(best[i], x["longest"] or 0)
+            best[i] = max(best[i], tuple(x[c] for c in _LONGEST), key=lambda m: (m[0], -m[1], _Last(m[2]), -m[3]))
     span = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
     new = {
         "n_words": pa.array(n, pa.int64()),
         "spans": pa.array([[{"start": s, "stop": e} for s, e in x] for x in spans], pa.list_(span)),
         "items": pa.array([sorted(x) for x in items], pa.list_(pa.string())),
-        "longest": pa.array(best, pa.int64()),
     }
+    new |= {c: pa.array([x[i] for x in best], pa.string() if c == "longest_item" else pa.int64()) for i, c in enumerate(_LONGEST)}
     table = table.select(["_row", "_text"])
     for name, column in new.items():
         table = table.append_column(name, column)
@@ -284,10 +363,10 @@ def n_hit() -> Column:
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """The contract's columns from ``find_overlaps``, with the longest match after them."""
+    """The contract's columns from ``find_overlaps``, with the longest match and its places after them."""
     return found.select(
         "_row.doc_id", "n_words", n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"), "longest",
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"), *_LONGEST,
     )
 
 

@@ -29,7 +29,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return decontaminate.digest(decontaminate.find_overlaps(docs, table(spark, sf_dir, "benchmark"))).drop("longest")
+    return decontaminate.digest(decontaminate.find_overlaps(docs, table(spark, sf_dir, "benchmark")))
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,18 +63,22 @@ def queries() -> dict:
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-#: Every window of every text against every window of every item.
+#: Every window of every text against every window of every item. Windows that follow one another in both are one
+#: longer match.
 OVERLAPS = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
-b AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
-i AS (SELECT item, w, least(10, len(w)) AS k FROM b WHERE len(w) > 0),
-iw AS (SELECT DISTINCT item, k, array_to_string(w[j:j + k - 1], ' ') AS s FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS j FROM i)),
+b AS (SELECT row_number() OVER () AS bid, coalesce(CAST(item_id AS VARCHAR), 'null') AS item, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+i AS (SELECT bid, item, w, least(10, len(w)) AS k FROM b WHERE len(w) > 0),
+iw AS (SELECT bid, item, k, i, array_to_string(w[i:i + k - 1], ' ') AS s FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM i)),
 dw AS (SELECT rid, k, j, array_to_string(w[j:j + k - 1], ' ') AS s FROM (SELECT d.*, k, unnest(range(1, len(w) - k + 2)) AS j FROM d JOIN (SELECT DISTINCT k FROM i) ks ON len(w) >= k)),
-h AS (SELECT rid, item, dw.k, j FROM dw JOIN iw ON dw.k = iw.k AND dw.s = iw.s),
+h AS (SELECT rid, bid, item, dw.k, j, i FROM dw JOIN iw ON dw.k = iw.k AND dw.s = iw.s),
 n AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(j, j + k)) AS p FROM h) GROUP BY rid),
-t AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM h) GROUP BY rid)
-SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
-FROM d LEFT JOIN n USING (rid) LEFT JOIN t USING (rid)"""
+t AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM h) GROUP BY rid),
+m AS (SELECT rid, item, min(j) AS j, min(i) AS i, k + count(*) - 1 AS size FROM (SELECT *, j - row_number() OVER (PARTITION BY rid, bid, j - i ORDER BY j) AS island FROM h) GROUP BY rid, bid, item, k, j - i, island),
+l AS (SELECT rid, size, j - 1 AS j, item, i - 1 AS i FROM m QUALIFY row_number() OVER (PARTITION BY rid ORDER BY size DESC, j, item, i) = 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated,
+  coalesce(size, 0) AS longest, coalesce(j, -1) AS longest_at, coalesce(l.item, '') AS longest_item, coalesce(l.i, -1) AS longest_item_at
+FROM d LEFT JOIN n USING (rid) LEFT JOIN t USING (rid) LEFT JOIN l USING (rid)"""
 
 #: All pairs that share a shingle, then everything that can be reached.
 COMPONENTS = f"""
