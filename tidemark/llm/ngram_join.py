@@ -38,6 +38,9 @@ COMMON = 4
 FREQUENT, MAX_FREQUENT = 12, 1_000_000
 #: Numbers of 64 parity bits for each set, and hubs for each size class of a long list.
 PARITIES, HUBS = 4, 4
+#: Hubs that a group is compared with in the first round, those it shares the most lists with. It may find its other partners
+#: in the second round only.
+MET_HUBS = 8
 #: Lists before one in which a pair is looked for, so that it is not met in both.
 EARLIER = 16
 #: Longer lists of groups for one shingle are joined through hubs.
@@ -218,8 +221,9 @@ def postings(groups: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(short, long): ``t, g, n, i`` of the shingles that two groups or more hold in their prefixes; long with ``often``."""
     flat = groups.select("g", "n", F.posexplode(F.arrays_zip("prefix", "often")).alias("i", "x")).select(F.col("x.prefix").alias("t"), "g", "n", F.col("i").cast("long").alias("i"), F.col("x.often").alias("often"))
     # those not known as frequent have bounded lists, but for what the counting left out
-    rare = flat.where(~F.col("often")).drop("often").withColumn("c", F.count("*").over(Window.partitionBy("t"))).where("c > 1")
-    rare = stored(rare, "jaccard-rare")
+    rare = flat.where(~F.col("often")).drop("often")
+    held = stored(rare.groupBy("t").agg(F.count("*").alias("c")).where("c > 1"), "jaccard-held")  # counted before the shuffle, however long a list is
+    rare = stored(rare.join(held, "t"), "jaccard-rare")
     often = stored(flat.where("often").unionByName(rare.where(F.col("c") > LONG_LIST).drop("c").withColumn("often", F.lit(False))), "jaccard-often")
     size = often.groupBy("t").agg(F.count("*").alias("c")).where("c > 1")
     long_ = stored(often.join(stored(size, "jaccard-lengths"), "t").where(F.col("c") > 1).drop("c"), "jaccard-long")
@@ -291,7 +295,9 @@ def hub_pairs(long_: DataFrame, info: DataFrame, threshold: tuple[int, int]) ->
     draw = lambda j: [F.xxhash64("g", "t", F.lit(j)).alias("h"), F.col("g")]
     least = [F.min(F.struct(*(["s"] if j % 2 == 0 else []), *draw(j)))["g"] for j in range(HUBS)]
     hubs = stored(sized.groupBy("t", "w").agg(F.array_distinct(F.array(*least)).alias("hubs")).withColumn("hub", F.col("hubs")[0]), "jaccard-hubs")
-    own = sized.join(hubs, ["t", "w"]).select(F.col("g").alias("a"), F.explode("hubs").alias("b"))
+    own = sized.join(hubs, ["t", "w"]).select(F.col("g").alias("a"), F.explode("hubs").alias("b")).where("a <> b").groupBy("a", "b").agg(F.count("*").alias("lists"))
+    most = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("lists"), F.xxhash64("a", "b")))
+    own = own.withColumn("_k", most).where(F.col("_k") <= MET_HUBS).select("a", "b")
     next_ = hubs.alias("x").join(hubs.alias("y"), (F.col("x.t") == F.col("y.t")) & (F.col("x.w") + 1 == F.col("y.w"))).select(F.col("x.hub").alias("a"), F.col("y.hub").alias("b"))
     both = own.unionByName(next_).where("a <> b")
     both = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
