@@ -69,6 +69,18 @@ def held_out(doc_id: Column, modulus: int, rest: int) -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(modulus)) == rest
 
 
+def labelled(docs: DataFrame, known: DataFrame, label: str, rows: int) -> DataFrame:
+    """``doc_id, text`` and the label of at most ``rows`` ids of either class (0, 1) of ``known``, those with the smallest id hashes.
+
+    One row for each id that ``docs`` holds: of several texts the smallest (null only if there is no other), so that
+    an id that many rows repeat stays one row and reruns agree.
+    """
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = [known.where(F.col(label) == y).orderBy(*order).limit(rows) for y in (0, 1)]
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")  # at most 2 x rows ids
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.min(label).alias(label))
+
+
 def packed(docs: DataFrame, *needed: str) -> DataFrame:
     """The row as one struct ``_row`` beside copies of the needed columns (null where absent).
 
