@@ -1,8 +1,14 @@
+import math
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.helpers import ODD, docs
+from tests.llm.helpers import ALNUM, ODD, docs, lower
 from tidemark.llm import compression, toxicity
-from tidemark.llm.base import held_out, table
+from tidemark.llm.base import held_out, stored, table
 
 SF = "/root/testdata/sf0.01"
 
@@ -29,17 +35,61 @@ def test_quality_odd_texts(spark):
 
 def test_dictionaries_hold_what_stands_behind_the_opening():
     opening, junk = b"A usual first line. " * 20, [b"<<%05d$$>>" % (i * 7919 % 100000) * 40 for i in range(3000)]
-    got = compression._dictionaries([(0, i, opening + j) for i, j in enumerate(junk)] + [(1, 9999, b"short")])
+    texts = [opening + j for j in junk]
+    shares = compression._shares([len(t) + 1 for t in texts], compression.DICT_BYTES)
+    rows = [(0, compression._slices(i, t, n - 1)) for i, (t, n) in enumerate(zip(texts, shares, strict=True))]
+    got = compression._dictionaries([*rows, (1, [b"short"])])
     assert got[0] == b"short" and compression.DICT_BYTES * 0.98 < len(got[1]) <= compression.DICT_BYTES
     assert sum(j[2:7] in got[1] for j in junk) > 1000
     assert b"usual first line" in got[1] and got[3] == got[1].translate(compression._SHAPE)
 
 
-def test_pieces_come_from_all_over_long_texts(spark):
-    d = docs(spark, ["".join(f"{i:06d} " for i in range(20000))] * 60)
-    got, _ = compression.training_sample(d, d.selectExpr("doc_id", "1 AS quality"))
-    places = {int(w) for r in got for w in r["t"].split() if len(w) == 6}
-    assert len(places) > 10000 and min(places) < 2000 and max(places) > 18000
+def test_whole_training_texts_of_one_row_an_id(spark):
+    d = docs(spark, ["".join(f"{i:06d} " for i in range(20000))] * 6 + [None])
+    d = d.union(d.selectExpr("doc_id", "'z another text'", "lang", "source", "n_chars"))
+    texts, total = compression.training_sample(d, d.selectExpr("doc_id", "doc_id % 2 AS quality"))
+    got = texts.collect()
+    assert len({r["doc_id"] for r in got}) == len(got) and sum(total.values()) >= len(got) > 2
+    assert all(len(r["text"]) == 140_000 or r["doc_id"] == 6 for r in got)  # the smaller of the two, uncut
+    m = [compression.Model([b"some text", b"other text", b"aaaa aaaa", b"aaaaa aaaa"])] * compression.FOLDS
+    x = compression._measured(texts, m, {r["doc_id"]: 0 for r in got})
+    assert all(np.allclose(x[r["doc_id"]], m[0].features(r["text"].encode())) for r in got)
+
+
+def plain_score(chain, text):
+    """The chain walked link by link in plain Python, with features found by slicing."""
+    words = [w.encode() for w in ALNUM.findall(lower(text))]
+    row, bucket, _ = toxicity.features(pa.array([" ".join({w.decode() for w in words})] if words else [""]))
+    p = []
+    for link in chain.links:
+        e = [float(link.evidence[b]) for b in bucket]
+        z = [1.0, max([0.0, *e]), math.log1p(sum(max(x - 1.5, 0) for x in e)), math.log1p(sum(max(x - 4.0, 0) for x in e)), *p]
+        z = sum(a * b for a, b in zip(z, link.weights, strict=True)) + sum(float(link.own[b]) for b in bucket)
+        p.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
+    return p
+
+
+def test_chain_against_a_plain_walk_and_out_of_fold(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    common, bad = [word() for _ in range(60)], ["vile" + word() for _ in range(5)]
+    texts = [" ".join([rng.choice(common) for _ in range(20)] + ([rng.choice(bad)] * 3 + ["\n", rng.choice(bad)] if i % 3 == 0 else [])) for i in range(300)]
+    d = docs(spark, texts)
+    chain = toxicity.fit(d, d.selectExpr("doc_id", "IF(doc_id % 3 = 0, 1, 0) AS toxic"))
+    got = toxicity.score(d, chain).collect()
+    assert sum(r["toxic"] == (r["_row"]["doc_id"] % 3 == 0) for r in got) >= 295
+    for r in got[:40]:
+        assert [r[f"p_{c}"] for c in toxicity.CATEGORIES] == pytest.approx(plain_score(chain, r["_row"]["text"]), abs=1e-5)
+    # later links use what the earlier ones say
+    none = np.empty(0, np.int64)
+    with_, without = (chain.links[1].probability(none, none, 1, np.array([[p]]))[0] for p in (1.0, 0.0))
+    assert [len(x.weights) for x in chain.links] == [4, 5, 6] and with_ > without
+    # labels that nothing explains cannot be foretold out of fold
+    noise = stored(toxicity.sample_rows(d.selectExpr("doc_id", "text AS _text", "CAST(pmod(xxhash64(doc_id), 2) AS INT) AS y")), "t")
+    rows = sorted(noise.collect(), key=lambda r: r["doc_id"])
+    y, fold = np.array([float(r["y"]) for r in rows]), np.array([r["fold"] for r in rows])
+    _, oof = toxicity.fit_link(noise, y, fold, toxicity.bucket_counts(noise), np.zeros((300, 0)), np.ones(300), [r["doc_id"] for r in rows])
+    assert 0.35 < ((oof > 0.5) == y).mean() < 0.65
 
 
 def test_toxicity_on_rows_not_fitted_on(spark):

@@ -8,8 +8,9 @@ would soon replace the dictionary.
 
 Besides the text as it stands, its shape is compressed too (letters become ``a``, ``A`` or ``w``, digits ``0``),
 with a pair of dictionaries built from shapes: it shows layout junk in any language.
-The labelled sample is bounded by TRAIN_ROWS rows of at most PIECES pieces each, a dictionary by DICT_BYTES that are
-filled with slices from all over these pieces; whole texts are scored.
+The labelled sample is bounded by TRAIN_ROWS rows, a dictionary by DICT_BYTES that are
+filled with slices from all over these texts; whole texts are compressed for the calibration and for scores. Only slices
+and the differences of whole texts reach the driver.
 """
 
 from __future__ import annotations
@@ -23,12 +24,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import held_out, packed, small_batches, utf8
+from .base import held_out, labelled, packed, small_batches, stored, utf8
 
 #: Labelled rows of each class that are fitted on, those with the smallest id hashes.
 TRAIN_ROWS = 3000
-#: Bytes compressed at a time, and pieces of a training text, spread over its whole length.
-PIECE, PIECES = 1024, 8
+#: Bytes compressed at a time.
+PIECE = 1024
 #: Bytes of a dictionary, and of one slice of a training text in it.
 DICT_BYTES, SLICE = 400_000, 128
 LEVEL = 3
@@ -129,6 +130,8 @@ def _slices(key: int, text: bytes, size: int) -> list[bytes]:
     """
     if size >= len(text):
         return [text]
+    if not size:
+        return []
     n = max(1, size // SLICE)
     out = []
     for i in range(n):
@@ -139,62 +142,75 @@ def _slices(key: int, text: bytes, size: int) -> list[bytes]:
     return out
 
 
-def _dictionary(texts: list[tuple[int, bytes]]) -> bytes:
-    """At most DICT_BYTES of the texts (id, text), of each a share from all over it."""
-    shares = _shares([len(t) + 1 for _, t in texts], DICT_BYTES)
-    return b"\n".join(x for (key, t), size in zip(texts, shares, strict=True) for x in _slices(key, t, size - 1) if size > 1) or b" \n.,"
-
-
-def _dictionaries(rows: list[tuple[int, int, bytes]]) -> list[bytes]:
-    """Of good and bad texts, then of their shapes; rows are (q, id, text)."""
-    text = [_dictionary([(key, t) for q_, key, t in rows if q_ == q]) for q in (1, 0)]
+def _dictionaries(rows: list[tuple[int, list[bytes]]]) -> list[bytes]:
+    """Of good and bad texts, then of their shapes; rows are (q, slices of a text)."""
+    text = [b"\n".join(x for q_, slices in rows if q_ == q for x in slices) or b" \n.," for q in (1, 0)]
     return [*text, *[d.translate(_SHAPE) for d in text]]
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> list:
-    """At most ``rows`` labelled (q, text pieces) of each class outside the held-out part, by id hash.
+def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[DataFrame, dict[int, int]]:
+    """A stored table (doc_id, text, q) of at most ``rows`` labelled whole texts of each class outside the held-out part, and all labels by class.
 
-    ``labels`` with several rows for an id count as good only if all say so; null labels are left out.
+    ``labels`` with several rows for an id count as good only if all say so; null labels are left out. Of several texts of an id the
+    smallest is taken.
     """
-    known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), 4, 2)).groupBy("doc_id").agg(F.min("quality").alias("q"))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = None
+    known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), 4, 2)).groupBy("doc_id").agg(F.min("quality").cast("int").alias("q"))
     total = {r["q"]: r["n"] for r in known.groupBy("q").agg(F.count("*").alias("n")).collect()}
-    for q in (0, 1):
-        part = known.where(F.col("q") == q).orderBy(*order).limit(rows)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    n = F.length("text")
-    # one piece at a drawn place of each of PIECES equal parts
-    part = lambda i: F.floor(i * (n - PIECE) / F.lit(PIECES))
-    place = lambda i: part(i) + F.pmod(F.xxhash64("doc_id", i), part(i + 1) - part(i) + 1)
-    piece = lambda i: F.substring(F.col("text"), (F.lit(1) + place(i)).cast("int"), F.lit(PIECE))
-    pieces = F.when(n > PIECE * PIECES, F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), piece)).otherwise(F.array("text"))
-    # the chosen ids are at most 2 x rows
-    found = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    got = found.select("doc_id", "q", F.array_join(pieces, "\n").alias("t")).collect()
-    return sorted(got, key=lambda r: r["doc_id"]), total
+    return stored(labelled(docs, known, "q", rows).where(F.col("text").isNotNull()), "quality-texts"), total
+
+
+def _sliced(texts: DataFrame, share: dict) -> dict:
+    """Slices of each text by id, of as many bytes as its share: DICT_BYTES a class in all."""
+    held = texts.sparkSession.sparkContext.broadcast(share)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column("doc_id").to_pylist()
+            cut = [[x for x in _slices(i, t.encode(), held.value[i]) if x] for i, t in zip(ids, b.column("text").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(cut, pa.list_(pa.binary()))], names=["doc_id", "s"])
+
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    return {r["doc_id"]: [bytes(x) for x in r["s"]] for r in texts.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, s array<binary>").collect()}
+
+
+def _measured(texts: DataFrame, models: list[Model], fold: dict) -> dict:
+    """The features of each whole text by id, with the model of the folds that it is not in."""
+    held = texts.sparkSession.sparkContext.broadcast((models, fold))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ms, f = held.value
+        for b in batches:
+            x = [ms[f[i]].features(t.encode()) for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "x"])
+
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    return {r["doc_id"]: r["x"] for r in texts.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, x array<double>").collect()}
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Dictionaries from the sample; the calibration from texts outside the dictionaries, by folds.
+    """Dictionaries from the sample; the calibration from whole texts outside the dictionaries, by folds.
 
     With a class missing, every text scores the share of good labels (0.5 without labels).
     """
     small_batches(docs.sparkSession)
-    got, total = training_sample(docs, labels, rows)
-    rows_ = [(r["q"], r["doc_id"], r["t"].encode()) for r in got]
-    model = Model(_dictionaries(rows_))
-    y = np.array([float(q) for q, _, _ in rows_])
+    texts, total = training_sample(docs, labels, rows)
+    sizes = sorted((r["doc_id"], r["q"], r["n"]) for r in texts.select("doc_id", "q", F.octet_length("text").alias("n")).collect())
+    share = {}
+    for q in (0, 1):
+        mine = [(i, n) for i, q_, n in sizes if q_ == q]
+        share |= dict(zip([i for i, _ in mine], [max(0, x - 1) for x in _shares([n + 1 for _, n in mine], DICT_BYTES)], strict=True))
+    slices = _sliced(texts, share)
+    model = Model(_dictionaries([(q, slices[i]) for i, q, _ in sizes]))
+    y = np.array([float(q) for _, q, _ in sizes])
     if len(set(y)) < 2:
         good, all_ = total.get(1, 0), sum(total.values())
         p = (good + 0.5) / (all_ + 1)
         model.weights = np.array([np.log(p / (1 - p)), 0, 0, 0, 0, 0])
         return model
-    x = np.zeros((len(rows_), 3))
-    for k in range(FOLDS):
-        part = Model(_dictionaries([r for i, r in enumerate(rows_) if i % FOLDS != k]))
-        for i in range(k, len(rows_), FOLDS):
-            x[i] = part.features(rows_[i][2])
+    fold = {i: k % FOLDS for k, (i, _, _) in enumerate(sizes)}
+    parts = [Model(_dictionaries([(q, slices[i]) for i, q, _ in sizes if fold[i] != k])) for k in range(FOLDS)]
+    x = _measured(texts, parts, fold)
+    x = np.array([x[i] for i, _, _ in sizes])
     # each class counts as in all labels, so that the probability is right for them
     counts = {q: (y == q).sum() for q in (0.0, 1.0)}
     weight = np.array([total.get(int(q), 1) / counts[q] for q in y])
@@ -206,7 +222,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` as ``_row`` with ``score`` (0 to 1) and ``predicted`` (1 from the threshold on).
 
-    Null and empty texts score as a text without evidence. Repeated rows score alike.
+    Null and empty texts score as a text without evidence. Repeated rows score alike, long texts are read whole, a score at the
+    threshold counts as good. An empty table gives an empty result. The input's columns stand in ``_row``, so their names cannot clash.
     """
     spark = docs.sparkSession
     small_batches(spark)

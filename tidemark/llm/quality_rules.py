@@ -190,7 +190,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
     small_batches(docs.sparkSession)
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").cast("int").alias("q"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", F.col("text").alias("_text"), "q")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``rows`` ids
+    # of several texts of an id the smallest
+    found = found.groupBy("doc_id").agg(F.min("text").alias("_text"), F.min("q").alias("q"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -207,7 +209,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
 def judge(docs: DataFrame, trees: Trees, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` as ``_row`` with the base statistics, base_failed, score and kept.
 
-    A null or empty text has no words and fails the base rules. Repeated rows are judged alike.
+    A null or empty text has no words and fails the base rules. Repeated rows are judged alike, long texts are read whole, a score at
+    the threshold is kept. An empty table gives an empty result. The input's columns stand in ``_row``, so their names cannot clash.
     """
     spark = docs.sparkSession
     small_batches(spark)
