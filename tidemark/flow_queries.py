@@ -118,10 +118,10 @@ _flow("project_fields", lambda f: select.project(f, "id,proto,saddr,daddr,sbytes
 _flow("filter_trigger", lambda f: select.named_filter(f, "trigger").select("id", "trigger"), "SELECT id, trigger FROM flow WHERE trigger > 0")
 _flow("filter_severe", lambda f: select.named_filter(f, "severe").select("id", "hbos_severity"), "SELECT id, hbos_severity FROM flow WHERE hbos_severity > 0")
 _flow("split_tcp", lambda f: select.split(f, [{"proto": "tcp", "path": "t"}, {"proto": "udp", "path": "u"}])["t"].select("id", "proto"), "SELECT id, proto FROM flow WHERE proto = 'tcp'")
-_flow("exclude_columns", lambda f: f.drop("stime", "ndpi_risk_bits", "tag"), "SELECT * EXCLUDE (stime, ndpi_risk_bits) FROM flow")
-_flow("prefix_match", lambda f: f.where(F.col("daddr").startswith("192.168.")).select("id", "daddr"), "SELECT id, daddr FROM flow WHERE starts_with(daddr, '192.168.')")
+_flow("exclude_columns", lambda f: select.without(f, "stime", "ndpi_risk_bits", "tag"), "SELECT * EXCLUDE (stime, ndpi_risk_bits) FROM flow")
+_flow("prefix_match", lambda f: select.starting_with(f, "daddr", "192.168.").select("id", "daddr"), "SELECT id, daddr FROM flow WHERE starts_with(daddr, '192.168.')")
 _flow("handshake", lambda f: f.where(select.handshake()).select("id", "proto", "iflags"), "SELECT id, proto, iflags FROM flow WHERE proto <> 'tcp' OR starts_with(iflags, 'Ss')")
-_flow("protocol_list", lambda f: f.where(F.col("proto").isin("udp", "tcp")).select("id", "proto"), "SELECT id, proto FROM flow WHERE proto IN ('udp', 'tcp')")
+_flow("protocol_list", lambda f: select.of_protocols(f, "udp", "tcp").select("id", "proto"), "SELECT id, proto FROM flow WHERE proto IN ('udp', 'tcp')")
 _flow("baseline_rows", lambda f: select.baseline_rows(f).select("id", "hbos_severity"), "SELECT id, hbos_severity FROM flow WHERE hbos_severity < 4")
 _flow("retention_days", lambda f: select.recent_days(f, _as_of(), 7).select("id", "stime"), f"SELECT id, stime FROM flow WHERE date_trunc('day', stime) > CAST({_REST} AS TIMESTAMP) - INTERVAL 7 DAY")
 _flow("retention_age", lambda f: select.not_older(f, _as_of(), 10).select("id", "stime"), f"SELECT id, stime FROM flow WHERE stime >= CAST({_REST} AS TIMESTAMP) - INTERVAL 10 DAY")
@@ -271,9 +271,9 @@ _flow("pipeline_analyse", lambda f: analyse(_untagged(f), TAGS, RULES, model.bui
 
 # ---------------------------------------------------------------- samples and bins
 
-_number = lambda: F.regexp_extract("id", r"(\d+)$", 1).cast("long")
+_number = lambda: F.regexp_extract("id", r"(\d+)$", 1).cast("long") * 7919
 _flow("sample_strata", lambda f: sample.sample_strata(f, _as_of(), 5, 7, _number()).select("id", "observe", "dvlan", "proto"),
-      f"SELECT id, observe, dvlan, proto FROM flow WHERE hbos_severity < 4 AND date_trunc('day', stime) > CAST({_REST} AS TIMESTAMP) - INTERVAL 7 DAY AND CAST(substr(id, 3) AS BIGINT) % 10000 < 500")
+      f"SELECT id, observe, dvlan, proto FROM flow WHERE hbos_severity < 4 AND date_trunc('day', stime) > CAST({_REST} AS TIMESTAMP) - INTERVAL 7 DAY AND CAST(substr(id, 3) AS BIGINT) * 7919 % 10000 < 500")
 _G = list(GROUP)
 _gs = ", ".join(_G)
 BINS = 8
@@ -290,7 +290,7 @@ _flow("equal_freq_counts", lambda f: binning.bin_counts(f, kept(binning.equal_fr
 
 def _given_bins(f: DataFrame) -> DataFrame:
     """Four bins a group by quarter of the value range, empty ones left out."""
-    return f.groupBy(*_G, F.floor(F.col("dur") / 15000).cast("int").alias("bin")).agg(F.min("dur").cast("double").alias("low"), F.max("dur").cast("double").alias("high"), F.count("*").alias("frequency"))
+    return binning.bin_frequency(f, _G, "dur", (0, 15000, 30000, 45000, 60000))
 
 
 _BINS = f", bn AS (SELECT {_gs}, CAST(floor(dur / 15000.0) AS INT) AS bin, min(dur)::DOUBLE AS low, max(dur)::DOUBLE AS high, count(*) AS frequency FROM flow GROUP BY {_gs}, floor(dur / 15000.0))"

@@ -30,6 +30,18 @@ def ipv4_number(text: Column) -> Column:
     return F.when(text.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), number)
 
 
+def ipv6_hex(text: Column) -> Column:
+    """32 lower-case hex digits of an IPv6 address, with or without ``::`` and a zone; null for anything else."""
+    bare = F.lower(F.regexp_replace(text, "%.*$", ""))
+    full = lambda part: F.transform(F.filter(F.split(part, ":"), lambda g: g != ""), lambda g: F.lpad(g, 4, "0"))
+    halves = F.split(bare, "::")
+    left, right = full(halves[0]), full(F.coalesce(F.get(halves, F.lit(1)), F.lit("")))
+    missing = 8 - F.size(left) - F.size(right)
+    middle = F.array_repeat(F.lit("0000"), F.greatest(missing, F.lit(0)))
+    good = bare.rlike("^[0-9a-f:]{2,39}$") & ~bare.rlike("[0-9a-f]{5}|:::|^:[^:]|[^:]:$") & F.when(F.size(halves) == 1, missing == 0).otherwise((F.size(halves) == 2) & (missing > 0))
+    return F.when(good, F.array_join(F.concat(left, middle, right), ""))
+
+
 def mac_text(mac: Column) -> Column:
     return F.lower(F.regexp_replace(F.hex(mac), "(..)(?=.)", "$1:"))
 

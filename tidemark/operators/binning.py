@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -150,20 +151,35 @@ def optimal_bins(values: Iterable, max_bins: int, min_size: int, weights: Iterab
 def optimal_binning(df: DataFrame, group: list[str], column: str, max_bins: int, min_size: int) -> DataFrame:
     """group columns, bin, low, high, frequency, cost: the optimal bins of each group, groups side by side.
 
-    One rule at every size. A group's distinct values and counts meet in one task.
+    One rule at every size. A group's distinct values and counts meet in one task. A group that has no valid bins (too few
+    values, values that are not finite or null) gets one row with a null bin and the ``reason``, and does not stop the others.
     """
     counted = df.groupBy(*group, F.col(column).cast("double").alias("v")).agg(F.count("*").alias("c"))
-    schema = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in df.select(*group).schema], "bin int, low double, high double, frequency long, cost double"])
+    schema = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in df.select(*group).schema], "bin int, low double, high double, frequency long, cost double, reason string"])
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        bins = optimal_bins(pdf["v"].to_numpy(), max_bins, min_size, pdf["c"].to_numpy())
-        return pd.DataFrame([(*key, i, *b) for i, b in enumerate(bins)], columns=[*group, "bin", "low", "high", "frequency", "cost"])
+        try:
+            rows = [(*key, i, *b, None) for i, b in enumerate(optimal_bins(pdf["v"].to_numpy(), max_bins, min_size, pdf["c"].to_numpy()))]
+        except ValueError as e:
+            rows = [(*key, None, None, None, None, None, str(e))]
+        return pd.DataFrame(rows, columns=[*group, "bin", "low", "high", "frequency", "cost", "reason"])
 
     return counted.groupBy(*group).applyInPandas(run, schema)
 
 
+def bin_frequency(df: DataFrame, group: list[str], column: str, edges: tuple[float, ...]) -> DataFrame:
+    """group columns, bin, low, high, frequency of the rows between given edges, lower edge included; bins without rows are left out.
+
+    ``low`` and ``high`` are the least and the largest value of the bin; values outside all edges fall into the first and last bin.
+    """
+    at = reduce(lambda a, b: a + b, [(F.col(column) >= e).cast("int") for e in edges[1:-1]], F.lit(0))
+    v = F.col(column).cast("double")
+    return df.where(F.col(column).isNotNull()).groupBy(*group, at.alias("bin")).agg(F.min(v).alias("low"), F.max(v).alias("high"), F.count("*").alias("frequency"))
+
+
 def bin_edges(bins: DataFrame, group: list[str], whole: bool = False) -> DataFrame:
     """``edge``: the least value, the middle between neighbouring bins, the largest; ``whole`` rounds middles towards zero."""
+    bins = bins.where(F.col("bin").isNotNull())
     w = Window.partitionBy(*group).orderBy("bin")
     rows = bins.withColumn("_next", F.lead("low").over(w))
     middle = F.when(F.col("_next").isNull(), F.col("high")).otherwise((F.col("high") + F.col("_next")) / 2)
@@ -175,7 +191,7 @@ def bin_edges(bins: DataFrame, group: list[str], whole: bool = False) -> DataFra
 
 def predict_bin(df: DataFrame, bins: DataFrame, group: list[str], column: str) -> DataFrame:
     """``df`` with ``bin``: the one that holds the value, else the nearest, of equally near ones the first."""
-    listed = bins.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("bin", "low", "high"))).alias("_bins"))
+    listed = bins.where(F.col("bin").isNotNull()).groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("bin", "low", "high"))).alias("_bins"))
     v = F.col(column).cast("double")
     apart = lambda b: F.greatest(b["low"] - v, v - b["high"], F.lit(0.0))
     nearest = F.array_min(F.transform("_bins", lambda b: F.struct(apart(b).alias("d"), b["bin"].alias("bin"))))

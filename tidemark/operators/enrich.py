@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.expressions import is_private, ipv4_number, risk_bits_set
-from tidemark.shared import small
+from tidemark.functions.expressions import ipv4_number, ipv6_hex, is_private, risk_bits_set
+from tidemark.shared import fits, small
 
 #: Names of risk bits 0 to 56 (fixed values).
 RISK_NAMES = (
@@ -36,19 +36,56 @@ def with_orientation(flows: DataFrame) -> DataFrame:
     return flows.withColumn("orient", orientation(F.col("saddr"), F.col("daddr")))
 
 
+#: Entries of a network index (a network in each block that it overlaps, some 100 bytes) that may be broadcast.
+BROADCAST_NETWORKS = 1_000_000
+#: Hex digits of the blocks that IPv6 networks are filed by: networks as wide as a narrow block or wider go by the wide ones.
+WIDE, NARROW = 4, 8
+
+
+def _filed(spread: DataFrame) -> DataFrame:
+    """``block, nets``, narrowest first; with a broadcast hint if its entries, not its blocks, are few enough."""
+    index = spread.groupBy("block").agg(F.array_sort(F.collect_list("net")).alias("nets"))
+    return F.broadcast(index) if fits(spread, BROADCAST_NETWORKS) else index
+
+
 def network_index(networks: DataFrame, *values: str) -> DataFrame:
     """``block, nets``: for each /16 block the networks that overlap it, narrowest first.
 
-    One row a block (65,536 at most), so an address meets one row and a lookup never multiplies flows.
+    One row a block, so an address meets one row and a lookup never multiplies flows.
     """
     width = F.col("end_ip") - F.col("start_ip")
-    spread = networks.select(F.explode(F.sequence(F.shiftright("start_ip", 16), F.shiftright("end_ip", 16))).alias("block"), F.struct(width.alias("width"), F.col("start_ip"), F.col("end_ip"), *[F.col(v) for v in values]).alias("net"))
-    return spread.groupBy("block").agg(F.array_sort(F.collect_list("net")).alias("nets"))
+    return _filed(networks.select(F.explode(F.sequence(F.shiftright("start_ip", 16), F.shiftright("end_ip", 16))).alias("block"), F.struct(width.alias("width"), F.col("start_ip"), F.col("end_ip"), *[F.col(v) for v in values]).alias("net")))
+
+
+def lookup_network6(flows: DataFrame, networks: DataFrame, address: Column, values: dict[str, str]) -> DataFrame:
+    """The same for IPv6: ``networks`` has start_ip and end_ip as text, ``address`` is text; null for other addresses.
+
+    Numbers are compared as 32 hex digits. A network narrower than NARROW digits is filed by those, a wider one
+    by each block of WIDE digits that it overlaps; of both the narrowest counts.
+    """
+    nets = networks.select("*", ipv6_hex(F.col("start_ip")).alias("_a"), ipv6_hex(F.col("end_ip")).alias("_b")).where("_a <= _b")
+    # of two networks around an address the narrower starts later or ends earlier
+    net = F.struct(*[F.col(c) for c in ("_a", "_b")], *[F.col(v) for v in values]).alias("net")
+    head = lambda c, n: F.substring(c, 1, n)
+    number = lambda c: F.conv(head(c, WIDE), 16, 10).cast("long")
+    narrow = head("_a", NARROW) == head("_b", NARROW)
+    out = flows.withColumn("_ip", ipv6_hex(address))
+    found = []
+    for kind, rows in (("narrow", nets.where(narrow).select(head("_a", NARROW).alias("block"), net)), ("wide", nets.where(~narrow).select(F.explode(F.sequence(number("_a"), number("_b"))).alias("_n"), net).select(F.lower(F.lpad(F.hex("_n"), WIDE, "0")).alias("block"), "net"))):
+        index = _filed(rows).withColumnRenamed("nets", f"_nets_{kind}")
+        out = out.join(index, head("_ip", NARROW if kind == "narrow" else WIDE) == F.col("block"), "left").drop("block")
+        holds = F.filter(f"_nets_{kind}", lambda n: (n["_a"] <= F.col("_ip")) & (F.col("_ip") <= n["_b"]))
+        # nested networks: the one that starts last, then the one that ends first
+        best = F.reduce(holds, F.lit(None).cast(rows.schema["net"].dataType), lambda a, n: F.when(a.isNull() | (n["_a"] > a["_a"]) | ((n["_a"] == a["_a"]) & (n["_b"] < a["_b"])), n).otherwise(a))
+        out = out.withColumn(f"_net_{kind}", best).drop(f"_nets_{kind}")
+        found.append(f"_net_{kind}")
+    out = out.withColumn("_net", F.coalesce(*found))
+    return out.withColumns({new: F.col(f"_net.{old}") for old, new in values.items()}).drop("_ip", "_net", *found)
 
 
 def lookup_network(flows: DataFrame, networks: DataFrame, address: Column, values: dict[str, str]) -> DataFrame:
     """Columns of the narrowest network that holds the address (null if none); values: column of the network to new name."""
-    index = small(network_index(networks, *values), 1 << 16)
+    index = network_index(networks, *values)
     at = F.coalesce(address, F.lit(-1).cast("long"))
     out = flows.withColumn("_ip", at).join(index, F.shiftright(F.col("_ip"), 16) == F.col("block"), "left")
     holds = F.filter("nets", lambda n: (n["start_ip"] <= F.col("_ip")) & (F.col("_ip") <= n["end_ip"]))
@@ -56,10 +93,20 @@ def lookup_network(flows: DataFrame, networks: DataFrame, address: Column, value
     return out.withColumns({new: F.col(f"_net.{old}") for old, new in values.items()}).drop("_ip", "block", "nets", "_net")
 
 
-def with_country(flows: DataFrame, networks: DataFrame) -> DataFrame:
-    """scountry and dcountry: ``private``, the lower-case ISO code, or ``na``."""
+def _both(flows: DataFrame, networks: DataFrame, networks6: DataFrame | None, address: Column, values: dict[str, str]) -> DataFrame:
+    """Looked up by number or, with a table for them, as IPv6."""
+    out = lookup_network(flows, networks, ipv4_number(address), values)
+    if networks6 is None:
+        return out
+    six = {old: f"{new}6" for old, new in values.items()}
+    out = lookup_network6(out, networks6, address, six)
+    return out.withColumns({new: F.coalesce(new, f"{new}6") for new in values.values()}).drop(*six.values())
+
+
+def with_country(flows: DataFrame, networks: DataFrame, networks6: DataFrame | None = None) -> DataFrame:
+    """scountry and dcountry: ``private``, the lower-case ISO code, or ``na``. ``networks6``: of IPv6, start_ip and end_ip as text."""
     for s in ("s", "d"):
-        flows = lookup_network(flows, networks, ipv4_number(F.col(f"{s}addr")), {"iso": "_iso"})
+        flows = _both(flows, networks, networks6, F.col(f"{s}addr"), {"iso": "_iso"})
         flows = flows.withColumn(f"{s}country", F.when(is_private(F.col(f"{s}addr")), "private").otherwise(F.coalesce(F.lower("_iso"), F.lit("na")))).drop("_iso")
     return flows
 
@@ -69,11 +116,11 @@ def _local(address: Column, ip: Column) -> Column:
     return is_private(address) | (F.coalesce(ip, F.lit(0)).bitwiseAND(F.lit(0xE0000000)) == 0xE0000000)
 
 
-def with_asn(flows: DataFrame, networks: DataFrame) -> DataFrame:
+def with_asn(flows: DataFrame, networks: DataFrame, networks6: DataFrame | None = None) -> DataFrame:
     """Network number and owner of both ends; local addresses get a number from the private range."""
     for s in ("s", "d"):
         address, ip = F.col(f"{s}addr"), ipv4_number(F.col(f"{s}addr"))
-        flows = lookup_network(flows, networks, ip, {"asn": "_asn", "org": "_org"})
+        flows = _both(flows, networks, networks6, address, {"asn": "_asn", "org": "_org"})
         local = _local(address, ip)
         made = F.lit(64512) + F.pmod(F.shiftright(ip, 8), F.lit(1024))
         flows = flows.withColumns({

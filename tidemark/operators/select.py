@@ -30,6 +30,20 @@ def named_filter(flows: DataFrame, name: str = "") -> DataFrame:
     return flows.where(kinds[name])
 
 
+def without(flows: DataFrame, *columns: str) -> DataFrame:
+    """All columns but these; those that are not there do no harm."""
+    return flows.drop(*columns)
+
+
+def starting_with(flows: DataFrame, column: str, prefix: str) -> DataFrame:
+    return flows.where(F.col(column).startswith(prefix))
+
+
+def of_protocols(flows: DataFrame, *protocols: str) -> DataFrame:
+    """Rows of any of the protocols; all rows without a list."""
+    return flows.where(F.col("proto").isin(*protocols)) if protocols else flows
+
+
 def split(flows: DataFrame, routes: list[dict]) -> dict[str, DataFrame]:
     """Path to the rows of its protocol, for ``[{"proto", "path"}]``; other rows go nowhere."""
     return {r["path"]: flows.where(F.col("proto") == r["proto"]) for r in routes}

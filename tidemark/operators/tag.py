@@ -51,11 +51,11 @@ def apply_tags(flows: DataFrame, rules: list[TagRule], compat: bool = False) ->
 
     ``compat``: a flow without a tag list gets the first rule's tag whatever the predicates.
     """
-    tags = F.col("tag")
-    for r in rules:
-        have = F.coalesce(tags, F.array().cast("array<string>"))
-        absent = ~F.array_contains(have, r.tag)
-        ok = reduce(lambda a, b: a & b, conditions(r, {c: c for c in PREFIX}, EQUAL), F.lit(True))
-        wanted = (tags.isNull() | (absent & ok)) if compat else (absent & ok)
-        tags = F.when(wanted, F.array_append(have, F.lit(r.tag))).otherwise(tags)
-    return flows.withColumn("tag", tags)
+    if not rules:
+        return flows
+    # every rule is tried once on the flow's own columns, and all tags are merged at once
+    fits = [reduce(lambda a, b: a & b, conditions(r, {c: c for c in PREFIX}, EQUAL), F.lit(True)) for r in rules]
+    found = F.array(*[F.when(ok, F.lit(r.tag)) for ok, r in zip(fits, rules, strict=True)])
+    have = F.coalesce("tag", F.array(*([F.lit(rules[0].tag)] if compat else [])).cast("array<string>"))
+    tags = F.concat(have, F.array_except(F.array_compact(found), have))
+    return flows.withColumn("tag", F.when(F.col("tag").isNotNull() | (F.size(tags) > 0), tags))

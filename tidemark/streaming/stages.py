@@ -37,35 +37,35 @@ def accepted(batch: DataFrame) -> bool:
     return bool(same_stream(batch).first()["accepted"])
 
 
-def each_batch(work: Callable[[DataFrame, int], None], rejected: str | None = None) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that gives ``work`` only batches of one kind of stream; others go to ``rejected``."""
+def each_batch(work: Callable[[DataFrame, int], None], rejected: str) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that gives ``work`` only batches of one kind of stream; others go to ``rejected``, where a repeated one replaces itself."""
 
     def run(batch: DataFrame, number: int) -> None:
         batch = batch.persist()
         try:
             if accepted(batch):
                 work(batch, number)
-            elif rejected and not batch.isEmpty():
-                batch.write.mode("append").parquet(rejected)
+            elif not batch.isEmpty():
+                batch.write.mode("overwrite").parquet(f"{rejected}/batch={number}")
         finally:
             batch.unpersist()
 
     return run
 
 
-def partial_metrics(root: str) -> Callable[[DataFrame, int], None]:
+def partial_metrics(root: str, rejected: str) -> Callable[[DataFrame, int], None]:
     """Additive metrics: every batch adds rows of its own, late flows too; readers add them up.
 
-    A batch writes a partition of its own, so that one that is repeated replaces itself.
+    A batch writes a partition of its own, so that one that is repeated replaces itself. Batches of mixed streams go to ``rejected``.
     """
 
     def work(batch: DataFrame, number: int) -> None:
         metrics_all(batch).write.mode("overwrite").parquet(f"{root}/batch={number}")
 
-    return each_batch(work)
+    return each_batch(work, rejected)
 
 
-def staged(stage: Callable[[DataFrame], DataFrame], output: str, rejected: str | None = None) -> Callable[[DataFrame, int], None]:
+def staged(stage: Callable[[DataFrame], DataFrame], output: str, rejected: str) -> Callable[[DataFrame, int], None]:
     """Apply a stage to each batch and write what it returns; a repeated batch replaces itself."""
 
     def work(batch: DataFrame, number: int) -> None:
@@ -88,15 +88,15 @@ def with_latest_model(root: str, stage: Callable[[DataFrame, object], DataFrame]
     return run
 
 
-def split_batches(routes: list[dict]) -> Callable[[DataFrame, int], None]:
-    """Write each protocol's rows of a batch to its path; protocols without rows write nothing."""
+def split_batches(routes: list[dict], rejected: str) -> Callable[[DataFrame, int], None]:
+    """Write each protocol's rows of a batch to its path; protocols without rows write nothing, batches of mixed streams go to ``rejected``."""
 
     def work(batch: DataFrame, number: int) -> None:
         for path, rows in split(batch, routes).items():
             if not rows.isEmpty():
                 rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    return each_batch(work)
+    return each_batch(work, rejected)
 
 
 def start(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, interval: str = "once"):
