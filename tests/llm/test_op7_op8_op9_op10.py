@@ -8,6 +8,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import ODD, WORD, docs, lower
 from tidemark.llm import maxent_lm, mixing, queries, secrets, url_filter
@@ -51,6 +52,7 @@ def test_rules_are_filed_and_split_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "MAX_RULES", 2)
     pages = spark.createDataFrame([(1, "http://a.b/x/yy"), (2, "http://q/z")], "page_id long, url string")
     rules = (url_filter.UrlRule("block", "*", "/x", 0), url_filter.UrlRule("allow", "b", "/x/y"), url_filter.UrlRule("block", "a.b", "/"), url_filter.UrlRule("block", "*", "*z", 0))
+    assert url_filter.UrlRule("block", "*", "*/wp-login.php*x/a_b", 0).tokens == ["p:wp", "p:login", "p:a"]
     assert [r.tokens for r in rules] == [[""], ["h:b", "p:x"], ["h:a", "h:b"], [""]]
     got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.filter_urls(pages, rules).collect()}
     assert got == {1: ("b/x/y", "allow"), 2: (None, "block")}
@@ -169,6 +171,8 @@ def test_secrets(spark):
     assert all(got[1000 + i]["spans"] == "" for i in range(6))  # many owners hold it
     assert got[2000]["spans"] == "mixed:6:42"
     assert "vendor:0:34" in got[len(ODD) + 9]["spans"]
+    clash = d.selectExpr("*", "'x' AS host", "2 AS verdict", "3 AS _id", "4 AS owners").withColumn("source", F.lit(None).cast("string"))
+    assert {r["doc_id"]: r["base_sha256"] for r in secrets.scan_secrets(clash).collect()} == {i: r["base_sha256"] for i, r in got.items()}
     assert secrets.scan_secrets(d.union(d)).count() == 2 * len(rows) and secrets.scan_secrets(d.limit(0)).count() == 0
 
 

@@ -418,7 +418,8 @@ def near_duplicates(docs: DataFrame, k: int = NGRAM, threshold: tuple[int, int]
     Null, empty and blank texts have an empty set, link with nothing and are their own component. Rows with
     equal sets are linked. A null doc_id stands after all others: its component_id is null unless it
     is linked with a document that has an id. Rows that repeat a doc_id are nodes by their own text. Empty input
-    gives an empty result. Sets are compared by 56-bit shingle hashes and lengths.
+    gives an empty result. Long texts are read whole; other columns of ``docs`` are not read, so their names cannot clash. Sets
+    are compared by 56-bit shingle hashes and lengths. The id 2^63 - 1 stands for null.
     """
     out = _assigned(docs.select(_doc().alias("doc"), "text"), k, threshold)
     null_last = lambda c: F.when(c != _LAST, c)

@@ -76,7 +76,8 @@ def scan_secrets(docs: DataFrame, repo: str = "doc_id", owner: str = "source", k
     ``spans`` lists every base span and those further spans whose value looks live and that lie
     outside the base spans, by start, then kind. ``n_live`` and ``n_copied`` split the reported spans
     by ownership. A null text counts as empty: no spans, ``base_sha256`` of the empty string. Null repositories
-    and owners count as one each. Repeated rows stay; they add no repository.
+    and owners count as one each. Repeated rows stay; they add no repository. Long texts are scanned whole. An empty table gives an
+    empty result. Columns that are not kept are not returned, so their names cannot clash.
     """
     found = candidates(docs, repo, owner, keep)
     owned = stored(ownership(found), "secret-owners")

@@ -3,7 +3,7 @@
 A rule is ``verdict``, ``host`` (a domain, fits its subdomains too; ``*`` fits any) and
 ``path`` (must start the url's path; ``*`` stands for any characters, a leading ``*``
 lets the rest stand anywhere in the path). Each rule is filed under one literal token:
-of the host labels and whole path segments that any url it fits must hold, the one
+of the host labels and the path's runs of letters and digits that any url it fits must hold whole, the one
 that occurs in the fewest urls. A url's tokens fetch candidate rules with an equi-join and
 only those run as regular expressions. Rules without a literal token are filed under a
 token that every url holds.
@@ -46,9 +46,9 @@ class UrlRule:
     @property
     def tokens(self) -> list[str]:
         labels = [] if self.host == "*" else [f"h:{x}" for x in self.host.split(".") if x]
-        # a segment is whole when the pattern has a slash on both sides of it
-        segments = [f"p:{x}" for x in re.findall(r"(?<=/)[^/*]+(?=/)", self.path)]
-        return labels + segments or [""]
+        # a run is whole when the pattern has another character than a star on both sides of it
+        runs = [f"p:{x}" for x in re.findall(r"(?<=[^A-Za-z0-9*])[A-Za-z0-9]+(?=[^A-Za-z0-9*])", self.path)]
+        return labels + runs or [""]
 
 
 #: Site rules of the contract (fixed values).
@@ -92,8 +92,8 @@ def filter_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = SITE_RULES + GENE
     rows = pages.select(*[F.col(f"`{k}`").alias(a) for k, a in zip(keys, ks, strict=True)], host_of(F.col(f"`{url}`")).alias("_host"), path_of(F.col(f"`{url}`")).alias("_path"))
     rows = rows.groupBy(*ks, "_host", "_path").agg(F.count("*").alias("_n"))
     labels = F.transform(F.split("_host", r"\."), lambda x: F.concat(F.lit("h:"), x))
-    segments = F.transform(F.split("_path", "/"), lambda x: F.concat(F.lit("p:"), x))
-    tokens = F.array_distinct(F.concat(F.array(F.lit("")), labels, segments))
+    runs = F.transform(F.split("_path", "[^A-Za-z0-9]+"), lambda x: F.concat(F.lit("p:"), x))
+    tokens = F.array_distinct(F.concat(F.array(F.lit("")), labels, runs))
     found = rows.withColumn("_tokens", tokens)
 
     best = None
