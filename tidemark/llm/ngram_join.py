@@ -38,9 +38,6 @@ COMMON = 4
 FREQUENT, MAX_FREQUENT = 12, 1_000_000
 #: Numbers of 64 parity bits for each set, and hubs for each size class of a long list.
 PARITIES, HUBS = 4, 4
-#: Hubs that a group is compared with in the first round, those it shares the most lists with. It may find its other partners
-#: in the second round only.
-MET_HUBS = 8
 #: Lists before one in which a pair is looked for, so that it is not met in both.
 EARLIER = 16
 #: Longer lists of groups for one shingle are joined through hubs.
@@ -295,9 +292,7 @@ def hub_pairs(long_: DataFrame, info: DataFrame, threshold: tuple[int, int]) ->
     draw = lambda j: [F.xxhash64("g", "t", F.lit(j)).alias("h"), F.col("g")]
     least = [F.min(F.struct(*(["s"] if j % 2 == 0 else []), *draw(j)))["g"] for j in range(HUBS)]
     hubs = stored(sized.groupBy("t", "w").agg(F.array_distinct(F.array(*least)).alias("hubs")).withColumn("hub", F.col("hubs")[0]), "jaccard-hubs")
-    own = sized.join(hubs, ["t", "w"]).select(F.col("g").alias("a"), F.explode("hubs").alias("b")).where("a <> b").groupBy("a", "b").agg(F.count("*").alias("lists"))
-    most = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("lists"), F.xxhash64("a", "b")))
-    own = own.withColumn("_k", most).where(F.col("_k") <= MET_HUBS).select("a", "b")
+    own = sized.join(hubs, ["t", "w"]).select(F.col("g").alias("a"), F.explode("hubs").alias("b"))
     next_ = hubs.alias("x").join(hubs.alias("y"), (F.col("x.t") == F.col("y.t")) & (F.col("x.w") + 1 == F.col("y.w"))).select(F.col("x.hub").alias("a"), F.col("y.hub").alias("b"))
     both = own.unionByName(next_).where("a <> b")
     both = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -405,6 +400,18 @@ def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
             return labels
 
 
+def joined(labels: DataFrame, more: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The labels after further links. Many links between two components are one, so only pairs of components spread labels."""
+    of = lambda s: labels.select(F.col("node").alias(s), F.col("root").alias(f"r{s}"))
+    both = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    pairs = stored(both.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-contracted")
+    known = nodes.select("node", "rep").unionByName(labels.select(F.col("root").alias("node"), F.col("low").alias("rep")).distinct())
+    top = components(pairs, known)
+    up = top.select(F.col("node").alias("root"), F.col("root").alias("top"), F.col("low").alias("least"))
+    old = labels.join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root"), F.coalesce("least", "low").alias("low"))
+    return stored(old.unionByName(top.join(labels.select("node"), "node", "left_anti").select("node", "root", "low")), "jaccard-labels")
+
+
 # ---------------------------------------------------------------- the operator
 
 
@@ -474,7 +481,7 @@ def _assigned(own: DataFrame, k: int = NGRAM, threshold: tuple[int, int] = THRES
     second = stored(apart.unionByName(unlike(members, marked.select(F.col("node").alias("id"), *_BITS), threshold)).distinct(), "jaccard-second")
     more = stored(verified(second, texts, k, threshold), "jaccard-links2")
     if more.limit(1).count():
-        labels = components(links.unionByName(more), nodes)
+        labels = joined(labels, more, nodes)
 
     lows = nodes.groupBy("node").agg(F.min("rep").alias("rep"))
     final = stored(lows.join(labels.select("node", "low", "root"), "node", "left").select("node", F.coalesce("low", "rep").alias("low"), F.coalesce("root", "node").alias("root")), "jaccard-final")
