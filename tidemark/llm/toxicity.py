@@ -95,6 +95,16 @@ class Linear:
     own: np.ndarray  # float32, one a bucket
     weights: np.ndarray
 
+    def __getstate__(self) -> tuple:
+        """Only buckets with log-odds travel."""
+        at = np.flatnonzero((self.evidence != 0) | (self.own != 0)).astype(np.int32)
+        return at, self.evidence[at], self.own[at], self.weights
+
+    def __setstate__(self, state: tuple) -> None:
+        at, evidence, own, self.weights = state
+        self.evidence, self.own = np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32)
+        self.evidence[at], self.own[at] = evidence, own
+
     def probability(self, row: np.ndarray, bucket: np.ndarray, n: int, earlier: np.ndarray) -> np.ndarray:
         x = np.concatenate([np.ones((n, 1)), sums_of(self.evidence[bucket], row, n), earlier], axis=1)
         return sigmoid(x @ self.weights + np.bincount(row, weights=self.own[bucket], minlength=n))
@@ -128,7 +138,7 @@ class Counts:
     def without(self, *folds: int) -> np.ndarray:
         """Log-odds of the counted buckets from all folds but these."""
         use = [f for f in range(FOLDS) if f not in folds]
-        held, rows = self.held[:, use].sum(axis=1), self.rows[use].sum(axis=0)
+        held, rows = self.held[:, use].sum(axis=1, dtype=np.int64), self.rows[use].sum(axis=0)
         return log_odds(held[:, 1], held[:, 0], float(rows[1]), float(rows[0]))
 
 
@@ -158,7 +168,7 @@ def bucket_counts(rows: DataFrame, y: str = "y") -> Counts:
     got = held.where(F.col("n") >= MIN_DOCS).toArrow().sort_by("bucket")
     total = rows.agg(*each).first()
     columns = np.stack([got.column(f"c{i}").to_numpy() for i in range(len(cells))], axis=1)
-    return Counts(got.column("bucket").to_numpy().astype(np.int64), columns.reshape(-1, FOLDS, 2), np.array(total, dtype=np.int64).reshape(FOLDS, 2))
+    return Counts(got.column("bucket").to_numpy().astype(np.int64), columns.astype(np.int32).reshape(-1, FOLDS, 2), np.array(total, dtype=np.int64).reshape(FOLDS, 2))
 
 
 def _known(bucket: np.ndarray, all_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,20 +225,23 @@ def fit_link(rows: DataFrame, goal: np.ndarray, fold: np.ndarray, counts: Counts
         use = fold != m
         dense.append(_newton(x[use], goal[use], weight[use]))
         base[:, m] = x @ dense[m]
+    held.destroy()
     # weights of single buckets, by gradients that the executors sum
-    own = np.zeros((len(counts.bucket), models))
     clear = np.stack([np.abs(counts.without(m)) >= CLEAR for m in range(models)], axis=1)
-    at = {x: i for i, x in enumerate(ids)}
+    some = np.flatnonzero(clear.any(axis=1))
+    clear, weighed = clear[some], counts.bucket[some]
+    own = np.zeros(clear.shape)
+    given = sc.broadcast((base, goal, fold, weight, {x: i for i, x in enumerate(ids)}, weighed))
     for _ in range(STEPS):
-        state = sc.broadcast((own.astype(np.float32), base, goal, fold, weight, at))
+        state = sc.broadcast(own.astype(np.float32))
 
         def gradient(batches: Iterator[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
-            w, z, y, f, wt, where = state.value
+            w, (z, y, f, wt, where, weighed) = state.value, given.value
             g = np.zeros((2, *w.shape))  # first and second derivatives
             for b in batches:
                 i = np.array([where[x] for x in b.column("doc_id").to_pylist()], dtype=np.int64)
                 row, bucket = _pairs(b.column("x"))
-                place, k = _known(bucket, held.value.bucket)
+                place, k = _known(bucket, weighed)
                 row = row[place]
                 for m in range(models):
                     p = sigmoid(z[i, m] + np.bincount(row, weights=w[k, m], minlength=len(i)))
@@ -239,19 +252,22 @@ def fit_link(rows: DataFrame, goal: np.ndarray, fold: np.ndarray, counts: Counts
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([g.astype(np.float32).tobytes()], pa.binary())], names=["part", "g"])
 
         got = sorted(rows.coalesce(PARTS).mapInArrow(gradient, "part long, g binary").collect(), key=lambda r: r["part"])
+        state.destroy()
         g, h = sum(np.frombuffer(bytes(r["g"]), np.float32).reshape(2, *own.shape).astype(np.float64) for r in got)
         own -= np.where(clear, RATE * (g + RIDGE * own) / (h + 1 + RIDGE), 0.0)
     final = sc.broadcast(own.astype(np.float32))
 
     def left_out(b: pa.RecordBatch) -> np.ndarray:
         row, bucket = _pairs(b.column("x"))
-        place, k = _known(bucket, held.value.bucket)
+        place, k = _known(bucket, given.value[-1])
         row = row[place]
         return np.bincount(row, weights=final.value[k, b.column("fold").to_numpy()[row]], minlength=b.num_rows)[:, None]
 
     oof = sigmoid(base[np.arange(n), fold] + np.concatenate(_each_row(rows, left_out, "array<double>").column("v").to_numpy()))
     evidence, mine = np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32)
-    evidence[counts.bucket], mine[counts.bucket] = counts.without(), own[:, FOLDS]
+    evidence[counts.bucket], mine[weighed] = counts.without(), own[:, FOLDS]
+    given.destroy()
+    final.destroy()
     return Linear(evidence, mine, dense[FOLDS]), oof
 
 
