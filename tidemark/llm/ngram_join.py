@@ -239,6 +239,15 @@ def group_info(groups: DataFrame, long_: DataFrame) -> DataFrame:
     return rows.select("g", "n", "l", rare.alias("s"), F.exists("often", lambda x: x).alias("o"), *_BITS)
 
 
+def _size_class(n: str, threshold: tuple[int, int]) -> Column:
+    """Classes of set sizes: linked sets are in the same one or in neighbours.
+
+    A class is wider than the ratio of linked sizes by more than the error of the logarithm.
+    """
+    a, b = threshold
+    return F.floor(F.log(F.col(n).cast("double")) / float(np.log(b / a) * (1 + 1e-9))).cast("int")
+
+
 def _room(x: str, y: str, k: Column | int, threshold: tuple[int, int]) -> Column:
     """Whether two groups that share k shingles of short lists can have enough in common.
 
@@ -286,8 +295,7 @@ def hub_pairs(long_: DataFrame, info: DataFrame, threshold: tuple[int, int]) ->
 
     Every other hub is one of those with the fewest rare shingles. Pairs that can only link by short lists too are left to ``short_pairs``.
     """
-    a, b = threshold
-    sized = long_.withColumn("w", F.floor(F.log(F.col("n").cast("double")) / float(np.log(b / a))).cast("int"))
+    sized = long_.withColumn("w", _size_class("n", threshold))
     # other hubs in each list, so that a group that stands in many meets many
     draw = lambda j: [F.xxhash64("g", "t", F.lit(j)).alias("h"), F.col("g")]
     least = [F.min(F.struct(*(["s"] if j % 2 == 0 else []), *draw(j)))["g"] for j in range(HUBS)]
@@ -306,12 +314,14 @@ def unlike(entries: DataFrame, bits: DataFrame, threshold: tuple[int, int]) -> D
 
     Entries: key, id, n, i, lo, hi, s, o; lo and hi bound the component labels of a member. ``bits`` has id and
     parity bits. Every such pair has a
-    side outside the list's most common component, so a list that one component covers costs nothing. A pair is met in the first list that
+    side outside the list's most common component, so a list that one component covers costs nothing. A list is joined by
+    size class, so that members whose sizes rule a link out do not meet. A pair is met in the first list that
     it shares; where that lies more than EARLIER lists back, it may be met again.
     """
-    entries = entries.withColumn("label", F.when(F.col("lo") == F.col("hi"), F.col("lo")))
-    common = entries.groupBy("key", "label").agg(F.count("*").alias("m")).groupBy("key").agg(F.max(F.struct(F.col("label").isNotNull(), "m", "label")).alias("top"), F.count("*").alias("labels"))
-    common = stored(common.where((F.col("labels") > 1) | F.col("top.label").isNull()).select("key", F.col("top.label").alias("top")), "jaccard-common")
+    entries = entries.withColumn("label", F.when(F.col("lo") == F.col("hi"), F.col("lo"))).withColumn("w", _size_class("n", threshold))
+    by_label = entries.groupBy("key", "label").agg(F.count("*").alias("m"), F.min("w").alias("from"), F.max("w").alias("to"))
+    common = by_label.groupBy("key").agg(F.max(F.struct(F.col("label").isNotNull(), "m", "label")).alias("top"), F.count("*").alias("labels"), F.min("from").alias("from"), F.max("to").alias("to"))
+    common = stored(common.where((F.col("labels") > 1) | F.col("top.label").isNull()).select("key", F.col("top.label").alias("top"), "from", "to"), "jaccard-common")
     kept = entries.join(common, "key").withColumn("other", F.col("label").isNull() | ~F.col("label").eqNullSafe(F.col("top"))).drop("top")
     before = Window.partitionBy("id").orderBy("key").rowsBetween(-EARLIER, -1)
     kept = stored(kept.join(bits, "id").withColumn("earlier", F.collect_list("key").over(before)), "jaccard-unlike")
@@ -320,7 +330,9 @@ def unlike(entries: DataFrame, bits: DataFrame, threshold: tuple[int, int]) -> D
     once = ~F.col("yother") | (F.col("xid") < F.col("yid"))
     differ = F.coalesce(F.col("xlabel") != F.col("ylabel"), F.lit(True)) & (F.col("xid") != F.col("yid"))
     may = _may_link(F.col("xn"), F.col("xi"), F.col("yn"), F.col("yi"), threshold) & _room("x", "y", 0, threshold) & _near("x", "y", threshold) & ~F.arrays_overlap("xearlier", "yearlier")
-    hit = names["x"].where("xother").join(names["y"], (F.col("xkey") == F.col("ykey")) & once & differ & may)
+    # a side outside looks in its own class and those beside it, as far as the list has them
+    beside = F.explode(F.sequence(F.greatest(F.col("xw") - 1, "xfrom"), F.least(F.col("xw") + 1, "xto")))
+    hit = names["x"].where("xother").withColumn("xbeside", beside).join(names["y"], (F.col("xkey") == F.col("ykey")) & (F.col("xbeside") == F.col("yw")) & once & differ & may)
     return hit.select(F.least("xid", "yid").alias("a"), F.greatest("xid", "yid").alias("b")).distinct()
 
 
