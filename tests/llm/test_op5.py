@@ -99,3 +99,33 @@ def test_keep_one_decides_by_row(spark):
     d = spark.createDataFrame([(i, t, 10 + j) for j, (i, t) in enumerate(rows)], "doc_id long, text string, n long")
     got = sorted(r["n"] - 10 for r in ngram_join.keep_one(d, k=3, threshold=(8, 10)).collect())
     assert got == [0, 3, 4, 5, 7, 8, 9, 11, 12, 14, 15, 16, 17]
+
+
+@pytest.mark.parametrize(("a", "b"), [(9, 10), (8, 10), (5, 10), (1, 2)])
+def test_linked_sizes_are_in_neighbouring_classes(spark, a, b):
+    sizes = spark.range(1, 200_001).selectExpr("id AS n", f"id * {b} div {a} AS m")
+    classes = sizes.select(ngram_join._size_class("n", (a, b)).alias("x"), ngram_join._size_class("m", (a, b)).alias("y"))
+    assert classes.where("y - x NOT IN (0, 1)").count() == 0
+
+
+def test_unlike_meets_every_pair_across_components(spark):
+    """Lists of many sizes and labels: the pairs met are those that the rules leave open, each once."""
+    rng, threshold = random.Random(3), (8, 10)
+    rows = []
+    for key in range(4):
+        for j in range(60):
+            label = rng.choice([1, 1, 1, 2, 3, 100 + j])
+            rows.append((key, 1000 * key + j, rng.choice([8, 9, 10, 12, 30, 36, 40, 200]), rng.randrange(3), label, label + (rng.random() < 0.1), 0, True))
+    bits = spark.createDataFrame([(r[1], *[0] * 8) for r in rows], "id long, " + ", ".join(f"{c} long" for c in ngram_join._BITS))
+    entries = spark.createDataFrame(rows, "key long, id long, n long, i long, lo long, hi long, s long, o boolean")
+    got = [tuple(r) for r in ngram_join.unlike(entries, bits, threshold).collect()]
+    assert len(got) == len(set(got))
+
+    def open_(x, y):
+        (_, _, n, i, lo, hi, *_), (_, _, m, j, lo2, hi2, *_) = x, y
+        one = lo == hi == lo2 == hi2
+        most = min(i, j) + 1 + min(n - i, m - j) - 1
+        return not one and 10 * min(n, m) >= 8 * max(n, m) and 18 * most >= 8 * (n + m)
+
+    want = {(x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[1] < y[1] and open_(x, y)}
+    assert set(got) == want
