@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 #: Rows and bytes in an Arrow batch sent to Python, one row at least; they bound a worker's memory for long texts.
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
-#: Text bytes that one numpy pass handles.
-BLOCK_BYTES = 2 << 20
+#: Text bytes that one numpy pass handles; several arrays of 8 bytes for each of them stand in a worker's memory.
+BLOCK_BYTES = 512 << 10
 #: ``[\x20\x09-\x0D]`` as bytes.
 SPACES = b" \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -112,7 +112,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _power(name: str, base: int, n: int) -> np.ndarray:
     have = _powers.get(name)
     if have is None or len(have) < n:
-        out = np.full(max(n, BLOCK_BYTES + 4096), base, dtype=np.uint64)
+        out = np.full(max(n + n // 8, BLOCK_BYTES + 4096), base, dtype=np.uint64)
         out[0] = 1
         with np.errstate(over="ignore"):
             have = _powers[name] = np.multiply.accumulate(out)
