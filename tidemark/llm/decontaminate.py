@@ -26,7 +26,7 @@ from .base import ALNUM, Words, blocks, mix, packed, powers, small_batches, stor
 
 WINDOW = 10
 #: Words of documents in one suffix array, one document at least.
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 500_000
 #: Text bytes of benchmark items that are broadcast at a time; more take further passes over the documents.
 BENCH_BYTES = 16 << 20
 
