@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes in an Arrow batch sent to Python, one row at least; they bound a worker's memory for long texts.
-BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 #: Text bytes that one numpy pass handles; several arrays of 8 bytes for each of them stand in a worker's memory.
 BLOCK_BYTES = 512 << 10
 #: ``[\x20\x09-\x0D]`` as bytes.
