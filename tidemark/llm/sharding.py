@@ -104,10 +104,9 @@ def write_shards(sharded: DataFrame, path: str, rows: int = 1_000_000) -> None:
 _CRC_TABLE = "list_transform(range(256), lambda n: list_reduce([CAST(n AS BIGINT)] || [CAST(0 AS BIGINT) FOR z IN range(8)], lambda c, z: xor(c >> 1, 3988292384 * (c & 1))))"
 
 
-def crc_sql(text: str) -> str:
-    """crc32 of a text in SQL, byte by byte; needs a table ``crc_table(t)``."""
-    h = f"hex(encode({text}))"
-    codes = f"list_transform(range(0, length({h}) // 2), lambda i: CAST(('0x' || {h}[2 * i + 1:2 * i + 2]) AS BIGINT))"
+def crc_sql(digits: str) -> str:
+    """crc32 in SQL of the bytes whose hexadecimal digits a column holds, one by one; needs ``crc_table``."""
+    codes = f"list_transform(range(0, length({digits}) // 2), lambda i: CAST(('0x' || {digits}[2 * i + 1:2 * i + 2]) AS BIGINT))"
     return f"xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || {codes}, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])))"
 
 
@@ -118,8 +117,8 @@ def oracle() -> str:
     """Ranks over whole sources and over the whole table."""
     return f"""
 WITH {CRC_TABLE},
-d AS (SELECT doc_id, coalesce('=' || source, '') AS src, coalesce(text, '') AS text FROM documents),
-c AS (SELECT doc_id, src, CAST(octet_length(encode(text)) + 1 AS BIGINT) AS size, CAST({crc_sql('text')} AS BIGINT) AS text_crc32 FROM d, crc_table),
+d AS (SELECT doc_id, coalesce('=' || source, '') AS src, hex(encode(coalesce(text, ''))) AS digits FROM documents),
+c AS (SELECT doc_id, src, CAST(length(digits) // 2 + 1 AS BIGINT) AS size, CAST({crc_sql('digits')} AS BIGINT) AS text_crc32 FROM d, crc_table),
 k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, src, size, text_crc32) - 1 AS copy FROM c),
 h AS (SELECT *, md5(concat_ws(':', '{SEED}', coalesce(CAST(doc_id AS VARCHAR), 'null'), text_crc32, size, copy)) AS h FROM k),
 r AS (SELECT *, (row_number() OVER (PARTITION BY src ORDER BY h) - 1 + CAST(('0x' || md5(concat_ws(':', '{SEED}', src))[1:8]) AS BIGINT) / 4294967296.0) / count(*) OVER (PARTITION BY src) AS frac FROM h),
