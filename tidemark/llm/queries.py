@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, decontaminate, line_dedup, maxent_lm, mixing, ngram_join, quality_rules, secrets, sharding, toxicity, url_filter
+from . import compression, conversations, decontaminate, line_dedup, maxent_lm, mixing, ngram_join, quality_rules, secrets, sharding, toxicity, url_filter
 from .base import held_out, table
 
 
@@ -57,12 +57,16 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent_lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired_digest(table(spark, sf_dir, "conversations"))
+
+
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_quality_rules, op3_toxicity, op4_decontamination, op5_ngram_join, op6_line_dedup, op7_url_filters, op8_mixing, op9_secret_scan, op10_lm_scoring, op12_sharding)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_quality_rules, op3_toxicity, op4_decontamination, op5_ngram_join, op6_line_dedup, op7_url_filters, op8_mixing, op9_secret_scan, op10_lm_scoring, op11_conversation_repair, op12_sharding)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -97,4 +101,4 @@ SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reached) AS comp
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": OVERLAPS, "op5_ngram_join": COMPONENTS, "op6_line_dedup": line_dedup.ORACLE, "op7_url_filters": url_filter.oracle(), "op9_secret_scan": secrets.oracle(), "op12_sharding": sharding.oracle()}
+    return {"op4_decontamination": OVERLAPS, "op5_ngram_join": COMPONENTS, "op6_line_dedup": line_dedup.ORACLE, "op7_url_filters": url_filter.oracle(), "op9_secret_scan": secrets.oracle(), "op11_conversation_repair": conversations.oracle(), "op12_sharding": sharding.oracle()}
