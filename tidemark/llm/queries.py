@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, conversations, decontaminate, line_dedup, maxent_lm, mixing, ngram_join, quality_rules, secrets, sharding, toxicity, url_filter
+from . import compression, conversations, decontaminate, line_dedup, maxent_lm, mixing, ngram_join, quality_rules, secrets, sharding, toxicity, url_filter, whitening
 from .base import held_out, table
 
 
@@ -65,8 +65,12 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_quality_rules, op3_toxicity, op4_decontamination, op5_ngram_join, op6_line_dedup, op7_url_filters, op8_mixing, op9_secret_scan, op10_lm_scoring, op11_conversation_repair, op12_sharding)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_quality_rules, op3_toxicity, op4_decontamination, op5_ngram_join, op6_line_dedup, op7_url_filters, op8_mixing, op9_secret_scan, op10_lm_scoring, op11_conversation_repair, op12_sharding, op13_whitening)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
