@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .base import stored
 
 #: Rows of a range of hashes or of fractional ranks, about.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 8192
 #: Copies of one row that are written out at once.
 COPIES = 10_000
 SHARDS, SEED = 8, 0
