@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import ALNUM, ODD, docs, lower
-from tidemark.llm import compression, toxicity
-from tidemark.llm.base import held_out, stored, table
+from tidemark.llm import compression, quality_rules, toxicity
+from tidemark.llm.base import held_out, labelled, present, stored, table
 
 SF = "/root/testdata/sf0.01"
 
@@ -33,6 +33,18 @@ def test_quality_odd_texts(spark):
     assert compression.score(d.limit(0), none).count() == 0
 
 
+def test_labels_of_other_documents_take_no_room(spark, monkeypatch):
+    d = docs(spark, [f"plain text number {i}" for i in range(40)])
+    labels = d.selectExpr("doc_id", "doc_id % 2 AS quality", "doc_id % 2 AS toxic").union(spark.range(1000, 21_000).selectExpr("id", "id % 2", "id % 2"))
+    texts, total = compression.training_sample(d, labels, 20)
+    seen = texts.collect()
+    assert {r["q"] for r in seen} == {0, 1} and len(seen) == sum(total.values()) == d.where(~held_out(F.col("doc_id"), 4, 2)).count()
+    found = labelled(d, present(labels.withColumnRenamed("toxic", "y"), d), "y", 5).collect()
+    assert len(found) == 10 and all(r["doc_id"] < 40 for r in found)
+    known = quality_rules.fit(docs(spark, [" ".join(f"w{i}{j}" for j in range(60 + i % 2 * 300)) for i in range(40)]), labels, 40)
+    assert len(known.feature) > 1
+
+
 def test_dictionaries_hold_what_stands_behind_the_opening():
     opening, junk = b"A usual first line. " * 20, [b"<<%05d$$>>" % (i * 7919 % 100000) * 40 for i in range(3000)]
     texts = [opening + j for j in junk]

@@ -69,10 +69,15 @@ def held_out(doc_id: Column, modulus: int, rest: int) -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(modulus)) == rest
 
 
+def present(known: DataFrame, docs: DataFrame) -> DataFrame:
+    """The labels of ids that ``docs`` holds."""
+    return known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+
+
 def labelled(docs: DataFrame, known: DataFrame, label: str, rows: int) -> DataFrame:
     """``doc_id, text`` and the label of at most ``rows`` ids of either class (0, 1) of ``known``, those with the smallest id hashes.
 
-    One row for each id that ``docs`` holds: of several texts the smallest (null only if there is no other), so that
+    ``known`` holds ids of ``docs`` only (see ``present``), so that the bound is one on labelled rows. One row for each id: of several texts the smallest (null only if there is no other), so that
     an id that many rows repeat stays one row and reruns agree.
     """
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -81,16 +86,16 @@ def labelled(docs: DataFrame, known: DataFrame, label: str, rows: int) -> DataFr
     return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.min(label).alias(label))
 
 
-def packed(docs: DataFrame, *needed: str) -> DataFrame:
-    """The row as one struct ``_row`` beside copies of the needed columns (null where absent).
+def packed(docs: DataFrame) -> DataFrame:
+    """The row as one struct ``_row``: keeps an operator's own column names from clashing with the input's."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
 
-    Keeps an operator's own column names from clashing with the input's.
-    """
-    have = set(docs.columns)
-    return docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-        *[(F.col(f"`{c}`") if c in have else F.lit(None).cast("string")).alias(c) for c in needed],
-    )
+
+def text_of(batch: pa.RecordBatch) -> pa.Array:
+    """The texts of a batch of packed rows, which so travel to Python once; null where there is no such column."""
+    row = batch.column("_row")
+    at = row.type.get_field_index("text")
+    return row.field(at) if at >= 0 else pa.nulls(len(row), pa.string())
 
 
 # ---------------------------------------------------------------- hashing

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import held_out, labelled, packed, small_batches, stored, utf8
+from .base import held_out, labelled, packed, present, small_batches, stored, text_of, utf8
 
 #: Labelled rows of each class that are fitted on, those with the smallest id hashes.
 TRAIN_ROWS = 3000
@@ -149,12 +149,13 @@ def _dictionaries(rows: list[tuple[int, list[bytes]]]) -> list[bytes]:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[DataFrame, dict[int, int]]:
-    """A stored table (doc_id, text, q) of at most ``rows`` labelled whole texts of each class outside the held-out part, and all labels by class.
+    """A stored table (doc_id, text, q) of at most ``rows`` labelled whole texts of each class outside the held-out part, and all labels of such documents by class.
 
     ``labels`` with several rows for an id count as good only if all say so; null labels are left out. Of several texts of an id the
     smallest is taken.
     """
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), 4, 2)).groupBy("doc_id").agg(F.min("quality").cast("int").alias("q"))
+    known = stored(present(known, docs), "quality-labels")
     total = {r["q"]: r["n"] for r in known.groupBy("q").agg(F.count("*").alias("n")).collect()}
     return stored(labelled(docs, known, "q", rows).where(F.col("text").isNotNull()), "quality-texts"), total
 
@@ -228,12 +229,12 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     spark = docs.sparkSession
     small_batches(spark)
     held = spark.sparkContext.broadcast(model)  # four dictionaries of at most DICT_BYTES
-    rows = packed(docs, "text").select("_row", F.col("text").alias("_text"))
+    rows = packed(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
         for b in batches:
-            data, at = utf8(b.column("_text"))
+            data, at = utf8(text_of(b))
             raw = data.tobytes()
             x = np.array([m.features(raw[at[i] : at[i + 1]]) for i in range(b.num_rows)]).reshape(b.num_rows, 3)
             p = m.probability(x)

@@ -22,12 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import ALNUM, Words, blocks, mix, packed, powers, small_batches, stored, utf8
+from .base import ALNUM, Words, blocks, mix, packed, powers, small_batches, text_of, utf8
 
 WINDOW = 10
 #: Words of documents in one suffix array, one document at least.
 SHARD_WORDS = 500_000
-#: Text bytes of benchmark items that are broadcast at a time; more take further passes over the documents.
+#: Text bytes of benchmark items in one suffix array.
 BENCH_BYTES = 16 << 20
 
 
@@ -295,67 +295,79 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     listed once. An empty benchmark shares nothing, an empty table gives an empty result. The input's columns stand in ``_row``,
     so their names cannot clash.
 
-    A benchmark of more than BENCH_BYTES takes several passes over the documents, each written to the shared folder.
+    The suffixes of the benchmark are sorted once, on the driver, in blocks of BENCH_BYTES, and the arrays are broadcast; a task looks a shard of
+    documents up in one block after the other and holds one of them at a time.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    rows = packed(docs, "text").select("_row", F.col("text").alias("_text"), *[F.lit(None).cast(t).alias(c) for c, t in _FOUND])
-    schema = f"_row {rows.schema['_row'].dataType.simpleString()}, _text string, " + ", ".join(f"{c} {t}" for c, t in _FOUND)
+    rows = packed(docs)
+    schema = f"_row {rows.schema['_row'].dataType.simpleString()}, " + ", ".join(f"{c} {t}" for c, t in _FOUND)
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     size = items.agg(F.sum(F.octet_length("text") + F.lit(16))).first()[0] or 0
     n_blocks = max(1, -(-size // BENCH_BYTES))
+    held = []
     for k in range(n_blocks):
         # about BENCH_BYTES of items, whatever the size of the benchmark
         block = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)) == k).toArrow()
-        held = spark.sparkContext.broadcast((block.column("id").to_pylist(), block.column("text").combine_chunks()))
-        rows = rows.mapInArrow(_pass(held, window), schema)
-        if k < n_blocks - 1:
-            rows = stored(rows, "overlaps")
-            held.unpersist()
-    return rows.drop("_text")
+        held.append(spark.sparkContext.broadcast(TestSet(block.column("id").to_pylist(), block.column("text").combine_chunks(), window)))
+    return rows.mapInArrow(_pass(held), schema)
 
 
-def _pass(held, window: int):
+def _pass(held: list):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tests = TestSet(*held.value, window)
         kept: list[pa.RecordBatch] = []
         weight = 0
         for b in batches:
             # about one word for each 6 bytes
-            step = max(1, int(b.num_rows * SHARD_WORDS * 6 / max(1, b.column("_text").nbytes)))
+            size = utf8(text_of(b))[1]
+            step = max(1, int(b.num_rows * SHARD_WORDS * 6 / max(1, int(size[-1]))))
             for at in range(0, b.num_rows, step):
                 kept.append(part := b.slice(at, step))
-                weight += part.column("_text").nbytes  # of the slice only
+                weight += int(size[at + part.num_rows] - size[at])
                 if weight >= SHARD_WORDS * 6:
-                    yield from _shard(tests, kept)
+                    yield from _shard(held, kept)
                     kept, weight = [], 0
         if kept:
-            yield from _shard(tests, kept)
+            yield from _shard(held, kept)
 
     return run
 
 
-def _shard(tests: TestSet, parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = pa.Table.from_batches(parts)
-    text = pa.concat_arrays(table.column("_text").chunks) if table.column("_text").num_chunks else pa.array([], pa.string())
-    n, spans, items, best = _search(tests, text)
-    before = table.select(["spans", "items", *_LONGEST]).to_pylist() if table.column("n_words").null_count < table.num_rows else None
-    if before:
-        for i, x in enumerate(before):
-            spans[i] = _merged(spans[i], [(s["start"], s["stop"]) for s in x["spans"] or []])
-            items[i] |= set(x["items"] or [])
-            best[i] = max(best[i], tuple(x[c] for c in _LONGEST), key=lambda m: (m[0], -m[1], _Last(m[2]), -m[3]))
+#: The block that this worker holds: its broadcast and its arrays.
+_block: list = []
+
+
+def _loaded(held: list, k: int) -> TestSet:
+    """Block ``k`` of the benchmark; with several blocks the one before is let go."""
+    if len(held) == 1:
+        return held[0].value
+    if not _block or _block[0] is not held[k]:
+        _block[:] = []
+        _block[:] = [held[k], held[k].value]
+        # the broadcast keeps no second reference, so that a worker holds one block
+        held[k].__dict__.pop("_value", None)
+    return _block[1]
+
+
+def _shard(held: list, parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    text = pa.concat_arrays([text_of(b) for b in parts])
+    n, spans, items, best = _search(_loaded(held, 0), text)
+    for k in range(1, len(held)):
+        _, more, others, better = _search(_loaded(held, k), text)
+        spans, items = [_merged(a, b) for a, b in zip(spans, more, strict=True)], [a | b for a, b in zip(items, others, strict=True)]
+        best = [max(a, b, key=lambda m: (m[0], -m[1], _Last(m[2]), -m[3])) for a, b in zip(best, better, strict=True)]
     span = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
-    new = {
-        "n_words": pa.array(n, pa.int64()),
-        "spans": pa.array([[{"start": s, "stop": e} for s, e in x] for x in spans], pa.list_(span)),
-        "items": pa.array([sorted(x) for x in items], pa.list_(pa.string())),
-    }
-    new |= {c: pa.array([x[i] for x in best], pa.string() if c == "longest_item" else pa.int64()) for i, c in enumerate(_LONGEST)}
-    table = table.select(["_row", "_text"])
-    for name, column in new.items():
-        table = table.append_column(name, column)
-    yield from table.combine_chunks().to_batches()
+    new = [
+        pa.array(n, pa.int64()),
+        pa.array([[{"start": s, "stop": e} for s, e in x] for x in spans], pa.list_(span)),
+        pa.array([sorted(x) for x in items], pa.list_(pa.string())),
+        *[pa.array([x[i] for x in best], pa.string() if c == "longest_item" else pa.int64()) for i, c in enumerate(_LONGEST)],
+    ]
+    # batch by batch, so that no second copy of a shard's texts is made
+    at = 0
+    for b in parts:
+        yield pa.RecordBatch.from_arrays([b.column("_row"), *[c.slice(at, b.num_rows) for c in new]], names=["_row", *[c for c, _ in _FOUND]])
+        at += b.num_rows
 
 
 def n_hit() -> Column:

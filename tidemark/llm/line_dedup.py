@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import SPACES, mix, small_batches, stored
+from .base import SPACES, mix, small_batches, stored, text_of
 
 #: Keys shorter than this many code points are never dropped.
 MIN_CHARS = 10
@@ -299,12 +299,12 @@ def dedup_lines(docs: DataFrame, least: int = MIN_CHARS) -> DataFrame:
     small_batches(docs.sparkSession)
     lost = drops(docs.select("doc_id", "text"), least)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), _doc(F.col("doc_id")).alias("doc"), F.xxhash64("text").alias("row")).join(lost, ["doc", "row"], "left")
-    rows = rows.select("_row", F.col("_row.text").alias("_text"), "keys")
+    rows = rows.select("_row", "keys")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             kept, n, gone = [], [], []
-            for t, keys in zip(b.column("_text").to_pylist(), b.column("keys").to_pylist(), strict=True):
+            for t, keys in zip(text_of(b).to_pylist(), b.column("keys").to_pylist(), strict=True):
                 t = t or ""
                 lines = t.split("\n")
                 n.append(len(lines))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import SPACED, SPACES, Words, blocks, mix, packed, shingles, small_batches, sums_by_doc
+from .base import SPACED, SPACES, Words, blocks, mix, packed, present, shingles, small_batches, sums_by_doc, text_of
 
 MIN_WORDS, MAX_REPEAT = 50, 50
 #: Labelled rows that the trees are fitted on, those with the smallest id hashes.
@@ -189,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
     """
     small_batches(docs.sparkSession)
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").cast("int").alias("q"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    chosen = present(known, docs).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``rows`` ids
     # of several texts of an id the smallest
     found = found.groupBy("doc_id").agg(F.min("text").alias("_text"), F.min("q").alias("q"))
@@ -215,11 +215,11 @@ def judge(docs: DataFrame, trees: Trees, threshold: float = THRESHOLD) -> DataFr
     spark = docs.sparkSession
     small_batches(spark)
     held = spark.sparkContext.broadcast(trees)  # a few thousand nodes
-    rows = packed(docs, "text").select("_row", F.col("text").alias("_text"))
+    rows = packed(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            base, x = statistics(b.column("_text"))
+            base, x = statistics(text_of(b))
             failed = base_failed(base)
             p = held.value.probability(x)
             columns = [b.column("_row"), *[pa.array(base[:, i], pa.int64()) for i in range(len(BASE))], pa.array(failed), pa.array(p, pa.float64()), pa.array(~failed & (p >= threshold))]

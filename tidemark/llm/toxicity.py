@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import ALNUM, Words, blocks, labelled, lists, mix, packed, small_batches, stored
+from .base import ALNUM, Words, blocks, labelled, lists, mix, packed, present, small_batches, stored, text_of
 
 #: Labelled rows of each class that are fitted on, those with the smallest id hashes.
 TRAIN_ROWS = 4000
@@ -290,6 +290,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Chain:
     """
     small_batches(docs.sparkSession)
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
+    known = stored(present(known, docs), "toxic-labels")
     total = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     found = stored(labelled(docs, known, "y", rows).select("doc_id", F.coalesce("text", F.lit("")).alias("_text"), "y"), "toxic-texts")
     sample = stored(sample_rows(found), "toxic-rows")
@@ -347,12 +348,12 @@ def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFr
     spark = docs.sparkSession
     small_batches(spark)
     held = spark.sparkContext.broadcast(chain)  # three models of two BUCKETS of float32 each
-    rows = packed(docs, "text").select("_row", F.col("text").alias("_text"))
+    rows = packed(docs)
     names = [f"p_{c}" for c in CATEGORIES]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            row, bucket, _ = features(b.column("_text"))
+            row, bucket, _ = features(text_of(b))
             p = held.value.probabilities(row, bucket, b.num_rows)
             columns = [b.column("_row"), *[pa.array(p[:, i], pa.float64()) for i in range(len(names))], pa.array((p[:, 0] >= threshold).astype(np.int32), pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, names=["_row", *names, "toxic"])
