@@ -5,7 +5,9 @@ import ipaddress
 import json
 import math
 import os
+import random
 import time
+import warnings
 
 import numpy as np
 import pytest
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixtures, schema
 from tidemark.functions import expressions as ex
-from tidemark.operators import binning, enrich, histogram, metrics, model, normalize, rule, sample, score, select, tag
+from tidemark.operators import binning, enrich, histogram, metrics, model, normalize, rule, rule_index, sample, score, select, tag
 from tidemark.plans import flow_pipeline
 from tidemark.shared import kept
 from tidemark.sources import files, sinks
@@ -95,6 +97,67 @@ def test_many_tag_rules_plan_fast(spark, flows):
         assert r["tag"] == (want or None)
 
 
+def plain_matches(row, r):
+    starts = {"observe": "observe", "saddr": "saddr", "daddr": "daddr", "appid": "ndpi_appid", "ndpi_appid": "ndpi_appid", "orient": "orient"}
+    asked = [(row[c] is not None and row[c].startswith(v)) for a, c in starts.items() if (v := getattr(r, a, ""))]
+    asked += [row[c] == v for c in ("proto", "sport", "dport") if (v := getattr(r, c))]
+    asked += [v in (row["tag"] or [])] if isinstance(r, rule.Rule) and (v := r.tag) else []
+    asked += [row[c] is not None and row[c] >= v for a, c in (("risk_severity", "ndpi_risk_severity"), ("hbos_severity", "hbos_severity")) if (v := getattr(r, a, 0))]
+    return asked
+
+
+def made_rules(seed, n, kind):
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        v = {
+            "daddr": f"{rng.randint(11, 220)}.{rng.randint(0, 255)}."[: rng.randint(2, 8)], "saddr": f"10.0.{rng.randint(0, 3)}.{rng.randint(0, 249)}", "sport": rng.randint(1024, 61000),
+            "dport": rng.choice([443, 80, 22, 53, 8080]), "proto": rng.choice(["tcp", "udp", "icmp"]), "observe": rng.choice(["napa", "sonoma", "m"]), "orient": rng.choice(["i", "io"]),
+            "appid" if kind is rule.Rule else "ndpi_appid": rng.choice(["dns", "dns.doh", "tls.", "q"]),
+        }
+        if kind is rule.Rule:
+            v |= {"tag": f"t{rng.randint(0, 5)}", "risk_severity": rng.randint(1, 6), "hbos_severity": rng.randint(1, 4)}
+        asked = {a: v[a] for a in rng.sample(sorted(v), rng.randint(0, 3))}
+        out.append(rule.Rule(rng.choice(["trigger", "ignore"]), **asked) if kind is rule.Rule else tag.TagRule(f"t{i % 40}", **asked))
+    return out
+
+
+@pytest.mark.parametrize("n", [5, 60, 5000])
+def test_rule_lists_of_any_size(spark, flows, n):
+    rules = made_rules(n, n, rule.Rule)
+    some = flows.limit(300).withColumn("tag", F.when(F.col("sport") % 3 == 0, F.array(F.concat(F.lit("t"), F.col("sport") % 7))))
+    some = some.unionByName(some.limit(3).withColumns({"daddr": F.lit(None).cast("string"), "observe": F.lit(None).cast("string"), "id": F.concat(F.lit("null-"), "id")}))
+    some = kept(some, "test-rules")
+    began = time.time()
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        got = {r["id"]: r["trigger"] for r in rule.apply_rules(some, rules).collect()}
+    assert time.time() - began < 60
+    for r in some.collect():
+        want = r["trigger"]
+        for x in rules:
+            if (asked := plain_matches(r, x)) and all(asked):
+                want = rule.ACTIONS[x.action]
+        assert got[r["id"]] == want
+
+
+def test_thousands_of_tag_rules(spark, flows):
+    rules = made_rules(1, 3000, tag.TagRule)
+    some = kept(flows.limit(200).withColumn("tag", F.when(F.col("sport") % 3 == 0, F.array(F.lit("t7")))), "test-tags")
+    got = {r["id"]: r["tag"] for r in tag.apply_tags(some, rules).collect()}
+    for r in some.collect():
+        have = r["tag"] or []
+        want = list(dict.fromkeys([*have, *[x.tag for x in rules if all(plain_matches(r, x))]]))
+        assert got[r["id"]] == (want or r["tag"])
+
+
+def test_each_rule_is_filed_once(spark):
+    entries = [rule_index.Entry(i, "1", rule.SHAPE.wanted(r)) for i, r in enumerate(made_rules(2, 500, rule.Rule))]
+    tables, rest = rule_index.filed(entries, rule.SHAPE)
+    assert sorted([e.number for t in tables.values() for es in t.values() for e in es] + [e.number for e in rest]) == list(range(500))
+    assert len(tables) <= 3 + 5 * rule_index.LENGTHS
+
+
 def test_rule_lists():
     assert rule.load_rules('[{"action": "trigger", "proto": "tcp", "note": "x"}]') == [rule.Rule("trigger", proto="tcp")]
     assert tag.load_tags('{"tag": "a"}\n{"tag": "b", "dport": 5}\n') == [tag.TagRule("a"), tag.TagRule("b", dport=5)]

@@ -141,6 +141,37 @@ _flow("tag_flows_compat", _tags(True), f", t AS (SELECT id, {_CLOUD} AS b, {_IN}
 _flow("tagged_rows", lambda f: tag.apply_tags(_untagged(f), TAGS).where(F.array_contains(F.coalesce("tag", F.array().cast("array<string>")), "internal")).select("id"), f"SELECT id FROM flow WHERE {_IN}")
 _RULED = f"CASE WHEN {_DNS} THEN 1 WHEN starts_with(daddr, '192.168.') THEN -1 WHEN hbos_severity >= 2 THEN 1 ELSE trigger END"
 _flow("apply_rules", lambda f: rule.apply_rules(tag.apply_tags(_untagged(f), TAGS), RULES).select("id", "trigger"), f"SELECT id, {_RULED} AS trigger FROM flow")
+#: Rules for one list of thousands, by number; the same in SQL below.
+MANY_RULES = 5000
+
+
+def many_rules(n: int = MANY_RULES) -> list[rule.Rule]:
+    """Beginnings of addresses, ports with full addresses, applications with levels, and some wide ones."""
+    out = []
+    for i in range(n):
+        k, j = i % 5, i // 5
+        out.append(rule.Rule(
+            "trigger" if i % 3 else "ignore",
+            daddr=f"{11 + j % 210}.{j * 29 % 256}." if k == 0 else f"{11 + j * 17 % 210}." if k == 3 else "",
+            saddr=f"10.0.{j % 4}.{j * 7 % 250}" if k == 1 else "", dport=(443, 80, 22, 53, 8080)[j % 5] if k == 1 else 0,
+            sport=1024 + j * 101 % 60000 if k == 2 else 0, proto=("tcp", "udp", "icmp")[j % 3] if k == 4 else "",
+            observe=("napa", "sonoma", "marin")[j % 3] if k == 4 else "", appid=("dns", "tls.", "ssh", "quic")[j % 4] if k == 3 else "",
+            risk_severity=5 + j % 2 if k == 4 else 0, hbos_severity=1 + j % 4 if k == 3 else 0,
+        ))
+    return out
+
+
+_MANY = f"""many AS (SELECT i, CASE WHEN i % 3 = 0 THEN -1 ELSE 1 END AS action,
+  CASE WHEN k = 0 THEN concat(11 + j % 210, '.', j * 29 % 256, '.') WHEN k = 3 THEN concat(11 + j * 17 % 210, '.') ELSE '' END AS daddr,
+  CASE WHEN k = 1 THEN concat('10.0.', j % 4, '.', j * 7 % 250) ELSE '' END AS saddr, CASE WHEN k = 1 THEN [443, 80, 22, 53, 8080][j % 5 + 1] ELSE 0 END AS dport,
+  CASE WHEN k = 2 THEN 1024 + j * 101 % 60000 ELSE 0 END AS sport, CASE WHEN k = 4 THEN ['tcp', 'udp', 'icmp'][j % 3 + 1] ELSE '' END AS proto,
+  CASE WHEN k = 4 THEN ['napa', 'sonoma', 'marin'][j % 3 + 1] ELSE '' END AS observe, CASE WHEN k = 3 THEN ['dns', 'tls.', 'ssh', 'quic'][j % 4 + 1] ELSE '' END AS appid,
+  CASE WHEN k = 4 THEN 5 + j % 2 ELSE 0 END AS risk, CASE WHEN k = 3 THEN 1 + j % 4 ELSE 0 END AS level FROM (SELECT i, i % 5 AS k, i // 5 AS j FROM range({MANY_RULES}) AS r(i)))"""
+_flow("apply_rules_many", lambda f: rule.apply_rules(f, many_rules()).select("id", "trigger"),
+      f""", {_MANY}, hit AS (SELECT f.id, arg_max(action, i) AS action FROM flow f JOIN many m ON starts_with(f.daddr, m.daddr) AND starts_with(f.saddr, m.saddr)
+  AND (m.dport = 0 OR m.dport = f.dport) AND (m.sport = 0 OR m.sport = f.sport) AND (m.proto = '' OR m.proto = f.proto) AND starts_with(f.observe, m.observe)
+  AND starts_with(f.ndpi_appid, m.appid) AND f.ndpi_risk_severity >= m.risk AND f.hbos_severity >= m.level GROUP BY f.id)
+SELECT flow.id, coalesce(hit.action, trigger) AS trigger FROM flow LEFT JOIN hit ON hit.id = flow.id""")
 _flow("trigger_counts", rule.trigger_counts, "SELECT count(*) AS total, count(*) FILTER (WHERE hbos_severity >= 4) AS severe, count(*) FILTER (WHERE hbos_severity = 3) AS high, count(*) FILTER (WHERE hbos_severity = 2) AS medium, count(*) FILTER (WHERE hbos_severity = 1) AS low FROM flow WHERE trigger > 0")
 
 # ---------------------------------------------------------------- metrics and dashboards

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import warnings
 from dataclasses import dataclass, fields
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.tag import conditions, load_list
+from tidemark.operators.rule_index import Entry, Shape, matching
+from tidemark.operators.tag import load_list
 
 MANY = 1000
 ACTIONS = {"trigger": 1, "ignore": -1}
+#: What rules ask for.
+SHAPE = Shape(
+    prefix={"observe": "observe", "saddr": "saddr", "daddr": "daddr", "appid": "ndpi_appid", "orient": "orient"},
+    equal={c: c for c in ("proto", "sport", "dport")}, has={"tag": "tag"}, least={"risk_severity": "ndpi_risk_severity", "hbos_severity": "hbos_severity"},
+)
 
 
 @dataclass(frozen=True)
@@ -49,20 +54,13 @@ def checked(rules: list[Rule]) -> list[Rule]:
 
 
 def apply_rules(flows: DataFrame, rules: list[Rule]) -> DataFrame:
-    """``trigger`` becomes 1 or -1 by the last rule that fits; rules without predicates are skipped."""
-    out = F.col("trigger").cast("int")
-    texts = {"observe": "observe", "saddr": "saddr", "daddr": "daddr", "appid": "ndpi_appid", "orient": "orient"}
-    for r in checked(rules):
-        terms = conditions(r, texts, ("proto", "sport", "dport"))
-        if r.tag:
-            terms.append(F.array_contains(F.coalesce("tag", F.array().cast("array<string>")), r.tag))
-        if r.risk_severity:
-            terms.append(F.col("ndpi_risk_severity") >= r.risk_severity)
-        if r.hbos_severity:
-            terms.append(F.col("hbos_severity") >= r.hbos_severity)
-        if terms:
-            out = F.when(reduce(lambda a, b: a & b, terms), F.lit(ACTIONS[r.action])).otherwise(out)
-    return flows.withColumn("trigger", out.cast(dict(flows.dtypes)["trigger"]))
+    """``trigger`` becomes 1 or -1 by the last rule that fits; rules without predicates are skipped, as are those that a later one repeats."""
+    last = {tuple(wants.items()): Entry(i, str(ACTIONS[r.action]), wants) for i, r in enumerate(checked(rules)) if (wants := SHAPE.wanted(r))}
+    if not last:
+        return flows
+    found = matching(flows, sorted(last.values(), key=lambda e: e.number), SHAPE, "_fit")
+    decided = F.array_max("_fit")["label"].cast("int")
+    return found.withColumn("trigger", F.coalesce(decided, F.col("trigger").cast("int")).cast(dict(flows.dtypes)["trigger"])).drop("_fit")
 
 
 def trigger_counts(flows: DataFrame) -> DataFrame:

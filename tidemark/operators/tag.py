@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, fields
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.rule_index import Entry, Shape, matching
+
 
 @dataclass(frozen=True)
 class TagRule:
@@ -26,7 +27,7 @@ class TagRule:
 
 
 #: Columns that must start with the rule's text, and those that must equal it.
-PREFIX, EQUAL = ("observe", "saddr", "daddr", "ndpi_appid", "orient"), ("proto", "sport", "dport")
+SHAPE = Shape(prefix={c: c for c in ("observe", "saddr", "daddr", "ndpi_appid", "orient")}, equal={c: c for c in ("proto", "sport", "dport")})
 
 
 def load_list(text: str) -> list[dict]:
@@ -40,12 +41,6 @@ def load_tags(text: str) -> list[TagRule]:
     return [TagRule(**{k: v for k, v in r.items() if k in known}) for r in load_list(text)]
 
 
-def conditions(rule, prefix: dict[str, str], equal: tuple[str, ...]) -> list[Column]:
-    """Predicates of a rule; prefix: attribute to column."""
-    out = [F.col(c).startswith(v) for a, c in prefix.items() if (v := getattr(rule, a))]
-    return out + [F.col(c) == v for c in equal if (v := getattr(rule, c))]
-
-
 def apply_tags(flows: DataFrame, rules: list[TagRule], compat: bool = False) -> DataFrame:
     """Each rule adds its tag where it is not there yet and the rule's predicates hold.
 
@@ -53,9 +48,9 @@ def apply_tags(flows: DataFrame, rules: list[TagRule], compat: bool = False) ->
     """
     if not rules:
         return flows
-    # every rule is tried once on the flow's own columns, and all tags are merged at once
-    fits = [reduce(lambda a, b: a & b, conditions(r, {c: c for c in PREFIX}, EQUAL), F.lit(True)) for r in rules]
-    found = F.array(*[F.when(ok, F.lit(r.tag)) for ok, r in zip(fits, rules, strict=True)])
+    # every rule is tried on the flow's own columns, and all tags are merged at once
+    flows = matching(flows, [Entry(i, r.tag, SHAPE.wanted(r)) for i, r in enumerate(rules)], SHAPE, "_fit")
+    found = F.transform("_fit", lambda r: r["label"])
     have = F.coalesce("tag", F.array(*([F.lit(rules[0].tag)] if compat else [])).cast("array<string>"))
-    tags = F.concat(have, F.array_except(F.array_compact(found), have))
-    return flows.withColumn("tag", F.when(F.col("tag").isNotNull() | (F.size(tags) > 0), tags))
+    tags = F.concat(have, F.array_except(found, have))
+    return flows.withColumn("tag", F.when(F.col("tag").isNotNull() | (F.size(tags) > 0), tags)).drop("_fit")
