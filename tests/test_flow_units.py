@@ -19,7 +19,7 @@ from tidemark.operators import binning, enrich, histogram, metrics, model, norma
 from tidemark.plans import flow_pipeline
 from tidemark.shared import kept
 from tidemark.sources import files, sinks
-from tidemark.streaming import stages
+from tidemark.streaming import ledger, stages
 
 
 def one(spark, column):
@@ -474,6 +474,118 @@ def test_rejected_batches(spark, full, tmp_path):
         assert spark.read.parquet(path(f"rejected{i}")).count() == 4 and not os.path.exists(path("out"))
 
 
+def ledger_total(df):
+    return {tuple(r[:4]): r[4] for r in df.groupBy("bucket", "observe", "name", "key").agg(F.sum("value")).collect() if r[4]}
+
+
+def write_files(df, folder, *conditions):
+    for c in conditions:
+        df.where(c).coalesce(1).write.mode("append").parquet(folder)
+
+
+def drain(query):
+    query.awaitTermination()
+    assert query.exception() is None
+
+
+def test_repeated_batches_and_new_checkpoints_add_nothing(spark, full, tmp_path):
+    path = lambda n: str(tmp_path / n)
+    ids = lambda p: sorted(r["id"] for r in spark.read.parquet(p).select("id").collect())
+    write_files(full, path("in"), "day(stime) = 3", "day(stime) = 4")
+    work = stages.staged(lambda b: b, path("one"), path("bad"))
+    source = files.stream_flows(spark, path("in"), files=1)
+    drain(stages.start(source, work, path("cp1")))
+    want = ids(path("in"))
+    assert ids(path("one")) == want
+    drain(stages.start(source, work, path("cp2")))  # a new checkpoint starts at batch 0 again
+    assert ids(path("one")) == want
+    two = stages.staged(lambda b: b.withColumn("trigger", F.lit(1)), path("two"), path("bad"))
+    drain(stages.start(files.stream_flows(spark, path("one"), files=1), two, path("cp3")))
+    assert ids(path("two")) == want
+    batch = spark.read.parquet(path("in")).where("day(stime) = 3").limit(5)
+    for _ in range(2):
+        stages.staged(lambda b: b, path("three"), path("bad"))(batch, 7)
+    assert len(ids(path("three"))) == 5
+    write_files(full, path("in"), "day(stime) = 5")
+    drain(stages.start(source, work, path("cp2")))
+    drain(stages.start(files.stream_flows(spark, path("one"), files=1), two, path("cp3")))
+    assert ids(path("two")) == ids(path("in")) and len(ids(path("in"))) > len(want)
+
+
+@pytest.mark.parametrize("broken_at", ["_enter", "_move"])
+def test_a_crash_around_the_entry(spark, full, tmp_path, monkeypatch, broken_at):
+    path, batch = str(tmp_path / "out"), kept(full.limit(5), "test-crash")
+    real = getattr(ledger.Ledger, broken_at)
+
+    def crash(self, *args):
+        raise OSError("cut off")
+
+    monkeypatch.setattr(ledger.Ledger, broken_at, crash)
+    work = stages.staged(lambda b: b, path, str(tmp_path / "bad"))
+    with pytest.raises(OSError, match="cut off"):
+        work(batch, 0)
+    assert ledger.Ledger(spark, path).published() == []
+    monkeypatch.setattr(ledger.Ledger, broken_at, real)
+    work(batch, 0)
+    work(batch, 0)
+    assert spark.read.parquet(path).count() == 5 and ledger.Ledger(spark, path).read().count() == 5
+
+
+def test_unreadable_files_are_set_aside(spark, full, tmp_path):
+    path = lambda n: str(tmp_path / n)
+    write_files(full, path("in"), "day(stime) = 3", "day(stime) = 4", "day(stime) = 5")
+    with open(path("in/broken.parquet"), "wb") as f:
+        f.write(b"PAR1 not a table PAR1")
+    read = lambda p: files.read_flows(spark, *p)
+    work = stages.staged_files(lambda b: b, read, path("out"), path("bad"), path("broken"))
+    for checkpoint in ("cp1", "cp2"):
+        drain(stages.start(ledger.file_names(spark, path("in")), work, path(checkpoint)))
+    assert spark.read.parquet(path("out")).count() == full.where("day(stime) IN (3, 4, 5)").count()
+    listed = spark.read.parquet(path("broken")).collect()
+    assert [os.path.basename(r["path"]) for r in listed] == ["broken.parquet"] and listed[0]["error"]
+    write_files(full, path("in"), "day(stime) = 6")
+    drain(stages.start(ledger.file_names(spark, path("in")), work, path("cp2")))
+    assert spark.read.parquet(path("out")).count() == full.where("day(stime) IN (3, 4, 5, 6)").count() and not os.path.exists(path("bad"))
+
+
+def test_day_state_equals_the_batch_answer(spark, full, tmp_path):
+    path = lambda n: str(tmp_path / n)
+    work = stages.day_metrics(path("days"), path("bad"))
+    # parts of days, out of order, then all again by another checkpoint
+    write_files(full, path("in"), "day(stime) = 4 AND sport % 2 = 0", "day(stime) = 5", "day(stime) = 4 AND sport % 2 = 1 OR day(stime) = 3")
+    source = files.stream_flows(spark, path("in"), files=1)
+    for checkpoint in ("cp1", "cp1", "cp2"):
+        drain(stages.start(source, work, path(checkpoint)))
+    whole = full.where("day(stime) IN (3, 4, 5)")
+    assert ledger_total(stages.read_day_metrics(spark, path("days"))) == ledger_total(metrics.metrics_all(whole))
+    got = stages.read_day_metrics(spark, path("days"))
+    assert got.count() == metrics.metrics_all(whole).count()  # one row for each key, as in one batch
+    five = next(d for d in stages._versions(ledger.Ledger(spark, path("days"))) if d.endswith("05"))
+    entry = stages._versions(ledger.Ledger(spark, path("days")))[five]
+    write_files(full, path("in"), "day(stime) = 4 AND sport % 1000 = 7")
+    drain(stages.start(source, work, path("cp2")))
+    assert stages._versions(ledger.Ledger(spark, path("days")))[five] == entry  # an untouched day is not written again
+    assert stages.expire_days(spark, path("days"), five) >= 1
+    assert ledger_total(stages.read_day_metrics(spark, path("days"))) == ledger_total(metrics.metrics_all(full.where("day(stime) = 5")))
+
+
+def test_windows_and_late_rows_add_up(spark, full, tmp_path):
+    path = lambda n: str(tmp_path / n)
+    work = stages.late_metrics(path("m"), path("bad"), "1 hour")
+    parts = [full.where("day(stime) = 3"), full.where("day(stime) = 5"), full.where("day(stime) = 4"), full.where("day(stime) = 6")]
+    for i, p in enumerate(parts):
+        write_files(p, path(f"in{i}"), "true")
+        work(spark.read.parquet(path(f"in{i}")), i)
+        work(spark.read.parquet(path(f"in{i}")), i)
+    read = lambda f: spark.read.parquet(path(f"m/{f}"))
+    every = read("windows").unionByName(read("late")).unionByName(read("open"))
+    assert ledger_total(every) == ledger_total(metrics.metrics_all(full.where("day(stime) IN (3, 4, 5, 6)")))
+    assert {r["d"] for r in read("late").selectExpr("day(bucket) AS d").distinct().collect()} == {4}
+    keys = ["bucket", "observe", "name", "beside", "key"]
+    assert read("windows").count() == read("windows").select(*keys).distinct().count()  # a minute is final once
+    assert read("open").agg(F.min("bucket")).first()[0] > read("windows").agg(F.max("bucket")).first()[0]
+
+
 def test_triggers():
     assert stages.trigger_of("once") == {"availableNow": True} and stages.trigger_of("hour") == {"processingTime": "1 hour"}
     assert stages.trigger_of("fortnight") == stages.trigger_of("second")

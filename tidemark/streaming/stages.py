@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.metrics import SERIES, TELEMETRY, metrics_all, series_of
+from tidemark.operators.metrics import SERIES, TELEMETRY, metric_rows, metrics_all, series_of
 from tidemark.operators.model import latest_version, read_model
-from tidemark.operators.select import same_stream, split
+from tidemark.operators.select import merge, same_stream, split
+from tidemark.shared import kept
+from tidemark.streaming.ledger import Ledger, fresh, run_of, unreadable, with_inputs
 
 #: Interval names to trigger arguments; unknown ones count as a second.
 INTERVALS = {"once": {"availableNow": True}, "second": {"processingTime": "1 second"}, "minute": {"processingTime": "1 minute"}, "hour": {"processingTime": "1 hour"}, "day": {"processingTime": "1 day"}, "week": {"processingTime": "7 days"}}
@@ -37,16 +39,31 @@ def accepted(batch: DataFrame) -> bool:
     return bool(same_stream(batch).first()["accepted"])
 
 
-def each_batch(work: Callable[[DataFrame, int], None], rejected: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that gives ``work`` only batches of one kind of stream; others go to ``rejected``, where a repeated one replaces itself."""
+#: What a stage makes of a batch: a table for each folder below its root.
+Tables = Callable[[DataFrame, Ledger], dict[str, DataFrame]]
+
+
+def each_batch(work: Tables, root: str, rejected: str, note: Callable[[DataFrame, Ledger], dict] | None = None) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that publishes what ``work`` makes of each batch of one kind of stream; other batches are published in ``rejected``.
+
+    Repeated batches and files that were published before, by this checkpoint or another, add nothing.
+    """
 
     def run(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
+        spark, name = batch.sparkSession, run_of(batch)
+        good, bad = Ledger(spark, root), Ledger(spark, rejected)
+        good.recover()
+        if good.has(name, number) or bad.has(name, number):
+            return
+        batch = with_inputs(batch).persist()
         try:
-            if accepted(batch):
-                work(batch, number)
-            elif not batch.isEmpty():
-                batch.write.mode("overwrite").parquet(f"{rejected}/batch={number}")
+            rows, inputs = fresh(good, batch)
+            if accepted(rows):
+                good.publish(name, number, work(rows, good), inputs, note(rows, good) if note else None)
+            elif not rows.isEmpty():
+                rows, inputs = fresh(bad, batch)
+                if not rows.isEmpty():
+                    bad.publish(name, number, {".": rows}, inputs)
         finally:
             batch.unpersist()
 
@@ -56,22 +73,153 @@ def each_batch(work: Callable[[DataFrame, int], None], rejected: str) -> Callabl
 def partial_metrics(root: str, rejected: str) -> Callable[[DataFrame, int], None]:
     """Additive metrics: every batch adds rows of its own, late flows too; readers add them up.
 
-    A batch writes a partition of its own, so that one that is repeated replaces itself. Batches of mixed streams go to ``rejected``.
+    Batches of mixed streams go to ``rejected``.
     """
+    return each_batch(lambda batch, _: {".": metrics_all(batch)}, root, rejected)
 
-    def work(batch: DataFrame, number: int) -> None:
-        metrics_all(batch).write.mode("overwrite").parquet(f"{root}/batch={number}")
 
-    return each_batch(work, rejected)
+def staged(stage: Callable[[DataFrame], DataFrame], output: str, rejected: str) -> Callable[[DataFrame, int], None]:
+    """Apply a stage to each batch and publish what it returns: a stream over ``output`` is the next stage's source."""
+    return each_batch(lambda batch, _: {".": stage(batch)}, output, rejected)
 
 
-def staged(stage: Callable[[DataFrame], DataFrame], output: str, rejected: str) -> Callable[[DataFrame, int], None]:
-    """Apply a stage to each batch and write what it returns; a repeated batch replaces itself."""
+def staged_files(stage: Callable[[DataFrame], DataFrame], read: Callable[[list[str]], DataFrame], output: str, rejected: str, broken: str) -> Callable[[DataFrame, int], None]:
+    """The same over a stream of file names (``ledger.file_names``), which goes on past files that cannot be read.
+
+    When reading fails, the unreadable files are found by halving and listed with their errors in ``broken``; the
+    others are published. Batches of mixed streams go to ``rejected``.
+    """
+
+    def run(names: DataFrame, number: int) -> None:
+        spark, name = names.sparkSession, run_of(names)
+        good, bad, set_aside = ledgers = [Ledger(spark, root) for root in (output, rejected, broken)]
+        paths = sorted(r["path"] for r in names.collect())  # the files of one batch
+        for ledger in ledgers:
+            ledger.recover()
+            known = ledger.consumed(paths)
+            paths = [p for p in paths if p not in known]
+        if not paths:
+            return
+        try:
+            rows = kept(read(paths), "stage-batch")
+        except Exception:
+            if not (wrong := unreadable(read, paths)):
+                raise
+            set_aside.publish(name, number, {".": spark.createDataFrame(sorted(wrong.items()), "path string, error string")}, sorted(wrong))
+            if not (paths := [p for p in paths if p not in wrong]):
+                return
+            rows = kept(read(paths), "stage-batch")
+        if accepted(rows):
+            good.publish(name, number, {".": stage(rows)}, paths)
+        elif not rows.isEmpty():
+            bad.publish(name, number, {".": rows}, paths)
+
+    return run
+
+
+#: Metrics kept by day: the columns that tell rows apart.
+DAY_KEYS = ("bucket", "observe", "name", "beside", "key")
+
+
+def day_metrics(root: str, rejected: str, names: tuple[str, ...] = tuple(SERIES)) -> Callable[[DataFrame, int], None]:
+    """The state of each day's metrics: a batch adds to the days it holds rows of, and only these are written anew.
+
+    Partial, late and repeated batches give what one batch with all rows gives. The new state of a batch's days is published with the batch, and what it
+    replaces is deleted afterwards; days that get no more rows are not touched.
+    """
+
+    def work(batch: DataFrame, ledger: Ledger) -> dict[str, DataFrame]:
+        new = metric_rows(batch, names).groupBy(*DAY_KEYS).agg(F.sum("value").alias("value")).withColumn("day", _day("bucket"))
+        if ledger.published("state"):
+            new = kept(new, "day-metrics")
+            days = [r["day"] for r in new.select("day").distinct().collect()]  # those of one batch
+            new = new.unionByName(_newest(ledger).where(F.col("day").isin(*days)))
+        return {"state": new.groupBy("day", *DAY_KEYS).agg(F.sum("value").alias("value"))}
+
+    run = each_batch(work, root, rejected, lambda batch, _: {"days": ",".join(r["day"] for r in batch.select(_day("stime").alias("day")).distinct().collect())})
+
+    def then_clean(batch: DataFrame, number: int) -> None:
+        run(batch, number)
+        ledger = Ledger(batch.sparkSession, root)
+        newest = set(_versions(ledger).values())
+        ledger.forget("state", [s for s in ledger.published("state") if s not in newest])
+
+    return then_clean
+
 
-    def work(batch: DataFrame, number: int) -> None:
-        stage(batch).write.mode("overwrite").parquet(f"{output}/batch={number}")
+def _day(time: str) -> Column:
+    """The day of a time as text; rows without a time have one of their own."""
+    return F.coalesce(F.to_date(time).cast("string"), F.lit("none"))
 
-    return each_batch(work, rejected)
+
+def _versions(ledger: Ledger) -> dict[str, int]:
+    """Day to the newest entry that holds it, if its state is there."""
+    days = ledger.entries().select("seq", F.explode(F.split(F.element_at("note", "days"), ",")).alias("day"))
+    there = set(ledger.published("state"))
+    return {r["day"]: r["seq"] for r in days.groupBy("day").agg(F.max("seq").alias("seq")).collect() if r["seq"] in there}  # a row a day
+
+
+def _newest(ledger: Ledger) -> DataFrame:
+    """The newest state of each day."""
+    versions = _versions(ledger)
+    parts = [ledger.read("state", [s]).where(F.col("day").isin(*[d for d, v in versions.items() if v == s])) for s in sorted(set(versions.values()))]
+    return merge(parts)
+
+
+def read_day_metrics(spark: SparkSession, root: str, *days: str) -> DataFrame:
+    """stream, bucket, observe, name, key, value of the state, of all days or some."""
+    ledger = Ledger(spark, root)
+    ledger.recover()
+    rows = _newest(ledger)
+    rows = rows.where(F.col("day").isin(*days)) if days else rows
+    return rows.select(F.lit(TELEMETRY).cast("long").alias("stream"), "bucket", "observe", "name", "key", "value")
+
+
+def expire_days(spark: SparkSession, root: str, before: str) -> int:
+    """Delete the state of days before a day; how many entries' states went. Later rows of such a day start it anew."""
+    ledger = Ledger(spark, root)
+    versions = _versions(ledger)
+    gone = {s for d, s in versions.items() if d < before} - {s for d, s in versions.items() if d >= before}
+    ledger.forget("state", sorted(gone))
+    return len(gone)
+
+
+def late_metrics(root: str, rejected: str, late: str = "10 minutes", names: tuple[str, ...] = tuple(SERIES)) -> Callable[[DataFrame, int], None]:
+    """Per-minute metrics that are final when the watermark passes their minute, and a table of what came later.
+
+    The watermark is the latest time of all batches before, less ``late``. A minute is open until then; closed ones are published in ``windows`` once, rows of
+    closed minutes add to ``late``. ``windows``, ``late`` and the newest ``open`` add up to the metrics of all rows.
+    """
+
+    def before(ledger: Ledger) -> str:
+        return ((ledger.last() or {}).get("note") or {}).get("latest", "")
+
+    def latest(batch: DataFrame, ledger: Ledger) -> str:
+        return max(before(ledger), batch.agg(F.max("stime").cast("string")).first()[0] or "")
+
+    def over(time: str) -> Column:
+        """Whether a minute ends before the watermark that follows from the latest time; one without a time never does."""
+        mark = F.lit(time or None).cast("timestamp_ntz") - F.expr(f"INTERVAL {late}")
+        return F.coalesce(F.col("bucket") + F.expr("INTERVAL 1 minute") <= mark, F.lit(False))
+
+    def work(batch: DataFrame, ledger: Ledger) -> dict[str, DataFrame]:
+        rows = metric_rows(batch, names).groupBy(*DAY_KEYS).agg(F.sum("value").alias("value"))
+        rows = kept(rows.withColumn("_late", over(before(ledger))), "late-metrics")
+        on_time = rows.where("NOT _late").drop("_late")
+        if held := ledger.published("open"):
+            on_time = on_time.unionByName(ledger.read("open", held[-1:]).select(*on_time.columns))
+        on_time = kept(on_time.groupBy(*DAY_KEYS).agg(F.sum("value").alias("value")), "open-metrics")
+        closed = over(latest(batch, ledger))
+        return {"open": on_time.where(~closed), "windows": on_time.where(closed), "late": rows.where("_late").drop("_late")}
+
+    run = each_batch(work, root, rejected, lambda batch, ledger: {"latest": latest(batch, ledger)})
+
+    def then_clean(batch: DataFrame, number: int) -> None:
+        run(batch, number)
+        ledger = Ledger(batch.sparkSession, root)
+        ledger.forget("open", ledger.published("open")[:-1])
+
+    return then_clean
 
 
 def with_latest_model(root: str, stage: Callable[[DataFrame, object], DataFrame]) -> Callable[[DataFrame], DataFrame]:
@@ -89,14 +237,29 @@ def with_latest_model(root: str, stage: Callable[[DataFrame, object], DataFrame]
 
 
 def split_batches(routes: list[dict], rejected: str) -> Callable[[DataFrame, int], None]:
-    """Write each protocol's rows of a batch to its path; protocols without rows write nothing, batches of mixed streams go to ``rejected``."""
+    """Publish each protocol's rows of a batch in its path; protocols without rows write nothing, batches of mixed streams go to ``rejected``."""
 
-    def work(batch: DataFrame, number: int) -> None:
-        for path, rows in split(batch, routes).items():
-            if not rows.isEmpty():
-                rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
+    def run(batch: DataFrame, number: int) -> None:
+        batch = with_inputs(batch).persist()
+        try:
+            rows, name = batch.drop("_input"), run_of(batch)
+            if not accepted(rows):
+                bad = Ledger(batch.sparkSession, rejected)
+                left, inputs = fresh(bad, batch)
+                if not left.isEmpty():
+                    bad.publish(name, number, {".": left}, inputs)
+                return
+            for path in split(rows, routes):
+                # each path has a ledger of its own, so a batch that was cut off goes on where it stopped
+                ledger = Ledger(batch.sparkSession, path)
+                left, inputs = fresh(ledger, batch)
+                mine = split(left, routes)[path]
+                if not mine.isEmpty():
+                    ledger.publish(name, number, {".": mine}, inputs)
+        finally:
+            batch.unpersist()
 
-    return each_batch(work, rejected)
+    return run
 
 
 def start(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, interval: str = "once"):
