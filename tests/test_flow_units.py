@@ -276,6 +276,25 @@ def test_ipv6_lookup(spark):
         assert got[i]["dcountry"] == "xx" and got[i]["sasn"] == {"xx": 9, "na": 0}.get(want, 7)
 
 
+def test_swept_networks_against_all(spark):
+    rng = random.Random(4)
+    for _ in range(100):
+        nets = [(a, a + rng.choice([0, 1, 5, 40])) for a in (rng.randint(0, 60) for _ in range(rng.randint(0, 9)))]
+        cut = enrich.sweep([a for a, _ in nets], [b for _, b in nets])
+        assert [a for a, _ in cut] == sorted({a for a, _ in cut})
+        for x in range(-1, 110):
+            got = next((i for a, i in reversed(cut) if a <= x), None)
+            want = min(((b - a, a, i) for i, (a, b) in enumerate(nets) if a <= x <= b), default=(0, 0, None))[2]
+            assert got == want
+    base = 10 * 65536
+    nets = [(base + a, base + a + rng.choice([0, 3, 255, 70_000]), f"n{i}") for i, a in enumerate(rng.randint(0, 66_000) for _ in range(300))]
+    table = spark.createDataFrame(nets, "start_ip long, end_ip long, iso string")
+    asked = spark.createDataFrame([(None,), (0,)] + [(base + rng.randint(-10, 140_000),) for _ in range(500)], "ip long")
+    for r in enrich.lookup_network(asked, table, F.col("ip"), {"iso": "iso"}).collect():
+        hit = [(b - a, a, n) for a, b, n in nets if r["ip"] is not None and a <= r["ip"] <= b]
+        assert (r["iso"] is None) == (not hit) and (not hit or next(b - a for a, b, n in nets if n == r["iso"]) == min(hit)[0])
+
+
 def test_predict_and_edges(spark):
     bins = spark.createDataFrame([("g", 0, 1.0, 3.0), ("g", 1, 10.0, 12.0)], "g string, bin int, low double, high double")
     df = spark.createDataFrame([("g", v) for v in (2.0, 11.0, 0.0, 6.0, 7.0, 6.5, 99.0)], "g string, v double")

@@ -104,6 +104,29 @@ SELECT o * 16777216 + k * 65536, o * 16777216 + k * 65536 + 65535, concat('Z', c
 FROM (SELECT DISTINCT (event_id % 28) * 8 AS o, (event_id * 5) % 256 AS k FROM {events}) AS nested
 """
 
+#: IPv6 networks at full length, so that their texts sort as numbers: wide ones over many blocks, and within them nested narrower ones.
+NETWORK6_SQL = """
+SELECT concat('20', lpad(lower(hex(o)), 2, '0'), ':0000:0000:0000:0000:0000:0000:0000') AS start_ip, concat('20', lpad(lower(hex(o)), 2, '0'), ':ffff:ffff:ffff:ffff:ffff:ffff:ffff') AS end_ip,
+       concat(chr(CAST(65 + o % 26 AS INT)), 'W') AS iso, 50000 + o AS asn, concat('Wide Operator ', CAST(o AS STRING), ' With A Long Name') AS org
+FROM (SELECT DISTINCT event_id % 64 AS o FROM {events}) AS wide
+UNION ALL
+SELECT concat('20', lpad(lower(hex(o)), 2, '0'), ':', lpad(lower(hex(k)), 4, '0'), ':0000:0000:0000:0000:0000:0000'), concat('20', lpad(lower(hex(o)), 2, '0'), ':', lpad(lower(hex(k)), 4, '0'), ':7fff:ffff:ffff:ffff:ffff:ffff'),
+       concat('N', chr(CAST(65 + k % 26 AS INT))), 60000 + o * 64 + k, concat('Narrow ', CAST(k AS STRING))
+FROM (SELECT DISTINCT event_id % 64 AS o, (event_id * 5) % 40 AS k FROM {events}) AS narrow
+UNION ALL
+SELECT concat('20', lpad(lower(hex(o)), 2, '0'), ':', lpad(lower(hex(k)), 4, '0'), ':', lpad(lower(hex(j)), 4, '0'), ':0000:0000:0000:0000:0000'), concat('20', lpad(lower(hex(o)), 2, '0'), ':', lpad(lower(hex(k)), 4, '0'), ':', lpad(lower(hex(j)), 4, '0'), ':ffff:ffff:ffff:ffff:ffff'),
+       concat('I', chr(CAST(65 + j % 26 AS INT))), 90000 + o * 64 + j, concat('Inner ', CAST(j AS STRING))
+FROM (SELECT DISTINCT event_id % 64 AS o, (event_id * 5) % 40 AS k, (event_id * 3) % 7 AS j FROM {events}) AS inner_
+"""
+
+#: Both ends of IPv6 flows; a few have an IPv4 source.
+FLOW6_SQL = """
+SELECT e AS record,
+       CASE WHEN e % 10 = 0 THEN concat('10.0.0.', CAST(e % 200 AS STRING)) ELSE concat('20', lpad(lower(hex(e % 70)), 2, '0'), ':', lpad(lower(hex((e * 5) % 45)), 4, '0'), ':', lpad(lower(hex((e * 3) % 9)), 4, '0'), ':0000:0000:0000:00ab:', lpad(lower(hex(e % 65536)), 4, '0')) END AS saddr,
+       concat('20', lpad(lower(hex(u % 70)), 2, '0'), ':', lpad(lower(hex((e * 7) % 45)), 4, '0'), ':', lpad(lower(hex(e % 40000)), 4, '0'), ':0000:0000:0000:0000:0001') AS daddr
+FROM (SELECT event_id AS e, user_id AS u FROM {events}) AS base
+"""
+
 #: Application names by master and sub protocol.
 APP_SQL = """
 SELECT DISTINCT CAST(event_id % 6 AS INT) AS master, CAST(user_id % 4 AS INT) AS sub,
@@ -129,11 +152,19 @@ def networks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, NETWORK_SQL)
 
 
+def networks6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view(spark, sf_dir, NETWORK6_SQL)
+
+
+def flows6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view(spark, sf_dir, FLOW6_SQL)
+
+
 def apps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, APP_SQL)
 
 
 def cte(*names: str) -> str:
     """``WITH`` for oracle SQL: flow, raw, network, app over the given events table."""
-    text = {"flow": FLOW_SQL, "raw": RAW_SQL, "network": NETWORK_SQL, "app": APP_SQL}
+    text = {"flow": FLOW_SQL, "raw": RAW_SQL, "network": NETWORK_SQL, "network6": NETWORK6_SQL, "flow6": FLOW6_SQL, "app": APP_SQL}
     return "WITH " + ", ".join(f"{n} AS ({text[n].replace('{events}', 'events')})" for n in names)

@@ -101,6 +101,16 @@ _loc = lambda s: f"({_p(s + 'addr')} OR (a.v4 AND (a.{s}ip & 3758096384) = 37580
 _asn = lambda s: f"CASE WHEN {_loc(s)} THEN 64512 + ((a.{s}ip >> 8) % 1024) ELSE coalesce({s}n.asn, 0) END AS {s}asn, CASE WHEN {_loc(s)} THEN 'private' ELSE coalesce(lower(substr({s}n.org, 1, 31)), 'na') END AS {s}asnorg"
 _add("asn_lookup", _enriched(lambda f, n: enrich.with_asn(f, n).select("record", "sasn", "sasnorg", "dasn", "dasnorg")),
      f"{_NET}, {_best('s')}, {_best('d')} SELECT a.record, {_asn('s')}, {_asn('d')} FROM a LEFT JOIN sn ON a.record = sn.record LEFT JOIN dn ON a.record = dn.record")
+_NET6 = f"{fx.cte('flow6', 'network6')}"
+#: The narrowest of nested networks starts last and ends first.
+_best6 = lambda s: f"{s}n AS (SELECT f.record, arg_max(struct_pack(iso := n.iso, asn := n.asn, org := n.org), n.start_ip || ' ' || translate(n.end_ip, '0123456789abcdef', 'fedcba9876543210')) AS n FROM flow6 f JOIN network6 n ON contains(f.{s}addr, ':') AND f.{s}addr BETWEEN n.start_ip AND n.end_ip GROUP BY f.record)"
+_six = lambda work: lambda s, d: work(fx.flows6(s, d), kept(fx.networks(s, d), "networks"), kept(fx.networks6(s, d), "networks6"))
+_iso6 = lambda s: f"CASE WHEN {_p('f.' + s + 'addr')} THEN 'private' ELSE coalesce(lower({s}n.n.iso), 'na') END AS {s}country"
+_asn6 = lambda s: f"CASE WHEN {_p('f.' + s + 'addr')} THEN 64512 + ((167772160 + f.record % 200) >> 8) % 1024 ELSE coalesce({s}n.n.asn, 0) END AS {s}asn, CASE WHEN {_p('f.' + s + 'addr')} THEN 'private' ELSE coalesce(lower(substr({s}n.n.org, 1, 31)), 'na') END AS {s}asnorg"
+_add("country_lookup6", _six(lambda f, n, n6: enrich.with_country(f, n, n6).select("record", "scountry", "dcountry")),
+     f"{_NET6}, {_best6('s')}, {_best6('d')} SELECT f.record, {_iso6('s')}, {_iso6('d')} FROM flow6 f LEFT JOIN sn ON f.record = sn.record LEFT JOIN dn ON f.record = dn.record")
+_add("asn_lookup6", _six(lambda f, n, n6: enrich.with_asn(f, n, n6).select("record", "sasn", "sasnorg", "dasn", "dasnorg")),
+     f"{_NET6}, {_best6('s')}, {_best6('d')} SELECT f.record, {_asn6('s')}, {_asn6('d')} FROM flow6 f LEFT JOIN sn ON f.record = sn.record LEFT JOIN dn ON f.record = dn.record")
 _APP = "SELECT record, CASE WHEN lower(category) = 'vpn' THEN {0} ELSE coalesce(lower(appid), 'unknown') END AS ndpi_appid, coalesce(lower(category), 'unspecified') AS ndpi_category FROM raw LEFT JOIN app ON master = ndpi_master AND sub = ndpi_sub WHERE " + _KEPT
 for _name, _compat, _form in (("app_lookup", False, "'vpn.' || lower(appid)"), ("app_lookup_compat", True, "lower(appid) || 'vpn.'")):
     _add(_name, lambda s, d, c=_compat: enrich.with_application(normalize.normalize(fx.raw_flows(s, d)), fx.apps(s, d), c).select("record", "ndpi_appid", "ndpi_category"), f"{fx.cte('raw', 'app')} {_APP.format(_form)}")

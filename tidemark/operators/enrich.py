@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,19 +46,72 @@ BROADCAST_NETWORKS = 1_000_000
 WIDE, NARROW = 4, 8
 
 
-def _filed(spread: DataFrame) -> DataFrame:
-    """``block, nets``, narrowest first; with a broadcast hint if its entries, not its blocks, are few enough."""
-    index = spread.groupBy("block").agg(F.array_sort(F.collect_list("net")).alias("nets"))
+def sweep(starts: list[int], ends: list[int]) -> list[tuple[int, int | None]]:
+    """Disjoint segments (first number, place of the narrowest range that holds it; None where there is none), in order.
+
+    Ranges may be nested or overlap; of equally wide ones the one that starts first counts, then the first of the list.
+    """
+    order = sorted(range(len(starts)), key=lambda i: starts[i])
+    held: list[tuple[int, int, int]] = []
+    out: list[tuple[int, int | None]] = []
+    k = 0
+    for at in sorted({*starts, *[e + 1 for e in ends]}):
+        while k < len(order) and starts[order[k]] == at:
+            i = order[k]
+            heapq.heappush(held, (ends[i] - starts[i], starts[i], i))
+            k += 1
+        while held and ends[held[0][2]] < at:
+            heapq.heappop(held)
+        best = held[0][2] if held else None
+        if not out or out[-1][1] != best:
+            out.append((at, best))
+    return out
+
+
+def _filed(spread: DataFrame, hexadecimal: bool = False) -> DataFrame:
+    """``block, nets, segments``: a block's networks and its numbers cut into segments, each with the place of its network.
+
+    With a broadcast hint if its entries, not its blocks, are few enough.
+    """
+    key = "string" if hexadecimal else "bigint"
+    number, shown = (lambda x: int(x, 16), lambda n: f"{n:032x}") if hexadecimal else (int, int)
+    index = spread.groupBy("block").agg(F.sort_array(F.collect_list("net")).alias("nets"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("first", pa.string() if hexadecimal else pa.int64()), ("place", pa.int32())]))
+        for b in batches:
+            found = [sweep([number(n["_a"]) for n in nets], [number(n["_b"]) for n in nets]) for nets in b.column("nets").to_pylist()]
+            segments = pa.array([[{"first": shown(at), "place": i} for at, i in f] for f in found], kind)
+            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("nets"), segments], names=["block", "nets", "segments"])
+
+    kinds = dict(index.dtypes)
+    index = index.mapInArrow(cut, f"block {kinds['block']}, nets {kinds['nets']}, segments array<struct<first:{key},place:int>>")
     return F.broadcast(index) if fits(spread, BROADCAST_NETWORKS) else index
 
 
+def _network_at(key: Column, nets: Column, segments: Column) -> Column:
+    """The network of the last segment that starts at or before a key, found by halving."""
+    size = F.size(segments)
+    pair = lambda low, high: F.struct(low.cast("int").alias("low"), high.cast("int").alias("high"))
+
+    def halve(acc: Column, _: Column) -> Column:
+        middle = F.shiftright(acc["low"] + acc["high"], 1)
+        before = F.get(segments, middle)["first"] <= key
+        return F.when(acc["high"] - acc["low"] <= 1, acc).otherwise(F.when(before, pair(middle, acc["high"])).otherwise(pair(acc["low"], middle)))
+
+    # the low end starts before the first segment, the high end behind the last one
+    steps = F.sequence(F.lit(1), F.length(F.bin(size.cast("long"))))
+    low = F.aggregate(steps, pair(F.lit(-1), size), halve, lambda acc: acc["low"])
+    return F.when(key.isNotNull() & segments.isNotNull() & (low >= 0), F.get(nets, F.get(segments, low)["place"]))
+
+
 def network_index(networks: DataFrame, *values: str) -> DataFrame:
-    """``block, nets``: for each /16 block the networks that overlap it, narrowest first.
+    """``block, nets, segments`` of each /16 block with networks.
 
     One row a block, so an address meets one row and a lookup never multiplies flows.
     """
-    width = F.col("end_ip") - F.col("start_ip")
-    return _filed(networks.select(F.explode(F.sequence(F.shiftright("start_ip", 16), F.shiftright("end_ip", 16))).alias("block"), F.struct(width.alias("width"), F.col("start_ip"), F.col("end_ip"), *[F.col(v) for v in values]).alias("net")))
+    net = F.struct(F.col("start_ip").alias("_a"), F.col("end_ip").alias("_b"), *[F.col(v) for v in values]).alias("net")
+    return _filed(networks.where("start_ip <= end_ip").select(F.explode(F.sequence(F.shiftright("start_ip", 16), F.shiftright("end_ip", 16))).alias("block"), net))
 
 
 def lookup_network6(flows: DataFrame, networks: DataFrame, address: Column, values: dict[str, str]) -> DataFrame:
@@ -64,7 +121,6 @@ def lookup_network6(flows: DataFrame, networks: DataFrame, address: Column, valu
     by each block of WIDE digits that it overlaps; of both the narrowest counts.
     """
     nets = networks.select("*", ipv6_hex(F.col("start_ip")).alias("_a"), ipv6_hex(F.col("end_ip")).alias("_b")).where("_a <= _b")
-    # of two networks around an address the narrower starts later or ends earlier
     net = F.struct(*[F.col(c) for c in ("_a", "_b")], *[F.col(v) for v in values]).alias("net")
     head = lambda c, n: F.substring(c, 1, n)
     number = lambda c: F.conv(head(c, WIDE), 16, 10).cast("long")
@@ -72,12 +128,9 @@ def lookup_network6(flows: DataFrame, networks: DataFrame, address: Column, valu
     out = flows.withColumn("_ip", ipv6_hex(address))
     found = []
     for kind, rows in (("narrow", nets.where(narrow).select(head("_a", NARROW).alias("block"), net)), ("wide", nets.where(~narrow).select(F.explode(F.sequence(number("_a"), number("_b"))).alias("_n"), net).select(F.lower(F.lpad(F.hex("_n"), WIDE, "0")).alias("block"), "net"))):
-        index = _filed(rows).withColumnRenamed("nets", f"_nets_{kind}")
-        out = out.join(index, head("_ip", NARROW if kind == "narrow" else WIDE) == F.col("block"), "left").drop("block")
-        holds = F.filter(f"_nets_{kind}", lambda n: (n["_a"] <= F.col("_ip")) & (F.col("_ip") <= n["_b"]))
-        # nested networks: the one that starts last, then the one that ends first
-        best = F.reduce(holds, F.lit(None).cast(rows.schema["net"].dataType), lambda a, n: F.when(a.isNull() | (n["_a"] > a["_a"]) | ((n["_a"] == a["_a"]) & (n["_b"] < a["_b"])), n).otherwise(a))
-        out = out.withColumn(f"_net_{kind}", best).drop(f"_nets_{kind}")
+        index = _filed(rows, hexadecimal=True).withColumnsRenamed({"nets": "_nets", "segments": "_segments"})
+        out = out.join(index, head("_ip", NARROW if kind == "narrow" else WIDE) == F.col("block"), "left")
+        out = out.withColumn(f"_net_{kind}", _network_at(F.col("_ip"), F.col("_nets"), F.col("_segments"))).drop("block", "_nets", "_segments")
         found.append(f"_net_{kind}")
     out = out.withColumn("_net", F.coalesce(*found))
     return out.withColumns({new: F.col(f"_net.{old}") for old, new in values.items()}).drop("_ip", "_net", *found)
@@ -88,9 +141,8 @@ def lookup_network(flows: DataFrame, networks: DataFrame, address: Column, value
     index = network_index(networks, *values)
     at = F.coalesce(address, F.lit(-1).cast("long"))
     out = flows.withColumn("_ip", at).join(index, F.shiftright(F.col("_ip"), 16) == F.col("block"), "left")
-    holds = F.filter("nets", lambda n: (n["start_ip"] <= F.col("_ip")) & (F.col("_ip") <= n["end_ip"]))
-    out = out.withColumn("_net", F.get(holds, F.lit(0)))
-    return out.withColumns({new: F.col(f"_net.{old}") for old, new in values.items()}).drop("_ip", "block", "nets", "_net")
+    out = out.withColumn("_net", _network_at(F.col("_ip"), F.col("nets"), F.col("segments")))
+    return out.withColumns({new: F.col(f"_net.{old}") for old, new in values.items()}).drop("_ip", "block", "nets", "segments", "_net")
 
 
 def _both(flows: DataFrame, networks: DataFrame, networks6: DataFrame | None, address: Column, values: dict[str, str]) -> DataFrame:
