@@ -362,6 +362,83 @@ def test_percentiles_of_odd_counts(spark, monkeypatch):
         assert np.allclose(r[1:], np.quantile([v for g, v in rows if g == r["g"]], [0.5, 0.99999, 0.0, 1.0]), rtol=1e-12)
 
 
+def test_percentiles_in_narrowing_brackets(spark, monkeypatch):
+    monkeypatch.setattr(model, "RANGE_ROWS", 5)
+    monkeypatch.setattr(model, "BINS", 4)
+    rng = np.random.default_rng(3)
+    # an outlier, a value that most rows hold, tiny differences
+    values = {"far": [*rng.normal(size=200).tolist(), 1e300], "most": [2.5] * 300 + rng.normal(size=40).tolist(), "near": (1 + np.arange(150) * 1e-15).tolist(), "one": [7.0]}
+    df = spark.createDataFrame([(g, float(v), 1) for g, vs in values.items() for v in vs], "g string, v double, c long")
+    for r in model._percentiles(df, ["g"], {"a": 0.5, "b": 0.99999, "c": 0.01}).collect():
+        assert np.allclose(r[1:], np.quantile(values[r["g"]], [0.5, 0.99999, 0.01]), rtol=1e-12)
+
+
+def test_one_join_finds_every_count(spark, flows, capsys):
+    features = tuple(f for f in histogram.DEFAULT_FEATURES if histogram.FEATURES[f][0] != histogram.NUMERICAL)
+    m = model.build(flows, features)
+    scored = score.score(flows, m, features)
+    scored.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Join") == 1 and "BroadcastHashJoin" in plan
+    counts = {(r["observe"], r["vlan"], r["proto"], r["name"], r["key"]): r["value"] for r in m.histogram.collect()}
+    total = {}
+    for k, v in counts.items():
+        total[k[:4]] = total.get(k[:4], 0) + v
+    keys = flows.select("id", "observe", "dvlan", "proto", *[histogram.key_of(f).alias(f) for f in features]).collect()
+    got = {r["id"]: r for r in score.probabilities(flows, m, features, every_row=True).collect()}
+    for r in keys:
+        if got[r["id"]]["_modelled"]:
+            for f in features:
+                k = (r["observe"], r["dvlan"], r["proto"], f)
+                assert got[r["id"]][f"_p_{f}"] == pytest.approx((counts.get((*k, r[f]), 0) + 1) / (total.get(k, 0) + 1))
+
+
+def test_large_models_are_joined_by_one_shuffle(spark, flows, monkeypatch):
+    m = model.build(flows)
+    want = {r["id"]: r["hbos_score"] for r in score.score(flows, m, histogram.DEFAULT_FEATURES).select("id", "hbos_score").collect()}
+    monkeypatch.setattr(score, "fits", lambda df: False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert {r["id"]: r["hbos_score"] for r in score.score(flows, m, histogram.DEFAULT_FEATURES).select("id", "hbos_score").collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_models_from_days(spark, flows):
+    features = ("sbytes", "dport", "daddr", "stime")
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    days = [model.day_values(flows.where(c), features) for c in ("sport % 2 = 0", "sport % 2 = 1 AND day(stime) < 9", "sport % 2 = 1 AND day(stime) >= 9")]
+    table = kept(select.merge(days), "test-days")
+    for since in (None, "2024-01-10"):
+        some = flows.where(F.to_date("stime") >= since) if since else flows
+        want = model.build(some, features)
+        got = model.from_days(table, features, since)
+        assert rows(got.histogram) == rows(want.histogram.select(*got.histogram.columns))
+        assert rows(got.summary) == rows(want.summary.select(*got.summary.columns))
+
+
+@pytest.mark.parametrize("group", [[], ["g"]])
+def test_ranks_over_many_ranges(spark, monkeypatch, group):
+    monkeypatch.setattr(binning, "RANGE_VALUES", 7)
+    rng = np.random.default_rng(6)
+    rows = [(f"g{i % 3}", int(v)) for i, v in enumerate(rng.integers(0, 90, 700))] + [("g9", 4)]
+    df = spark.createDataFrame(rows, "g string, v long")
+    by = {}
+    for g, v in rows:
+        by.setdefault((g,) if group else (), []).append(v)
+    got = {}
+    for r in binning._ranks(df, group, "v").collect():
+        got.setdefault(tuple(r[c] for c in group), {})[r["v"]] = (r["_from"], r["_to"], r["_next"], r["n"])
+    assert got.keys() == by.keys()
+    for k, vs in by.items():
+        vs = sorted(vs)
+        uniq = sorted(set(vs))
+        assert got[k] == {v: (vs.index(v), len(vs) - 1 - vs[::-1].index(v), dict(zip(uniq, [*uniq[1:], None], strict=True))[v], len(vs)) for v in uniq}
+    edges = binning.equal_frequency(df, group, "v", 6)
+    counts = binning.bin_counts(df, kept(edges, "test-edges"), group, "v")
+    assert counts.agg(F.sum("count")).first()[0] == len(rows)
+
+
 # ---------------------------------------------------------------- samples
 
 

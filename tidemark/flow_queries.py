@@ -197,14 +197,15 @@ for _name, _s in metrics.SERIES.items():
 _ALL = " UNION ALL ".join(_series_sql(s) for s in metrics.SERIES.values())
 _flow("metrics_all", metrics.metrics_all, _ALL)
 _flow("bucket_bounds", lambda f: metrics.bucket_bounds(metrics.metric(f, "flow")), "SELECT date_trunc('minute', min(stime)) AS first_bucket, date_trunc('minute', max(stime)) AS last_bucket FROM flow")
-_dash = lambda name, run, sql: _flow(name, lambda f: run(metrics.metrics_all(f)), f", m AS ({_ALL}) {sql}")
+#: A dashboard asks only for the series it shows.
+_dash = lambda name, run, sql, *series: _flow(name, lambda f: run(metrics.metrics_all(f, series)), f", m AS ({_ALL}) {sql}")
 _two = "SELECT bucket, key, CAST(sum(value){2} AS BIGINT) AS total FROM m WHERE name = '{0}' AND key IN {1} GROUP BY bucket, key"
-_dash("dash_flow", dashboards.flow_rate, "SELECT bucket, CAST(sum(value) AS BIGINT) AS total FROM m WHERE name = 'flow' GROUP BY bucket")
-_dash("dash_bits", dashboards.bits, _two.format("bytes", "('sbytes', 'dbytes')", " * 8"))
-_dash("dash_pkts", dashboards.packets, _two.format("pkts", "('spkts', 'dpkts')", ""))
+_dash("dash_flow", dashboards.flow_rate, "SELECT bucket, CAST(sum(value) AS BIGINT) AS total FROM m WHERE name = 'flow' GROUP BY bucket", "flow")
+_dash("dash_bits", dashboards.bits, _two.format("bytes", "('sbytes', 'dbytes')", " * 8"), "sbytes", "dbytes")
+_dash("dash_pkts", dashboards.packets, _two.format("pkts", "('spkts', 'dpkts')", ""), "spkts", "dpkts")
 for _k in ("proto", "daddr", "appid"):
-    _dash(f"dash_{_k}_top", lambda m, k=_k: dashboards.by_key(m, k), f"SELECT bucket, key, CAST(sum(value) AS BIGINT) AS total FROM m WHERE name = '{_k}' GROUP BY bucket, key ORDER BY bucket, key, total LIMIT 10")
-_dash("dash_dns_top", lambda m: dashboards.totals(m, "dns"), "SELECT key, CAST(sum(value) AS BIGINT) AS total FROM m WHERE name = 'dns' GROUP BY key ORDER BY key, total LIMIT 100")
+    _dash(f"dash_{_k}_top", lambda m, k=_k: dashboards.by_key(m, k), f"SELECT bucket, key, CAST(sum(value) AS BIGINT) AS total FROM m WHERE name = '{_k}' GROUP BY bucket, key ORDER BY bucket, key, total LIMIT 10", _k)
+_dash("dash_dns_top", lambda m: dashboards.totals(m, "dns"), "SELECT key, CAST(sum(value) AS BIGINT) AS total FROM m WHERE name = 'dns' GROUP BY key ORDER BY key, total LIMIT 100", "dns")
 
 # ---------------------------------------------------------------- models
 
@@ -256,6 +257,8 @@ _HIST = "SELECT observe, vlan, proto, name, kind, key, value FROM h"
 for _name, _fs in (("hist_numeric", NUMBERS), ("hist_mod_port", ("sport", "dport")), ("hist_string", ("spd", "orient", "ndpi_appid")), ("hist_ip", ("saddr", "daddr")), ("hist_hour", ("stime",)), ("model_histogram", DEFAULT_FEATURES)):
     _flow(_name, lambda f, fs=_fs: histogram.histograms(f, fs), f"{_model_sql(_fs)} {_HIST}")
 _MODULI = "map {" + ", ".join(f"'{f}': {FEATURES[f][1]}" for f in DEFAULT_FEATURES) + "}"
+_flow("model_histogram_days", lambda f: model.from_days(model.day_values(f)).histogram, f"{_model_sql(DEFAULT_FEATURES)} SELECT * FROM h")
+_flow("hist_numeric_days", lambda f: model.from_days(model.day_values(f, NUMBERS), NUMBERS).histogram, f"{_model_sql(NUMBERS)} SELECT * FROM h")
 _flow("model_summary", lambda f: model.summarize(histogram.histograms(f)), f"{_model_sql(DEFAULT_FEATURES)} SELECT observe, vlan, proto, name, kind AS histogram, count, CAST({_MODULI}[name] AS INT) AS hash_size, bin_count FROM n")
 
 
@@ -325,6 +328,7 @@ m AS (SELECT {_gs}, i, CASE WHEN f < x AND t > x AND (f + t) / 2.0 <= i * n / {B
 e AS (SELECT * FROM m UNION ALL SELECT {_gs}, 0, min(v) FROM o GROUP BY {_gs} UNION ALL SELECT {_gs}, {BINS}, max(v) + 1 FROM o GROUP BY {_gs}),
 bd AS (SELECT {_gs}, b AS boundary FROM (SELECT *, max(b) OVER (PARTITION BY {_gs} ORDER BY i, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM e) WHERE p IS NULL OR b > p)"""
 _flow("equal_freq_bounds", lambda f: binning.equal_frequency(f, _G, "sbytes", BINS), f"{_EF} SELECT * FROM bd")
+_flow("equal_freq_bounds_all", lambda f: binning.equal_frequency(f, [], "sbytes", BINS), _EF.replace(f"PARTITION BY {_gs}", "PARTITION BY 1").replace(f"GROUP BY {_gs}, v, n", "GROUP BY v, n").replace(f" FROM o GROUP BY {_gs}", " FROM o").replace(f"{_gs}, ", "") + " SELECT * FROM bd")
 _flow("equal_freq_counts", lambda f: binning.bin_counts(f, kept(binning.equal_frequency(f, _G, "sbytes", BINS), "bins"), _G, "sbytes"),
       f"{_EF}, ed AS (SELECT {_gs}, boundary AS low, lead(boundary) OVER (PARTITION BY {_gs} ORDER BY boundary) AS high FROM bd) SELECT {', '.join('ed.' + g for g in _G)}, low, high, count(o.v) AS count FROM ed LEFT JOIN o ON {' AND '.join(f'ed.{g} = o.{g}' for g in _G)} AND o.v >= low AND o.v < high WHERE high IS NOT NULL GROUP BY {', '.join('ed.' + g for g in _G)}, low, high")
 

@@ -10,18 +10,35 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.shared import kept, small
+
+
+#: Distinct values of a range that ranks are counted in, about.
+RANGE_VALUES = 100_000
+
 
 def _ranks(df: DataFrame, group: list[str], column: str) -> DataFrame:
-    """Distinct values with the first and last index they take in sorted order, and the value after."""
-    counted = df.groupBy(*group, F.col(column).cast("long").alias("v")).agg(F.count("*").alias("c"))
-    w = Window.partitionBy(*group).orderBy("v")
-    upto = F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    rows = counted.withColumns({"_to": upto - 1, "_next": F.lead("v").over(w), "n": F.sum("c").over(Window.partitionBy(*group))})
-    return rows.withColumn("_from", F.col("_to") - F.col("c") + 1)
+    """Distinct values with the first and last index they take in sorted order, and the value after.
+
+    The values are dealt by range; each is ranked within its range, behind the rows of its group in the ranges before. A group, or
+    all rows without one, may span any number of ranges.
+    """
+    counted = kept(df.groupBy(*group, F.col(column).cast("long").alias("v")).agg(F.count("*").alias("c")), "bin-counts")
+    parts = max(1, -(-counted.count() // RANGE_VALUES))
+    dealt = kept(counted.repartitionByRange(parts, *group, "v").withColumn("_range", F.spark_partition_id()), "bin-ranges")
+    # one row a group and range
+    held = dealt.groupBy(*group, "_range").agg(F.sum("c").alias("_c"), F.min("v").alias("_least"))
+    ranges = Window.partitionBy(*(group or [F.lit(0)]))
+    held = held.withColumns({"_before": F.sum("_c").over(ranges.orderBy("_range")) - F.col("_c"), "n": F.sum("_c").over(ranges), "_first": F.lead("_least").over(ranges.orderBy("_range"))})
+    held = small(kept(held.drop("_c", "_least"), "bin-offsets"))
+    w = Window.partitionBy(*group, "_range").orderBy("v")
+    upto = F.col("_before") + F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    rows = dealt.join(held, [*group, "_range"]).withColumns({"_to": upto - 1, "_next": F.coalesce(F.lead("v").over(w), "_first")})
+    return rows.withColumn("_from", F.col("_to") - F.col("c") + 1).drop("_range", "_before", "_first")
 
 
 def equal_frequency(df: DataFrame, group: list[str], column: str, bins: int) -> DataFrame:
-    """``boundary``: strictly increasing bin boundaries of each group; the last is the largest value + 1.
+    """``boundary``: strictly increasing bin boundaries of each group (of all rows without a group); the last is the largest value + 1.
 
     Boundary i stands at index round(i n / bins). Where equal values lie on both sides of it, it moves to
     the start or behind the end of their run, whichever has its middle nearer.
@@ -35,7 +52,7 @@ def equal_frequency(df: DataFrame, group: list[str], column: str, bins: int) ->
     marks = marks.select(*group, "i", F.when(inside & late, F.coalesce("_next", F.col("v") + 1)).otherwise(F.col("v")).alias("b"))
     ends = df.groupBy(*group).agg(F.min(F.col(column).cast("long")).alias("lo"), F.max(F.col(column).cast("long")).alias("hi"))
     every = marks.unionByName(ends.select(*group, F.lit(0).alias("i"), F.col("lo").alias("b"))).unionByName(ends.select(*group, F.lit(bins).alias("i"), (F.col("hi") + 1).alias("b")))
-    before = F.max("b").over(Window.partitionBy(*group).orderBy("i", "b").rowsBetween(Window.unboundedPreceding, -1))
+    before = F.max("b").over(Window.partitionBy(*(group or [F.lit(0)])).orderBy("i", "b").rowsBetween(Window.unboundedPreceding, -1))
     return every.withColumn("_before", before).where(F.col("_before").isNull() | (F.col("b") > F.col("_before"))).select(*group, F.col("b").alias("boundary"))
 
 
@@ -44,7 +61,9 @@ def bin_counts(df: DataFrame, boundaries: DataFrame, group: list[str], column: s
     edges = boundaries.groupBy(*group).agg(F.array_sort(F.collect_list("boundary")).alias("e"))
     values = df.groupBy(*group, F.col(column).cast("long").alias("v")).agg(F.count("*").alias("c"))
     at = F.size(F.filter("e", lambda b: b <= F.col("v"))) - 1
-    hit = values.join(edges, group).select(*group, at.alias("k"), "c").groupBy(*group, "k").agg(F.sum("c").alias("c"))
+    # without a group the edges are one row
+    met = values.join(edges, group) if group else values.join(F.broadcast(edges))
+    hit = met.select(*group, at.alias("k"), "c").groupBy(*group, "k").agg(F.sum("c").alias("c"))
     bins = edges.select(*group, "e", F.posexplode(F.slice("e", F.lit(1), F.size("e") - 1)).alias("k", "low")).withColumn("high", F.get("e", F.col("k") + 1))
     return bins.join(hit, [*group, "k"], "left").select(*group, "low", "high", F.coalesce("c", F.lit(0)).alias("count"))
 

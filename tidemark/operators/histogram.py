@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.expressions import bin_number, network_class, nice_step
 from tidemark.operators.select import handshake
 from tidemark.schema import GROUP
-from tidemark.shared import small
+from tidemark.shared import kept, small
 
 NUMERICAL, NUMERIC, STRING, ADDRESS, TIME = "numerical", "numeric_category", "string_category", "ipaddr_category", "time_category"
 #: Feature to (kind of histogram, modulus of its values or 0) (fixed values).
@@ -68,12 +68,13 @@ def keyed(rows: DataFrame, features: tuple[str, ...]) -> DataFrame:
     return out.select("observe", "vlan", "proto", "x.*")
 
 
-def histograms(flows: DataFrame, features: tuple[str, ...] = DEFAULT_FEATURES, protocols: tuple[str, ...] = MODEL_PROTOCOLS) -> DataFrame:
-    """Counts of all features' keys in one aggregation: observe, vlan, proto, name, kind, key, value."""
+def histograms(flows: DataFrame, features: tuple[str, ...] = DEFAULT_FEATURES, protocols: tuple[str, ...] = MODEL_PROTOCOLS, bounds: DataFrame | None = None) -> DataFrame:
+    """Counts of all features' keys in one aggregation: observe, vlan, proto, name, kind, key, value. ``bounds``: ``ranges`` of the rows, if they are at hand."""
     features = checked_features(features)
     rows = model_rows(flows, protocols)
     if any(FEATURES[f][0] == NUMERICAL for f in features):
-        rows = rows.join(small(ranges(rows, features)), list(GROUP))
+        bounds = kept(ranges(rows, features), "histogram-ranges") if bounds is None else bounds
+        rows = rows.join(small(bounds), list(GROUP))
     return keyed(rows, features).groupBy("observe", "vlan", "proto", "name", "kind", "key").agg(F.count("*").alias("value"))
 
 

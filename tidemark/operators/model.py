@@ -8,14 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.expressions import nice_step
+from tidemark.functions.expressions import bin_number, nice_step
 from tidemark.operators import score
-from tidemark.operators.histogram import DEFAULT_FEATURES, FEATURES, NUMERICAL, checked_features, histograms, model_rows, ranges
+from tidemark.operators.histogram import DEFAULT_FEATURES, FEATURES, MODEL_PROTOCOLS, NUMERICAL, checked_features, histograms, key_of, learnt, model_rows, ranges
 from tidemark.shared import kept, small
 
 MINIMUM_DAYS = 1
-#: Distinct values in a range that percentiles are counted through in, about.
-RANGE_ROWS = 100_000
+#: Rows of a bracket of values that are counted through for a percentile, and steps that a larger bracket is cut into.
+RANGE_ROWS, BINS = 2000, 1024
 
 
 @dataclass
@@ -67,35 +67,73 @@ def summarize(histogram: DataFrame, bounds: DataFrame | None = None) -> DataFram
 def build(flows: DataFrame, features: tuple[str, ...] = DEFAULT_FEATURES) -> Model:
     """Histograms, their summary and the score thresholds of each group; the first two are kept as tables."""
     features = checked_features(features)
-    histogram = kept(histograms(flows, features), "model-histogram")
     numeric = tuple(f for f in features if FEATURES[f][0] == NUMERICAL)
-    summary = kept(summarize(histogram, ranges(model_rows(flows), numeric)), "model-summary")
-    model = Model(histogram, summary)
+    # one pass for the ranges, one for the histograms
+    bounds = kept(ranges(model_rows(flows), numeric), "model-ranges")
+    histogram = kept(histograms(flows, features, bounds=bounds), "model-histogram")
+    model = Model(histogram, kept(summarize(histogram, bounds), "model-summary"))
     model.thresholds = kept(score_summary(score.score(flows, model, features, every_row=True)), "model-thresholds")
     return model
 
 
+# ---------------------------------------------------------------- counts by day
+
+
+def day_values(flows: DataFrame, features: tuple[str, ...] = DEFAULT_FEATURES, protocols: tuple[str, ...] = MODEL_PROTOCOLS) -> DataFrame:
+    """day, observe, vlan, proto, name, exact (the value, or the key of other than numerical features), c: counts that add up over batches and days.
+
+    Kept as a table (``streaming.stages.staged(day_values, ...)`` adds each batch's), they are all that histograms, ranges and summaries need, so
+    a rebuild reads no flow again and old days drop out.
+    """
+    features = checked_features(features)
+    each = [F.when(learnt(f), F.struct(F.lit(f).alias("name"), (F.col(f).cast("double").cast("string") if FEATURES[f][0] == NUMERICAL else key_of(f)).alias("exact"))) for f in features]
+    present = F.filter(F.array(*each), lambda x: x.isNotNull())
+    rows = model_rows(flows, protocols).select(F.to_date("stime").alias("day"), "observe", F.col("dvlan").alias("vlan"), "proto", F.explode(present).alias("x"))
+    return rows.groupBy("day", "observe", "vlan", "proto", "x.name", "x.exact").agg(F.count("*").alias("c"))
+
+
+def from_days(values: DataFrame, features: tuple[str, ...] = DEFAULT_FEATURES, since: str | None = None) -> Model:
+    """Histograms and summary from the counts of the days from ``since`` on; thresholds need scores (``score_summary``)."""
+    features = checked_features(features)
+    mine = values.where(F.col("name").isin(*features))
+    mine = mine.where(F.col("day") >= F.lit(since).cast("date")) if since else mine
+    g = ["observe", "vlan", "proto", "name"]
+    total = kept(mine.groupBy(*g, "exact").agg(F.sum("c").alias("c")), "model-values")
+    numeric = [f for f in features if FEATURES[f][0] == NUMERICAL]
+    number = F.col("exact").cast("double")
+    bounds = kept(total.where(F.col("name").isin(*numeric)).groupBy(*g).agg(F.min(number).alias("low"), F.max(number).alias("high")), "model-ranges")
+    kinds = F.create_map(*[F.lit(x) for f in features for x in (f, FEATURES[f][0])])
+    step = nice_step(F.col("low"), F.col("high"))
+    binned = (bin_number(number, F.col("low"), step) * step).cast("long").cast("string")
+    # only numerical values have a range
+    keyed = total.join(small(bounds), g, "left").select(*g, F.element_at(kinds, F.col("name")).alias("kind"), F.when(F.col("low").isNull(), F.col("exact")).otherwise(binned).alias("key"), "c")
+    histogram = kept(keyed.groupBy(*g, "kind", "key").agg(F.sum("c").alias("value")).select("observe", "vlan", "proto", "name", "kind", "key", "value"), "model-histogram")
+    return Model(histogram, kept(summarize(histogram).join(small(bounds), g, "left"), "model-summary"))
+
+
 def _percentiles(counted: DataFrame, g: list[str], shares: dict[str, float]) -> DataFrame:
-    """g and a column for each share: exact interpolated percentiles of ``v``, counted ``c`` times in each group.
+    """g and a column for each share: exact interpolated percentiles of ``v``, counted ``c`` times, in each group.
 
-    ``counted`` has one row for each group and value. The rows are dealt by range of (group, value); the rows that
-    a group has in each range say in which ranges its ranks lie, and only these are counted through, each by itself.
+    Each wanted rank has a bracket of values, first the whole range of its group. A pass counts the rows of each bracket in BINS equal steps, which
+    combine on the map side, and the bracket shrinks to the step that holds the rank, until it holds RANGE_ROWS rows at most or one value. Only the rows
+    inside the brackets are then shuffled and counted through.
     """
-    rows = counted.count()
-    counted = counted.repartitionByRange(max(1, -(-rows // RANGE_ROWS)), *g, "v")
-    counted = kept(counted.withColumn("_range", F.spark_partition_id()), "percentile-ranges")
-    held = counted.groupBy(*g, "_range").agg(F.sum("c").alias("c"))
-    before = F.sum("c").over(Window.partitionBy(*g).orderBy("_range")) - F.col("c")
-    held = kept(held.withColumns({"_before": before, "_n": F.sum("c").over(Window.partitionBy(*g))}), "percentile-counts")
+    ends = counted.groupBy(*g).agg(F.sum("c").alias("_n"), F.min("v").alias("_lo"), F.max("v").alias("_hi"))
     at = {name: (F.col("_n") - 1) * F.lit(q) for name, q in shares.items()}
     ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(p), F.ceil(p)) for p in at.values()])))
-    mine = F.filter(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("c")))
-    wanted = held.select(*g, "_range", "_before", "_n", mine.alias("_ranks")).where(F.size("_ranks") > 0)
-    # at most two ranges for a group and share
-    upto = F.col("_before") + F.sum("c").over(Window.partitionBy(*g, "_range").orderBy("v"))
-    found = counted.join(wanted, [*g, "_range"]).withColumn("_to", upto)
-    hit = F.filter("_ranks", lambda r: (r < F.col("_to")) & (r >= F.col("_to") - F.col("c")))
-    found = found.select(*g, "_n", "v", F.explode(hit).alias("_rank"))
+    brackets = kept(ends.select(*g, "_n", F.explode(ranks).alias("_rank"), "_lo", "_hi", F.lit(0).cast("long").alias("_before"), F.col("_n").alias("_in")), "percentile-brackets")
+    wide = (F.col("_in") > RANGE_ROWS) & (F.col("_hi") > F.col("_lo"))
+    while not (open_ := brackets.where(wide)).isEmpty():
+        step = F.least(F.floor((F.col("v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * BINS), F.lit(BINS - 1))
+        inside = counted.join(small(open_), g).where("v BETWEEN _lo AND _hi")
+        steps = inside.groupBy(*g, "_n", "_rank", "_before", step.alias("_step")).agg(F.sum("c").alias("_in"), F.min("v").alias("_lo"), F.max("v").alias("_hi"))
+        # BINS rows at most for each bracket
+        before = F.col("_before") + F.sum("_in").over(Window.partitionBy(*g, "_rank").orderBy("_step")) - F.col("_in")
+        found = steps.withColumn("_before", before).where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_in")))
+        brackets = kept(brackets.where(~wide).unionByName(found.select(*brackets.columns)), "percentile-brackets")
+    rows = counted.join(small(brackets), g).where("v BETWEEN _lo AND _hi").groupBy(*g, "_n", "_rank", "_before", "v").agg(F.sum("c").alias("c"))
+    upto = F.col("_before") + F.sum("c").over(Window.partitionBy(*g, "_rank").orderBy("v"))
+    found = rows.withColumn("_to", upto).where((F.col("_rank") < F.col("_to")) & (F.col("_rank") >= F.col("_to") - F.col("c")))
 
     def value(name: str) -> Column:
         p = at[name]
@@ -113,10 +151,10 @@ def score_summary(scored: DataFrame) -> DataFrame:
     n = F.count("*")
     unbiased = F.when(n > 2, F.skewness("s") * F.sqrt(n * (n - 1)) / (n - 2))
     stats = s.groupBy(*g).agg(F.min("s").alias("min"), F.max("s").alias("max"), unbiased.alias("skewness"), F.avg("s").alias("avg"), F.stddev_pop("s").alias("stddev"))
-    counted = kept(s.where("s IS NOT NULL").groupBy(*g, F.col("s").alias("v")).agg(F.count("*").alias("c")), "score-counts")
-    middle = kept(_percentiles(counted, g, {"median": 0.5, "quantile": 0.99999}), "score-percentiles")
-    away = counted.join(small(middle.select(*g, "median")), g).groupBy(*g, F.abs(F.col("v") - F.col("median")).alias("v")).agg(F.sum("c").alias("c"))
-    spread = _percentiles(kept(away, "score-deviations"), g, {"mad": 0.5})
+    each = s.where("s IS NOT NULL").select(*g, F.col("s").alias("v"), F.lit(1).cast("long").alias("c"))
+    middle = kept(_percentiles(each, g, {"median": 0.5, "quantile": 0.99999}), "score-percentiles")
+    away = each.join(small(middle.select(*g, "median")), g).select(*g, F.abs(F.col("v") - F.col("median")).alias("v"), "c")
+    spread = _percentiles(away, g, {"mad": 0.5})
     return stats.join(middle, g, "left").join(spread, g, "left").withColumns(thresholds(F.col("min"), F.col("max")))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.enrich import risk_names
 from tidemark.operators.histogram import FEATURES, MODEL_PROTOCOLS, NUMERICAL, key_of
 from tidemark.operators.select import handshake
-from tidemark.shared import fits, small
+from tidemark.shared import fits, kept, small
 
 LEVELS = (("severe", 4), ("high", 3), ("medium", 2), ("low", 1))
 
@@ -23,24 +23,45 @@ def _groups(summary: DataFrame, features: tuple[str, ...]) -> DataFrame:
     return summary.groupBy("observe", F.col("vlan").alias("dvlan"), "proto").agg(F.lit(True).alias("_model"), *columns)
 
 
+#: Keys of a histogram in one bucket of its packed form, about.
+BUCKET_KEYS = 4
+
+
+def packed(model, features: tuple[str, ...]) -> DataFrame:
+    """One row a group: ``_groups`` with each feature's counts (``_h_x``) as a list of small maps, a key standing in the one that its hash picks.
+
+    A key is found in few steps whatever the histogram's size, by plain column functions.
+    """
+    g = ["observe", "vlan", "proto"]
+    rows = model.histogram.where(F.col("name").isin(*features)).select(*g, "name", "key", "value")
+    bits = F.length(F.bin(F.floor((F.count("*") - 1) / BUCKET_KEYS)))  # one bit at least
+    size = rows.groupBy(*g, "name").agg(F.pow(F.lit(2), bits).cast("int").alias("_size"))
+    held = rows.join(size, [*g, "name"]).select(*g, "name", F.pmod(F.xxhash64("key"), F.col("_size")).cast("int").alias("_at"), F.struct("key", "value").alias("_entry"))
+    every = size.select(*g, "name", F.explode(F.sequence(F.lit(0), F.col("_size") - 1)).alias("_at"), F.lit(None).cast(held.schema["_entry"].dataType).alias("_entry"))
+    buckets = held.unionByName(every).groupBy(*g, "name", "_at").agg(F.collect_list("_entry").alias("_entries"))
+    lists = buckets.groupBy(*g, "name").agg(F.sort_array(F.collect_list(F.struct("_at", "_entries"))).alias("_all"))
+    lists = lists.select(*g, "name", F.transform("_all", lambda b: F.map_from_entries(b["_entries"])).alias("_h"))
+    wide = lists.groupBy(*g).agg(*[F.first(F.when(F.col("name") == f, F.col("_h")), ignorenulls=True).alias(f"_h_{f}") for f in features])
+    return _groups(model.summary, features).join(wide.withColumnRenamed("vlan", "dvlan"), ["observe", "dvlan", "proto"], "left")
+
+
 def probabilities(flows: DataFrame, model, features: tuple[str, ...], every_row: bool = False) -> DataFrame:
     """``flows`` with ``_modelled`` and ``_p_x`` for each feature: (count of its key + 1) / (all + 1).
 
     Rows of groups without a model, and tcp rows without a handshake unless ``every_row``, have ``_modelled`` false.
-    One lookup join a feature; the model's tables are broadcast while they are small.
+    One join with the packed model, by broadcast while its keys are few enough, else by one shuffle of the flows, whose busy groups adaptive execution splits.
     """
     g = ["observe", "dvlan", "proto"]
-    # one look at the sizes: parts of a table that fits do too
-    hint = F.broadcast if fits(model.histogram) else lambda df: df
-    groups = _groups(model.summary, features)
-    out = flows.join(F.broadcast(groups) if fits(model.summary) else groups, g, "left")
+    groups = kept(packed(model, features), "model-packed")
+    out = flows.join(F.broadcast(groups) if fits(model.histogram) else groups, g, "left")
     may = F.col("_model").isNotNull() & F.col("proto").isin(*MODEL_PROTOCOLS)
     out = out.withColumn("_modelled", may if every_row else may & handshake())
-    for f in features:
-        counts = model.histogram.where(F.col("name") == f).select("observe", F.col("vlan").alias("dvlan"), "proto", F.col("key").alias(f"_k_{f}"), F.col("value").alias(f"_v_{f}"))
-        out = out.withColumn(f"_k_{f}", key_of(f)).join(hint(counts), [*g, f"_k_{f}"], "left")
-    p = {f"_p_{f}": (F.coalesce(f"_v_{f}", F.lit(0)) + 1) / (F.coalesce(f"_n_{f}", F.lit(0)) + 1) for f in features}
-    return out.select(*flows.columns, "_modelled", *[c.alias(n) for n, c in p.items()])
+
+    def count(f: str) -> Column:
+        buckets, key = F.col(f"_h_{f}"), key_of(f)
+        return F.coalesce(F.element_at(F.get(buckets, F.pmod(F.xxhash64(key), F.size(buckets)).cast("int")), key), F.lit(0).cast("long"))
+
+    return out.select(*flows.columns, "_modelled", *[((count(f) + 1) / (F.coalesce(f"_n_{f}", F.lit(0)) + 1)).alias(f"_p_{f}") for f in features])
 
 
 def score(flows: DataFrame, model, features: tuple[str, ...], every_row: bool = False) -> DataFrame:
