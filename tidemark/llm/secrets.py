@@ -9,7 +9,9 @@ tokens, long mixed strings) only those that look live.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import stored
@@ -25,49 +27,59 @@ KINDS = (
 )
 #: A value looks live when at most so many owners hold it, in at most so many repositories.
 MAX_OWNERS, MAX_REPOS = 1, 3
-_SPAN = "array<struct<start:bigint,ord:int,stop:bigint,kind:string,base:boolean,h:bigint>>"
+#: A value that one in so many spans holds gets its verdict by broadcast; there are at most as many.
+HEAVY = 1000
+_PART = "array<struct<gap:bigint,len:bigint,good:boolean,h:bigint>>"
 
 
-def _found(text: Column, order: int, kind: str, pattern: str, group: int, least: int, base: bool) -> Column:
-    """Spans of one kind: leftmost matches that do not overlap, from the gaps and matches of one pattern."""
+def _parts(text: Column, pattern: str, group: int, least: int, base: bool) -> Column:
+    """Leftmost matches of one pattern that do not overlap: the length of the gap before each and its own, whether it counts, the hash of its value."""
     gaps, whole = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    parts = F.arrays_zip(gaps.alias("gap"), whole.alias("whole"), value.alias("value"))
-    # lengths and hashes only from here on
-    parts = F.transform(parts, lambda p: F.struct(F.length(p["gap"]).cast("long").alias("gap"), F.length(p["whole"]).cast("long").alias("len"), F.length(p["value"]).alias("n"), F.xxhash64(p["value"]).alias("h"), p["value"].alias("v")))
-    good = lambda p: (p["n"] >= least) & (F.lit(True) if base else p["v"].rlike("[0-9]") & p["v"].rlike("[a-z]") & p["v"].rlike("[A-Z]"))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPAN).alias("out"))
-
-    def step(acc: Column, p: Column) -> Column:
-        begin = acc["at"] + p["gap"]
-        end = begin + F.coalesce(p["len"], F.lit(0))
-        span = F.struct(begin.alias("start"), F.lit(order).alias("ord"), end.alias("stop"), F.lit(kind).alias("kind"), F.lit(base).alias("base"), p["h"].alias("h"))
-        return F.struct(end.alias("at"), F.when(F.coalesce(good(p), F.lit(False)), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).cast(_SPAN).alias("out"))
+    good = lambda v: (F.length(v) >= least) & (F.lit(True) if base else v.rlike("[0-9]") & v.rlike("[a-z]") & v.rlike("[A-Z]"))
+    zipped = F.arrays_zip(gaps.alias("gap"), whole.alias("whole"), value.alias("value"))
+    # the text behind the last match has no match of its own
+    parts = F.transform(zipped, lambda p: F.struct(F.length(p["gap"]).cast("long").alias("gap"), F.length(p["whole"]).cast("long").alias("len"), F.coalesce(good(p["value"]), F.lit(False)).alias("good"), F.xxhash64(p["value"]).alias("h")))
+    return F.when(text.rlike(pattern), parts).otherwise(F.array().cast(_PART))
 
-    return F.when(text.rlike(pattern), F.aggregate(parts, start, step, lambda acc: acc["out"])).otherwise(F.array().cast(_SPAN))
 
+def candidates(docs: DataFrame, repo: str, owner: str, keep: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """Two stored tables: a row for each input row (kept columns, ``_id``), and the spans.
 
-def candidates(docs: DataFrame, repo: str, owner: str, keep: tuple[str, ...]) -> DataFrame:
-    """A stored row for each input row: the kept columns, ``_id``, ``_repo``, ``_owner`` and ``_spans`` by start and kind."""
+    Spans: _id, _repo, _owner, ord (number of the kind), start, stop, base, h. Their places are running sums over the gaps and matches of a text and kind, so the work grows with the
+    matches, not with their square.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    spans = F.array_sort(F.concat(*[_found(text, i, *k) for i, k in enumerate(KINDS)]))
     owned = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(a) for c, a in ((repo, "_repo"), (owner, "_owner"))]
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], *owned, spans.alias("_spans"))
-    return stored(rows.withColumn("_id", F.monotonically_increasing_id()), "secret-candidates")
+    by_kind = [_parts(text, *k[1:]).alias(f"_parts{i}") for i, k in enumerate(KINDS)]
+    found = stored(docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), *owned, *by_kind).withColumn("_id", F.monotonically_increasing_id()), "secret-candidates")
+    each = [found.select("_id", "_repo", "_owner", F.lit(i).alias("ord"), F.posexplode(f"_parts{i}").alias("i", "p")) for i in range(len(KINDS))]
+    flat = reduce(DataFrame.unionByName, each).select("_id", "_repo", "_owner", "ord", "i", "p.*")
+    stop = F.sum(F.col("gap") + F.coalesce("len", F.lit(0))).over(Window.partitionBy("_id", "ord").orderBy("i"))
+    base = F.col("ord").isin(*[i for i, k in enumerate(KINDS) if k[4]])
+    spans = flat.withColumn("stop", stop).where("good").select("_id", "_repo", "_owner", "ord", (F.col("stop") - F.col("len")).alias("start"), "stop", base.alias("base"), "h")
+    return found.select("_id", "_row"), stored(spans, "secret-spans")
 
 
-def ownership(found: DataFrame) -> DataFrame:
-    """``h, owners, repos``: in how many distinct owners and repositories each value occurs.
+def ownership(spans: DataFrame) -> DataFrame:
+    """``h, owners, repos, n``: in how many distinct owners and repositories each value occurs, and how often.
 
     Counted in steps, so that a value in a third of all rows spreads over (value, owner, repository).
     """
-    one = found.select(F.explode("_spans.h").alias("h"), "_owner", "_repo")
-    once = one.groupBy("h", "_owner", "_repo").agg(F.lit(1).alias("one"))
-    return once.groupBy("h", "_owner").agg(F.count("*").alias("repos")).groupBy("h").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"))
+    once = spans.groupBy("h", "_owner", "_repo").agg(F.count("*").alias("n"))
+    by_owner = once.groupBy("h", "_owner").agg(F.count("*").alias("repos"), F.sum("n").alias("n"))
+    return by_owner.groupBy("h").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"), F.sum("n").alias("n"))
 
 
-def _text(spans: Column) -> Column:
-    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))))
+def judged(spans: DataFrame, live: Column) -> DataFrame:
+    """The spans with ``live``. Verdicts of the values held most often are broadcast, so that no value's spans meet in one task."""
+    owned = stored(ownership(spans), "secret-owners")
+    total = owned.agg(F.sum("n")).first()[0] or 0
+    verdict = owned.select("h", live.alias("live"), (F.col("n") * HEAVY >= total).alias("_heavy"))
+    heavy = F.broadcast(verdict.where("_heavy").select("h", F.col("live").alias("_live")))  # at most HEAVY rows
+    marked = stored(spans.join(heavy, "h", "left"), "secret-marked")
+    done = marked.where("_live IS NOT NULL").withColumnRenamed("_live", "live")
+    return done.unionByName(marked.where("_live IS NULL").drop("_live").join(verdict.where("NOT _heavy").select("h", "live"), "h"))
 
 
 def scan_secrets(docs: DataFrame, repo: str = "doc_id", owner: str = "source", keep: tuple[str, ...] = ("doc_id",), max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
@@ -76,28 +88,31 @@ def scan_secrets(docs: DataFrame, repo: str = "doc_id", owner: str = "source", k
     ``spans`` lists every base span and those further spans whose value looks live and that lie
     outside the base spans, by start, then kind. ``n_live`` and ``n_copied`` split the reported spans
     by ownership. A null text counts as empty: no spans, ``base_sha256`` of the empty string. Null repositories
-    and owners count as one each. Repeated rows stay; they add no repository. Long texts are scanned whole. An empty table gives an
-    empty result. Columns that are not kept are not returned, so their names cannot clash.
+    and owners count as one each. Repeated rows stay; they add no repository. Long texts are scanned whole, in time that grows with their matches. An empty table gives an
+    empty result. Columns that are not kept are not returned, so their names cannot clash; kept ones named like a result are replaced.
     """
-    found = candidates(docs, repo, owner, keep)
-    owned = stored(ownership(found), "secret-owners")
-    live = (F.col("owners") <= max_owners) & (F.col("repos") <= max_repos)
-    spans = found.select("_id", F.explode("_spans").alias("s")).select("_id", "s", F.col("s.h").alias("h"))
-    judged = spans.join(owned, "h").select("_id", F.struct("s.start", "s.ord", "s.stop", "s.kind", "s.base", live.alias("live")).alias("s"))
-    by_row = judged.groupBy("_id").agg(F.array_sort(F.collect_list("s")).alias("_all"))
-    rows = found.select("_id", *keep, "_spans").join(by_row, "_id", "left")
-    base = F.filter("_spans", lambda s: s["base"])
-    overlaps = lambda s: F.exists(F.col("_base"), lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))
-    rows = rows.withColumn("_base", base)
-    shown = F.coalesce(F.filter("_all", lambda s: s["base"] | (s["live"] & ~overlaps(s))), F.array().cast("array<struct<start:bigint,ord:int,stop:bigint,kind:string,base:boolean,live:boolean>>"))
-    rows = rows.withColumn("_shown", shown)
-    n = lambda k: F.size(F.filter("_base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
-    return rows.select(
-        *keep, n("assign"), n("access"), n("hex"),
-        F.sha2(_text(F.col("_base")), 256).alias("base_sha256"),
-        _text(F.col("_shown")).alias("spans"),
-        F.size(F.filter("_shown", lambda s: s["live"])).cast("long").alias("n_live"),
-        F.size(F.filter("_shown", lambda s: ~s["live"])).cast("long").alias("n_copied"),
+    results = ("n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_copied")
+    keep = tuple(c for c in keep if c not in results)
+    found, spans = candidates(docs, repo, owner, keep)
+    all_ = judged(spans, (F.col("owners") <= max_owners) & (F.col("repos") <= max_repos))
+    # a span meets a base span that starts no later and ends behind its start, or one that starts within it
+    row = Window.partitionBy("_id")
+    before = F.max(F.when(F.col("base"), F.col("stop"))).over(row.orderBy("start").rangeBetween(Window.unboundedPreceding, 0))
+    after = F.min(F.when(F.col("base"), F.col("start"))).over(row.orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0))
+    clear = (F.coalesce(before, F.lit(0)) <= F.col("start")) & (F.coalesce(after, F.col("stop")) >= F.col("stop"))
+    shown = all_.withColumn("_clear", clear).where("base OR (live AND _clear)")
+    kinds = F.array(*[F.lit(k[0]) for k in KINDS])
+    entry = F.struct("start", "ord", F.concat_ws(":", F.get(kinds, F.col("ord")), F.col("start").cast("string"), F.col("stop").cast("string")).alias("text"))
+    listed = lambda c: F.concat_ws(",", F.transform(F.sort_array(F.collect_list(c)), lambda s: s["text"]))
+    n = lambda c, name: F.count_if(c).alias(name)
+    by_row = shown.groupBy("_id").agg(
+        *[n(F.col("ord") == i, f"n_{k[0]}") for i, k in enumerate(KINDS) if k[4]], listed(F.when(F.col("base"), entry)).alias("_base"), listed(entry).alias("spans"),
+        n(F.col("live"), "n_live"), n(~F.col("live"), "n_copied"),
+    )
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    return found.join(by_row, "_id", "left").select(
+        *[F.col(f"_row.`{c}`") for c in keep], zero("n_assign"), zero("n_access"), zero("n_hex"), F.sha2(F.coalesce("_base", F.lit("")), 256).alias("base_sha256"),
+        F.coalesce("spans", F.lit("")).alias("spans"), zero("n_live"), zero("n_copied"),
     )
 
 
