@@ -11,6 +11,8 @@ from tidemark.llm import compression, quality_rules, toxicity
 from tidemark.llm.base import held_out, labelled, present, stored, table
 
 SF = "/root/testdata/sf0.01"
+#: With labels enough for measures of the toxic ones.
+SF_LARGE = "/root/testdata/sf0.1"
 
 
 def test_quality_on_held_out_rows(spark):
@@ -105,11 +107,14 @@ def test_chain_against_a_plain_walk_and_out_of_fold(spark):
 
 
 def test_toxicity_on_rows_not_fitted_on(spark):
-    d, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    d, labels = table(spark, SF_LARGE, "documents"), table(spark, SF_LARGE, "labels")
     seen = F.pmod(F.xxhash64("doc_id"), F.lit(3)) != 0
     out = toxicity.score(d, toxicity.fit(d, labels.where(seen))).select("_row.doc_id", *[f"p_{c}" for c in toxicity.CATEGORIES], F.col("toxic").alias("predicted"))
     rows = out.join(labels.where(~seen), "doc_id").collect()
     assert sum(r["predicted"] == r["toxic"] for r in rows) / len(rows) > 0.9
+    toxic, other = ([r["p_toxic"] for r in rows if r["toxic"] == t] for t in (1, 0))
+    assert sum((a > b) + 0.5 * (a == b) for a in toxic for b in other) / (len(toxic) * len(other)) >= 0.95
+    assert sum(r["predicted"] for r in rows if r["toxic"]) / len(toxic) >= 0.9 and sum(r["predicted"] for r in rows if not r["toxic"]) / len(other) <= 0.02
     assert all(0 <= r[f"p_{c}"] <= 1 for r in rows for c in toxicity.CATEGORIES)
 
 

@@ -9,8 +9,8 @@ Categories: ``toxic`` (the label), ``severe`` (toxic, and at least SEVERE of the
 the words that occur in toxic texts far more often than in others, so the later links predict a finer form of what the first does.
 
 Features of a text are the distinct words and word beginnings it holds, hashed. Beginnings
-catch words in inflected forms that the sample never held. A link weighs every bucket that MIN_DOCS sample texts hold, and
-three sums over the buckets' log-odds (the strongest, those clearly and those far above chance).
+catch words in inflected forms that the sample never held. A link weighs every bucket that a sample text holds, with a ridge that keeps what
+says little small (it grows as log-odds fall), and three sums over the buckets' log-odds (the strongest, those clearly and those far above chance).
 
 The sample is bounded by TRAIN_ROWS rows of a class. Its texts stay on the executors, where counts of buckets, inputs and
 gradients are summed; what reaches the driver is a few numbers for each sample row and each counted bucket.
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +35,12 @@ TRAIN_ROWS = 4000
 BUCKETS = 1 << 20
 STEMS = (4, 5, 6, 7, 8)
 FOLDS = 4
-#: Sample texts that a bucket must be found in to be counted and weighed.
-MIN_DOCS = 3
 #: Gradient steps on the weights of buckets, and their size.
 STEPS, RATE, RIDGE = 4, 0.1, 0.5
+#: How fast the ridge grows as a bucket's log-odds fall below CLEAR.
+FADE = 8
+#: Buckets whose gradients are added up in one place.
+BLOCK = 1 << 15
 #: Log-odds that are clearly and far above chance.
 CLEAR, FAR, STRONG = 1.5, 4.0, 3.0
 #: Parts that the sample is dealt into.
@@ -134,12 +136,15 @@ class Counts:
     bucket: np.ndarray
     held: np.ndarray  # buckets x FOLDS x 2
     rows: np.ndarray  # FOLDS x 2
+    _made: dict = field(default_factory=dict)
 
     def without(self, *folds: int) -> np.ndarray:
-        """Log-odds of the counted buckets from all folds but these."""
-        use = [f for f in range(FOLDS) if f not in folds]
-        held, rows = self.held[:, use].sum(axis=1, dtype=np.int64), self.rows[use].sum(axis=0)
-        return log_odds(held[:, 1], held[:, 0], float(rows[1]), float(rows[0]))
+        """Log-odds of the counted buckets from all folds but these, worked out once."""
+        use = tuple(f for f in range(FOLDS) if f not in folds)
+        if use not in self._made:
+            held, rows = self.held[:, use].sum(axis=1, dtype=np.int64), self.rows[list(use)].sum(axis=0)
+            self._made[use] = log_odds(held[:, 1], held[:, 0], float(rows[1]), float(rows[0]))
+        return self._made[use]
 
 
 def _fold(ids: pa.Array) -> np.ndarray:
@@ -161,11 +166,11 @@ def sample_rows(found: DataFrame) -> DataFrame:
 
 
 def bucket_counts(rows: DataFrame, y: str = "y") -> Counts:
-    """Counted by Spark; buckets that fewer than MIN_DOCS texts hold are left out."""
+    """Counted by Spark; at most BUCKETS rows reach the driver."""
     cells = [(f, c) for f in range(FOLDS) for c in (0, 1)]
     each = [F.count_if((F.col("fold") == f) & (F.col(y) == c)).cast("int") for f, c in cells]
-    held = rows.select("fold", y, F.explode("x").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"), *[e.alias(f"c{i}") for i, e in enumerate(each)])
-    got = held.where(F.col("n") >= MIN_DOCS).toArrow().sort_by("bucket")
+    held = rows.select("fold", y, F.explode("x").alias("bucket")).groupBy("bucket").agg(*[e.alias(f"c{i}") for i, e in enumerate(each)])
+    got = held.toArrow().sort_by("bucket")
     total = rows.agg(*each).first()
     columns = np.stack([got.column(f"c{i}").to_numpy() for i in range(len(cells))], axis=1)
     return Counts(got.column("bucket").to_numpy().astype(np.int64), columns.astype(np.int32).reshape(-1, FOLDS, 2), np.array(total, dtype=np.int64).reshape(FOLDS, 2))
@@ -194,6 +199,13 @@ def _each_row(rows: DataFrame, work, kind: str) -> pa.Table:
     return rows.mapInArrow(run, f"doc_id string, v {kind}").toArrow().sort_by("doc_id")
 
 
+def _added(table: pa.Table) -> pa.Table:
+    """The sum of the gradients of one block of buckets, in the order of the parts that they come from."""
+    table = table.sort_by("part")
+    total = sum(np.frombuffer(x, np.float32) for x in table.column("g").to_pylist())
+    return pa.table({"block": table.column("block").slice(0, 1), "g": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+
+
 def fit_link(rows: DataFrame, goal: np.ndarray, fold: np.ndarray, counts: Counts, earlier: np.ndarray, weight: np.ndarray, ids: list[str]) -> tuple[Linear, np.ndarray]:
     """One model of the chain, fitted on all rows, and the out-of-fold probabilities.
 
@@ -202,7 +214,7 @@ def fit_link(rows: DataFrame, goal: np.ndarray, fold: np.ndarray, counts: Counts
     """
     sc = rows.sparkSession.sparkContext
     models = FOLDS + 1
-    held = sc.broadcast(counts)
+    held = sc.broadcast(replace(counts, _made={}))
 
     def inputs(b: pa.RecordBatch) -> np.ndarray:
         c, own = held.value, b.column("fold").to_numpy()
@@ -227,10 +239,10 @@ def fit_link(rows: DataFrame, goal: np.ndarray, fold: np.ndarray, counts: Counts
         base[:, m] = x @ dense[m]
     held.destroy()
     # weights of single buckets, by gradients that the executors sum
-    clear = np.stack([np.abs(counts.without(m)) >= CLEAR for m in range(models)], axis=1)
-    some = np.flatnonzero(clear.any(axis=1))
-    clear, weighed = clear[some], counts.bucket[some]
-    own = np.zeros(clear.shape)
+    weighed = counts.bucket
+    own = np.zeros((len(weighed), models))
+    odds = np.abs(np.stack([counts.without(m) for m in range(models)], axis=1))
+    ridge = RIDGE * np.maximum(1.0, CLEAR / np.maximum(odds, 1e-2)) ** FADE
     given = sc.broadcast((base, goal, fold, weight, {x: i for i, x in enumerate(ids)}, weighed))
     for _ in range(STEPS):
         state = sc.broadcast(own.astype(np.float32))
@@ -248,13 +260,15 @@ def fit_link(rows: DataFrame, goal: np.ndarray, fold: np.ndarray, counts: Counts
                     r = wt[i] * (p - y[i]) * (f[i] != m)
                     g[0, :, m] += np.bincount(k, weights=r[row], minlength=len(w))
                     g[1, :, m] += np.bincount(k, weights=(wt[i] * p * (1 - p) * (f[i] != m))[row], minlength=len(w))
-            part = TaskContext.get().partitionId()
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([g.astype(np.float32).tobytes()], pa.binary())], names=["part", "g"])
+            part, starts = TaskContext.get().partitionId(), range(0, len(w), BLOCK)
+            parts = [g[:, a : a + BLOCK].astype(np.float32).tobytes() for a in starts]
+            yield pa.RecordBatch.from_arrays([pa.array([part] * len(parts), pa.int64()), pa.array(range(len(parts)), pa.int64()), pa.array(parts, pa.binary())], names=["part", "block", "g"])
 
-        got = sorted(rows.coalesce(PARTS).mapInArrow(gradient, "part long, g binary").collect(), key=lambda r: r["part"])
+        got = rows.coalesce(PARTS).mapInArrow(gradient, "part long, block long, g binary").groupBy("block").applyInArrow(_added, "block long, g binary")
+        got = [np.frombuffer(bytes(r["g"]), np.float32).reshape(2, -1, models) for r in sorted(got.collect(), key=lambda r: r["block"])]
         state.destroy()
-        g, h = sum(np.frombuffer(bytes(r["g"]), np.float32).reshape(2, *own.shape).astype(np.float64) for r in got)
-        own -= np.where(clear, RATE * (g + RIDGE * own) / (h + 1 + RIDGE), 0.0)
+        g, h = np.concatenate(got, axis=1).astype(np.float64)
+        own -= RATE * (g + ridge * own) / (h + 1 + ridge)
     final = sc.broadcast(own.astype(np.float32))
 
     def left_out(b: pa.RecordBatch) -> np.ndarray:
