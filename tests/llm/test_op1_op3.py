@@ -1,9 +1,11 @@
 import math
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import ALNUM, ODD, docs, lower
@@ -51,13 +53,43 @@ def test_dictionaries_hold_what_stands_behind_the_opening():
     opening, junk = b"A usual first line. " * 20, [b"<<%05d$$>>" % (i * 7919 % 100000) * 40 for i in range(3000)]
     texts = [opening + j for j in junk]
     shares = compression._shares([len(t) + 1 for t in texts], compression.DICT_BYTES)
-    rows = [(0, compression._slices(i, t, n - 1)) for i, (t, n) in enumerate(zip(texts, shares, strict=True))]
+    rows = [(0, compression._slices(t, n - 1)) for t, n in zip(texts, shares, strict=True)]
     got = compression._dictionaries([*rows, (1, [b"short"])])
     assert got[0] == b"short" and compression.DICT_BYTES * 0.98 < len(got[1]) <= compression.DICT_BYTES
     assert sum(j[2:7] in got[1] for j in junk) > 1000
     assert b"usual first line" in got[1] and got[3] == got[1].translate(compression._SHAPE)
 
 
+def test_features_against_a_plain_loop_of_zstandard():
+    rng = random.Random(9)
+    dicts = ["".join(rng.choice("abcdefgh ") for _ in range(3000)).encode() for _ in range(2)]
+    m = compression.Model([*dicts, *[d.translate(compression._SHAPE) for d in dicts]], np.array([0.1, 1, 2, 0.5, 0.5, 0.2]))
+    made = [zstandard.ZstdCompressor(level=compression.LEVEL, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_checksum=False, write_content_size=False, write_dict_id=False) for d in m.dicts]
+    for raw in [b"", b"x", dicts[0][:500], dicts[1] * 2, "Ünï 123 ABC".encode() * 300]:
+        if not raw:
+            assert m.features(raw) == [0.0, 0.0, 0.0]
+            continue
+        pieces = [raw[i : i + compression.PIECE] for i in range(0, len(raw), compression.PIECE)]
+        shape = bytes(ord("a") if 97 <= c <= 122 else ord("A") if 65 <= c <= 90 else ord("0") if 48 <= c <= 57 else ord("w") if c >= 128 else c for c in raw)
+        shapes = [shape[i : i + compression.PIECE] for i in range(0, len(raw), compression.PIECE)]
+        size = lambda c, xs: sum(len(c.compress(x)) for x in xs)
+        want = [(size(made[1], pieces) - size(made[0], pieces)) / len(raw), (size(made[3], shapes) - size(made[2], shapes)) / len(raw), size(made[0], pieces) / len(raw)]
+        assert m.features(raw) == pytest.approx(want)
+        t, s_, a = want
+        z = 0.1 + t * 10 + 2 * s_ * 10 + 0.5 * max(-t - 0.02, 0) * 20 + 0.5 * max(-s_ - 0.02, 0) * 20 + 0.2 * max(0.35 - a, 0) * 10
+        assert m.probability(np.array([want]))[0] == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, z)))))
+
+
+def test_other_ids_give_the_same_model(spark):
+    d, labels = table(spark, SF, "documents"), table(spark, SF, "labels").where(~held_out(F.col("doc_id"), 4, 2))
+    # ids that leave the same rows in the sample
+    ids = {r["doc_id"]: k for r, k in zip(labels.select("doc_id").distinct().orderBy("doc_id").collect(), (i for i in range(10**6, 2 * 10**6) if zlib.crc32(str(i).encode()) % 4 != 2), strict=False)}
+    other = spark.createDataFrame(list(ids.items()), "doc_id long, new long")
+    renamed = lambda df: df.join(F.broadcast(other), "doc_id").withColumn("doc_id", F.col("new")).drop("new")
+    one, two = (compression.fit(x, y) for x, y in ((d, labels), (renamed(d), renamed(labels))))
+    assert one.dicts == two.dicts and np.allclose(one.weights, two.weights)
+
+
 def test_whole_training_texts_of_one_row_an_id(spark):
     d = docs(spark, ["".join(f"{i:06d} " for i in range(20000))] * 6 + [None])
     d = d.union(d.selectExpr("doc_id", "'z another text'", "lang", "source", "n_chars"))

@@ -123,17 +123,17 @@ def _shares(sizes: list[int], most: int) -> list[int]:
     return out
 
 
-def _slices(key: int, text: bytes, size: int) -> list[bytes]:
+def _slices(text: bytes, size: int) -> list[bytes]:
     """``size`` bytes of a text in slices of about SLICE, one at a drawn place of each of as many equal parts of the text.
 
-    The place is drawn by a hash of ``key``, so that over many texts no part of a text is left out.
+    The place is drawn by a hash of the text, so that over many texts no part is left out, and ids do not count.
     """
     if size >= len(text):
         return [text]
     if not size:
         return []
     n = max(1, size // SLICE)
-    out = []
+    out, key = [], zlib.crc32(text)
     for i in range(n):
         a, b = len(text) * i // n, len(text) * (i + 1) // n
         take = min(size * (i + 1) // n - size * i // n, b - a)
@@ -167,7 +167,7 @@ def _sliced(texts: DataFrame, share: dict) -> dict:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column("doc_id").to_pylist()
-            cut = [[x for x in _slices(i, t.encode(), held.value[i]) if x] for i, t in zip(ids, b.column("text").to_pylist(), strict=True)]
+            cut = [[x for x in _slices(t.encode(), held.value[i]) if x] for i, t in zip(ids, b.column("text").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(cut, pa.list_(pa.binary()))], names=["doc_id", "s"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
@@ -201,6 +201,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         mine = [(i, n) for i, q_, n in sizes if q_ == q]
         share |= dict(zip([i for i, _ in mine], [max(0, x - 1) for x in _shares([n + 1 for _, n in mine], DICT_BYTES)], strict=True))
     slices = _sliced(texts, share)
+    # ordered and dealt by the texts, so that other ids give the same model
+    sizes.sort(key=lambda r: (zlib.crc32(b"\n".join(slices[r[0]])), slices[r[0]], r[2], r[1]))
     model = Model(_dictionaries([(q, slices[i]) for i, q, _ in sizes]))
     y = np.array([float(q) for _, q, _ in sizes])
     if len(set(y)) < 2:
