@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -20,7 +21,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_queries_with_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = queries.queries()[name](spark, SF).toPandas()
     want = con.sql(queries.oracle_sql()[name]).df()[list(got.columns)]
@@ -130,6 +131,28 @@ def test_mix(spark, monkeypatch):
     check_mix(spark, d, lambda s: 60)
 
 
+def test_mix_to_a_limit_that_is_not_whole(spark):
+    d = spark.createDataFrame([(i, "w " * (1 + i % 7), "a" if i % 2 else "b") for i in range(600)], "doc_id long, text string, source string")
+    got = mixing.mixed_rows(d, share=1.25, weights=(1.0, 1000.0), most=2.5).toPandas()
+    sizes = {r["source"]: r["n"] for r in d.selectExpr("source", "size(split(trim(text), ' ')) AS n").groupBy("source").agg(F.sum("n").alias("n")).collect()}
+    assert (got.taken <= 3 * got["size"]).all() and (got.target <= 2.5 * got.source_size + 1e-6).all()
+    odd = got[got.doc_id % 2 == 0] if sizes["b"] * 2.5 == got[got.doc_id % 2 == 0].target.iloc[0] else got[got.doc_id % 2 == 1]
+    assert odd.target.iloc[0] == 2.5 * odd.source_size.iloc[0] and abs(odd.taken.sum() - odd.target.iloc[0]) <= 7
+
+
+def test_secret_scan_is_linear_in_the_matches(spark):
+    rng = random.Random(1)
+    line = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(32))
+    times = []
+    for n in (250, 25_000):
+        d = docs(spark, ["\n".join(line() for _ in range(n))] * 2)
+        began = time.time()
+        got = secrets.scan_secrets(d).collect()
+        times.append(time.time() - began)
+        assert [r["n_hex"] for r in got] == [n, n]
+    assert times[1] < times[0] + 10
+
+
 def test_mix_on_the_table_and_odd_rows(spark):
     check_mix(spark, table(spark, SF, "documents"), lambda s: 200)
     d = docs(spark, ODD + ["a b", "a b"])

@@ -12,6 +12,7 @@ fly first, so that those left for the landing are the smallest.
 
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from .base import WORD, stored
 
 WEIGHTS = (1, 2, 3)
-#: A source is taken this many times at most.
+#: A source is taken this many times at most, a row of it as many times, rounded up.
 MOST = 3
 #: Units in one flight. Buckets of a source: its units / this, so groups stay bounded.
 BUCKET = 1000
@@ -134,8 +135,8 @@ def mix(docs: DataFrame, share: float = 1.0, weights: tuple[float, ...] = WEIGHT
     units = stored(sized.groupBy("doc_id", "source", "_text", "size").agg(F.count("*").alias("rows")), "mix-units")
     totals = units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("n"), F.count("*").alias("units"))
     times = F.when(F.col("n") > 0, F.col("target") / F.col("n")).otherwise(0.0)
-    whole = F.least(F.floor(times + EPS), F.lit(int(most))).cast("int")
-    pi = F.when(F.col("whole") >= int(most), 0.0).when(times - F.col("whole") < EPS, 0.0).otherwise(times - F.col("whole"))
+    whole = F.least(F.floor(times + EPS), F.lit(math.ceil(most))).cast("int")
+    pi = F.when(F.col("whole") >= math.ceil(most), 0.0).when(times - F.col("whole") < EPS, 0.0).otherwise(times - F.col("whole"))
     by_source = targets(totals, share, weights, most).withColumn("whole", whole).select(F.col("source").alias("_s"), F.col("n").alias("source_size"), "target", "whole", pi.alias("pi"), F.ceil(F.col("units") / BUCKET).cast("long").alias("buckets"))
     by_source = stored(by_source, "mix-plan")
     n_sources, most_buckets = by_source.agg(F.count("*"), F.max("buckets")).first()
