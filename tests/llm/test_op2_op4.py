@@ -4,6 +4,7 @@ import time
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from tests.llm.helpers import ALNUM, ODD, WORD, docs, lower
 from tidemark.llm import decontaminate, quality_rules
@@ -52,6 +53,21 @@ def test_trees_are_monotonic_and_learn():
             assert (d * (trees.probability(up) - p) >= -1e-12).all()
 
 
+def test_flat_trees_against_a_recursive_walk():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 4))
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.5)).astype(float)
+    trees = quality_rules.fit_trees(x, y, np.array([0, 0, 1, -1]), rounds=12)
+
+    def walk(node, row):
+        f = int(trees.feature[node])
+        return float(trees.value[node]) if f < 0 else walk(int(trees.left[node]) + int(row[f] > trees.cut[node]), row)
+
+    for row, p in zip(x[:100], trees.probability(x[:100]), strict=True):
+        z = trees.start + sum(walk(int(r), row) for r in trees.roots)
+        assert p == pytest.approx(1 / (1 + np.exp(-z)))
+
+
 def test_quality_rules_query(spark, sf_dir):
     d, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     got = quality_rules.judge(d, quality_rules.fit(d, labels))

@@ -256,6 +256,37 @@ def test_steps_follow_the_gradient_of_single_tokens():
         assert (uses == np.bincount(rows.ravel(), minlength=len(w))).all()
 
 
+def test_score_of_a_whole_text_against_a_walk_over_its_tokens():
+    rng = np.random.default_rng(6)
+    of = lambda t: maxent_lm.tokens(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))
+    text = "The cat sat, on the MAT.\n the cat\tunseenwords again; Ünï the"
+    words = [w.lower() for w in WORD.findall(text)]
+    word = {w: of(w) for w in set(words)}
+    head = np.array([int(word[w].hash[0]) for w in ("the", "cat", "on")] + list(range(1, 40)), dtype=np.uint64)
+    m = maxent_lm.Model.start(head, rng.uniform(5, 50, maxent_lm.TAIL_CLASSES))
+    m.prepare()
+    m.w1[:], m.w2[:] = rng.normal(size=m.w1.shape), rng.normal(size=m.w2.shape)
+    whole, low = (1 << 64) - 1, maxent_lm.ROWS - 1
+    A, B, C = int(maxent_lm._A), int(maxent_lm._B), int(maxent_lm._C)
+    row = lambda x: int(maxent_lm.mix(np.array([x & whole], np.uint64))[0]) & low
+    rank = {int(h): i for i, h in enumerate(head)}
+    one = two = int(maxent_lm.BEGIN)
+    total = 0.0
+    for w in [*words, None]:
+        h, form, tail = (int(maxent_lm.END), 0, 0) if w is None else (int(word[w].hash[0]), int(word[w].form[0]), int(word[w].tail[0]))
+        r = rank.get(h, -1)
+        cls = r // maxent_lm.CLASS_WORDS if r >= 0 else maxent_lm.HEAD_CLASSES + form
+        z = sum(m.w1[i].astype(float) for i in (row(one * A), row(one * A + two * B), row(two * C + B), maxent_lm.ROWS)) + m._shut
+        total += z[cls] - math.log(np.exp(z - z.max()).sum()) - z.max()
+        if r >= 0:
+            v = sum(m.w2[i].astype(float) for i in (row(one * B + cls * C), row(two * A + cls * C + C), maxent_lm.ROWS + cls)) + m._closed[cls]
+            total += v[r % maxent_lm.CLASS_WORDS] - math.log(np.exp(v - v.max()).sum()) - v.max()
+        else:
+            total -= math.log(m.tail_mass[form])
+        two, one = one, h if r >= 0 else int(maxent_lm.mix(np.array([(form * 65536 + tail + A) & whole], np.uint64))[0])
+    assert m.log10(of(text)).sum() == pytest.approx(total / math.log(10), rel=1e-4)
+
+
 def test_model_is_a_distribution():
     """The probabilities of all words after some context add up to 1, one unseen word a tail class included."""
     import pyarrow as pa
