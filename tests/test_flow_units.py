@@ -514,7 +514,11 @@ def test_exports_and_stores(spark, full, tmp_path):
     sinks.write_parquet(full, path("sample"))
     sinks.compact_sample(spark, path("sample"), as_of, 7)
     assert spark.read.parquet(path("sample")).count() == select.recent_days(full, as_of, 7).count()
-    assert len([f for f in os.listdir(path("sample")) if f.endswith(".parquet")]) == 1
+    written = lambda: len([f for f in os.listdir(path("sample")) if f.endswith(".parquet")])
+    assert written() == 1
+    sinks.compact_sample(spark, path("sample"), as_of, 7, file_rows=50)
+    rows = select.recent_days(full, as_of, 7).count()
+    assert spark.read.parquet(path("sample")).count() == rows and written() == -(-rows // 50)
 
 
 def test_import_chain(spark, sf_dir):

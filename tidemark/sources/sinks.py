@@ -94,14 +94,16 @@ def roll_cache(flows: DataFrame, root: str, as_of: Column, days: int = 0) -> Non
         fs.delete(path(f"{root}/year={y}/month={m}/day={d}"), True)
 
 
-def compact_sample(spark: SparkSession, root: str, as_of: Column, days: int, files: int = 1) -> None:
-    """Keep recent days of a sample and rewrite it as few files.
+def compact_sample(spark: SparkSession, root: str, as_of: Column, days: int, file_rows: int = FILE_ROWS) -> None:
+    """Keep recent days of a sample and rewrite it as few files of about ``file_rows`` rows: one for a small sample, never a large one in one task.
 
     The new table is written beside the old one and then takes its name; until it has, the old one stays (as ``<root>.old`` at the last).
     """
     fs, path = _fs(spark, root)
     new, old = path(f"{root}.new"), path(f"{root}.old")
-    recent_days(spark.read.parquet(root), as_of, days).coalesce(files).write.mode("overwrite").parquet(f"{root}.new")
+    recent = recent_days(spark.read.parquet(root), as_of, days)
+    files = max(1, -(-recent.count() // file_rows))
+    recent.repartition(files).write.mode("overwrite").parquet(f"{root}.new")
     fs.delete(old, True)
     if not (fs.rename(path(root), old) and fs.rename(new, path(root))):
         raise OSError(f"{root} could not be replaced; the old table is {root} or {root}.old")
