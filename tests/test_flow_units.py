@@ -669,6 +669,27 @@ def test_day_state_equals_the_batch_answer(spark, full, tmp_path):
     assert ledger_total(stages.read_day_metrics(spark, path("days"))) == ledger_total(metrics.metrics_all(full.where("day(stime) = 5")))
 
 
+def test_a_chain_of_stages_equals_one_batch(spark, full, tmp_path):
+    path = lambda n: str(tmp_path / n)
+    tags = [tag.TagRule("dns", ndpi_appid="dns"), tag.TagRule("web", dport=443)]
+    rules = [rule.Rule("trigger", tag="dns"), rule.Rule("ignore", daddr="192.168.")]
+    chain = [("tag", lambda b: tag.apply_tags(b, tags)), ("rule", lambda b: rule.apply_rules(b, rules)), ("plain", lambda b: b)]
+    write_files(full, path("in"), "day(stime) = 3", "day(stime) = 4")
+    pick = lambda df: {r["id"]: (r["tag"] and tuple(r["tag"]), r["trigger"]) for r in df.select("id", "tag", "trigger").collect()}
+    for days in ("3, 4", "3, 4, 5"):
+        for _ in range(2):
+            for q in stages.start_chain(spark, path("in"), chain, path("out"), files=1):
+                assert q.exception() is None
+        whole = full.where(f"day(stime) IN ({days})")
+        got = ledger.Ledger(spark, path("out/plain")).read()
+        assert got.count() == whole.count() and pick(got) == pick(rule.apply_rules(tag.apply_tags(whole, tags), rules))
+        if days == "3, 4":
+            write_files(full, path("in"), "day(stime) = 5")
+            with open(path("in/broken.parquet"), "wb") as f:
+                f.write(b"PAR1 broken PAR1")
+    assert spark.read.parquet(path("out/tag.unreadable")).count() == 1 and not os.path.exists(path("out/rule.unreadable"))
+
+
 def test_windows_and_late_rows_add_up(spark, full, tmp_path):
     path = lambda n: str(tmp_path / n)
     work = stages.late_metrics(path("m"), path("bad"), "1 hour")

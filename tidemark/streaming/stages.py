@@ -11,7 +11,8 @@ from tidemark.operators.metrics import SERIES, TELEMETRY, metric_rows, metrics_a
 from tidemark.operators.model import latest_version, read_model
 from tidemark.operators.select import merge, same_stream, split
 from tidemark.shared import kept
-from tidemark.streaming.ledger import Ledger, fresh, run_of, unreadable, with_inputs
+from tidemark.sources.files import BATCH_FILES, read_flows
+from tidemark.streaming.ledger import Ledger, file_names, fresh, run_of, unreadable, with_inputs
 
 #: Interval names to trigger arguments; unknown ones count as a second.
 INTERVALS = {"once": {"availableNow": True}, "second": {"processingTime": "1 second"}, "minute": {"processingTime": "1 minute"}, "hour": {"processingTime": "1 hour"}, "day": {"processingTime": "1 day"}, "week": {"processingTime": "7 days"}}
@@ -264,3 +265,26 @@ def split_batches(routes: list[dict], rejected: str) -> Callable[[DataFrame, int
 
 def start(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, interval: str = "once"):
     return stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(**trigger_of(interval)).start()
+
+
+def start_chain(spark: SparkSession, source: str, chain: list[tuple[str, Callable[[DataFrame], DataFrame]]], root: str, interval: str = "once", schema=None, files: int = BATCH_FILES) -> list:
+    """Start a stage for each (name, function), each reading what the one before has published.
+
+    The first one reads the files of ``source`` by name, so unreadable ones are set aside (``<root>/<name>.unreadable``); every stage publishes in
+    ``<root>/<name>``, keeps its checkpoint in ``<root>/<name>.checkpoint`` and batches of mixed streams in ``<root>/<name>.rejected``. With the interval ``once`` the stages
+    run one after the other over what is there; with others all run on, each taking up what the one before publishes.
+    """
+    out, before = [], source
+    for i, (name, stage) in enumerate(chain):
+        here = f"{root}/{name}"
+        # a stream needs its folder, which a stage without batches has not made yet
+        make = spark._jvm.org.apache.hadoop.fs.Path(before)
+        make.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(make)
+        read = lambda paths: read_flows(spark, *paths) if schema is None else spark.read.schema(schema).parquet(*paths)
+        names = file_names(spark, before, files) if i == 0 else file_names(spark, before, files, "part-*.parquet")
+        query = start(names, staged_files(stage, read, here, f"{here}.rejected", f"{here}.unreadable"), f"{here}.checkpoint", interval)
+        if interval == "once":
+            query.awaitTermination()
+        out.append(query)
+        before = here
+    return out
