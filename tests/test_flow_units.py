@@ -286,6 +286,12 @@ def test_swept_networks_against_all(spark):
             got = next((i for a, i in reversed(cut) if a <= x), None)
             want = min(((b - a, a, i) for i, (a, b) in enumerate(nets) if a <= x <= b), default=(0, 0, None))[2]
             assert got == want
+        base = 7 << 16
+        cut = [(base + a, i) for a, i in cut]
+        shift, parts = enrich.slots(cut, base, 1)
+        for x in range(0, 300):
+            part = parts[x >> shift]
+            assert next((i for a, i in reversed(part) if a <= base + x), None) == next((i for a, i in reversed(cut) if a <= base + x), None)
     base = 10 * 65536
     nets = [(base + a, base + a + rng.choice([0, 3, 255, 70_000]), f"n{i}") for i, a in enumerate(rng.randint(0, 66_000) for _ in range(300))]
     table = spark.createDataFrame(nets, "start_ip long, end_ip long, iso string")

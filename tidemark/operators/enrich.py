@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -68,45 +69,81 @@ def sweep(starts: list[int], ends: list[int]) -> list[tuple[int, int | None]]:
     return out
 
 
-def _filed(spread: DataFrame, hexadecimal: bool = False) -> DataFrame:
-    """``block, nets, segments``: a block's networks and its numbers cut into segments, each with the place of its network.
+#: Segments of a block that are kept in one slot, about; slots of a block at most, as a power of two.
+SLOT_SEGMENTS, SLOT_BITS = 8, 10
+#: Bits behind a block's own that number its slots.
+LOW_BITS = 16
 
-    With a broadcast hint if its entries, not its blocks, are few enough.
+
+def slots(cut: list[tuple[int, int | None]], base: int, unit: int) -> tuple[int, list[list[tuple[int, int | None]]]]:
+    """A block's segments by equal parts of its numbers, and the bits that a slot's number drops from the LOW_BITS.
+
+    ``unit``: numbers that one step of the LOW_BITS stands for. A slot starts with the segment that reaches into it.
+    """
+    bits = min(SLOT_BITS, max(0, (len(cut) - 1) // SLOT_SEGMENTS).bit_length())
+    shift = LOW_BITS - bits
+    firsts = [at for at, _ in cut]
+    out = []
+    for k in range(1 << bits):
+        start, end = base + (k << shift) * unit, base + ((k + 1) << shift) * unit
+        i, j = bisect_right(firsts, start), bisect_left(firsts, end)
+        out.append(([(start, cut[i - 1][1])] if i else []) + cut[i:j])
+    return shift, out
+
+
+def _filed(spread: DataFrame, digits: int = 0) -> DataFrame:
+    """``block, shift, slots``: a block's numbers cut into segments, each with its network, by slots.
+
+    ``digits``: of a block's name for networks as hex digits, 0 for whole numbers. With a broadcast hint if the entries, not the blocks, are few enough.
     """
-    key = "string" if hexadecimal else "bigint"
-    number, shown = (lambda x: int(x, 16), lambda n: f"{n:032x}") if hexadecimal else (int, int)
     index = spread.groupBy("block").agg(F.sort_array(F.collect_list("net")).alias("nets"))
+    number, shown = (lambda x: int(x, 16), lambda n: f"{n:032x}") if digits else (int, int)
+    unit = 1 << (128 - 4 * digits - LOW_BITS) if digits else 1
+    base = lambda block: int(block, 16) << (128 - 4 * digits) if digits else block << LOW_BITS
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("first", pa.string() if hexadecimal else pa.int64()), ("place", pa.int32())]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [sweep([number(n["_a"]) for n in nets], [number(n["_b"]) for n in nets]) for nets in b.column("nets").to_pylist()]
-            segments = pa.array([[{"first": shown(at), "place": i} for at, i in f] for f in found], kind)
-            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("nets"), segments], names=["block", "nets", "segments"])
-
-    kinds = dict(index.dtypes)
-    index = index.mapInArrow(cut, f"block {kinds['block']}, nets {kinds['nets']}, segments array<struct<first:{key},place:int>>")
+            held = b.column("nets").type.value_type
+            net = pa.struct([f for f in held if f.name not in ("_a", "_b")])
+            kind = pa.list_(pa.list_(pa.struct([("first", pa.string() if digits else pa.int64()), ("net", net)])))
+            shifts, made = [], []
+            for block, nets in zip(b.column("block").to_pylist(), b.column("nets").to_pylist(), strict=True):
+                values = [{k: v for k, v in n.items() if k not in ("_a", "_b")} for n in nets]
+                shift, parts = slots(sweep([number(n["_a"]) for n in nets], [number(n["_b"]) for n in nets]), base(block), unit)
+                shifts.append(shift)
+                made.append([[{"first": shown(at), "net": None if i is None else values[i]} for at, i in part] for part in parts])
+            yield pa.RecordBatch.from_arrays([b.column("block"), pa.array(shifts, pa.int32()), pa.array(made, kind)], names=["block", "shift", "slots"])
+
+    fields = [f for f in spread.schema["net"].dataType.fields if f.name not in ("_a", "_b")]
+    net = ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in fields)
+    index = index.mapInArrow(run, f"block {dict(index.dtypes)['block']}, shift int, slots array<array<struct<first:{'string' if digits else 'bigint'},net:struct<{net}>>>>")
     return F.broadcast(index) if fits(spread, BROADCAST_NETWORKS) else index
 
 
-def _network_at(key: Column, nets: Column, segments: Column) -> Column:
-    """The network of the last segment that starts at or before a key, found by halving."""
-    size = F.size(segments)
-    pair = lambda low, high: F.struct(low.cast("int").alias("low"), high.cast("int").alias("high"))
+def _network_at(rows: DataFrame, key: Column, low: Column, name: str) -> DataFrame:
+    """``rows`` with the network of the last segment that starts at or before a key, in place of ``block, shift, slots``.
+
+    ``low``: the key's LOW_BITS behind its block. The slot is taken out before it is searched, so no flow carries a whole block along.
+    """
+    none = F.array().cast(rows.schema["slots"].dataType.elementType)
+    number = F.call_function("shiftright", low.cast("int"), F.col("shift"))
+    rows = rows.withColumn("_slot", F.coalesce(F.get("slots", number), none)).drop("block", "shift", "slots")
+    slot, size = F.col("_slot"), F.size("_slot")
+    pair = lambda a, b: F.struct(a.cast("int").alias("low"), b.cast("int").alias("high"))
 
     def halve(acc: Column, _: Column) -> Column:
         middle = F.shiftright(acc["low"] + acc["high"], 1)
-        before = F.get(segments, middle)["first"] <= key
+        before = F.get(slot, middle)["first"] <= key
         return F.when(acc["high"] - acc["low"] <= 1, acc).otherwise(F.when(before, pair(middle, acc["high"])).otherwise(pair(acc["low"], middle)))
 
     # the low end starts before the first segment, the high end behind the last one
     steps = F.sequence(F.lit(1), F.length(F.bin(size.cast("long"))))
-    low = F.aggregate(steps, pair(F.lit(-1), size), halve, lambda acc: acc["low"])
-    return F.when(key.isNotNull() & segments.isNotNull() & (low >= 0), F.get(nets, F.get(segments, low)["place"]))
+    found = F.aggregate(steps, pair(F.lit(-1), size), halve, lambda acc: acc["low"])
+    return rows.withColumn(name, F.when(key.isNotNull() & (found >= 0), F.get(slot, found)["net"])).drop("_slot")
 
 
 def network_index(networks: DataFrame, *values: str) -> DataFrame:
-    """``block, nets, segments`` of each /16 block with networks.
+    """``block, shift, slots`` of each /16 block with networks.
 
     One row a block, so an address meets one row and a lookup never multiplies flows.
     """
@@ -128,9 +165,9 @@ def lookup_network6(flows: DataFrame, networks: DataFrame, address: Column, valu
     out = flows.withColumn("_ip", ipv6_hex(address))
     found = []
     for kind, rows in (("narrow", nets.where(narrow).select(head("_a", NARROW).alias("block"), net)), ("wide", nets.where(~narrow).select(F.explode(F.sequence(number("_a"), number("_b"))).alias("_n"), net).select(F.lower(F.lpad(F.hex("_n"), WIDE, "0")).alias("block"), "net"))):
-        index = _filed(rows, hexadecimal=True).withColumnsRenamed({"nets": "_nets", "segments": "_segments"})
-        out = out.join(index, head("_ip", NARROW if kind == "narrow" else WIDE) == F.col("block"), "left")
-        out = out.withColumn(f"_net_{kind}", _network_at(F.col("_ip"), F.col("_nets"), F.col("_segments"))).drop("block", "_nets", "_segments")
+        digits = NARROW if kind == "narrow" else WIDE
+        out = out.join(_filed(rows, digits), head("_ip", digits) == F.col("block"), "left")
+        out = _network_at(out, F.col("_ip"), F.conv(F.substring("_ip", digits + 1, LOW_BITS // 4), 16, 10), f"_net_{kind}")
         found.append(f"_net_{kind}")
     out = out.withColumn("_net", F.coalesce(*found))
     return out.withColumns({new: F.col(f"_net.{old}") for old, new in values.items()}).drop("_ip", "_net", *found)
@@ -141,8 +178,8 @@ def lookup_network(flows: DataFrame, networks: DataFrame, address: Column, value
     index = network_index(networks, *values)
     at = F.coalesce(address, F.lit(-1).cast("long"))
     out = flows.withColumn("_ip", at).join(index, F.shiftright(F.col("_ip"), 16) == F.col("block"), "left")
-    out = out.withColumn("_net", _network_at(F.col("_ip"), F.col("nets"), F.col("segments")))
-    return out.withColumns({new: F.col(f"_net.{old}") for old, new in values.items()}).drop("_ip", "block", "nets", "segments", "_net")
+    out = _network_at(out, F.col("_ip"), F.col("_ip").bitwiseAND(F.lit((1 << LOW_BITS) - 1)), "_net")
+    return out.withColumns({new: F.col(f"_net.{old}") for old, new in values.items()}).drop("_ip", "_net")
 
 
 def _both(flows: DataFrame, networks: DataFrame, networks6: DataFrame | None, address: Column, values: dict[str, str]) -> DataFrame:
