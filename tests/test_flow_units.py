@@ -296,7 +296,7 @@ def test_swept_networks_against_all(spark):
     nets = [(base + a, base + a + rng.choice([0, 3, 255, 70_000]), f"n{i}") for i, a in enumerate(rng.randint(0, 66_000) for _ in range(300))]
     table = spark.createDataFrame(nets, "start_ip long, end_ip long, iso string")
     asked = spark.createDataFrame([(None,), (0,)] + [(base + rng.randint(-10, 140_000),) for _ in range(500)], "ip long")
-    for r in enrich.lookup_network(asked, table, F.col("ip"), {"iso": "iso"}).collect():
+    for r in enrich.lookup_network(asked, enrich.network_index(table, "iso"), F.col("ip"), {"iso": "iso"}).collect():
         hit = [(b - a, a, n) for a, b, n in nets if r["ip"] is not None and a <= r["ip"] <= b]
         assert (r["iso"] is None) == (not hit) and (not hit or next(b - a for a, b, n in nets if n == r["iso"]) == min(hit)[0])
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import ipv4_number, ipv6_hex, is_private, risk_bits_set
-from tidemark.shared import fits, small
+from tidemark.shared import fits, kept, small
 
 #: Names of risk bits 0 to 56 (fixed values).
 RISK_NAMES = (
@@ -117,6 +117,7 @@ def _filed(spread: DataFrame, digits: int = 0) -> DataFrame:
     fields = [f for f in spread.schema["net"].dataType.fields if f.name not in ("_a", "_b")]
     net = ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in fields)
     index = index.mapInArrow(run, f"block {dict(index.dtypes)['block']}, shift int, slots array<array<struct<first:{'string' if digits else 'bigint'},net:struct<{net}>>>>")
+    index = kept(index, "network-index")  # once for all lookups
     return F.broadcast(index) if fits(spread, BROADCAST_NETWORKS) else index
 
 
@@ -151,51 +152,56 @@ def network_index(networks: DataFrame, *values: str) -> DataFrame:
     return _filed(networks.where("start_ip <= end_ip").select(F.explode(F.sequence(F.shiftright("start_ip", 16), F.shiftright("end_ip", 16))).alias("block"), net))
 
 
-def lookup_network6(flows: DataFrame, networks: DataFrame, address: Column, values: dict[str, str]) -> DataFrame:
-    """The same for IPv6: ``networks`` has start_ip and end_ip as text, ``address`` is text; null for other addresses.
+def network_index6(networks: DataFrame, *values: str) -> dict[int, DataFrame]:
+    """The same for IPv6, start_ip and end_ip as text: digits of a block's name to the blocks.
 
     Numbers are compared as 32 hex digits. A network narrower than NARROW digits is filed by those, a wider one
-    by each block of WIDE digits that it overlaps; of both the narrowest counts.
+    by each block of WIDE digits that it overlaps.
     """
     nets = networks.select("*", ipv6_hex(F.col("start_ip")).alias("_a"), ipv6_hex(F.col("end_ip")).alias("_b")).where("_a <= _b")
     net = F.struct(*[F.col(c) for c in ("_a", "_b")], *[F.col(v) for v in values]).alias("net")
     head = lambda c, n: F.substring(c, 1, n)
     number = lambda c: F.conv(head(c, WIDE), 16, 10).cast("long")
     narrow = head("_a", NARROW) == head("_b", NARROW)
+    wide = nets.where(~narrow).select(F.explode(F.sequence(number("_a"), number("_b"))).alias("_n"), net)
+    wide = wide.select(F.lower(F.lpad(F.hex("_n"), WIDE, "0")).alias("block"), "net")
+    return {NARROW: _filed(nets.where(narrow).select(head("_a", NARROW).alias("block"), net), NARROW), WIDE: _filed(wide, WIDE)}
+
+
+def lookup_network6(flows: DataFrame, index: dict[int, DataFrame], address: Column, values: dict[str, str]) -> DataFrame:
+    """The same for IPv6 addresses as text; null for other addresses. Of the indexes the narrower one's network counts."""
     out = flows.withColumn("_ip", ipv6_hex(address))
-    found = []
-    for kind, rows in (("narrow", nets.where(narrow).select(head("_a", NARROW).alias("block"), net)), ("wide", nets.where(~narrow).select(F.explode(F.sequence(number("_a"), number("_b"))).alias("_n"), net).select(F.lower(F.lpad(F.hex("_n"), WIDE, "0")).alias("block"), "net"))):
-        digits = NARROW if kind == "narrow" else WIDE
-        out = out.join(_filed(rows, digits), head("_ip", digits) == F.col("block"), "left")
-        out = _network_at(out, F.col("_ip"), F.conv(F.substring("_ip", digits + 1, LOW_BITS // 4), 16, 10), f"_net_{kind}")
-        found.append(f"_net_{kind}")
+    for digits, blocks in index.items():
+        out = out.join(blocks, F.substring("_ip", 1, digits) == F.col("block"), "left")
+        out = _network_at(out, F.col("_ip"), F.conv(F.substring("_ip", digits + 1, LOW_BITS // 4), 16, 10), f"_net{digits}")
+    found = [f"_net{d}" for d in sorted(index, reverse=True)]
     out = out.withColumn("_net", F.coalesce(*found))
     return out.withColumns({new: F.col(f"_net.{old}") for old, new in values.items()}).drop("_ip", "_net", *found)
 
 
-def lookup_network(flows: DataFrame, networks: DataFrame, address: Column, values: dict[str, str]) -> DataFrame:
+def lookup_network(flows: DataFrame, index: DataFrame, address: Column, values: dict[str, str]) -> DataFrame:
     """Columns of the narrowest network that holds the address (null if none); values: column of the network to new name."""
-    index = network_index(networks, *values)
     at = F.coalesce(address, F.lit(-1).cast("long"))
     out = flows.withColumn("_ip", at).join(index, F.shiftright(F.col("_ip"), 16) == F.col("block"), "left")
     out = _network_at(out, F.col("_ip"), F.col("_ip").bitwiseAND(F.lit((1 << LOW_BITS) - 1)), "_net")
     return out.withColumns({new: F.col(f"_net.{old}") for old, new in values.items()}).drop("_ip", "_net")
 
 
-def _both(flows: DataFrame, networks: DataFrame, networks6: DataFrame | None, address: Column, values: dict[str, str]) -> DataFrame:
-    """Looked up by number or, with a table for them, as IPv6."""
-    out = lookup_network(flows, networks, ipv4_number(address), values)
-    if networks6 is None:
+def _both(flows: DataFrame, index: DataFrame, index6: dict[int, DataFrame] | None, address: Column, values: dict[str, str]) -> DataFrame:
+    """Looked up by number or, with an index for them, as IPv6."""
+    out = lookup_network(flows, index, ipv4_number(address), values)
+    if index6 is None:
         return out
     six = {old: f"{new}6" for old, new in values.items()}
-    out = lookup_network6(out, networks6, address, six)
+    out = lookup_network6(out, index6, address, six)
     return out.withColumns({new: F.coalesce(new, f"{new}6") for new in values.values()}).drop(*six.values())
 
 
 def with_country(flows: DataFrame, networks: DataFrame, networks6: DataFrame | None = None) -> DataFrame:
     """scountry and dcountry: ``private``, the lower-case ISO code, or ``na``. ``networks6``: of IPv6, start_ip and end_ip as text."""
+    index, index6 = network_index(networks, "iso"), None if networks6 is None else network_index6(networks6, "iso")
     for s in ("s", "d"):
-        flows = _both(flows, networks, networks6, F.col(f"{s}addr"), {"iso": "_iso"})
+        flows = _both(flows, index, index6, F.col(f"{s}addr"), {"iso": "_iso"})
         flows = flows.withColumn(f"{s}country", F.when(is_private(F.col(f"{s}addr")), "private").otherwise(F.coalesce(F.lower("_iso"), F.lit("na")))).drop("_iso")
     return flows
 
@@ -207,9 +213,10 @@ def _local(address: Column, ip: Column) -> Column:
 
 def with_asn(flows: DataFrame, networks: DataFrame, networks6: DataFrame | None = None) -> DataFrame:
     """Network number and owner of both ends; local addresses get a number from the private range."""
+    index, index6 = network_index(networks, "asn", "org"), None if networks6 is None else network_index6(networks6, "asn", "org")
     for s in ("s", "d"):
         address, ip = F.col(f"{s}addr"), ipv4_number(F.col(f"{s}addr"))
-        flows = _both(flows, networks, networks6, address, {"asn": "_asn", "org": "_org"})
+        flows = _both(flows, index, index6, address, {"asn": "_asn", "org": "_org"})
         local = _local(address, ip)
         made = F.lit(64512) + F.pmod(F.shiftright(ip, 8), F.lit(1024))
         flows = flows.withColumns({
