@@ -3,7 +3,7 @@ import math
 import pytest
 
 import corpus_pipeline
-from tests.llm.helpers import DOCS, ODD
+from tests.llm.helpers import DOCS, ODD, WORD, lower
 from tests.llm.test_op2_op4 import overlaps
 from tests.llm.test_op5 import brute_components
 from tests.llm.test_op6 import brute_lines
@@ -53,4 +53,30 @@ def test_run_on_odd_tables(spark, tmp_path):
     table(spark, SF, "benchmark").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = corpus_pipeline.run(spark, str(tmp_path))
     assert got.columns[:5] == COLUMNS
-    got.collect()
+    rows = got.collect()
+    # rows without words have nothing to take; of rows alike after the line dedup one stays
+    assert all(WORD.search(r["text"]) and r["taken"] > 0 and r["n_chars"] in (None, len(r["text"])) for r in rows)
+    assert len({" ".join(WORD.findall(lower(r["text"]))) for r in rows}) == len(rows)
+    # every row that stays is one that the classifier kept, with its lines of which no other document is the keeper
+    docs = table(spark, str(tmp_path), "documents")
+    model = compression.fit(docs, table(spark, str(tmp_path), "labels"))
+    good = compression.score(docs, model).where("predicted = 1").select("_row.*").collect()
+    lines = {(r["doc_id"], x) for r in good for x in (r["text"] or "").split("\n")}
+    assert rows and all((r["doc_id"], x) in lines for r in rows for x in r["text"].split("\n"))
+    # a text that no other document shares lines with stays whole if the later stages find nothing in it
+    items = [(r["item_id"], r["text"]) for r in table(spark, SF, "benchmark").collect()]
+    kept = {r["text"] for r in rows}
+    lone = [r["text"] for r in good if r["doc_id"] is None and r["text"] and not overlaps(r["text"], items)[4]]
+    assert all(t in kept for t in lone)
+
+
+def test_each_stage_of_empty_and_null_tables(spark, tmp_path):
+    empty = spark.createDataFrame([], DOCS)
+    nulls = spark.createDataFrame([(None, None, None, None, None)] * 3, DOCS)
+    table(spark, SF, "labels").write.parquet(f"{tmp_path}/labels.parquet")
+    table(spark, SF, "benchmark").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stays = {"quality_classifier": None, "line_dedup": 3, "ngram_join": 3, "decontamination": 3, "mixing": 0}
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, str(tmp_path)).count() == 0
+        n = stage(spark, nulls, str(tmp_path)).count()
+        assert n == stays[name] if stays[name] is not None else n in (0, 3)  # texts alike stay or go together
