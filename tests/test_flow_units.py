@@ -276,6 +276,23 @@ def test_ipv6_lookup(spark):
         assert got[i]["dcountry"] == "xx" and got[i]["sasn"] == {"xx": 9, "na": 0}.get(want, 7)
 
 
+def test_numbers_beyond_32_bits_are_in_no_network(spark, sf_dir):
+    low = 11 << 24
+    raw = fixtures.raw_flows(spark, sf_dir).limit(1).drop("record", "sourceIPv4Address", "destinationIPv4Address", "protocolIdentifier")
+    ends = spark.createDataFrame([(0, low, low + 5), (1, (1 << 32) + low, low), (2, low, (7 << 32) + low), (3, (1 << 32) + (10 << 24), low)], "record long, sourceIPv4Address long, destinationIPv4Address long")
+    flows = normalize.normalize(raw.crossJoin(ends).withColumn("protocolIdentifier", F.lit(6)))
+    nets = spark.createDataFrame([(low, low + 9, "XX", 9, "All")], "start_ip long, end_ip long, iso string, asn long, org string")
+    looked = enrich.with_asn(enrich.with_country(flows, nets), nets)
+    got = {r["record"]: (r["scountry"], r["dcountry"], r["sasn"], r["dasn"], r["sasnorg"], r["dasnorg"]) for r in looked.collect()}
+    none = ("na", 0, "na")
+    assert got[0] == ("xx", "xx", 9, 9, "all", "all")
+    assert (got[1][0], got[1][2], got[1][4]) == none and got[1][1] == "xx"
+    assert (got[2][1], got[2][3], got[2][5]) == none and got[2][0] == "xx"
+    assert (got[3][0], got[3][2], got[3][4]) == ("private", 64512, "private")  # by its text, as before
+    # a text put in the place of the record's own counts
+    assert enrich.with_country(flows.where("record = 1").withColumn("saddr", F.lit("11.0.0.3")), nets).first()["scountry"] == "xx"
+
+
 def test_swept_networks_against_all(spark):
     rng = random.Random(4)
     for _ in range(100):
