@@ -416,6 +416,17 @@ def test_one_join_finds_every_count(spark, flows, capsys):
                 assert got[r["id"]][f"_p_{f}"] == pytest.approx((counts.get((*k, r[f]), 0) + 1) / (total.get(k, 0) + 1))
 
 
+def test_flows_carry_no_large_histogram(spark, flows, monkeypatch):
+    m = model.build(flows)
+    named = [f"_p_{f}" for f in histogram.DEFAULT_FEATURES]
+    rows = lambda: {r["id"]: r for r in score.score(flows, m, histogram.DEFAULT_FEATURES).select("id", "_modelled", "hbos_score", *named).collect()}
+    want = rows()
+    monkeypatch.setattr(score, "PACKED_KEYS", 1)
+    out = score.probabilities(flows, m, histogram.DEFAULT_FEATURES)
+    assert "_h_" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert rows() == want and len(want) == flows.count()
+
+
 def test_large_models_are_joined_by_one_shuffle(spark, flows, monkeypatch):
     m = model.build(flows)
     want = {r["id"]: r["hbos_score"] for r in score.score(flows, m, histogram.DEFAULT_FEATURES).select("id", "hbos_score").collect()}
