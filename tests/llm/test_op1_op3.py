@@ -159,3 +159,18 @@ def test_toxicity_odd_texts(spark):
     none = toxicity.score(d, toxicity.fit(d, labels.limit(0)))
     assert {r["toxic"] for r in none.collect()} == {0}
     assert toxicity.score(d.limit(0), toxicity.fit(d.limit(0), labels)).count() == 0
+
+
+def test_steps_of_single_buckets_are_worked_out_beside_their_gradients(spark):
+    rows = spark.createDataFrame([(str(i), i % 2, i % 4, [i % 3, 10 + i % 5]) for i in range(40)], "doc_id string, y int, fold int, x array<int>")
+    counts = toxicity.bucket_counts(rows)
+    assert counts.held.dtype.itemsize <= 2 and counts.bucket.dtype == np.int32  # what is broadcast
+    n, models = len(counts.bucket), toxicity.FOLDS + 1
+    g = np.arange(2 * n * models, dtype=np.float32).reshape(2, n, models)
+    own = np.full((n, models), 0.25, np.float32)
+    got = toxicity._step(pa.table({"part": [1, 0], "block": [0, 0], "g": [g.tobytes(), g.tobytes()]}), own, counts)
+    odds = np.abs(np.stack([counts.without(m) for m in range(models)], axis=1))
+    ridge = toxicity.RIDGE * np.maximum(1.0, toxicity.CLEAR / np.maximum(odds, 1e-2)) ** toxicity.FADE
+    want = toxicity.RATE * (2.0 * g[0] + ridge * own) / (2.0 * g[1] + 1 + ridge)
+    assert got.column("block").to_pylist() == [0]
+    assert np.allclose(np.frombuffer(got.column("step")[0].as_py(), np.float32).reshape(n, models), want, rtol=1e-5)

@@ -13,7 +13,7 @@ catch words in inflected forms that the sample never held. A link weighs every b
 says little small (it grows as log-odds fall), and three sums over the buckets' log-odds (the strongest, those clearly and those far above chance).
 
 The sample is bounded by TRAIN_ROWS rows of a class. Its texts stay on the executors, where counts of buckets, inputs and
-gradients are summed; what reaches the driver is a few numbers for each sample row and each counted bucket.
+gradients are summed and turned into steps; what reaches the driver is a few numbers for each sample row and each counted bucket.
 """
 
 from __future__ import annotations
@@ -138,6 +138,9 @@ class Counts:
     rows: np.ndarray  # FOLDS x 2
     _made: dict = field(default_factory=dict)
 
+    def part(self, start: int, end: int) -> Counts:
+        return Counts(self.bucket[start:end], self.held[start:end], self.rows)
+
     def without(self, *folds: int) -> np.ndarray:
         """Log-odds of the counted buckets from all folds but these, worked out once."""
         use = tuple(f for f in range(FOLDS) if f not in folds)
@@ -173,7 +176,8 @@ def bucket_counts(rows: DataFrame, y: str = "y") -> Counts:
     got = held.toArrow().sort_by("bucket")
     total = rows.agg(*each).first()
     columns = np.stack([got.column(f"c{i}").to_numpy() for i in range(len(cells))], axis=1)
-    return Counts(got.column("bucket").to_numpy().astype(np.int64), columns.astype(np.int32).reshape(-1, FOLDS, 2), np.array(total, dtype=np.int64).reshape(FOLDS, 2))
+    least = np.min_scalar_type(int(columns.max(initial=0)))  # two bytes for samples of the usual size
+    return Counts(got.column("bucket").to_numpy().astype(np.int32), columns.astype(least).reshape(-1, FOLDS, 2), np.array(total, dtype=np.int64).reshape(FOLDS, 2))
 
 
 def _known(bucket: np.ndarray, all_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -199,11 +203,23 @@ def _each_row(rows: DataFrame, work, kind: str) -> pa.Table:
     return rows.mapInArrow(run, f"doc_id string, v {kind}").toArrow().sort_by("doc_id")
 
 
-def _added(table: pa.Table) -> pa.Table:
-    """The sum of the gradients of one block of buckets, in the order of the parts that they come from."""
+def _step(table: pa.Table, own: np.ndarray, counts: Counts) -> pa.Table:
+    """How far the weights of one block of buckets move: its gradients are added up in the order of the parts that they come from."""
     table = table.sort_by("part")
+    block = table.column("block").slice(0, 1)
+    start = block[0].as_py() * BLOCK
+    models = own.shape[1]
     total = sum(np.frombuffer(x, np.float32) for x in table.column("g").to_pylist())
-    return pa.table({"block": table.column("block").slice(0, 1), "g": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+    g, h = total.reshape(2, -1, models).astype(np.float64)
+    mine, own = counts.part(start, start + len(g)), own[start : start + len(g)]
+    odds = np.abs(np.stack([mine.without(m) for m in range(models)], axis=1))
+    ridge = RIDGE * np.maximum(1.0, CLEAR / np.maximum(odds, 1e-2)) ** FADE
+    return pa.table({"block": block, "step": pa.array([(RATE * (g + ridge * own) / (h + 1 + ridge)).astype(np.float32).tobytes()], pa.binary())})
+
+
+def _stepper(state, held):
+    """``_step`` of a table alone, with the broadcast weights and counts."""
+    return lambda table: _step(table, state.value, held.value)
 
 
 def fit_link(rows: DataFrame, goal: np.ndarray, fold: np.ndarray, counts: Counts, earlier: np.ndarray, weight: np.ndarray, ids: list[str]) -> tuple[Linear, np.ndarray]:
@@ -237,18 +253,14 @@ def fit_link(rows: DataFrame, goal: np.ndarray, fold: np.ndarray, counts: Counts
         use = fold != m
         dense.append(_newton(x[use], goal[use], weight[use]))
         base[:, m] = x @ dense[m]
-    held.destroy()
-    # weights of single buckets, by gradients that the executors sum
-    weighed = counts.bucket
-    own = np.zeros((len(weighed), models))
-    odds = np.abs(np.stack([counts.without(m) for m in range(models)], axis=1))
-    ridge = RIDGE * np.maximum(1.0, CLEAR / np.maximum(odds, 1e-2)) ** FADE
-    given = sc.broadcast((base, goal, fold, weight, {x: i for i, x in enumerate(ids)}, weighed))
+    # weights of single buckets, by gradients that the executors sum and turn into steps
+    own = np.zeros((len(counts.bucket), models), np.float32)
+    given = sc.broadcast((base, goal, fold, weight, {x: i for i, x in enumerate(ids)}))
     for _ in range(STEPS):
-        state = sc.broadcast(own.astype(np.float32))
+        state = sc.broadcast(own)
 
         def gradient(batches: Iterator[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
-            w, (z, y, f, wt, where, weighed) = state.value, given.value
+            w, (z, y, f, wt, where), weighed = state.value, given.value, held.value.bucket
             g = np.zeros((2, *w.shape))  # first and second derivatives
             for b in batches:
                 i = np.array([where[x] for x in b.column("doc_id").to_pylist()], dtype=np.int64)
@@ -264,24 +276,26 @@ def fit_link(rows: DataFrame, goal: np.ndarray, fold: np.ndarray, counts: Counts
             parts = [g[:, a : a + BLOCK].astype(np.float32).tobytes() for a in starts]
             yield pa.RecordBatch.from_arrays([pa.array([part] * len(parts), pa.int64()), pa.array(range(len(parts)), pa.int64()), pa.array(parts, pa.binary())], names=["part", "block", "g"])
 
-        got = rows.coalesce(PARTS).mapInArrow(gradient, "part long, block long, g binary").groupBy("block").applyInArrow(_added, "block long, g binary")
-        got = [np.frombuffer(bytes(r["g"]), np.float32).reshape(2, -1, models) for r in sorted(got.collect(), key=lambda r: r["block"])]
+        added = rows.coalesce(PARTS).mapInArrow(gradient, "part long, block long, g binary").groupBy("block")
+        got = added.applyInArrow(_stepper(state, held), "block long, step binary").toArrow()
         state.destroy()
-        g, h = np.concatenate(got, axis=1).astype(np.float64)
-        own -= RATE * (g + ridge * own) / (h + 1 + ridge)
-    final = sc.broadcast(own.astype(np.float32))
+        for block, step in zip(got.column("block").to_pylist(), got.column("step"), strict=True):
+            at = own[block * BLOCK : (block + 1) * BLOCK]
+            at -= np.frombuffer(step.as_buffer(), np.float32).reshape(at.shape)
+        del got
+    final = sc.broadcast(own)
 
     def left_out(b: pa.RecordBatch) -> np.ndarray:
         row, bucket = _pairs(b.column("x"))
-        place, k = _known(bucket, given.value[-1])
+        place, k = _known(bucket, held.value.bucket)
         row = row[place]
         return np.bincount(row, weights=final.value[k, b.column("fold").to_numpy()[row]], minlength=b.num_rows)[:, None]
 
     oof = sigmoid(base[np.arange(n), fold] + np.concatenate(_each_row(rows, left_out, "array<double>").column("v").to_numpy()))
     evidence, mine = np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32)
-    evidence[counts.bucket], mine[weighed] = counts.without(), own[:, FOLDS]
-    given.destroy()
-    final.destroy()
+    evidence[counts.bucket], mine[counts.bucket] = counts.without(), own[:, FOLDS]
+    for x in (held, given, final):
+        x.destroy()
     return Linear(evidence, mine, dense[FOLDS]), oof
 
 
